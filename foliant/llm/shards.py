@@ -147,11 +147,11 @@ def to_blocks(pid: int, hashes: np.ndarray, n: int, *more: np.ndarray) -> tuple[
     return order, rows
 
 
-def answers(reply, order: np.ndarray) -> np.ndarray:
+def answers(reply, order: np.ndarray, kind: type = np.uint8) -> np.ndarray:
     """The codes sent back for the hashes of a shard, in the shard's own order. reply: list of {bucket, data}."""
-    out = np.zeros(len(order), np.uint8)
+    out = np.zeros(len(order), kind)
     if len(order):
-        out[order] = np.concatenate([np.frombuffer(r["data"], np.uint8) for r in sorted(reply, key=lambda r: r["bucket"])])
+        out[order] = np.concatenate([np.frombuffer(r["data"], kind) for r in sorted(reply, key=lambda r: r["bucket"])])
     return out
 
 
@@ -165,7 +165,7 @@ BLOCK_SCHEMA = pa.schema([("pid", pa.int64()), ("bucket", pa.int64()), ("data",
 def judged(blocks: DataFrame, judge: Callable[[np.ndarray, list[np.ndarray]], np.ndarray], n: int) -> DataFrame:
     """Bring the blocks of each bucket together and send each shard its codes: rows (pid, reply).
 
-    judge(pid of each entry, columns of entries) gives a uint8 for each entry; the entries of one bucket, at most one
+    judge(pid of each entry, columns of entries) gives a code (uint8 or uint16) for each entry; the entries of one bucket, at most one
     for each distinct hash and shard, are judged together.
     """
 

@@ -33,7 +33,7 @@ class Words:
         grams = H.window_hashes(self.codes, np.arange(max(0, n - k + 1)), k, both=False)[0]
         at = H.winnow(grams, window - k + 1)[self.windows]
         first, self.run = H.runs(at)
-        self.anchors = grams[at[first]]
+        self.anchors = H.mix(grams[at[first]])  # smallest hashes are alike; mixed, they spread over the buckets
 
     def candidates(self, bits: np.ndarray) -> np.ndarray:
         """Windows whose anchor occurs anywhere else. bits: one for each distinct anchor, ascending."""

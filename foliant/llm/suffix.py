@@ -24,7 +24,9 @@ from foliant.llm import hashing as H
 from foliant.llm import shards as S
 
 ANCHOR_BYTES = 32
-SHARD_BYTES = 2 << 20
+GRAM_BASES = H.mix(np.arange(1, 1 + ANCHOR_BYTES // 8, dtype=np.uint64)) | np.uint64(1)
+#: Window starts whose anchors are found at once.
+PIECE = 1 << 16
 #: Bytes of one suffix array. Regions of one anchor beyond this are judged by two 64-bit hashes of each window instead.
 ARRAY_BYTES = 1 << 20
 
@@ -205,9 +207,12 @@ def repeated(regions: list[bytes], width: int) -> np.ndarray:
 
 def windows_in(sizes: np.ndarray, width: int) -> np.ndarray:
     """Places of all window starts in regions that lie one after another, a byte apart."""
-    owned = sizes - width + 1
-    at = np.concatenate(([0], np.cumsum(sizes + 1)[:-1]))
-    return np.repeat(at - np.concatenate(([0], np.cumsum(owned)[:-1])), owned) + np.arange(owned.sum())
+    return spread(np.concatenate(([0], np.cumsum(sizes + 1)[:-1])), sizes - width + 1)
+
+
+def spread(start: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... run[0] numbers, then those of start[1], and so on."""
+    return np.repeat(start - np.concatenate(([0], np.cumsum(run)[:-1])), run) + np.arange(run.sum())
 
 
 def repeated_by_hash(regions: list[bytes], width: int) -> np.ndarray:
@@ -222,23 +227,48 @@ def repeated_by_hash(regions: list[bytes], width: int) -> np.ndarray:
     return hit
 
 
+def grams_of(data: np.ndarray) -> np.ndarray:
+    """Hashes of all strings of ANCHOR_BYTES, read eight bytes at a time."""
+    n = len(data) - ANCHOR_BYTES + 1
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,)).copy()
+    total = eight[:n] * GRAM_BASES[0]
+    for j, base in enumerate(GRAM_BASES[1:], 1):
+        total += eight[8 * j : 8 * j + n] * base
+    return H.mix(total)
+
+
+def anchors_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Anchors of texts: hash, place, first window, number of windows. Computed in pieces that stay in a CPU's cache."""
+    steps = np.zeros(len(data) + 1, np.int8)
+    long = np.flatnonzero(np.diff(offsets) >= width)
+    steps[offsets[long]] += 1
+    steps[offsets[long + 1] - width + 1] -= 1
+    inside = np.cumsum(steps[:-1], dtype=np.int8).astype(bool)
+    got = []
+    for c in range(0, len(data) - width + 1, PIECE):
+        valid = np.flatnonzero(inside[c : min(c + PIECE, len(data) - width + 1)])
+        if len(valid):
+            grams = grams_of(data[c : c + PIECE + width - 1])
+            at = H.winnow(grams, width - ANCHOR_BYTES + 1)[valid]
+            first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (valid[1:] != valid[:-1] + 1))))
+            got.append((grams[at[first]], at[first] + c, valid[first] + c, np.diff(np.append(first, len(valid)))))
+    if not got:
+        return np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3))
+    grams, at, start, run = (np.concatenate(x) for x in zip(*got, strict=True))
+    first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (start[1:] != start[:-1] + run[:-1]))))
+    return H.mix(grams[first]), at[first], start[first], np.add.reduceat(run, first)  # mixed: smallest hashes are alike
+
+
 class Bytes:
     """Windows, anchors and regions of a shard."""
 
     def __init__(self, batch: pa.RecordBatch, text_col: str, width: int):
-        k = min(ANCHOR_BYTES, width)
+        if width < 2 * ANCHOR_BYTES:
+            raise ValueError(f"width is {width}; at least {2 * ANCHOR_BYTES} is needed")
         self.data, self.offsets = S.text_bytes(batch, text_col)
-        n = len(self.data)
-        sizes = np.diff(self.offsets)
-        whole = np.maximum(sizes - width + 1, 0)
-        self.windows = np.repeat(self.offsets[:-1] - np.concatenate(([0], np.cumsum(whole)[:-1])), whole) + np.arange(whole.sum())
-        self.sums = H.POWERS[0].prefix(H.BYTE_CODES[self.data])
-        grams = np.arange(max(0, n - k + 1))
-        grams = H.mix(H.POWERS[0].between(self.sums, grams, grams + k))
-        at = H.winnow(grams, width - k + 1)[self.windows]
-        first, self.run = H.runs(at)
-        self.anchors, self.at, self.start = grams[at[first]], at[first], self.windows[first]
+        self.anchors, self.at, self.start, self.run = anchors_of(self.data, self.offsets, width)
         self.stop = self.start + self.run - 1 + width
+        self.width = width
 
     def regions(self, bits: np.ndarray) -> tuple[np.ndarray, ...]:
         """Anchors (their places in self) that occur anywhere else, with two hashes of their regions."""
@@ -249,29 +279,69 @@ class Bytes:
         which = np.flatnonzero(bits[place])
         a, b = self.start[which], self.stop[which]
         shape = (self.at[which] - a).astype(np.uint64) * H.BASES[1]
+        codes = H.BYTE_CODES[self.data]
+        self.sums = H.POWERS[0].prefix(codes)
         h1 = H.mix(H.POWERS[0].between(self.sums, a, b) + shape)
-        h2 = H.mix(H.POWERS[1].between(H.POWERS[1].prefix(H.BYTE_CODES[self.data]), a, b) ^ shape)
+        h2 = H.mix(H.POWERS[1].between(H.POWERS[1].prefix(codes), a, b) ^ shape)
         return which, h1, h2
 
+    def cores(self, which: np.ndarray) -> list[np.ndarray]:
+        """For each eighth of the offsets an anchor can have in a window, a hash of the bytes that all windows of that
+        eighth share; 0 where the region has none of them. Windows can be equal only if those bytes are."""
+        lead, step = self.at[which] - self.start[which], part(self.width)
+        tail = lead - self.run[which] + 1  # smallest offset
+        out = []
+        for j in range(EIGHTHS):
+            lo, hi = np.maximum(tail, j * step), np.minimum(lead, (j + 1) * step - 1)
+            a = self.at[which] - j * step
+            b = self.at[which] + self.width - ((j + 1) * step - 1)
+            ok = (lo <= hi) & (a >= self.start[which] - (step - 1)) & (a >= 0) & (b <= len(self.data))
+            h = np.zeros(len(which), np.uint64)
+            h[ok] = H.mix(H.POWERS[0].between(self.sums, a[ok], b[ok])) | np.uint64(1)
+            out.append(h)
+        return out
+
+    def needed(self, which: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First windows and their numbers: those in the eighths, from the first to the last in the mask."""
+        step = part(self.width)
+        low, high = LOWEST[masks], HIGHEST[masks]
+        lead = self.at[which] - self.start[which]
+        most = np.minimum(lead, (high + 1) * step - 1)
+        least = np.maximum(lead - self.run[which] + 1, low * step)
+        return self.at[which] - most, most - least + 1
+
+
+EIGHTHS = 8
+LOWEST = np.array([0] + [(i & -i).bit_length() - 1 for i in range(1, 256)])
+HIGHEST = np.array([0] + [i.bit_length() - 1 for i in range(1, 256)])
+
+
+def part(width: int) -> int:
+    return -(-(width - ANCHOR_BYTES + 1) // EIGHTHS)
+
 
 ALONE, WHOLE, SEND, WHOLE_SEND = range(4)
 
 
 def judge_regions(pids: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
-    """Codes for distinct regions of shards: repeated as a whole or not, and whether its bytes are needed."""
-    anchor, h1, h2, many = cols
+    """Codes for distinct regions of shards: repeated as a whole or not, whether its bytes are needed, and (from the
+    third bit on) for which eighths of the offsets."""
+    anchor, h1, h2, many, *cores = cols
     order = np.lexsort((pids, h2, h1, anchor))
     a, b, c = anchor[order], h1[order], h2[order]
-    new_anchor = np.concatenate(([True], a[1:] != a[:-1]))
-    new = new_anchor | np.concatenate(([True], (b[1:] != b[:-1]) | (c[1:] != c[:-1])))
-    group, kind = np.cumsum(new_anchor) - 1, np.cumsum(new) - 1
-    kinds = np.bincount(group[new])[group]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (c[1:] != c[:-1])))
+    kind = np.cumsum(new) - 1
     whole = (np.bincount(kind, weights=1 + many[order]) >= 2)[kind]
-    codes = np.where(whole, WHOLE, ALONE)
-    codes[(kinds > 1) & ~whole] = SEND
-    codes[(kinds > 1) & whole & new] = WHOLE_SEND
-    out = np.empty(len(codes), np.uint8)
-    out[order] = codes
+    masks = np.zeros(len(order), np.uint16)
+    one = np.flatnonzero(new)
+    for j, core in enumerate(cores):
+        mine = core[order[one]]
+        _, place, count = np.unique(H.mix(a[one] ^ mine), return_inverse=True, return_counts=True)
+        masks[one[(count[place] > 1) & (mine != 0)]] |= np.uint16(1 << j)
+    codes = np.where(whole, WHOLE, np.where(masks > 0, SEND, ALONE)).astype(np.uint16)
+    codes[whole & (masks > 0)] = WHOLE_SEND
+    out = np.empty(len(codes), np.uint16)
+    out[order] = codes | masks << 2
     return out
 
 
@@ -319,7 +389,7 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     docs = S.free_names(docs, "kept", "n_bytes", "n_removed", "spans")
     n = S.n_parts(docs)
-    shards, seeds = S.shard_and_seed(docs, id_col, text_col, lambda b: Bytes(b, text_col, width).anchors, n, SHARD_BYTES)
+    shards, seeds = S.shard_and_seed(docs, id_col, text_col, lambda b: Bytes(b, text_col, width).anchors, n)
 
     def local(row):
         batch = S.read_blob(row["blob"])
@@ -336,26 +406,27 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def send_hashes(batches):
         for bt in batches:
             for row in bt.to_pylist():
-                _, _, _, kind, (x, y, z), _ = local(row)
+                _, b, _, kind, (x, y, z), place = local(row)
                 if len(x):
-                    yield S.table(S.to_blocks(row["pid"], x, n, y, z, (np.bincount(kind) > 1).astype(np.uint8))[1], S.BLOCK_SCHEMA)
+                    yield S.table(S.to_blocks(row["pid"], x, n, y, z, (np.bincount(kind) > 1).astype(np.uint8), *b.cores(place))[1], S.BLOCK_SCHEMA)
 
-    def needed(row, x):
-        """Distinct regions whose bytes go out, in the order of their blocks."""
-        codes = S.answers(row["codes"] or [], np.argsort(H.bucket_of(x, n), kind="stable"))
-        return codes, np.flatnonzero(codes >= SEND)
+    def needed(row, b, x, place):
+        """Distinct regions of which bytes go out, in the order of their blocks, and the windows to judge."""
+        codes = S.answers(row["codes"] or [], np.argsort(H.bucket_of(x, n), kind="stable"), np.uint16)
+        go = np.flatnonzero(codes & 3 >= SEND)
+        return codes & 3, go, *b.needed(place[go], codes[go] >> 2)
 
     def send_bytes(batches):
         for bt in batches:
             for row in bt.to_pylist():
                 _, b, _, _, (x, _, _), place = local(row)
-                _, go = needed(row, x)
+                _, go, start, run = needed(row, b, x, place)
                 rows = []
                 at, size = H.runs(H.bucket_of(x[go], n))
                 for f, m in zip(at.tolist(), size.tolist(), strict=True):
-                    o = place[go[f : f + m]]
-                    parts = [b.data[s:e] for s, e in zip(b.start[o].tolist(), b.stop[o].tolist(), strict=True)]
-                    rows.append({"pid": row["pid"], "bucket": int(H.bucket_of(x[go[f : f + 1]], n)[0]), "data": S.pack(b.anchors[o], b.stop[o] - b.start[o], np.concatenate(parts))})
+                    here, size_of = start[f : f + m], run[f : f + m] - 1 + width
+                    parts = [b.data[s : s + e] for s, e in zip(here.tolist(), size_of.tolist(), strict=True)]
+                    rows.append({"pid": row["pid"], "bucket": int(H.bucket_of(x[go[f : f + 1]], n)[0]), "data": S.pack(x[go[f : f + m]], size_of, np.concatenate(parts))})
                 if rows:
                     yield S.table(rows, S.BLOCK_SCHEMA)
 
@@ -379,15 +450,13 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for bt in batches:
             for row in bt.to_pylist():
                 batch, b, which, kind, (x, _, _), place = local(row)
-                codes, go = needed(row, x)
+                codes, go, start, run = needed(row, b, x, place)
                 whole = which[np.isin(codes[kind], (WHOLE, WHOLE_SEND))] if len(kind) else which
-                owned = lambda i: np.repeat(b.start[i] - np.concatenate(([0], np.cumsum(b.run[i])[:-1])), b.run[i]) + np.arange(b.run[i].sum())
-                hits = [owned(whole)] if len(whole) else []
+                hits = [spread(b.start[whole], b.run[whole])] if len(whole) else []
                 by_bucket = {r["bucket"]: r["data"] for r in row["reply"] or []}
                 at, size = H.runs(H.bucket_of(x[go], n))
                 for f, m in zip(at.tolist(), size.tolist(), strict=True):
-                    o = place[go[f : f + m]]
-                    all_starts = owned(o)
+                    all_starts = spread(start[f : f + m], run[f : f + m])
                     flags = np.unpackbits(np.frombuffer(by_bucket[int(H.bucket_of(x[go[f : f + 1]], n)[0])], np.uint8), count=len(all_starts)).astype(bool)
                     hits.append(all_starts[flags])
                 starts = np.unique(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
