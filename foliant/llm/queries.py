@@ -7,22 +7,80 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import substring, suffix
+from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, packing, substring, suffix, toxicity, urls
+
+#: Labels of hosts whose pages make up the list of op2.
+SPAM_HOSTS = ("cheap-pills", "spam-farm", "adult-x", "free-bets", "casino-win", "ads-track")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.select("url").where(urls.host_of(F.col("url")).rlike(f"(^|\\.)({'|'.join(SPAM_HOSTS)})\\."))
+    return urls.filter_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return embeddings.dedup_embeddings(vectors).select("vec_id", "n_links", "component_id", "kept")
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan_licenses(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramjoin.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model).select("doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, tokenizer_path()).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return suffix.dedup_suffixes(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op5_substring_dedup, op9_suffix_dedup)}
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fingerprints.fingerprint_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = fingerprints.with_next(docs, "doc_id", "text", ("sketch",)).withColumn("edited", fingerprints.edited_text(F.col("text"), F.col("next_text")))
+    docs = fingerprints.add_sketch(docs, F.col("edited"), "edited_sketch")
+    likeness = lambda other: fingerprints.resemblance(F.col("sketch"), F.col(other))
+    return docs.select(
+        "doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text(F.col("sketch")).alias("fingerprint"), fingerprints.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness("edited_sketch").alias("near_edited"), likeness("next_sketch").alias("near_next"),
+    )
+
+
+_ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLES: dict[str, str] = {}
