@@ -22,17 +22,16 @@ def words_of(text: Column) -> Column:
 
 
 def shingle_hashes(words: Column, n: int = SHINGLE_WORDS) -> Column:
-    """Hashes of all shingles, repeats included; fewer words are one shingle, none have none. words is a plain column:
-    what a lambda refers to is evaluated for each element."""
-    last = F.greatest(F.size(words) - (n - 1), F.lit(1))
-    hashes = F.transform(F.sequence(F.lit(1), last), lambda i: F.shiftrightunsigned(F.xxhash64(F.slice(words, i, n)), 2))
-    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(hashes)
+    """Hashes of all shingles, repeats included; fewer words are one shingle, none have none. words are the words'
+    hashes, as a plain column: what a lambda refers to is evaluated for each element."""
+    each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - n, F.lit(0))), lambda i: F.shiftrightunsigned(F.xxhash64(*(F.get(words, i + j) for j in range(n))), 2))
+    return F.when(F.size(words) == 0, F.array().cast("array<bigint>")).otherwise(each)
 
 
 def add_sketch(df: DataFrame, text: Column, name: str, k: int = K) -> DataFrame:
     """df with the k smallest distinct shingle hashes of text, ascending. Only hashes below four times the expected
     k-th are sorted, unless too few of those are distinct. Each step is its own column, so it is computed once."""
-    df = df.withColumn("__words", words_of(text))
+    df = df.withColumn("__words", F.transform(words_of(text), lambda w: F.xxhash64(w)))
     df = df.withColumn("__all", shingle_hashes(F.col("__words")))
     df = df.withColumn("__below", F.lit(4.0 * k * SPAN) / F.greatest(F.size("__all"), F.lit(1)))
     df = df.withColumn("__few", F.filter("__all", lambda h: h < F.col("__below")))
