@@ -7,6 +7,7 @@ the next. Each group of documents is packed as it streams by, so nothing is shuf
 
 from __future__ import annotations
 
+import functools
 import heapq
 import zlib
 from collections.abc import Iterator
@@ -100,6 +101,12 @@ class WordIds:
         return [b"".join([*map(get, words), last]) for words in split]
 
 
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One table for all tasks of a worker."""
+    return WordIds(path)
+
+
 def cost(tokens: int, per_token: float, per_pair: float) -> float:
     return per_token * tokens + per_pair * tokens * tokens
 
@@ -141,7 +148,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         sequence = TaskContext.get().partitionId() << 40
         ids: list = []
         held: list[bytes] = []
