@@ -23,7 +23,7 @@ from foliant.llm.licenses import words_of
 from foliant.llm.shards import free_names
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
-MOST_TOXIC, MOST_OTHER = 3_000, 6_000
+MOST_TOXIC, MOST_OTHER = 1_500, 3_000
 #: A term is in at least so many toxic documents, and so many times likelier there.
 LEAST_DOCS, LEAST_RATIO = 8, 20.0
 MOST_TERMS = 2_000
@@ -39,22 +39,19 @@ class Trie:
 
     def __init__(self, terms):
         self.root: dict = {}
-        self.heads: set[str] = set()
-        self.tails: set[str] = set()
+        self.near: set[str] = set()
         for t in terms:
             node = self.root
             for c in t:
                 node = node.setdefault(c, {})
             node[""] = t
-            half = len(t) // 2
-            self.heads.add(t[:half])
-            self.tails.add(t[half:])
-        self.head_sizes = sorted({len(h) for h in self.heads})
-        self.tail_sizes = sorted({len(h) for h in self.tails})
+            self.near.update(shorter(t))
+            self.near.add(t)
+        self.sizes = {len(t) + d for t in self.near for d in (0, 1)}
 
     def may_match(self, word: str) -> bool:
-        """With one edit, either half of a term stands unchanged at its end of the word."""
-        return any(word[:n] in self.heads for n in self.head_sizes) or any(word[-n:] in self.tails for n in self.tail_sizes)
+        """With one edit, the word or it less a letter is a term or a term less a letter."""
+        return len(word) in self.sizes and (word in self.near or not self.near.isdisjoint(shorter(word)))
 
     def matches(self, word: str, edits: int = 1) -> str | None:
         """The first term, by edits and then alphabet, within `edits` insertions, deletions and substitutions."""
@@ -81,6 +78,10 @@ class Trie:
         return best[1] if best else None
 
 
+def shorter(word: str) -> list[str]:
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+
+
 def close(state: dict[int, int], n: int, edits: int) -> dict[int, int]:
     """Adds the places reached by skipping letters of the word."""
     for p in sorted(state):
@@ -241,7 +242,7 @@ def held_out(id_col: str) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most MOST_TOXIC and MOST_OTHER labelled rows; null labels and ids don't count. Their ids, at most
-    9,000, are broadcast."""
+    4,500, are broadcast."""
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)").where(~held_out("__id"))
     pick = [rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(k) for y, k in ((1, MOST_TOXIC), (0, MOST_OTHER))]
     wanted = pick[0].unionByName(pick[1])
