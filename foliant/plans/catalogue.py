@@ -4,7 +4,395 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from foliant.functions import geometry as G
+from foliant.functions import text as X
+from foliant.operators import matching as M
+from foliant.operators import relational as R
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+PAGE_W, PAGE_H = 1000, 900
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground-truth boxes: every order is a page, every line item a box."""
+    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    return read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("page_id"), F.row_number().over(w).alias("ann_no"), ((F.col("l_partkey") * 7) % 500).alias("x"), (F.col("l_linenumber") * 90).cast("long").alias("y"),
+        (40 + F.floor("l_quantity") * 4).cast("long").alias("w"), F.lit(60).cast("long").alias("h"), (F.col("l_partkey") % 5).cast("int").alias("class_id"), "l_suppkey", "l_discount",
+    )
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gt = boxes(spark, sf_dir)
+    near = gt.where("l_suppkey % 13 <> 0").select("page_id", "ann_no", (F.col("x") + F.col("l_suppkey") % 60).alias("x"), "y", "w", "h", F.when(F.col("l_suppkey") % 11 == 0, (F.col("class_id") + 1) % 5).otherwise(F.col("class_id")).alias("class_id"), (1 - F.col("l_discount") * 5).alias("score"))
+    far = gt.where("l_suppkey % 17 = 0").select("page_id", (F.col("ann_no") + 100).alias("ann_no"), "x", (F.col("y") + 450).alias("y"), "w", "h", "class_id", (0.3 + F.col("l_discount") * 5).alias("score"))
+    return near.unionByName(far)
+
+
+BOXES = """WITH gt AS (SELECT l_orderkey page_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) ann_no, (l_partkey * 7) % 500 x, l_linenumber * 90 y,
+ 40 + CAST(floor(l_quantity) AS INT) * 4 w, 60 h, CAST(l_partkey % 5 AS INT) class_id, l_suppkey, l_discount FROM lineitem),
+pred AS (SELECT page_id, ann_no, x + l_suppkey % 60 x, y, w, h, CASE WHEN l_suppkey % 11 = 0 THEN (class_id + 1) % 5 ELSE class_id END class_id, 1 - l_discount * 5 score FROM gt WHERE l_suppkey % 13 <> 0
+ UNION ALL SELECT page_id, 100 + ann_no, x, y + 450, w, h, class_id, 0.3 + l_discount * 5 FROM gt WHERE l_suppkey % 17 = 0),
+pairs AS (SELECT * FROM (SELECT g.page_id, g.ann_no gt_no, p.ann_no pred_no, g.class_id gt_class, p.class_id pred_class,
+ greatest(0, least(g.x + g.w, p.x + p.w) - greatest(g.x, p.x)) * greatest(0, least(g.y + g.h, p.y + p.h) - greatest(g.y, p.y)) inter, g.w * g.h + p.w * p.h area FROM gt g JOIN pred p USING (page_id)) WHERE inter > 0)
+"""
+def box() -> G.Box:
+    return tuple(F.col(c) for c in "xywh")
+
+
+
+@query(BOXES + "SELECT page_id, ann_no, round(xc, 6) xc, round(yc, 6) yc, round(w / 1000, 6) w, round(h / 900, 6) h FROM (SELECT page_id, ann_no, w, h, (greatest(0, least(x, 1000 - w)) + w / 2) / 1000 xc, (greatest(0, least(y, 900 - h)) + h / 2) / 900 yc FROM gt)")
+def q_bbox_to_yolo(spark, sf_dir):
+    out = G.to_yolo(G.clip_keeping_size(box(), PAGE_W, PAGE_H), PAGE_W, PAGE_H)
+    return boxes(spark, sf_dir).select("page_id", "ann_no", *(F.round(c, 6).alias(n) for c, n in zip(out, ("xc", "yc", "w", "h"), strict=True)))
+
+
+@query(BOXES + "SELECT class_id, count(*) n, sum(w * h) area, sum(greatest(0, least(x, 999))) x, sum(greatest(1, least(w, 1000 - greatest(0, least(x, 999))))) w, sum(greatest(1, least(h, 900 - greatest(0, least(y, 899))))) h FROM pred GROUP BY class_id")
+def q_clamp_variants(spark, sf_dir):
+    x, _, w, h = G.clamp_origin(box(), PAGE_W, PAGE_H)
+    return predictions(spark, sf_dir).groupBy("class_id").agg(F.count("*").alias("n"), F.sum(F.col("w") * F.col("h")).alias("area"), F.sum(x).alias("x"), F.sum(w).alias("w"), F.sum(h).alias("h"))
+
+
+@query(BOXES + """SELECT issue, count(*) n FROM (SELECT unnest(list_filter([CASE WHEN class_id > 3 THEN 'unknown_class' END, CASE WHEN y > 900 THEN 'invalid_coords' END, CASE WHEN x + w > 600 OR y + h > 900 THEN 'out_of_bounds' END], lambda i: i IS NOT NULL)) issue FROM pred) GROUP BY issue""")
+def q_label_audit(spark, sf_dir):
+    found = F.array_compact(F.array(F.when(F.col("class_id") > 3, "unknown_class"), F.when(F.col("y") > PAGE_H, "invalid_coords"), F.when((F.col("x") + F.col("w") > 600) | (F.col("y") + F.col("h") > PAGE_H), "out_of_bounds")))
+    return predictions(spark, sf_dir).select(F.explode(found).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderpriority, p_brand, count(*) n, sum(CAST(l_quantity AS BIGINT)) quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL")
+def q_annotation_image_category(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return li.groupBy("o_orderpriority", "p_brand").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("quantity"))
+
+
+@query("SELECT l_returnflag, count(*) n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY 1")
+def q_semi_annotations(spark, sf_dir):
+    done = read(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
+    return read(spark, sf_dir, "lineitem").join(done, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("SELECT lang, count(*) n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) GROUP BY 1")
+def q_anti_unlabelled(spark, sf_dir):
+    return read(spark, sf_dir, "documents").join(read(spark, sf_dir, "labels"), "doc_id", "left_anti").groupBy("lang").agg(F.count("*").alias("n"))
+
+
+@query(BOXES + "SELECT gt_class, pred_class, count(*) n, count_if(2 * inter = area - inter) n_half, count_if(2 * inter > area - inter) n_over FROM pairs GROUP BY ALL")
+def q_iou_candidates(spark, sf_dir):
+    p = M.candidates(boxes(spark, sf_dir), predictions(spark, sf_dir))
+    return p.groupBy("gt_class", "pred_class").agg(F.count("*").alias("n"), F.count_if(2 * F.col("inter") == F.col("uni")).alias("n_half"), F.count_if(2 * F.col("inter") > F.col("uni")).alias("n_over"))
+
+
+@query(BOXES + "SELECT 'fp' kind, class_id, count(*) n FROM pred p WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.page_id = p.page_id AND q.pred_no = p.ann_no AND 2 * inter > area - inter) GROUP BY class_id UNION ALL SELECT 'fn', class_id, count(*) FROM gt g WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.page_id = g.page_id AND q.gt_no = g.ann_no AND 2 * inter > area - inter) GROUP BY class_id")
+def q_fp_fn_overlay(spark, sf_dir):
+    gt, pred = boxes(spark, sf_dir), predictions(spark, sf_dir)
+    hits = M.candidates(gt, pred).where("2 * inter > uni")
+    miss = lambda t, no, kind: t.join(hits.select("page_id", F.col(no).alias("ann_no")), ["page_id", "ann_no"], "left_anti").groupBy(F.lit(kind).alias("kind"), "class_id").agg(F.count("*").alias("n"))
+    return miss(pred, "pred_no", "fp").unionByName(miss(gt, "gt_no", "fn"))
+
+
+@query()
+def q_match_confusion(spark, sf_dir):
+    return M.match_confusion(boxes(spark, sf_dir), predictions(spark, sf_dir))
+
+
+@query()
+def q_match_calibration(spark, sf_dir):
+    return R.ece(M.match_calibration(boxes(spark, sf_dir), predictions(spark, sf_dir)), "confidence", "correct")
+
+
+@query()
+def q_error_mining(spark, sf_dir):
+    return M.mine_errors(boxes(spark, sf_dir), predictions(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query()
+def q_nms(spark, sf_dir):
+    return M.suppress(predictions(spark, sf_dir), 0.4, 0.1).groupBy("class_id").agg(F.count("*").alias("n"))
+
+
+@query()
+def q_map_metric(spark, sf_dir):
+    return M.average_precision(boxes(spark, sf_dir), predictions(spark, sf_dir))
+
+
+@query("""SELECT c AS class, coalesce(n, 0) n, 100.0 * coalesce(n, 0) / (SELECT count(*) FROM events) pct, 100.0 * coalesce(n, 0) / (SELECT count(*) FROM events) < 5 rare FROM (SELECT unnest(['signup', 'error', 'click', 'view', 'purchase', 'refund']) c) LEFT JOIN (SELECT event_type, count(*) n FROM events GROUP BY 1) ON c = event_type""")
+def q_class_imbalance(spark, sf_dir):
+    declared = spark.createDataFrame([(c,) for c in ("signup", "error", "click", "view", "purchase", "refund")], "class string")
+    return R.class_balance(read(spark, sf_dir, "events"), "event_type", declared)
+
+
+@query(BOXES + "SELECT class_id, count(*) n, min(w) min_w, max(w) max_w, round(avg(w), 6) avg_w, round(avg(w * h), 6) avg_area, count(DISTINCT page_id) pages FROM gt GROUP BY class_id")
+def q_dataset_stats(spark, sf_dir):
+    return boxes(spark, sf_dir).groupBy("class_id").agg(F.count("*").alias("n"), F.min("w").alias("min_w"), F.max("w").alias("max_w"), F.round(F.avg("w"), 6).alias("avg_w"), F.round(F.avg(F.col("w") * F.col("h")), 6).alias("avg_area"), F.count_distinct("page_id").alias("pages"))
+
+
+@query("""WITH r AS (SELECT CAST(quality AS VARCHAR) t, CASE WHEN n_chars > 1000 THEN '1' ELSE '0' END g FROM labels JOIN documents USING (doc_id)), l AS (SELECT t label FROM r UNION SELECT g FROM r),
+s AS (SELECT label, (SELECT count(*) FROM r WHERE t = label AND g = label) tp, (SELECT count(*) FROM r WHERE t <> label AND g = label) fp, (SELECT count(*) FROM r WHERE t = label AND g <> label) fn FROM l),
+m AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0.0 END p, CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0.0 END r FROM s)
+SELECT label, tp, fp, fn, tp + fn support, round(p, 9) "precision", round(r, 9) recall, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END, 9) f1 FROM m""")
+def q_confusion_prf(spark, sf_dir):
+    rows = read(spark, sf_dir, "labels").join(read(spark, sf_dir, "documents").select("doc_id", "n_chars"), "doc_id").select(F.col("quality").cast("string").alias("t"), F.when(F.col("n_chars") > 1000, "1").otherwise("0").alias("g"))
+    return R.per_label(rows, "t", "g").select("label", "tp", "fp", "fn", "support", *(F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")))
+
+
+CONFIDENT = "SELECT (l_partkey % 101) / 100.0 c, l_suppkey % 3 > 0 y FROM lineitem"
+
+
+def confident(spark, sf_dir):
+    return read(spark, sf_dir, "lineitem").select(((F.col("l_partkey") % 101) / 100.0).cast("double").alias("c"), (F.col("l_suppkey") % 3 > 0).alias("y"))
+
+
+@query(f"SELECT round(sum(CASE WHEN b >= 1 THEN abs(conf - acc) * n ELSE 0 END) / sum(n), 6) ece, CAST(sum(n) AS BIGINT) n FROM (SELECT ceil(c * 10) b, count(*) n, avg(c) conf, avg(CAST(y AS INT)) acc FROM (SELECT CAST(c AS DOUBLE) c, y FROM ({CONFIDENT})) GROUP BY 1)")
+def q_ece(spark, sf_dir):
+    return R.ece(confident(spark, sf_dir), "c", "y").select(F.round("ece", 6).alias("ece"), "n")
+
+
+@query(f"""WITH r AS (SELECT greatest(1e-8, least(CAST(c AS DOUBLE), 1 - 1e-8)) c, CAST(y AS INT) y FROM ({CONFIDENT})), e AS (SELECT k, pow(10.0, -2.0 + k * (4.0::DOUBLE / 99)) t, ln(c / (1 - c + 1e-8)) z, y FROM r, range(100) q(k)),
+p AS (SELECT k, t, y, greatest(1e-8, least(1 / (1 + exp(-z / t)), 1 - 1e-8)) p FROM e) SELECT CAST(k AS INT) k, round(t, 6) t, round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 6) nll FROM p GROUP BY k, t ORDER BY avg(-(y * ln(p) + (1 - y) * ln(1 - p))), k LIMIT 1""")
+def q_temperature(spark, sf_dir):
+    return R.best_temperature(confident(spark, sf_dir), "c", "y").select("k", F.round("t", 6).alias("t"), F.round("nll", 6).alias("nll"))
+
+
+def _pii_sql() -> str:
+    parts = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS type, unnest(regexp_extract_all(text, '{p}')) AS original FROM documents" for k, p in X.PII.items())
+    return f"({parts})"
+
+
+def pii(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return docs.select("doc_id", "lang", "text", F.explode(X.pii_hits(F.col("text"))).alias("h")).select("doc_id", "lang", "text", "h.type", "h.original")
+
+
+ASCII_TYPES = "('email', 'phone', 'credit_card')"
+
+
+@query(f"SELECT doc_id, type, original, count(*) n FROM {_pii_sql()} WHERE type IN {ASCII_TYPES} AND doc_id IN (SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')) GROUP BY ALL")
+def q_pii_findings(spark, sf_dir):
+    """ASCII documents: engines differ on word boundaries beside other letters."""
+    return pii(spark, sf_dir).where(f"type IN {ASCII_TYPES}").where(~F.col("text").rlike(r"[^\x00-\x7F]")).groupBy("doc_id", "type", "original").agg(F.count("*").alias("n"))
+
+
+@query()
+def q_pii_redacted(spark, sf_dir):
+    return pii(spark, sf_dir).select("doc_id", "type", "original", X.redact(F.col("original"), F.col("type")).alias("redacted"), X.context(F.col("text"), F.col("original")).alias("context"))
+
+
+@query()
+def q_quality_summary(spark, sf_dir):
+    """Personal data and direction by language and type; every language has a row."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    ratio, label, _ = X.direction(F.col("text"))
+    hits = docs.select("doc_id", "lang", ratio.alias("ratio"), label.alias("direction"), F.explode_outer(X.pii_hits(F.col("text"))).alias("h"))
+    return hits.groupBy("lang", "direction", F.col("h.type").alias("type")).agg(F.count("h.original").alias("n"), F.count_distinct("doc_id").alias("documents")).orderBy("lang", "direction", "type")
+
+
+def _any_sql(keys, text="lower(text)") -> str:
+    return "(" + " OR ".join(f"contains({text}, '{k}')" for k in keys) + ")"
+
+
+@query("SELECT source, count(*) total, count_if(t <> 'Unknown') licensed, count(DISTINCT CASE WHEN t <> 'Unknown' THEN t END) families, count_if(nc) non_commercial, count_if(nd) no_derivatives, count_if(att) attribution FROM (SELECT source, CASE " + " ".join(f"WHEN {_any_sql(keys)} THEN '{n}'" for n, keys in X.LICENSES) + f" ELSE 'Unknown' END t, {_any_sql(X.NON_COMMERCIAL)} nc, {_any_sql(X.NO_DERIVATIVES)} nd, {_any_sql(X.ATTRIBUTION)} att FROM documents) GROUP BY source")
+def q_license_compliance(spark, sf_dir):
+    t = F.col("text")
+    rows = read(spark, sf_dir, "documents").select("source", X.license_type(t).alias("t"), X.has_any(t, X.NON_COMMERCIAL).alias("nc"), X.has_any(t, X.NO_DERIVATIVES).alias("nd"), X.has_any(t, X.ATTRIBUTION).alias("att"))
+    known = F.col("t") != "Unknown"
+    return rows.groupBy("source").agg(F.count("*").alias("total"), F.count_if(known).alias("licensed"), F.count_distinct(F.when(known, F.col("t"))).alias("families"), F.count_if("nc").alias("non_commercial"), F.count_if("nd").alias("no_derivatives"), F.count_if("att").alias("attribution"))
+
+
+@query("SELECT doc_id, CASE WHEN n = 0 THEN 0 WHEN n <= 220 THEN 1 ELSE 1 + (n - 1) // 190 END n_chunks, n n_words FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) n FROM documents)")
+def q_chunk_documents(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", X.words(F.col("text")).alias("w"))
+    return docs.select("doc_id", F.size(X.chunks(F.col("w"))).cast("long").alias("n_chunks"), F.size("w").cast("long").alias("n_words"))
+
+
+@query("""SELECT issue, count(*) n FROM (SELECT unnest(list_filter([CASE WHEN n > 80 THEN 'too_long' END, CASE WHEN n < 3 THEN 'too_short' END, CASE WHEN n >= 5 AND d * 2 < n THEN 'repetitive' END], lambda i: i IS NOT NULL)) issue FROM
+ (SELECT len(w) n, len(list_distinct(w)) d FROM (SELECT list_transform(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> ''), lambda w: lower(w)) w FROM conversations))) GROUP BY issue""")
+def q_qa_flags(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations").select("text", X.words(F.col("text")).alias("w"))
+    flags = rows.select(F.explode(X.qa_flags(F.col("text"), F.lit("Text"), F.col("w"))).alias("f")).select("f.issue")
+    return flags.where("issue in ('too_long', 'too_short', 'repetitive')").groupBy("issue").agg(F.count("*").alias("n"))
+
+
+@query()
+def q_qa_summary(spark, sf_dir):
+    """Counts by issue, by severity and by role in one pass (grouping sets)."""
+    rows = read(spark, sf_dir, "conversations").select("role", "text", X.words(F.col("text")).alias("w"))
+    rows.select("role", F.explode(X.qa_flags(F.col("text"), F.lit("Text"), F.col("w"))).alias("f")).select("role", "f.*").createOrReplaceTempView("qa_flagged")
+    return spark.sql("SELECT issue, severity, role, count(*) AS n FROM qa_flagged GROUP BY GROUPING SETS ((issue), (severity), (role))")
+
+
+@query("SELECT a.conv_id, a.turn, round(levenshtein(a.text, b.text) / length(a.text), 9) cer FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE length(a.text) > 0 AND NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')")
+def q_cer_pairs(spark, sf_dir):
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    pairs = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other")), ["conv_id", "turn"]).where((F.length("text") > 0) & ~F.concat("text", "other").rlike(r"[^\x00-\x7F]"))
+    return pairs.select("conv_id", "turn", F.round(X.char_error_rate(F.col("text"), F.col("other")), 9).alias("cer"))
+
+
+@query("SELECT min(doc_id) doc_id, count(*) n, md5(text) digest FROM documents GROUP BY md5(text) HAVING count(*) > 1")
+def q_exact_dup(spark, sf_dir):
+    return read(spark, sf_dir, "documents").groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).where("n > 1").select("doc_id", "n", "digest")
+
+
+@query("SELECT a.vec_id a, b.vec_id b, bit_count(xor(a.h, b.h)) distance FROM (SELECT min(vec_id) vec_id, h FROM (SELECT vec_id, list_sum([CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END FOR i IN range(62)])::BIGINT h FROM embeddings) GROUP BY h) a JOIN (SELECT min(vec_id) vec_id, h FROM (SELECT vec_id, list_sum([CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END FOR i IN range(62)])::BIGINT h FROM embeddings) GROUP BY h) b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 8")
+def q_near_hashes(spark, sf_dir):
+    """Sign bits of the vectors as 64-bit hashes, near in Hamming distance."""
+    sign = F.aggregate(F.sequence(F.lit(0), F.lit(61)), F.lit(0).cast("long"), lambda s, i: s + F.when(F.element_at("embedding", i + 1) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    return R.near_hashes(read(spark, sf_dir, "embeddings").select("vec_id", sign.alias("h")), "vec_id", "h")
+
+
+SPLIT = "CASE WHEN n < 3 OR r <= floor(n * 0.8) THEN 'train' WHEN r <= floor(n * 0.8) + floor(n * 0.1) THEN 'val' ELSE 'test' END"
+
+
+@query(f"SELECT o_orderkey, {SPLIT} split FROM (SELECT o_orderkey, count(*) OVER () n, row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) r FROM orders)")
+def q_split_uniform(spark, sf_dir):
+    return R.split_ranked(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+
+
+@query(f"SELECT doc_id, {SPLIT} split FROM (SELECT doc_id, count(*) OVER (PARTITION BY lang, source) n, row_number() OVER (PARTITION BY lang, source ORDER BY md5(concat_ws('|', '42', CAST(doc_id AS VARCHAR))), doc_id) r FROM documents)")
+def q_split_stratified(spark, sf_dir):
+    return R.split_rows(read(spark, sf_dir, "documents").select("doc_id", "lang", "source"), ["doc_id"], ["lang", "source"]).select("doc_id", "split")
+
+
+@query(f"WITH s AS (SELECT conv_id, {SPLIT} split FROM (SELECT conv_id, count(*) OVER () n, row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(conv_id AS VARCHAR))), conv_id) r FROM (SELECT DISTINCT conv_id FROM conversations))) SELECT split, count(*) n, count(DISTINCT conv_id) conversations FROM conversations JOIN s USING (conv_id) GROUP BY split")
+def q_split_grouped(spark, sf_dir):
+    """Whole conversations move together."""
+    turns = read(spark, sf_dir, "conversations").select("conv_id")
+    groups = R.split_ranked(turns.distinct(), ["conv_id"])
+    return turns.join(groups, "conv_id").groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("conv_id").alias("conversations"))
+
+
+@query("WITH d AS (SELECT md5(text) k, lang || (doc_id % 3) s FROM documents), u AS (SELECT DISTINCT k, s FROM d) SELECT a.s split_a, b.s split_b, count(*) n FROM u a JOIN u b ON a.k = b.k AND a.s < b.s GROUP BY ALL")
+def q_split_leakage(spark, sf_dir):
+    return R.leakage(read(spark, sf_dir, "documents").select(F.md5("text").alias("k"), F.concat("lang", (F.col("doc_id") % 3).cast("string")).alias("s")), "k", "s")
+
+
+@query(BOXES + "SELECT page_id, ann_no, class_id FROM (SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY md5(concat_ws('|', '42', CAST(page_id AS VARCHAR), CAST(ann_no AS VARCHAR))), page_id, ann_no) r FROM gt) WHERE r <= 200")
+def q_balanced_subset(spark, sf_dir):
+    return R.first_per_group(boxes(spark, sf_dir).select("page_id", "ann_no", "class_id"), ["class_id"], ["page_id", "ann_no"], 200)
+
+
+@query("SELECT doc_id, lang, source FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY md5(concat_ws('|', '42', CAST(doc_id AS VARCHAR))), doc_id) r FROM documents) WHERE r <= 5")
+def q_stratified_subset(spark, sf_dir):
+    return R.first_per_group(read(spark, sf_dir, "documents").select("doc_id", "lang", "source"), ["lang", "source"], ["doc_id"], 5)
+
+
+@query("SELECT l_returnflag, count(*) n FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey LIMIT 1000) GROUP BY 1")
+def q_random_subset(spark, sf_dir):
+    picked = read(spark, sf_dir, "orders").select("o_orderkey").orderBy(R.order_hash(42, "o_orderkey"), "o_orderkey").limit(1000)
+    return read(spark, sf_dir, "lineitem").join(picked, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_size id, dense_rank() OVER (ORDER BY p_size) - 1 new_id FROM (SELECT DISTINCT p_size FROM part)")
+def q_id_remap(spark, sf_dir):
+    return R.dense_ids(read(spark, sf_dir, "part"), "p_size")
+
+
+@query("SELECT p_brand, p_type, n FROM (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p, p_type) r FROM (SELECT p_brand, p_type, count(*) n, min(p_partkey) p FROM part GROUP BY 1, 2)) WHERE r = 1")
+def q_majority_name(spark, sf_dir):
+    return R.majority(read(spark, sf_dir, "part"), "p_brand", "p_type", "p_partkey")
+
+
+@query(BOXES + "SELECT page_id, array_to_string(list(CAST(ann_no AS VARCHAR) ORDER BY y, x, ann_no), ',') reading FROM gt GROUP BY page_id")
+def q_reading_order(spark, sf_dir):
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "ann_no"))), lambda e: e["ann_no"].cast("string"))
+    return boxes(spark, sf_dir).groupBy("page_id").agg(F.array_join(ordered, ",").alias("reading"))
+
+
+def _similar(spark, sf_dir, dims):
+    v = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return R.top_similar(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding"), 5, dims).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+
+
+def _similar_sql(dims: int) -> str:
+    v = f"(SELECT vec_id, list_transform(embedding[1:{dims}], lambda x: CAST(x AS DOUBLE)) e FROM embeddings)"
+    return f"SELECT query_id, vec_id, round(s, 6) score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) rank FROM (SELECT q.vec_id query_id, v.vec_id, list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) s FROM {v} q, {v} v WHERE q.vec_id < 5)) WHERE rank <= 5"
+
+
+@query(_similar_sql(64))
+def q_vector_topk(spark, sf_dir):
+    return _similar(spark, sf_dir, None)
+
+
+@query(_similar_sql(32))
+def q_vector_topk_truncated(spark, sf_dir):
+    return _similar(spark, sf_dir, 32)
+
+
+@query(BOXES + ", n AS (SELECT count(DISTINCT page_id)::DOUBLE n FROM pred), c AS (SELECT page_id, score c, n, (1 - score) / (n - 1) r FROM pred, n), e AS (SELECT *, (c + 1e-8) / (1 + n * 1e-8) p0, (r + 1e-8) / (1 + n * 1e-8) p1 FROM c WHERE c + 1e-8 > 0) SELECT page_id, round(min(CASE WHEN c >= r THEN c - r WHEN n >= 3 THEN 0.0 ELSE r - c END), 6) margin, round(max(-(p0 * ln(p0) + (n - 1) * p1 * ln(p1))), 6) entropy, round(greatest(0.0, 0.5 - min(c)), 6) low_conf FROM e WHERE p0 > 0 AND p1 > 0 GROUP BY page_id")
+def q_uncertainty(spark, sf_dir):
+    pred = predictions(spark, sf_dir).where("score > 0 and score < 1")
+    every = R.uncertainty(pred, "page_id", "score")
+    return every.select("page_id", *(F.round(c, 6).alias(c) for c in ("margin", "entropy", "low_conf")))
+
+
+ORACLES["q_uncertainty"] = ORACLES["q_uncertainty"].replace("FROM pred), c AS", "FROM pred WHERE score > 0 AND score < 1), c AS").replace("FROM pred, n)", "FROM pred, n WHERE score > 0 AND score < 1)")
+
+
+@query(BOXES + "SELECT class_id, count(*) n, round(min(score), 9) lo, round(max(score), 9) hi, round(avg(score), 6) mean FROM pred WHERE score >= 0.6 GROUP BY class_id")
+def q_pseudo_manifest(spark, sf_dir):
+    return predictions(spark, sf_dir).where("score >= 0.6").groupBy("class_id").agg(F.count("*").alias("n"), F.round(F.min("score"), 9).alias("lo"), F.round(F.max("score"), 9).alias("hi"), F.round(F.avg("score"), 6).alias("mean"))
+
+
+@query("SELECT event_type, cycle, n, n - coalesce(lag(n) OVER (PARTITION BY event_type ORDER BY cycle), 0) delta FROM (SELECT event_type, event_id // 1000 AS cycle, count(*) n FROM events GROUP BY ALL)")
+def q_cycle_deltas(spark, sf_dir):
+    n = read(spark, sf_dir, "events").groupBy("event_type", F.floor(F.col("event_id") / 1000).alias("cycle")).agg(F.count("*").alias("n"))
+    return n.withColumn("delta", F.col("n") - F.coalesce(F.lag("n").over(Window.partitionBy("event_type").orderBy("cycle")), F.lit(0)))
+
+
+CACHE = "(SELECT event_type || ':' || user_id AS key, CAST(sum(event_id % 1000) AS BIGINT) size_bytes, max(event_id) last_accessed, count(*) access_count FROM events GROUP BY 1)"
+
+
+def cache(spark, sf_dir):
+    return read(spark, sf_dir, "events").groupBy(F.concat("event_type", F.lit(":"), F.col("user_id").cast("string")).alias("key")).agg(F.sum(F.col("event_id") % 1000).alias("size_bytes"), F.max("event_id").alias("last_accessed"), F.count("*").alias("access_count"))
+
+
+@query(f"SELECT split_part(key, ':', 1) prefix, count(*) n, CAST(sum(size_bytes) AS BIGINT) size_bytes, max(access_count) most, round(avg(access_count), 6) mean FROM {CACHE} GROUP BY 1")
+def q_cache_stats(spark, sf_dir):
+    return cache(spark, sf_dir).groupBy(F.substring_index("key", ":", 1).alias("prefix")).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("size_bytes"), F.max("access_count").alias("most"), F.round(F.avg("access_count"), 6).alias("mean"))
+
+
+@query(f"SELECT key, size_bytes FROM (SELECT *, sum(size_bytes) OVER () t, coalesce(sum(size_bytes) OVER (ORDER BY last_accessed, access_count, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) b FROM {CACHE}) WHERE t > 1000000 AND t - b > 800000")
+def q_cache_evict(spark, sf_dir):
+    return R.evict(cache(spark, sf_dir), 1_000_000).select("key", "size_bytes")
+
+
+@query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey % 10 <> 0 UNION ALL SELECT c_custkey, upper(c_name), c_acctbal FROM customer WHERE c_custkey % 10 = 0")
+def q_cache_upsert(spark, sf_dir):
+    old = read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    return R.upsert(old, old.where("c_custkey % 10 = 0").withColumn("c_name", F.upper("c_name")), "c_custkey")
+
+
+@query("SELECT c_custkey, n new_name, c_name <> n renamed, count(*) OVER (PARTITION BY n) > 1 collides FROM (SELECT c_custkey, c_name, regexp_replace(replace(lower(c_name), ' ', '_'), '[^a-z0-9._-]', '', 'g') n FROM customer)")
+def q_filename_hygiene(spark, sf_dir):
+    new = F.regexp_replace(F.replace(F.lower("c_name"), F.lit(" "), F.lit("_")), "[^a-z0-9._-]", "")
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", new.alias("new_name"))
+    return c.select("c_custkey", "new_name", (F.col("c_name") != F.col("new_name")).alias("renamed"), (F.count("*").over(Window.partitionBy("new_name")) > 1).alias("collides"))
+
+
+@query("SELECT event_type, count(*) n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) total FROM events GROUP BY 1")
+def q_json_props(spark, sf_dir):
+    e = read(spark, sf_dir, "events").select("event_type", F.from_json("props", "k long")["k"].alias("k"))
+    return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
+
+
+@query(f"SELECT source, n_pii, n_license, CASE WHEN n_pii > 0 OR n_license = 0 THEN 'NEEDS ATTENTION' ELSE 'READY' END status FROM (SELECT source, count_if(regexp_matches(text, '{X.PII['email']}')) n_pii, count_if({_any_sql(('license',))}) n_license FROM documents GROUP BY source)")
+def q_quality_status(spark, sf_dir):
+    g = read(spark, sf_dir, "documents").groupBy("source").agg(F.count_if(F.col("text").rlike(X.PII["email"])).alias("n_pii"), F.count_if(X.has_any(F.col("text"), ("license",))).alias("n_license"))
+    return g.withColumn("status", F.when((F.col("n_pii") > 0) | (F.col("n_license") == 0), "NEEDS ATTENTION").otherwise("READY"))
