@@ -28,7 +28,7 @@ MOST_TOXIC, MOST_OTHER = 1_500, 3_000
 LEAST_DOCS, LEAST_RATIO = 8, 20.0
 MOST_TERMS = 2_000
 WINDOW = 6
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 QUOTES = ('"', "'", "“", "”", "„", "«", "»", "‘", "’")
 NONE, EXACT, STEM, FUZZY = range(4)
 HIT = "array<struct<word:string,term:string,kind:string,start:long,quoted:boolean,context:double>>"
