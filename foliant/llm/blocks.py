@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliant.llm.shards import lean
+
 BLOCK = 2048
 FOUND = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("links", T.LongType())])
 
@@ -38,7 +40,8 @@ def in_blocks(rows: DataFrame, group: str, size: str, id_col: str, compare: Call
         t = t.take(once) if len(once) < t.num_rows else t
         ids, w, c = (t.column(x).to_numpy() for x in (id_col, weight, "__c"))
         cross = t.column("__lo")[0].as_py() != t.column("__hi")[0].as_py()
-        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
+        links, root = np.zeros(len(ids), np.int64), ids.copy()
+        small = np.min_scalar_type(len(ids))
         got = []
         for at in range(0, len(ids), 256):
             i, j = np.nonzero(np.arange(at, min(at + 256, len(ids)))[:, None] < np.arange(len(ids)))
@@ -48,22 +51,20 @@ def in_blocks(rows: DataFrame, group: str, size: str, id_col: str, compare: Call
                 i, j = i[keep], j[keep]
             if len(i):
                 hit = compare(t, i, j)
-                got.append((i[hit], j[hit]))
-        if not got:
-            return None
-        i, j = (np.concatenate(x) for x in zip(*got, strict=True))
-        if not len(i):
-            return None
-        np.add.at(links, i, w[j])
-        np.add.at(links, j, w[i])
-        root = ids.copy()
+                i, j = i[hit], j[hit]
+                np.add.at(links, i, w[j])
+                np.add.at(links, j, w[i])
+                got.append((i.astype(small), j.astype(small)))
         while True:
             before = root.copy()
-            np.minimum.at(root, i, before[j])
-            np.minimum.at(root, j, before[i])
+            for i, j in got:
+                np.minimum.at(root, i, root[j])
+                np.minimum.at(root, j, root[i])
             if (root == before).all():
                 break
         k = np.flatnonzero(links)
+        if not len(k):
+            return None
         return pa.RecordBatch.from_arrays([pa.array(ids[k]), pa.array(root[k]), pa.array(links[k])], names=["a", "b", "links"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,4 +85,4 @@ def in_blocks(rows: DataFrame, group: str, size: str, id_col: str, compare: Call
         if held and (out := judge(pa.Table.from_batches(held).combine_chunks())) is not None:
             yield out
 
-    return rows.mapInArrow(run, FOUND)
+    return rows.mapInArrow(lean(run), FOUND)

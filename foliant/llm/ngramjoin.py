@@ -25,6 +25,8 @@ from foliant.llm.components import components
 WORDS = 5
 BANDS, ROWS = 24, 4
 STEP = 16
+#: Pairs, and grams, that are compared at once.
+PAIRS, COLUMNS = 1 << 16, 1024
 _RNG = np.random.default_rng(5)
 FACTORS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 TERMS = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -86,11 +88,11 @@ def shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
         p = p[p < len(vocabulary)] if len(p) else p
         s = sets[b][: len(p)]
         others.append(p[vocabulary[p] == s])
-    for lo in range(0, len(vocabulary), 4096):
-        m = [np.zeros((len(x), 4096), np.float32) for x in (left, right)]
+    for lo in range(0, len(vocabulary), COLUMNS):
+        m = [np.zeros((len(x), COLUMNS), np.float32) for x in (left, right)]
         for dense, each in zip(m, (columns, others), strict=True):
             for r, p in enumerate(each):
-                a, b = np.searchsorted(p, (lo, lo + 4096))
+                a, b = np.searchsorted(p, (lo, lo + COLUMNS))
                 dense[r, p[a:b] - lo] = 1
         out += np.rint((m[0] @ m[1].T)[at, to]).astype(np.int64)
     return out
@@ -117,7 +119,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(w[which].view(np.int64)) for w in s.whole), pa.array([v.tobytes() for v in values], pa.binary())], names=["id", "f1", "f2", "sig"])
 
     slim = docs.select(id_col, text_col)
-    signed = slim.mapInArrow(sign, "id long, f1 long, f2 long, sig binary").where("id is not null")
+    signed = slim.mapInArrow(S.lean(sign), "id long, f1 long, f2 long, sig binary").where("id is not null")
     one = signed.groupBy("f1", "f2").agg(F.min(F.struct("id", "sig")).alias("r"), F.count("*").alias("w"))
     classes = S.checkpoint(one.select("f1", "f2", F.col("r.id").alias("rep"), F.col("r.sig").alias("sig"), "w"))
 
@@ -130,7 +132,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     key = H.mix(key * H.BASES[0] + sig[:, :, r])
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)), pa.array(key.view(np.int64).ravel())], names=["rep", "key"])
 
-    narrow = classes.select("rep", "sig").mapInArrow(bands, "rep long, key long")
+    narrow = classes.select("rep", "sig").mapInArrow(S.lean(bands), "rep long, key long")
     firsts = narrow.groupBy("key").agg(F.min("rep").alias("m"), F.max("rep").alias("x")).where("m < x").select("key", "m")
     groups = components(narrow.join(firsts, "key").where("rep <> m").select(F.col("rep").alias("a"), F.col("m").alias("b")))
     groups = groups.unionByName(groups.select(F.col("root").alias("node"), "root").distinct())
@@ -146,15 +148,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 out = pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(s.sets(), pa.binary())], names=[*names, "grams"])
                 yield out.filter(pa.array(same[0] & same[1]))
 
-    rows = slim.join(seen, slim[id_col].cast("long") == F.col("rep")).select("rep", "root", "size", "w", "sig", "f1", "f2", text_col).mapInArrow(to_sets, "rep long, root long, size long, w long, sig binary, grams binary")
+    rows = slim.join(seen, slim[id_col].cast("long") == F.col("rep")).select("rep", "root", "size", "w", "sig", "f1", "f2", text_col).mapInArrow(S.lean(to_sets), "rep long, root long, size long, w long, sig binary, grams binary")
 
     def compare(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(t.num_rows, BANDS * ROWS)
-        live, matches = np.arange(len(i)), np.zeros(len(i), np.int64)
-        for m, least in steps:
-            matches = matches + (sig[i[live], m - STEP : m] == sig[j[live], m - STEP : m]).sum(axis=1)
-            stay = matches >= least
-            live, matches = live[stay], matches[stay]
+        alive = []
+        for at in range(0, len(i), PAIRS):
+            live = np.arange(at, min(at + PAIRS, len(i)))
+            matches = np.zeros(len(live), np.int64)
+            for m, least in steps:
+                matches = matches + (sig[i[live], m - STEP : m] == sig[j[live], m - STEP : m]).sum(axis=1)
+                stay = matches >= least
+                live, matches = live[stay], matches[stay]
+            alive.append(live)
+        live = np.concatenate(alive)
         hit = np.zeros(len(i), bool)
         if len(live):
             need = np.unique(np.concatenate((i[live], j[live])))

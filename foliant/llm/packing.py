@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from foliant.llm.shards import lean
+
 #: Tokens of a group, after which its sequences are closed.
 GROUP_TOKENS = 4 << 20
 #: Words whose ids a worker remembers before it starts anew.
@@ -188,4 +190,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     from pyspark.sql.types import DataType, StructType
 
     schema = StructType([fields, *DataType.fromDDL(PIECES).fields])
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)

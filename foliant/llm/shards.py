@@ -8,6 +8,8 @@ is in every document therefore costs one entry a shard, and no task gathers the
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -43,6 +45,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, after which the worker gives the memory it has freed back: workers outlive their tasks."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def n_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -180,7 +198,7 @@ def judged(blocks: DataFrame, judge: Callable[[np.ndarray, list[np.ndarray]], np
             ends = np.cumsum(sizes)
             yield table([{"pid": p, "bucket": bucket, "data": codes[e - s : e].tobytes()} for (p, _), e, s in zip(got, ends.tolist(), sizes, strict=True)], BLOCK_SCHEMA)
 
-    replies = blocks.repartition(n, "bucket").mapInArrow(reduce, BLOCKS)
+    replies = blocks.repartition(n, "bucket").mapInArrow(lean(reduce), BLOCKS)
     return replies.groupBy("pid").agg(F.collect_list(F.struct("bucket", "data")).alias("reply"))
 
 
@@ -222,7 +240,7 @@ def shard_and_seed(docs: DataFrame, id_col: str, text_col: str, seeds: Callable[
         if held:
             yield table(held, BLOCK_SCHEMA)
 
-    docs.mapInArrow(flat, BLOCKS).withColumn("kind", F.when(F.col("bucket") < 0, "shard").otherwise("seed")).write.partitionBy("kind").option("compression", "none").parquet(path)
+    docs.mapInArrow(lean(flat), BLOCKS).withColumn("kind", F.when(F.col("bucket") < 0, "shard").otherwise("seed")).write.partitionBy("kind").option("compression", "none").parquet(path)
     schema = "pid long, bucket long, data binary, kind string"
     read = spark.read.schema(schema).parquet(path)
     seeds_df = read.where("kind = 'seed'").select("pid", "bucket", "data")

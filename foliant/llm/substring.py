@@ -125,5 +125,5 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_arrays([*batch.columns, rejoin(w, ~lost), count(w.owner), count(w.owner[lost])], names=[*batch.schema.names, "kept_text", "n_words", "n_removed"])
 
     seeded = shards.join(seeds.withColumnRenamed("reply", "seeds"), "pid", "left")
-    replies = S.judged(seeded.mapInArrow(extend, S.BLOCKS), later_copy, n)
-    return seeded.join(replies, "pid", "left").select("pid", "blob", "seeds", "reply").mapInArrow(finish, schema)
+    replies = S.judged(seeded.mapInArrow(S.lean(extend), S.BLOCKS), later_copy, n)
+    return seeded.join(replies, "pid", "left").select("pid", "blob", "seeds", "reply").mapInArrow(S.lean(finish), schema)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.licenses import words_of
-from foliant.llm.shards import free_names
+from foliant.llm.shards import free_names, lean
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
 MOST_TOXIC, MOST_OTHER = 1_500, 3_000
@@ -271,4 +271,4 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(hits, hit_type)], names=[*part.schema.names, "score", "predicted", "hits"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("hits", T.DataType.fromDDL(HIT))])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
