@@ -96,6 +96,50 @@ def char_error_rate(truth: Column, guess: Column) -> Column:
     return F.when(F.length(truth) == 0, F.when(F.length(guess) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(truth, guess) / F.length(truth))
 
 
+def word_error_rate(truth: Column, guess: Column) -> Column:
+    """Word edits per true word, of word lists; 0 for two empty lists, 1 if only the truth is empty. Each distinct word
+    of a pair (a million at most) becomes one character, so that levenshtein counts words."""
+    distinct = F.array_distinct(F.concat(truth, guess))
+    codes = lambda ws: F.array_join(F.transform(ws, lambda w: F.lpad(F.hex(F.array_position(distinct, w) + 65535), 8, "0")), "")
+    text = lambda ws: F.decode(F.unhex(codes(ws)), "UTF-32")
+    return F.when(F.size(truth) == 0, F.when(F.size(guess) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(text(truth), text(guess)) / F.size(truth))
+
+
+def bleu(truth: Column, guess: Column) -> Column:
+    """BLEU of word lists over 1- to 4-grams, with .1 in place of no hits and the brevity penalty; 0 without a common word."""
+    def grams(ws: Column, n: int) -> Column:
+        return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - n + 1)), lambda i: F.array_join(F.slice(ws, i, n), " "))).otherwise(F.array().cast("array<string>"))
+
+    def hits(n: int) -> Column:
+        a, b = grams(truth, n), grams(guess, n)
+        times = lambda g, all_: F.size(F.filter(all_, lambda x: x == g))
+        return F.aggregate(F.array_distinct(b), F.lit(0), lambda s, g: s + F.least(times(g, a), times(g, b)))
+
+    log_p = F.lit(0.0)
+    for n in range(1, 5):
+        log_p = log_p + 0.25 * F.ln(F.greatest(hits(n).cast("double"), F.lit(0.1)) / F.greatest(F.lit(1), F.size(guess) - n + 1))
+    short = F.least(F.lit(0.0), 1 - F.size(truth) / F.size(guess))
+    return F.when((F.size(truth) == 0) | (F.size(guess) == 0) | ~F.arrays_overlap(truth, guess), 0.0).otherwise(F.exp(log_p + short))
+
+
+def valid_document(payload: Column) -> Column:
+    """Whether a JSON text has document_id and a list of elements, each with its five fields and a box of four whole
+    numbers from 0; false for text that is no JSON object."""
+    fields = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
+    kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+    top = fields(F.try_parse_json(payload))
+
+    def good(e: Column) -> Column:
+        m = fields(e)
+        box = F.try_variant_get(m["bbox"], "$", "array<variant>")
+        whole = F.forall(box, lambda x: kind(x).isin("BIGINT", "BOOLEAN") & (F.try_variant_get(x, "$", "long") >= 0))
+        there = F.size(F.array_intersect(F.map_keys(m), F.array(*(F.lit(k) for k in ("class", "bbox", "content", "language", "page"))))) == 5
+        return F.coalesce(there & kind(m["bbox"]).startswith("ARRAY") & (F.size(box) == 4) & whole, F.lit(False))
+
+    elements = F.try_variant_get(top["elements"], "$", "array<variant>")
+    return F.coalesce(F.map_contains_key(top, F.lit("document_id")) & kind(top["elements"]).startswith("ARRAY") & F.forall(elements, good), F.lit(False))
+
+
 def qa_flags(text: Column, kind: Column, word_list: Column, most_words: int = 80) -> Column:
     """array<struct<issue, severity>> in the order of the checks: length, numbers, sentences, repetition, relevance."""
     n = F.size(word_list)

@@ -25,8 +25,9 @@ def candidates(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return out.withColumn("uni", (F.col("gw") * F.col("gh") + F.col("pw") * F.col("ph")).cast("long") - F.col("inter")).select("page_id", "gt_no", "pred_no", "gt_class", "pred_class", "score", "inter", "uni")
 
 
-def greedy(pairs: DataFrame, driver: str, other: str) -> DataFrame:
-    """MATCHED: each driver box, in its order, takes the free box of largest overlap; the first of equals."""
+def greedy(pairs: DataFrame, driver: str, other: str, *also: str) -> DataFrame:
+    """MATCHED: each driver box, in its order, takes the free box of largest overlap; the first of equals. Whole numbers
+    in `also` part an image's pairs further."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         taken, out = set(), []
@@ -34,12 +35,12 @@ def greedy(pairs: DataFrame, driver: str, other: str) -> DataFrame:
             for o, v in zip(rows[other], rows["overlap"], strict=True):
                 if o not in taken:
                     taken.add(o)
-                    out.append((pdf["page_id"].iloc[0], d, o, v))
+                    out.append((pdf["page_id"].iloc[0], d, o, v, *(pdf[c].iloc[0] for c in also)))
                     break
-        return pd.DataFrame(out, columns=["page_id", "driver_no", "other_no", "overlap"])
+        return pd.DataFrame(out, columns=["page_id", "driver_no", "other_no", "overlap", *also])
 
-    slim = pairs.select("page_id", driver, other, (F.col("inter") / F.col("uni")).alias("overlap"))
-    return slim.groupBy("page_id").applyInPandas(run, MATCHED)
+    slim = pairs.select("page_id", *also, driver, other, (F.col("inter") / F.col("uni")).alias("overlap"))
+    return slim.groupBy("page_id", *also).applyInPandas(run, ", ".join([MATCHED, *(f"{c} long" for c in also)]))
 
 
 def match_confusion(gt: DataFrame, pred: DataFrame) -> DataFrame:
@@ -86,18 +87,27 @@ def suppress(pred: DataFrame, overlap: float = 0.4, least: float = 0.0) -> DataF
     return some.groupBy("page_id").applyInPandas(run, some.schema)
 
 
-def average_precision(gt: DataFrame, pred: DataFrame) -> DataFrame:
-    """(class_id, ap50): area under the precision envelope at 101 recalls, by predictions of descending score."""
-    pairs = candidates(gt, pred).where("gt_class = pred_class and 2 * inter >= uni").withColumn("__d", F.dense_rank().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "pred_no")))
-    m = greedy(pairs, "__d", "gt_no").select("page_id", F.col("driver_no").alias("__d"), F.lit(1).alias("tp"))
-    hit = pairs.select("page_id", "__d", "pred_no").distinct().join(m, ["page_id", "__d"]).select("page_id", F.col("pred_no").alias("ann_no"), "tp")
-    ranked = pred.join(hit, ["page_id", "ann_no"], "left").withColumn("tp", F.coalesce("tp", F.lit(0)))
-    # scores are summed in classes of equal score first: the running sums go over distinct scores only
-    by = ranked.groupBy("class_id", "score").agg(F.sum("tp").alias("tp"), F.count("*").alias("n"))
-    w = Window.partitionBy("class_id").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+def precision_at(gt: DataFrame, pred: DataFrame, percents: tuple[int, ...]) -> DataFrame:
+    """(class_id, percent, ap) at each least overlap: area under the precision envelope at 101 recalls, by predictions of
+    descending score. Predictions are counted by class and score before they meet the overlaps."""
+    least = F.explode(F.array(*(F.lit(p) for p in percents))).alias("percent")
+    rank = F.dense_rank().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "pred_no"))
+    pairs = candidates(gt, pred).where(f"gt_class = pred_class and 100 * inter >= {min(percents)} * uni").withColumn("__d", rank)
+    m = greedy(pairs.select("*", least).where("100 * inter >= percent * uni"), "__d", "gt_no", "percent")
+    hits = pairs.select("page_id", F.col("__d").alias("driver_no"), F.col("pred_class").alias("class_id"), "score").distinct().join(m, ["page_id", "driver_no"]).groupBy("class_id", "percent", "score").agg(F.count("*").alias("tp"))
+    by = pred.groupBy("class_id", "score").agg(F.count("*").alias("n")).select("*", least).join(hits, ["class_id", "percent", "score"], "left").withColumn("tp", F.coalesce("tp", F.lit(0)))
+    down = Window.partitionBy("class_id", "percent").orderBy(F.desc("score"))
+    before = down.rowsBetween(Window.unboundedPreceding, 0)
     total = gt.groupBy("class_id").agg(F.count("*").alias("total"))
-    curve = by.withColumn("__tp", F.sum("tp").over(w)).withColumn("precision", F.col("__tp") / F.sum("n").over(w)).join(F.broadcast(total), "class_id").withColumn("recall", F.col("__tp") / F.col("total"))
-    envelope = F.max("precision").over(Window.partitionBy("class_id").orderBy(F.desc("score")).rowsBetween(0, Window.unboundedFollowing))
-    curve = curve.withColumn("envelope", envelope).groupBy("class_id").agg(F.array_sort(F.collect_list(F.struct("recall", "envelope"))).alias("c"))
-    at = F.transform(F.sequence(F.lit(0), F.lit(100)), lambda i: F.coalesce(F.array_max(F.transform(F.filter("c", lambda p: p["recall"] * 100 >= i), lambda p: p["envelope"])), F.lit(0.0)))
-    return total.join(curve, "class_id", "left").select("class_id", F.coalesce(F.aggregate(at, F.lit(0.0), lambda s, x: s + x) / 101, F.lit(0.0)).alias("ap50"))
+    curve = by.withColumn("__tp", F.sum("tp").over(before)).withColumn("precision", F.col("__tp") / F.sum("n").over(before)).join(total, "class_id").withColumn("recall", F.col("__tp") / F.col("total"))
+    # a recall is met from its first score on, so the best precision from there is the envelope at that recall
+    envelope = F.max("precision").over(down.rowsBetween(0, Window.unboundedFollowing))
+    steps = F.floor(F.col("recall") * 100 + 1e-9) + 1
+    reached = curve.withColumn("envelope", envelope).withColumn("steps", steps).withColumn("gained", F.col("steps") - F.coalesce(F.lag("steps").over(down), F.lit(0)))
+    area = reached.groupBy("class_id", "percent").agg((F.sum(F.col("gained") * F.col("envelope")) / 101).alias("ap"))
+    return total.select("class_id", least).join(area, ["class_id", "percent"], "left").withColumn("ap", F.coalesce("ap", F.lit(0.0)))
+
+
+def average_precision(gt: DataFrame, pred: DataFrame) -> DataFrame:
+    """(class_id, ap50)."""
+    return precision_at(gt, pred, (50,)).select("class_id", F.col("ap").alias("ap50"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import geometry as G
 from foliant.functions import text as X
+from foliant.operators import calibration as C
 from foliant.operators import matching as M
 from foliant.operators import relational as R
 
@@ -396,3 +397,65 @@ def q_json_props(spark, sf_dir):
 def q_quality_status(spark, sf_dir):
     g = read(spark, sf_dir, "documents").groupBy("source").agg(F.count_if(F.col("text").rlike(X.PII["email"])).alias("n_pii"), F.count_if(X.has_any(F.col("text"), ("license",))).alias("n_license"))
     return g.withColumn("status", F.when((F.col("n_pii") > 0) | (F.col("n_license") == 0), "NEEDS ATTENTION").otherwise("READY"))
+
+
+@query()
+def q_platt(spark, sf_dir):
+    scale, bias = C.platt(confident(spark, sf_dir), "c", "y")
+    return C.apply_platt(confident(spark, sf_dir).select("c").distinct(), "c", scale, bias)
+
+
+@query()
+def q_isotonic(spark, sf_dir):
+    return C.isotonic(confident(spark, sf_dir), "c", "y")
+
+
+@query()
+def q_map_overlaps(spark, sf_dir):
+    """Average precision at overlaps from .5 to .95."""
+    return M.precision_at(boxes(spark, sf_dir), predictions(spark, sf_dir), tuple(range(50, 100, 5)))
+
+
+def turns(spark, sf_dir):
+    """Adjacent turns of ASCII text as lower-case words."""
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    pairs = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other")), ["conv_id", "turn"]).where(~F.concat("text", "other").rlike(r"[^\x00-\x7F]"))
+    return pairs.select("conv_id", "turn", X.words(F.lower("text")).alias("a"), X.words(F.lower("other")).alias("b"))
+
+
+@query()
+def q_wer_pairs(spark, sf_dir):
+    return turns(spark, sf_dir).select("conv_id", "turn", F.round(X.word_error_rate(F.col("a"), F.col("b")), 9).alias("wer"))
+
+
+def _bleu_sql() -> str:
+    words = lambda t: f"list_filter(regexp_split_to_array(lower({t}), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
+    grams = lambda t, n: f"list_transform(range(1, len({t}) - {n} + 2), lambda i: array_to_string({t}[i:i + {n} - 1], ' '))"
+    g = ", ".join(f"{grams(t, n)} {t}{n}" for t in "ab" for n in range(1, 5))
+    hits = lambda n: f"coalesce(list_sum(list_transform(list_distinct(b{n}), lambda g: least(len(list_filter(a{n}, lambda x: x = g)), len(list_filter(b{n}, lambda x: x = g))))), 0)"
+    log_p = " + ".join(f"0.25 * ln(greatest({hits(n)}::DOUBLE, 0.1) / greatest(1, len(b) - {n - 1}))" for n in range(1, 5))
+    return f"WITH p AS (SELECT a.conv_id, a.turn, {words('a.text')} a, {words('b.text')} b FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')), g AS (SELECT *, {g} FROM p) SELECT conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 OR NOT list_has_any(a, b) THEN 0.0 ELSE exp({log_p} + least(0.0, 1 - len(a) / len(b))) END, 6) bleu FROM g"
+
+
+@query(_bleu_sql())
+def q_bleu_pairs(spark, sf_dir):
+    return turns(spark, sf_dir).select("conv_id", "turn", F.round(X.bleu(F.col("a"), F.col("b")), 6).alias("bleu"))
+
+
+@query(BOXES + "SELECT page_id, page_id % 7 >= 5 AS ok, count(*) n FROM gt GROUP BY page_id")
+def q_schema_validate(spark, sf_dir):
+    """A JSON document for each page; five of seven lack something or have a bad box."""
+    kind = F.col("page_id") % 7
+    box = F.when(kind == 2, F.concat_ws(",", "x", "y", "w")).when(kind == 3, F.concat_ws(",", -1 - F.col("x"), "y", "w", "h")).when(kind == 4, F.concat_ws(",", "x", F.lit("1.5"), "w", "h")).otherwise(F.concat_ws(",", "x", "y", "w", "h"))
+    element = F.concat(F.lit('{"class":"Text","bbox":['), box, F.lit('],"language":null,"page":0'), F.when(kind == 1, "").otherwise(',"content":null'), F.lit("}"))
+    pages = boxes(spark, sf_dir).groupBy("page_id").agg(F.array_join(F.collect_list(element), ",").alias("e"), F.count("*").alias("n"))
+    payload = F.concat(F.lit("{"), F.when(kind == 0, "").otherwise('"document_id":"d",'), F.lit('"elements":['), F.col("e"), F.lit("]}"))
+    return pages.select("page_id", X.valid_document(payload).alias("ok"), "n")
+
+
+@query(BOXES + "SELECT class_id, count(*) n, sum(abs(round((xc - w1 / 2) * 1000) - x1)) + sum(abs(round((yc - h1 / 2) * 900) - y1)) AS moved FROM (SELECT class_id, x1, y1, (x1 + w / 2) / 1000 xc, (y1 + h / 2) / 900 yc, w / 1000 w1, h / 900 h1 FROM (SELECT *, greatest(0, least(x, 1000 - w)) x1, greatest(0, least(y, 900 - h)) y1 FROM gt)) GROUP BY class_id")
+def q_yolo_roundtrip(spark, sf_dir):
+    x, y, w, h = G.clip_keeping_size(box(), PAGE_W, PAGE_H)
+    bx, by, _, _ = G.from_yolo(G.to_yolo((x, y, w, h), PAGE_W, PAGE_H), PAGE_W, PAGE_H)
+    moved = F.abs(F.round(bx) - x) + F.abs(F.round(by) - y)
+    return boxes(spark, sf_dir).groupBy("class_id").agg(F.count("*").alias("n"), F.sum(moved).alias("moved"))
