@@ -6,6 +6,8 @@ sketch of the whole; from two of them come estimates of resemblance, containment
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,26 +84,29 @@ def merged_sketch(sketches: DataFrame, by: list[str], sketch: str = "sketch", k:
     return ranked.groupBy(*by).agg(F.array_sort(F.collect_list("__h")).alias(sketch))
 
 
-def with_next(docs: DataFrame, id_col: str, text_col: str, also: tuple[str, ...] = (), rows_a_range: int = 2048) -> DataFrame:
-    """docs with next_<column> for text_col and the columns in also: values of the row of next larger id (after the
-    last: the first). A null text is empty there.
+def with_next(docs: DataFrame, id_col: str, text_col: str, derive: Callable[[DataFrame], DataFrame] = lambda d: d, also: tuple[str, ...] = (), rows_a_range: int = 512) -> DataFrame:
+    """derive(docs) with next_<column> for text_col and the columns in also, which derive adds from text_col: values of
+    the row of next larger id (after the last: the first). A null text is empty there.
 
     Ids are dealt into ranges of about rows_a_range rows; neighbours meet within a range, and only each range's first
-    row is looked up from the range before it. Null ids come first; rows of equal ids are ordered by text.
+    row is looked up from the range before it; what derive adds is computed for it anew, so that finding it reads ids
+    and texts only. Null ids come first; rows of equal ids are ordered by text.
     """
-    names = [text_col, *also]
     low, high, n = docs.agg(F.min(id_col), F.max(id_col), F.count("*")).first()
     width = max(1, ((high or 0) - (low or 0) + 1) * rows_a_range // max(n, 1))
     docs = docs.withColumn("__range", F.when(F.col(id_col).isNull(), F.lit(-1)).otherwise(F.floor((F.col(id_col) - F.lit(low or 0)) / width)).cast("long"))
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    row = F.struct(F.coalesce(id_col, F.lit(0)).alias("a"), text.alias(text_col), *also)
-    firsts = docs.groupBy("__range").agg(F.min(row).alias("__first"))
-    ends = firsts.select("__range").withColumn("__next", F.lead("__range").over(Window.orderBy("__range")))
+    row = F.struct(F.coalesce(id_col, F.lit(0)).alias("a"), F.coalesce(text_col, F.lit("")).alias(text_col))
+    firsts = derive(docs.groupBy("__range").agg(F.min(row).alias("__first")).select("__range", F.col("__first")[text_col].alias(text_col)))
+    firsts = firsts.select(F.col("__range").alias("__next"), *(F.col(c).alias(f"__first_{c}") for c in (text_col, *also)))
+    ends = docs.select("__range").distinct().withColumn("__next", F.lead("__range").over(Window.orderBy("__range")))
     ends = ends.withColumn("__next", F.coalesce("__next", F.min("__range").over(Window.partitionBy())))
-    heads = ends.join(firsts.withColumnRenamed("__range", "__next"), "__next").select("__range", "__first")
-    inner = docs.withColumn("__lead", F.lead(row).over(Window.partitionBy("__range").orderBy(F.col(id_col).asc_nulls_first(), text)))
-    joined = inner.join(heads, "__range").withColumn("__lead", F.coalesce("__lead", "__first"))
-    return joined.select(*[c for c in docs.columns if c != "__range"], *(F.col("__lead")[c].alias(f"next_{c}") for c in names))
+    heads = ends.join(firsts, "__next").drop("__next")
+    full = derive(docs)
+    w = Window.partitionBy("__range").orderBy(F.col(id_col).asc_nulls_first(), F.col(text_col).asc_nulls_first())
+    inner = full.withColumns({"__more": F.lead(F.lit(True)).over(w)} | {f"__lead_{c}": F.lead(c).over(w) for c in (text_col, *also)})
+    following = {c: F.when(F.col("__more"), F.col(f"__lead_{c}")).otherwise(F.col(f"__first_{c}")) for c in (text_col, *also)}
+    following[text_col] = F.coalesce(following[text_col], F.lit(""))
+    return inner.join(heads, "__range").select(*[c for c in full.columns if c != "__range"], *(f.alias(f"next_{c}") for c, f in following.items()))
 
 
 def edited_text(text: Column, following: Column) -> Column:

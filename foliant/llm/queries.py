@@ -70,8 +70,8 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = fingerprints.fingerprint_documents(read(spark, sf_dir, "documents").select("doc_id", "text"))
-    docs = fingerprints.with_next(docs, "doc_id", "text", ("sketch",)).withColumn("edited", fingerprints.edited_text(F.col("text"), F.col("next_text")))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = fingerprints.with_next(docs, "doc_id", "text", fingerprints.fingerprint_documents, ("sketch",)).withColumn("edited", fingerprints.edited_text(F.col("text"), F.col("next_text")))
     docs = fingerprints.add_sketch(docs, F.col("edited"), "edited_sketch")
     likeness = lambda other: fingerprints.resemblance(F.col("sketch"), F.col(other))
     return docs.select(
