@@ -313,6 +313,18 @@ def test_fingerprints(spark, sf, docs):
     assert np.mean(errors) < 0.03 and max(errors) < 0.3
 
 
+def test_next_rows(hard, empty):
+    """Null ids come first, equal ids by text, and the first row follows the last."""
+    order = sorted(((i, t or "", s) for i, t, s in HARD), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    want = sorted((str(r[0]), r[1], order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
+    for size in (1, 3, 1000):
+        got = fingerprints.with_next(hard, "doc_id", "text", fingerprints.fingerprint_documents, ("sketch",), size).collect()
+        assert sorted((str(r.doc_id), r.text or "", r.next_text) for r in got) == want
+        sketches = {r.text or "": r.sketch for r in got}
+        assert all(r.next_sketch == sketches[r.next_text] for r in got)
+    assert fingerprints.with_next(empty, "doc_id", "text").count() == 0
+
+
 def test_sketches_merge(spark):
     text = " ".join(f"w{i}" for i in range(400))
     df = spark.createDataFrame([(0, text), (1, " ".join(text.split()[:300])), (2, None), (3, "a b")], "id long, text string")
