@@ -183,12 +183,21 @@ def pii(spark, sf_dir):
 
 
 ASCII_TYPES = "('email', 'phone', 'credit_card')"
+#: Where engines agree on boundaries, case and edits; the narrower queries q_..._ascii hold SQL against the whole ones' rows.
+NOT_ASCII = r"[^\x00-\x7F]"
 
 
-@query(f"SELECT doc_id, type, original, count(*) n FROM {_pii_sql()} WHERE type IN {ASCII_TYPES} AND doc_id IN (SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')) GROUP BY ALL")
+@query()
 def q_pii_findings(spark, sf_dir):
-    """ASCII documents: engines differ on word boundaries beside other letters."""
-    return pii(spark, sf_dir).where(f"type IN {ASCII_TYPES}").where(~F.col("text").rlike(r"[^\x00-\x7F]")).groupBy("doc_id", "type", "original").agg(F.count("*").alias("n"))
+    """Every type in every document. No SQL: engines differ on word boundaries beside letters that are not ASCII."""
+    return pii(spark, sf_dir).groupBy("doc_id", "type", "original").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT doc_id, type, original, count(*) n FROM {_pii_sql()} WHERE type IN {ASCII_TYPES} AND doc_id IN (SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')) GROUP BY ALL")
+def q_pii_findings_ascii(spark, sf_dir):
+    """The rows of q_pii_findings that SQL gives too: three types in ASCII documents."""
+    ascii_docs = read(spark, sf_dir, "documents").where(~F.col("text").rlike(NOT_ASCII)).select("doc_id")
+    return q_pii_findings(spark, sf_dir).where(f"type IN {ASCII_TYPES}").join(ascii_docs, "doc_id", "left_semi")
 
 
 @query()
@@ -239,13 +248,32 @@ def q_qa_summary(spark, sf_dir):
     return spark.sql("SELECT issue, severity, role, count(*) AS n FROM qa_flagged GROUP BY GROUPING SETS ((issue), (severity), (role))")
 
 
-@query("SELECT a.conv_id, a.turn, round(levenshtein(a.text, b.text) / length(a.text), 9) cer FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE length(a.text) > 0 AND NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')")
-def q_cer_pairs(spark, sf_dir):
-    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    pairs = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other")), ["conv_id", "turn"]).where((F.length("text") > 0) & ~F.concat("text", "other").rlike(r"[^\x00-\x7F]"))
+def adjacent(spark, sf_dir):
+    """Each turn's text and the next turn's; null texts are empty."""
+    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"))
+    return c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other")), ["conv_id", "turn"])
+
+
+def both_ascii():
+    return ~F.concat("text", "other").rlike(NOT_ASCII)
+
+
+def cer(pairs):
     return pairs.select("conv_id", "turn", F.round(X.char_error_rate(F.col("text"), F.col("other")), 9).alias("cer"))
 
 
+@query()
+def q_cer_pairs(spark, sf_dir):
+    """All adjacent turns. No SQL: DuckDB's levenshtein counts bytes."""
+    return cer(adjacent(spark, sf_dir))
+
+
+@query("SELECT a.conv_id, a.turn, round(levenshtein(a.text, b.text) / length(a.text), 9) cer FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE length(a.text) > 0 AND NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')")
+def q_cer_pairs_ascii(spark, sf_dir):
+    """The rows of q_cer_pairs that SQL gives too: ASCII texts, the true one not empty."""
+    return cer(adjacent(spark, sf_dir).where((F.length("text") > 0) & both_ascii()))
+
+
 @query("SELECT min(doc_id) doc_id, count(*) n, md5(text) digest FROM documents GROUP BY md5(text) HAVING count(*) > 1")
 def q_exact_dup(spark, sf_dir):
     return read(spark, sf_dir, "documents").groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).where("n > 1").select("doc_id", "n", "digest")
@@ -416,16 +444,18 @@ def q_map_overlaps(spark, sf_dir):
     return M.precision_at(boxes(spark, sf_dir), predictions(spark, sf_dir), tuple(range(50, 100, 5)))
 
 
-def turns(spark, sf_dir):
-    """Adjacent turns of ASCII text as lower-case words."""
-    c = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    pairs = c.join(c.select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("other")), ["conv_id", "turn"]).where(~F.concat("text", "other").rlike(r"[^\x00-\x7F]"))
+def as_words(pairs):
+    """Texts of adjacent turns as lower-case words."""
     return pairs.select("conv_id", "turn", X.words(F.lower("text")).alias("a"), X.words(F.lower("other")).alias("b"))
 
 
+def bleu(pairs):
+    return as_words(pairs).select("conv_id", "turn", F.round(X.bleu(F.col("a"), F.col("b")), 6).alias("bleu"))
+
+
 @query()
 def q_wer_pairs(spark, sf_dir):
-    return turns(spark, sf_dir).select("conv_id", "turn", F.round(X.word_error_rate(F.col("a"), F.col("b")), 9).alias("wer"))
+    return as_words(adjacent(spark, sf_dir)).select("conv_id", "turn", F.round(X.word_error_rate(F.col("a"), F.col("b")), 9).alias("wer"))
 
 
 def _bleu_sql() -> str:
@@ -437,9 +467,16 @@ def _bleu_sql() -> str:
     return f"WITH p AS (SELECT a.conv_id, a.turn, {words('a.text')} a, {words('b.text')} b FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')), g AS (SELECT *, {g} FROM p) SELECT conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 OR NOT list_has_any(a, b) THEN 0.0 ELSE exp({log_p} + least(0.0, 1 - len(a) / len(b))) END, 6) bleu FROM g"
 
 
-@query(_bleu_sql())
+@query()
 def q_bleu_pairs(spark, sf_dir):
-    return turns(spark, sf_dir).select("conv_id", "turn", F.round(X.bleu(F.col("a"), F.col("b")), 6).alias("bleu"))
+    """All adjacent turns. No SQL: engines differ on the lower case of letters that are not ASCII."""
+    return bleu(adjacent(spark, sf_dir))
+
+
+@query(_bleu_sql())
+def q_bleu_pairs_ascii(spark, sf_dir):
+    """The rows of q_bleu_pairs that SQL gives too: ASCII texts."""
+    return bleu(adjacent(spark, sf_dir).where(both_ascii()))
 
 
 @query(BOXES + "SELECT page_id, page_id % 7 >= 5 AS ok, count(*) n FROM gt GROUP BY page_id")
