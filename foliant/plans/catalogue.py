@@ -344,9 +344,13 @@ def q_reading_order(spark, sf_dir):
     return boxes(spark, sf_dir).groupBy("page_id").agg(F.array_join(ordered, ",").alias("reading"))
 
 
-def _similar(spark, sf_dir, dims):
+#: The queries of a search: every row whose id is divisible by 100. The SQL holds the search for the first five rows.
+SEARCHED, FIRST = "vec_id % 100 = 0", "vec_id < 5"
+
+
+def _similar(spark, sf_dir, dims, which=SEARCHED):
     v = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return R.top_similar(v, v.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding"), 5, dims).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return R.top_similar(v, v.where(which).select(F.col("vec_id").alias("query_id"), "embedding"), 5, dims).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 def _similar_sql(dims: int) -> str:
@@ -354,16 +358,26 @@ def _similar_sql(dims: int) -> str:
     return f"SELECT query_id, vec_id, round(s, 6) score, rank FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) rank FROM (SELECT q.vec_id query_id, v.vec_id, list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) s FROM {v} q, {v} v WHERE q.vec_id < 5)) WHERE rank <= 5"
 
 
-@query(_similar_sql(64))
+@query()
 def q_vector_topk(spark, sf_dir):
     return _similar(spark, sf_dir, None)
 
 
-@query(_similar_sql(32))
+@query(_similar_sql(64))
+def q_vector_topk_first(spark, sf_dir):
+    return _similar(spark, sf_dir, None, FIRST)
+
+
+@query()
 def q_vector_topk_truncated(spark, sf_dir):
     return _similar(spark, sf_dir, 32)
 
 
+@query(_similar_sql(32))
+def q_vector_topk_truncated_first(spark, sf_dir):
+    return _similar(spark, sf_dir, 32, FIRST)
+
+
 @query(BOXES + ", n AS (SELECT count(DISTINCT page_id)::DOUBLE n FROM pred), c AS (SELECT page_id, score c, n, (1 - score) / (n - 1) r FROM pred, n), e AS (SELECT *, (c + 1e-8) / (1 + n * 1e-8) p0, (r + 1e-8) / (1 + n * 1e-8) p1 FROM c WHERE c + 1e-8 > 0) SELECT page_id, round(min(CASE WHEN c >= r THEN c - r WHEN n >= 3 THEN 0.0 ELSE r - c END), 6) margin, round(max(-(p0 * ln(p0) + (n - 1) * p1 * ln(p1))), 6) entropy, round(greatest(0.0, 0.5 - min(c)), 6) low_conf FROM e WHERE p0 > 0 AND p1 > 0 GROUP BY page_id")
 def q_uncertainty(spark, sf_dir):
     pred = predictions(spark, sf_dir).where("score > 0 and score < 1")

@@ -4,9 +4,11 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from foliant.functions import text as X
+from foliant.operators import relational as R
 from foliant.plans.catalogue import QUERIES
 
 PERSONAL = [
@@ -74,3 +76,35 @@ def test_adjacent_turns(spark, where, request):
         got = QUERIES[f"q_{name}_pairs"](spark, path).collect()
         assert len(got) == len(pairs)
         assert {(r.conv_id, r.turn): r[name] for r in got} == pytest.approx({k: f(*p) for k, p in pairs.items()}, abs=2e-6)
+
+
+def brute_similar(data, queries, k, dims):
+    def cosine(a, b):
+        if not a or not b or None in a or None in b or len(a[:dims]) != len(b[:dims]):
+            return 0.0
+        a, b = np.array(a[:dims], np.float64), np.array(b[:dims], np.float64)
+        norms = math.sqrt(a @ a) * math.sqrt(b @ b)
+        return float(a @ b) / norms if norms else 0.0
+
+    return {(q, n + 1): (i, s) for q, e in queries for n, (s, i) in enumerate(sorted(((round(cosine(e, f), 9), i) for i, f in data), key=lambda x: (-x[0], x[1]))[:k])}
+
+
+@pytest.mark.parametrize(("name", "dims"), [("q_vector_topk", 64), ("q_vector_topk_truncated", 32)])
+def test_vector_search(spark, sf, name, dims):
+    data = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+    want = brute_similar(data, [d for d in data if d[0] % 100 == 0], 5, dims)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in QUERIES[name](spark, sf).collect()}
+    assert len({q for q, _ in got}) == sum(i % 100 == 0 for i, _ in data) and got.keys() == want.keys()
+    assert all(got[x][0] == i and abs(got[x][1] - s) < 2e-6 for x, (i, s) in want.items())
+
+
+def test_search_in_blocks(spark):
+    """Ties, nulls, zeros and odd lengths, with queries and vectors in many blocks."""
+    rng = np.random.default_rng(7)
+    data = [(i, [float(x) for x in rng.standard_normal(8)]) for i in range(300)]
+    data += [(300 + i, data[i][1]) for i in range(20)] + [(400, None), (401, []), (402, [0.0] * 8), (403, [None] + [1.0] * 7), (404, [1.0, 2.0]), (405, [2.0, 4.0])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    for k in (1, 5, 1000):
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in R.top_similar(df, df, k, None, 7).collect()}
+        want = brute_similar(data, data, k, None)
+        assert got.keys() == want.keys() and all(got[x][0] == i and abs(got[x][1] - s) < 1e-6 for x, (i, s) in want.items())
