@@ -27,8 +27,8 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    """From the host's end to ?, # or the end."""
-    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1)
+    """From the host's end to ?, # or the end; the group may be empty, so that the match never moves past the first ://."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
 def canonical(host: Column, path: Column) -> Column:

@@ -1,0 +1,16 @@
+"""URLs without path that hold another URL."""
+
+from foliant.llm import urls
+
+
+def test_redirect_urls(spark):
+    rows = [
+        (1, "http://a.example.com?next=http://b.org/fr/1"), (2, "https://shop.example.net#https://x/en/2"), (3, "http://a.org?u=x://y/fr/1#z://w/en/"), (4, "http://a.org/fr/1?u=http://b.net/"),
+        (5, "http://net?u=http://b/"), (6, "://?x://y/z"), (7, "http://bad.host?u=http://b.org/fr/1"), (8, "http://a.example.com?" + "x" * 50_000 + "://b/de/"),
+    ]
+    listed = spark.createDataFrame([("http://bad.host",)], "url string")
+    got = {r.page_id: (r.host, r.path, r.canonical, r.rule, r.verdict) for r in urls.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), listed).collect()}
+    assert got == {
+        1: ("a.example.com", "", "a.example.com", None, "allow"), 2: ("shop.example.net", "", "shop.example.net", None, "allow"), 3: ("a.org", "", "a.org", None, "allow"),
+        4: ("a.org", "/fr/1", "a.org/fr/1", "org/fr/", "allow"), 5: ("net", "", "net", None, "allow"), 6: ("", "", None, None, "allow"), 7: ("bad.host", "", "bad.host", None, "block"), 8: ("a.example.com", "", "a.example.com", None, "allow"),
+    }
