@@ -2,7 +2,7 @@
 
 Terms (whole words, and stems that many words start with) come from the labelled rows: those that are far likelier in
 toxic documents. A word that is no term is matched with the automaton of its neighbourhood intersected with the
-terms' trie, so misspelled terms count too. Words around a hit, and quotation marks, tell quoting from abuse. Counts of
+trie of the terms and of the whole words under stems, so misspelled ones count too. Words around a hit, and quotation marks, tell quoting from abuse. Counts of
 hits, their density and their contexts go into a logistic model.
 """
 
@@ -105,12 +105,14 @@ class Model:
     weights: list[float] = field(default_factory=list)
     mean: list[float] = field(default_factory=list)
     scale: list[float] = field(default_factory=list)
+    #: Words under the stems that would be terms themselves; only misspellings ask for them.
+    stemmed: frozenset[str] = frozenset()
 
     def __post_init__(self) -> None:
         self.reset()
 
     def reset(self) -> None:
-        self.trie = Trie(t for t in self.terms if len(t) >= 4)
+        self.trie = Trie(t for t in self.terms | self.stemmed if len(t) >= 4)
         self.stem_sizes = sorted({len(s) for s in self.stems})
         self.known: dict[bytes, tuple[int, str]] = {}
 
@@ -207,10 +209,12 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     for s in sorted(far_likelier(*starts, n, m), key=lambda s: (len(s), s)):
         if len(under[s]) >= LEAST_DOCS and not any(s[:k] in stems for k in range(4, len(s))):
             stems.add(s)
-    terms = {t for t in far_likelier(*whole, n, m) if not any(t[:k] in stems for k in range(4, len(t) + 1))}
-    model = Model(frozenset(terms), frozenset(stems), frozenset())
+    likelier = far_likelier(*whole, n, m)
+    stemmed = frozenset(t for t in likelier if any(t[:k] in stems for k in range(4, len(t) + 1)))
+    terms = set(likelier) - stemmed
+    model = Model(frozenset(terms), frozenset(stems), frozenset(), stemmed=stemmed)
     clean = {w for w, c in whole[1].items() if c >= 2 and w not in terms and c * n >= whole[0][w] * m and model._look(w)[0] == FUZZY}
-    model = Model(frozenset(terms), frozenset(stems), frozenset(clean))
+    model = Model(frozenset(terms), frozenset(stems), frozenset(clean), stemmed=stemmed)
     near = (Counter(), Counter())
     for ws, y in zip(words, labels, strict=True):
         for i, w in enumerate(ws):
@@ -218,7 +222,7 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
                 near[1 - y].update({*ws[max(0, i - WINDOW) : i], *ws[i + 1 : i + 1 + WINDOW]})
     a, b = sum(near[0].values()) + 1, sum(near[1].values()) + 1
     cues = {w: math.log((near[0][w] + 1) / a) - math.log((near[1][w] + 1) / b) for w in {*near[0], *near[1]} if near[0][w] + near[1][w] >= 20}
-    model = Model(model.terms, model.stems, model.clean, dict(sorted(cues.items(), key=lambda c: (-abs(c[1]), c[0]))[:MOST_TERMS]) if near[1] else {})
+    model = Model(model.terms, model.stems, model.clean, dict(sorted(cues.items(), key=lambda c: (-abs(c[1]), c[0]))[:MOST_TERMS]) if near[1] else {}, stemmed=stemmed)
     x = np.array([model.features(*model.hits(t)) for t in texts])
     mean, scale = x.mean(axis=0), x.std(axis=0)
     mean[0], scale[scale == 0] = 0.0, 1.0
