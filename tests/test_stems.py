@@ -1,6 +1,7 @@
 """Misspellings inside a stem that many toxic words start with."""
 
 import pickle
+import zlib
 
 from foliant.llm import toxicity
 
@@ -20,3 +21,13 @@ def test_misspelt_stems():
             hits, _ = m.hits(f"so {w} here")
             assert [(h[0], h[2]) for h in hits] == [(w, "misspelt")], w
         assert [h[2] for h in m.hits("so idioteque here")[0]] == ["stem"] and not m.hits("a fine garden")[0]
+
+
+def test_rare_terms_among_many_labels(spark):
+    """A term in 9 of more than 2,500 toxic documents is learnt."""
+    toxic = [i for i in range(3_400) if zlib.crc32(str(i).encode()) % 5]
+    rare = set(toxic[:: len(toxic) // 9][:9])
+    rows = [(i, 1, "zorgle stuff" if i in rare else "utter fool") for i in range(3_400)] + [(i, 0, "fine day") for i in range(3_400, 10_400)]
+    df = spark.createDataFrame(rows, "doc_id long, toxic int, text string")
+    model = toxicity.learn(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    assert len(toxic) > 2_500 and {"zorgle", "fool"} <= model.terms
