@@ -2,8 +2,8 @@
 
 Tokens are ordered by their frequency over all documents, rarest first. A block (a run of as many words as the
 template has) that contains at least `threshold` of a template's distinct tokens must hold one of its first few in
-that order (prefix filter), must be long enough (length filter), and a token at the p-th place of the order leaves at
-most the tokens from p on to be shared, which bounds the overlap (positional filter). Survivors are counted exactly.
+that order (prefix filter), and the whole text must hold as many template tokens as the threshold asks for. There is no
+positional filter, and the length filter follows from that count. Survivors are counted exactly.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ class Matcher:
         for w in hits:
             for t, most in self.index[w]:
                 _, tokens, need, n = self.templates[t]
-                # length filter; positional filter; and what the whole text holds of the template
+                # only what the whole text holds of the template decides: the length follows from it, and indexed places always leave enough
                 if len(words) >= need and most >= need and len(tokens & present) >= need:
                     live.setdefault(t, set()).add(w)
         found = []
