@@ -15,9 +15,15 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document of smallest id stays."""
-    kept = ngramjoin.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """Of each class of near duplicates one row stays: that of smallest id, null ids last. Rows have a written number,
+    so rows of null and repeated ids are told apart."""
+    path = f"{shards.shared_dir(spark)}/numbered"
+    docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    classes = ngramjoin.near_duplicates(rows, "__row").select("__row", "class_id").join(rows.select("__row", "doc_id"), "__row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row"))
+    kept = classes.groupBy("class_id").agg(first.alias("r")).select(F.col("r.__row").alias("__row"))
+    return rows.join(kept, "__row", "left_semi").select(*docs.columns)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

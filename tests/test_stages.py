@@ -1,0 +1,17 @@
+"""Stages of the pipeline on rows of null and repeated ids and clashing columns."""
+
+import corpus_pipeline
+
+LONG = " ".join(f"word{i}" for i in range(80))
+ROWS = [
+    (None, LONG, "a"), (5, LONG, "b"), (5, f"{LONG} tail", "c"), (3, LONG.replace("word40", "other"), "d"), (3, "a clean text that shares its id", "e"), (7, "same row", "f"), (7, "same row", "f"),
+    (None, "no id twice", "g"), (None, "no id twice", "h"), (8, None, "i"), (8, None, "i"), (9, "", "j"),
+]
+
+
+def test_one_row_of_each_class_stays(spark):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string, source string").repartition(3)
+    got = corpus_pipeline.distinct(spark, docs, "")
+    assert got.columns == docs.columns
+    rows = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert rows == sorted([(3, ROWS[3][1]), (3, ROWS[4][1]), (7, "same row"), (None, "no id twice"), (8, None), (8, None), (9, "")], key=str)
