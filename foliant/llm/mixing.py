@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.shards import checkpoint, free_names
+from foliant.llm.shards import checkpoint, free_names, own_columns
 
 #: Bins of the seeded order for cumulative sizes: only documents of one bin of a pattern are ever ordered one by one.
 BINS = 4096
@@ -146,7 +146,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The mix itself: each row as often as it is taken, the last time perhaps with its first words only. Columns of
     docs; n_chars, where there is one, follows the text. Rows of which nothing is taken go."""
-    names = docs.columns
+    names = own_columns(docs, "size", "source_size", "target", "taken")
     mixed = mix_sources(docs, id_col, text_col, source_col, **options).where("taken > 0")
     copies = mixed.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.floor((F.col("taken") - 1) / F.col("size")).cast("int"))))
     words = F.least(F.col("size"), F.col("taken") - F.col("__copy") * F.col("size"))
@@ -154,4 +154,4 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = copies.withColumn(text_col, F.when(words < F.col("size"), cut).otherwise(F.col(text_col)))
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length(text_col).cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*names)
+    return out.select(*names.values())

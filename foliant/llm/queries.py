@@ -83,4 +83,17 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLES: dict[str, str] = {}
+
+
+def _urls_sql() -> str:
+    """op2 without a filter: host, path and canonical key by the same rules, and the list by IN."""
+    rules = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, what) for what, h, p in sorted(urls.RULES, key=lambda r: (len(r[1] + r[2]), r), reverse=True)]
+    rule, verdict = ("CASE " + " ".join(f"WHEN {fits} THEN '{x}'" for fits, x in ((r[0], r[k]) for r in rules)) + " END" for k in (1, 2))
+    host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}')"
+    return f"""WITH p AS (SELECT page_id, {host} host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) path FROM pages),
+k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '(/|\\.html)$', '') END canonical FROM p),
+listed AS (SELECT DISTINCT canonical FROM k WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\\.)({'|'.join(SPAM_HOSTS)})\\.'))
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) verdict FROM k"""
+
+
+ORACLES: dict[str, str] = {"op2_url_filter": _urls_sql()}

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm.hashing import bucket_of, runs
@@ -78,6 +78,11 @@ def free_names(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
+def own_columns(df: DataFrame, *names: str) -> dict[str, Column]:
+    """Name -> where an operator that adds these names leaves the input's column."""
+    return {old: F.col(f"`{new}`").alias(old) for old, new in zip(df.columns, free_names(df, *names).columns, strict=True)}
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of any types in one value; empty ones too."""
     parts = [np.array([len(arrays)], np.int64).tobytes()]

@@ -1,6 +1,8 @@
 """URLs without path that hold another URL."""
 
-from foliant.llm import urls
+import duckdb
+
+from foliant.llm import queries, urls
 
 
 def test_redirect_urls(spark):
@@ -14,3 +16,11 @@ def test_redirect_urls(spark):
         1: ("a.example.com", "", "a.example.com", None, "allow"), 2: ("shop.example.net", "", "shop.example.net", None, "allow"), 3: ("a.org", "", "a.org", None, "allow"),
         4: ("a.org", "/fr/1", "a.org/fr/1", "org/fr/", "allow"), 5: ("net", "", "net", None, "allow"), 6: ("", "", None, None, "allow"), 7: ("bad.host", "", "bad.host", None, "block"), 8: ("a.example.com", "", "a.example.com", None, "allow"),
     }
+
+
+def test_filter_against_sql(spark, sf):
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW pages AS SELECT * FROM '{sf}/pages.parquet'")
+        want = con.execute(queries.ORACLES["op2_url_filter"]).fetchall()
+    got = [tuple(r) for r in queries.op2_url_filter(spark, sf).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and {r[4] for r in got} == {"allow", "block"}
