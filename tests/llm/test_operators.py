@@ -295,6 +295,21 @@ def test_packing(spark, docs, hard, empty):
     assert packing.pack_documents(empty, path).count() == 0
 
 
+def test_packing_with_other_tokenizers(spark, hard):
+    """Ids of a tokenizer whose words hold their leading space."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok, pieces = Tokenizer.from_file(path), {}
+    some = hard.where("doc_id not in (10, 14)")
+    assert not packing.WordIds(path).by_words and packing.WordIds(queries.tokenizer_path()).by_words
+    for r in packing.pack_documents(some, path, end_id=50256).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    assert {i: b"".join(x for _, x in sorted(ps)) for i, ps in pieces.items()} == {r.doc_id: np.array([*tok.encode(r.text or "").ids, 50256], "<u4").tobytes() for r in some.collect()}
+    assert "ids" not in packing.pack_documents(some, path, with_ids=False).columns
+
+
 def test_fingerprints(spark, sf, docs):
     got = {r.doc_id: r for r in queries.op10_fingerprints(spark, sf).collect()}
     texts = sorted(rows(docs.select("doc_id", "text")))
