@@ -66,7 +66,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return suffix.dedup_suffixes(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return suffix.dedup_suffixes(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_passage")
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

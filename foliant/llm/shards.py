@@ -26,13 +26,19 @@ SHARD_BYTES = 2 << 20
 BLOCKS = "pid long, bucket long, data binary"
 
 
+def root_dir(spark: SparkSession) -> str:
+    """The folder that the session names. Only a session on one machine may name none: its executors share /tmp."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root and not sc.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir is not set: a folder that all executors share is needed")
+    return root or "/tmp/checkpoints/foliant"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which every executor sees; it goes when the driver ends."""
     sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not root:
-        root = "/tmp/checkpoints/foliant"
-    path = sc._jvm.org.apache.hadoop.fs.Path(f"{root}/work-{uuid.uuid4().hex}")
+    path = sc._jvm.org.apache.hadoop.fs.Path(f"{root_dir(spark)}/work-{uuid.uuid4().hex}")
     path.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(path)
     return path.toString()
 
@@ -41,7 +47,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
     """df.checkpoint() in the folder that the session names."""
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints/foliant")
+        sc.setCheckpointDir(root_dir(df.sparkSession))
     return df.checkpoint()
 
 
@@ -108,8 +114,8 @@ def write_blob(batch: pa.RecordBatch) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def read_blob(blob: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(blob).read_next_batch()
+def read_blob(blob: bytes | np.ndarray) -> pa.RecordBatch:
+    return pa.ipc.open_stream(pa.py_buffer(blob)).read_next_batch()
 
 
 def text_bytes(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -218,15 +224,20 @@ def seen_elsewhere(pids: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def shard_and_seed(docs: DataFrame, id_col: str, text_col: str, seeds: Callable[[pa.RecordBatch], np.ndarray], n: int, most: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """One pass over docs writes its shards (pid, data) and the distinct seed hashes of each; returns the shards and,
-    for each, which seeds occur anywhere else (pid, reply)."""
+def shard_and_seed(docs: DataFrame, id_col: str, text_col: str, seeds: Callable[[pa.RecordBatch], np.ndarray | tuple[np.ndarray, list[np.ndarray]]], n: int, most: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
+    """One pass over docs writes its shards (pid, blob) and the distinct seed hashes of each; returns the shards and,
+    for each, which seeds occur anywhere else (pid, reply). Where seeds() gives arrays with the hashes, a shard's blob
+    is packed with them."""
     spark, path = docs.sparkSession, shared_dir(docs.sparkSession)
 
     def first(batches):
         for pid, batch in cut(batches, id_col, text_col, most):
-            rows = [{"pid": pid, "bucket": -1, "data": write_blob(batch)}]
-            h, c = np.unique(seeds(batch), return_counts=True)
+            got, blob = seeds(batch), write_blob(batch)
+            if isinstance(got, tuple):
+                got, arrays = got
+                blob = pack(np.frombuffer(blob, np.uint8), *arrays)
+            rows = [{"pid": pid, "bucket": -1, "data": blob}]
+            h, c = np.unique(got, return_counts=True)
             rows += to_blocks(pid, h, n, (c > 1).astype(np.uint8))[1]
             for row in rows:
                 yield table([row], BLOCK_SCHEMA) if row["bucket"] < 0 else row

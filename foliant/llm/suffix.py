@@ -3,7 +3,8 @@
 Routing. Each window of `width` bytes holds a winnowed anchor, picked by the window's own bytes, so equal windows share
 one. An anchor stands for a run of windows; the bytes under them are its region. Anchors that occur once go. Regions
 that are equal as a whole are repeats and are judged by their hashes alone, so a group of copies costs one entry a
-shard. Where regions of one anchor differ, one of each kind goes to the anchor's bucket.
+shard. Where regions of one anchor differ, one of each kind goes to the anchor's bucket, if bytes that all its windows
+of some offsets share are in another kind too.
 
 Judging. The regions of a bucket form a text, and its suffix array is built by induced sorting: suffixes are classified
 (S smaller than their successor, L larger), the leftmost S suffixes' substrings are sorted by induction and named, the
@@ -27,7 +28,7 @@ ANCHOR_BYTES = 32
 GRAM_BASES = H.mix(np.arange(1, 1 + ANCHOR_BYTES // 8, dtype=np.uint64)) | np.uint64(1)
 #: Window starts whose anchors are found at once.
 PIECE = 1 << 16
-#: Bytes of one suffix array. Regions of one anchor beyond this are judged by two 64-bit hashes of each window instead.
+#: Bytes of one suffix array. Regions of one anchor beyond this are sorted offset by offset instead, exactly too.
 ARRAY_BYTES = 1 << 20
 
 
@@ -194,20 +195,27 @@ def permuted_lcp(s: np.ndarray, sa: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return phi, np.maximum(ends[source] - np.arange(n), 0) * (phi >= 0)
 
 
-def repeated(regions: list[bytes], width: int) -> np.ndarray:
-    """For each start of a window in each region, whether the window is anywhere else in them. UTF-8 has no 0xFF."""
+def repeated(regions: list[bytes], runs: np.ndarray, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """For each width and each of the first runs[i] places of region i, whether the string of that width there is at
+    another of these places; False where the region ends before. UTF-8 has no 0xFF."""
     s = np.frombuffer(b"\xff".join(regions) + b"\xff", np.uint8)
-    phi, lcp = permuted_lcp(s, suffix_array(s))
-    hit = np.zeros(len(s), bool)
-    long = np.flatnonzero(lcp >= width)
-    hit[long] = True
-    hit[phi[long]] = True
-    return hit[windows_in(np.array([len(r) for r in regions]), width)]
-
-
-def windows_in(sizes: np.ndarray, width: int) -> np.ndarray:
-    """Places of all window starts in regions that lie one after another, a byte apart."""
-    return spread(np.concatenate(([0], np.cumsum(sizes + 1)[:-1])), sizes - width + 1)
+    order = suffix_array(s)
+    lcp = permuted_lcp(s, order)[1][order]
+    sizes = np.array([len(r) for r in regions])
+    places = spread(np.concatenate(([0], np.cumsum(sizes + 1)[:-1])), runs)
+    room = np.repeat(sizes, runs) - spread(np.zeros(len(runs), np.int64), runs)
+    # a region's bytes may go on into the windows of the next; those are not its own, so neighbours are sought among places
+    own = np.zeros(len(s), bool)
+    own[places] = True
+    rank = np.flatnonzero(own[order])
+    low = np.minimum.reduceat(lcp[: rank[-1] + 1], rank[:-1] + 1) if len(rank) > 1 else np.zeros(0, np.int64)
+    out = []
+    for width in widths:
+        hit, same = np.zeros(len(s), bool), low >= width
+        hit[order[rank[1:][same]]] = True
+        hit[order[rank[:-1][same]]] = True
+        out.append(hit[places] & (room >= width))
+    return out
 
 
 def spread(start: np.ndarray, run: np.ndarray) -> np.ndarray:
@@ -215,16 +223,23 @@ def spread(start: np.ndarray, run: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.concatenate(([0], np.cumsum(run)[:-1])), run) + np.arange(run.sum())
 
 
-def repeated_by_hash(regions: list[bytes], width: int) -> np.ndarray:
-    s = np.frombuffer(b"\xff".join(regions) + b"\xff", np.uint8)
-    h1, h2 = H.window_hashes(H.BYTE_CODES[s], windows_in(np.array([len(r) for r in regions]), width), width)
-    order = np.lexsort((h2, h1))
-    a, b = h1[order], h2[order]
-    same = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-    hit = np.zeros(len(h1), bool)
-    hit[order[1:][same]] = True
-    hit[order[:-1][same]] = True
-    return hit
+def repeated_by_offset(regions: list[bytes], runs: np.ndarray, leads: np.ndarray, widths: tuple[int, ...]) -> list[np.ndarray]:
+    """The same as `repeated` for regions of one anchor that stands leads[i] bytes after the start of region i, however
+    many: equal strings hold the anchor at the same offset, so the strings of one offset are sorted at a time, as rows
+    of bytes. Memory is bounded by one row a region."""
+    sizes = np.array([len(r) for r in regions])
+    base, first = np.cumsum(sizes) - sizes, np.cumsum(runs) - runs
+    s = np.frombuffer(b"".join(regions), np.uint8)
+    out = [np.zeros(int(runs.sum()), bool) for _ in widths]
+    for offset in range(int(leads.max()) + 1):
+        k = leads - offset
+        for hit, width in zip(out, widths, strict=True):
+            some = np.flatnonzero((k >= 0) & (k < runs) & (k + width <= sizes))
+            if len(some) > 1:
+                rows = np.lib.stride_tricks.sliding_window_view(s, width)[base[some] + k[some]]
+                _, place, count = np.unique(np.ascontiguousarray(rows).view(f"V{width}").ravel(), return_inverse=True, return_counts=True)
+                hit[first[some] + k[some]] = count[place] > 1
+    return out
 
 
 def grams_of(data: np.ndarray) -> np.ndarray:
@@ -260,15 +275,22 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.nd
 
 
 class Bytes:
-    """Windows, anchors and regions of a shard."""
+    """Windows, anchors and regions of a shard; a region's bytes go on to the end of a string of `wide` bytes at its
+    last window, as far as the text does."""
 
-    def __init__(self, batch: pa.RecordBatch, text_col: str, width: int):
+    def __init__(self, batch: pa.RecordBatch, text_col: str, width: int, wide: int, known: list[np.ndarray] | None = None):
         if width < 2 * ANCHOR_BYTES:
             raise ValueError(f"width is {width}; at least {2 * ANCHOR_BYTES} is needed")
         self.data, self.offsets = S.text_bytes(batch, text_col)
-        self.anchors, self.at, self.start, self.run = anchors_of(self.data, self.offsets, width)
-        self.stop = self.start + self.run - 1 + width
-        self.width = width
+        found = anchors_of(self.data, self.offsets, width) if known is None else known
+        self.anchors, (self.at, self.start, self.run) = found[0], (x.astype(np.int64) for x in found[1:])
+        ends = self.offsets[np.searchsorted(self.offsets, self.start, side="right")] if len(self.start) else self.start
+        self.stop = np.minimum(self.start + self.run - 1 + wide, ends)
+        self.width, self.wide = width, wide
+
+    def found(self) -> list[np.ndarray]:
+        """What __init__ takes as known."""
+        return [self.anchors, *(x.astype(np.uint32) for x in (self.at, self.start, self.run))]
 
     def regions(self, bits: np.ndarray) -> tuple[np.ndarray, ...]:
         """Anchors (their places in self) that occur anywhere else, with two hashes of their regions."""
@@ -278,7 +300,7 @@ class Bytes:
         _, place = np.unique(self.anchors, return_inverse=True)
         which = np.flatnonzero(bits[place])
         a, b = self.start[which], self.stop[which]
-        shape = (self.at[which] - a).astype(np.uint64) * H.BASES[1]
+        shape = ((self.at[which] - a) << 16 | self.run[which]).astype(np.uint64) * H.BASES[1]
         codes = H.BYTE_CODES[self.data]
         self.sums = H.POWERS[0].prefix(codes)
         h1 = H.mix(H.POWERS[0].between(self.sums, a, b) + shape)
@@ -301,14 +323,16 @@ class Bytes:
             out.append(h)
         return out
 
-    def needed(self, which: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """First windows and their numbers: those in the eighths, from the first to the last in the mask."""
+    def needed(self, which: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First windows, their numbers and the ends of their bytes: those in the eighths, from the first to the last
+        in the mask."""
         step = part(self.width)
         low, high = LOWEST[masks], HIGHEST[masks]
         lead = self.at[which] - self.start[which]
         most = np.minimum(lead, (high + 1) * step - 1)
         least = np.maximum(lead - self.run[which] + 1, low * step)
-        return self.at[which] - most, most - least + 1
+        start, run = self.at[which] - most, most - least + 1
+        return start, run, np.minimum(start + run - 1 + self.wide, self.stop[which])
 
 
 EIGHTHS = 8
@@ -345,33 +369,33 @@ def judge_regions(pids: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def by_anchor(got: list[tuple], width: int) -> list[np.ndarray]:
-    """Flags of the windows of every region that came to a bucket; got: (anchors, sizes, bytes) of each block."""
-    anchors = np.concatenate([g[0] for g in got])
-    regions = [r for g in got for r in split(g[2], g[1])]
+def by_anchor(got: list[list[np.ndarray]], widths: tuple[int, ...]) -> list[list[np.ndarray]]:
+    """Flags, by width, of the windows of every region that came to a bucket; got: (anchors, sizes, windows, places of
+    the anchors, bytes) of each block."""
+    anchors, _, runs, leads = (np.concatenate(x) for x in list(zip(*got, strict=True))[:4])
+    regions = [r for g in got for r in split(g[4], g[1])]
     order = np.argsort(anchors, kind="stable")
     at, size = H.runs(anchors[order])
     flags: list = [None] * len(regions)
 
     def run(which: list[int], judge) -> None:
-        kept = [regions[i] for i in which]
-        hit, stop = judge(kept, width), np.cumsum([len(r) - width + 1 for r in kept])
-        for i, f in zip(which, np.split(hit, stop[:-1]), strict=True):
-            flags[i] = f
+        stop = np.cumsum(runs[which])[:-1]
+        for i, f in zip(which, zip(*(np.split(hit, stop) for hit in judge([regions[i] for i in which], runs[which])), strict=True), strict=True):
+            flags[i] = list(f)
 
     held, total = [], 0
     for a, m in zip(at.tolist(), size.tolist(), strict=True):
         which = order[a : a + m].tolist()
         here = sum(len(regions[i]) for i in which)
         if here > ARRAY_BYTES:
-            run(which, repeated_by_hash)
+            run(which, lambda r, n, lead=leads[which]: repeated_by_offset(r, n, lead, widths))
             continue
         if held and total + here > ARRAY_BYTES:
-            run(held, repeated)
+            run(held, lambda r, n: repeated(r, n, widths))
             held, total = [], 0
         held, total = held + which, total + here
     if held:
-        run(held, repeated)
+        run(held, lambda r, n: repeated(r, n, widths))
     return flags
 
 
@@ -380,20 +404,32 @@ def split(data: np.ndarray, sizes: np.ndarray) -> list[bytes]:
     return [raw[e - n : e] for e, n in zip(ends, sizes.tolist(), strict=True)]
 
 
-def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 400) -> DataFrame:
-    """Every column of docs, with kept (binary), n_bytes, n_removed and spans (maximal removed runs: start, stop).
+def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 400, passage: int = 300) -> DataFrame:
+    """Every column of docs, with kept (binary), n_bytes, n_removed, spans (maximal removed runs: start, stop) and
+    n_passage.
 
     Texts are UTF-8 bytes (null: empty); no match crosses rows. A byte goes if a string of `width` bytes over it also
-    starts anywhere else, in its own row or another, overlaps included; so every copy goes, repeated rows too. Shorter
-    texts keep all bytes. Input columns named as a result get the suffix _in.
+    starts anywhere else, in its own row or another, overlaps included; so every copy goes, repeated rows and rows of
+    null or equal ids too, and there are no ties to break. Shorter texts keep all bytes. Very long texts are one row
+    of a shard of their own. An empty table gives no rows. n_passage counts the bytes under a string of `passage`
+    bytes (at most `width`) that also starts anywhere else; nothing goes for that. Input columns named as a result get
+    the suffix _in.
     """
-    docs = S.free_names(docs, "kept", "n_bytes", "n_removed", "spans")
-    n = S.n_parts(docs)
-    shards, seeds = S.shard_and_seed(docs, id_col, text_col, lambda b: Bytes(b, text_col, width).anchors, n)
+    if not 2 * ANCHOR_BYTES <= passage <= width < 1 << 16:
+        raise ValueError(f"passage is {passage}; from {2 * ANCHOR_BYTES} to width ({width}) is needed")
+    docs = S.free_names(docs, "kept", "n_bytes", "n_removed", "spans", "n_passage")
+    n, widths = S.n_parts(docs), (passage, width)
+
+    def seeds_of(batch):
+        b = Bytes(batch, text_col, passage, width)
+        return b.anchors, b.found()
+
+    shards, seeds = S.shard_and_seed(docs, id_col, text_col, seeds_of, n)
 
     def local(row):
-        batch = S.read_blob(row["blob"])
-        b = Bytes(batch, text_col, width)
+        blob, *known = S.unpack(row["blob"])
+        batch = S.read_blob(blob)
+        b = Bytes(batch, text_col, passage, width, known)
         distinct = np.unique(b.anchors)
         which, h1, h2 = b.regions(S.answers(row["seeds"] or [], np.arange(len(distinct))))
         order = np.lexsort((which, h2, h1, b.anchors[which]))
@@ -420,13 +456,13 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for bt in batches:
             for row in bt.to_pylist():
                 _, b, _, _, (x, _, _), place = local(row)
-                _, go, start, run = needed(row, b, x, place)
-                rows = []
+                _, go, start, run, stop = needed(row, b, x, place)
+                lead, rows = b.at[place[go]] - start, []
                 at, size = H.runs(H.bucket_of(x[go], n))
                 for f, m in zip(at.tolist(), size.tolist(), strict=True):
-                    here, size_of = start[f : f + m], run[f : f + m] - 1 + width
-                    parts = [b.data[s : s + e] for s, e in zip(here.tolist(), size_of.tolist(), strict=True)]
-                    rows.append({"pid": row["pid"], "bucket": int(H.bucket_of(x[go[f : f + 1]], n)[0]), "data": S.pack(x[go[f : f + m]], size_of, np.concatenate(parts))})
+                    some = slice(f, f + m)
+                    raw = b.data[spread(start[some], stop[some] - start[some])]
+                    rows.append({"pid": row["pid"], "bucket": int(H.bucket_of(x[go[f : f + 1]], n)[0]), "data": S.pack(x[go[some]], stop[some] - start[some], run[some], lead[some], raw)})
                 if rows:
                     yield S.table(rows, S.BLOCK_SCHEMA)
 
@@ -436,39 +472,44 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for row in bt.to_pylist():
                 by.setdefault(row["bucket"], []).append((row["pid"], S.unpack(row["data"])))
         for bucket, got in by.items():
-            flags, at, rows = by_anchor([g for _, g in got], width), 0, []
+            flags, at, rows = by_anchor([g for _, g in got], widths), 0, []
             for pid, g in got:
-                mine = np.concatenate(flags[at : at + len(g[0])])
+                mine = [np.concatenate(f) for f in zip(*flags[at : at + len(g[0])], strict=True)]
                 at += len(g[0])
-                rows.append({"pid": pid, "bucket": bucket, "data": np.packbits(mine).tobytes()})
+                rows.append({"pid": pid, "bucket": bucket, "data": np.packbits(np.concatenate(mine)).tobytes()})
             yield S.table(rows, S.BLOCK_SCHEMA)
 
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))
-    schema = T.StructType([*docs.schema.fields, T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("spans", span)])
+    added = [("kept", T.BinaryType()), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("spans", span), ("n_passage", T.LongType())]
+    schema = T.StructType([*docs.schema.fields, *(T.StructField(*f) for f in added)])
 
     def finish(batches):
         for bt in batches:
             for row in bt.to_pylist():
                 batch, b, which, kind, (x, _, _), place = local(row)
-                codes, go, start, run = needed(row, b, x, place)
+                codes, go, start, run, _ = needed(row, b, x, place)
                 whole = which[np.isin(codes[kind], (WHOLE, WHOLE_SEND))] if len(kind) else which
-                hits = [spread(b.start[whole], b.run[whole])] if len(whole) else []
+                hits: tuple[list, ...] = ([], [])
+                for hit, size in zip(hits, widths, strict=True):
+                    hit.append(spread(b.start[whole], np.clip(b.stop[whole] - size - b.start[whole] + 1, 0, b.run[whole])))
                 by_bucket = {r["bucket"]: r["data"] for r in row["reply"] or []}
                 at, size = H.runs(H.bucket_of(x[go], n))
                 for f, m in zip(at.tolist(), size.tolist(), strict=True):
-                    all_starts = spread(start[f : f + m], run[f : f + m])
-                    flags = np.unpackbits(np.frombuffer(by_bucket[int(H.bucket_of(x[go[f : f + 1]], n)[0])], np.uint8), count=len(all_starts)).astype(bool)
-                    hits.append(all_starts[flags])
-                starts = np.unique(np.concatenate(hits)) if hits else np.zeros(0, np.int64)
-                steps = np.zeros(len(b.data) + 1, np.int32)
-                steps[starts] += 1
-                steps[starts + width] -= 1
-                gone = np.cumsum(steps[:-1]) > 0
-                yield result(batch, b, gone)
-
-    def result(batch, b, gone):
-        kept = np.concatenate(([0], np.cumsum(~gone)))
-        lost = np.concatenate(([0], np.cumsum(gone)))
+                    places = spread(start[f : f + m], run[f : f + m])
+                    flags = np.unpackbits(np.frombuffer(by_bucket[int(H.bucket_of(x[go[f : f + 1]], n)[0])], np.uint8), count=2 * len(places)).astype(bool)
+                    for hit, flag in zip(hits, np.split(flags, 2), strict=True):
+                        hit.append(places[flag])
+                yield result(batch, b, *(covered(np.concatenate(h), w, len(b.data)) for h, w in zip(hits, widths, strict=True)))
+
+    def covered(starts, size, n):
+        """Which of n bytes a string of `size` bytes at one of the starts covers."""
+        starts, steps = np.unique(starts), np.zeros(n + 1, np.int32)
+        steps[starts] += 1
+        steps[starts + size] -= 1
+        return np.cumsum(steps[:-1]) > 0
+
+    def result(batch, b, passages, gone):
+        kept, lost, shared = (np.concatenate(([0], np.cumsum(x)))[b.offsets] for x in (~gone, gone, passages))
         begins = gone.copy()
         if len(gone):
             inner = np.zeros(len(gone) + 1, bool)
@@ -481,12 +522,12 @@ def dedup_suffixes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         base = b.offsets[np.searchsorted(b.offsets, s, side="right") - 1]
         lists = np.searchsorted(s, b.offsets).astype(np.int32)
         spans = pa.ListArray.from_arrays(lists, pa.StructArray.from_arrays([pa.array(s - base), pa.array(e - base)], names=["start", "stop"]))
-        out = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(kept[b.offsets].astype(np.int32).tobytes()), pa.py_buffer(b.data[~gone].tobytes())])
-        return pa.RecordBatch.from_arrays([*batch.columns, out, pa.array(np.diff(b.offsets)), pa.array(np.diff(lost[b.offsets])), spans], names=[*batch.schema.names, "kept", "n_bytes", "n_removed", "spans"])
+        out = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(kept.astype(np.int32).tobytes()), pa.py_buffer(b.data[~gone].tobytes())])
+        return pa.RecordBatch.from_arrays([*batch.columns, out, pa.array(np.diff(b.offsets)), pa.array(np.diff(lost)), spans, pa.array(np.diff(shared))], names=[*batch.schema.names, *(f[0] for f in added)])
 
     seeded = shards.join(seeds.withColumnRenamed("reply", "seeds"), "pid", "left")
-    codes = S.checkpoint(S.judged(seeded.mapInArrow(send_hashes, S.BLOCKS), judge_regions, n)).withColumnRenamed("reply", "codes")
+    codes = S.checkpoint(S.judged(seeded.mapInArrow(S.lean(send_hashes), S.BLOCKS), judge_regions, n)).withColumnRenamed("reply", "codes")
     coded = seeded.join(codes, "pid", "left")
-    flags = coded.select("pid", "blob", "seeds", "codes").mapInArrow(send_bytes, S.BLOCKS).repartition(n, "bucket").mapInArrow(sort_regions, S.BLOCKS)
+    flags = coded.select("pid", "blob", "seeds", "codes").mapInArrow(S.lean(send_bytes), S.BLOCKS).repartition(n, "bucket").mapInArrow(S.lean(sort_regions), S.BLOCKS)
     flags = flags.groupBy("pid").agg(F.collect_list(F.struct("bucket", "data")).alias("reply"))
-    return coded.join(flags, "pid", "left").select("pid", "blob", "seeds", "codes", "reply").mapInArrow(finish, schema)
+    return coded.join(flags, "pid", "left").select("pid", "blob", "seeds", "codes", "reply").mapInArrow(S.lean(finish), schema)

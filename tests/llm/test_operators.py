@@ -73,15 +73,52 @@ def brute_suffix(texts, width=400):
     return out
 
 
-def test_suffix_hard(hard):
-    some = hard.where("doc_id is null or doc_id not in (10, 11)").select("doc_id", "text")
-    got = [(a, b, c, d, bytes(e)) for a, b, c, d, e in rows(suffix.dedup_suffixes(some).select("doc_id", "n_bytes", "n_removed", F.size("spans"), "kept"))]
-    assert sorted(got, key=str) == sorted(brute_suffix(rows(some)), key=str)
+def plain_suffix(texts, width=400, passage=300):
+    """brute_suffix, and the bytes under repeated strings of `passage` bytes."""
+    return [(*a, b[2]) for a, b in zip(brute_suffix(texts, width), brute_suffix(texts, passage), strict=True)]
+
+
+def suffix_rows(df, **how):
+    out = suffix.dedup_suffixes(df, **how).select("doc_id", "n_bytes", "n_removed", F.size("spans"), "kept", "n_passage")
+    return sorted(((a, b, c, d, bytes(e), f) for a, b, c, d, e, f in rows(out)), key=str)
+
+
+def test_suffix_hard(hard, empty):
+    """Null, empty, repeated and very long texts."""
+    some = hard.select("doc_id", F.when(F.col("doc_id").isin(10, 11), F.substring("text", 1, 150_000)).otherwise(F.col("text")).alias("text"))
+    assert suffix_rows(some) == sorted(plain_suffix(rows(some)), key=str)
+    assert suffix.dedup_suffixes(empty).count() == 0
+    taken = suffix.dedup_suffixes(some.withColumn("n_passage", F.lit("mine")).withColumn("Kept", F.lit(1)))
+    assert {"n_passage_in", "kept_in", "kept", "n_passage"} <= set(taken.columns)
+
+
+def test_suffix_passages(spark):
+    """Repeats of 299 to 401 bytes, in texts that end with them and in texts that don't."""
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh \u00e9") for _ in range(n)).encode()[:n].decode(errors="ignore").ljust(n, "x")[:n]
+    data = []
+    for k, n in enumerate((299, 300, 301, 350, 399, 400, 401)):
+        same = "".join(rng.choice("abcdefgh ") for _ in range(n))
+        data += [(4 * k, text(200) + same), (4 * k + 1, same + text(90)), (4 * k + 2, text(77) + same + text(501)), (4 * k + 3, same if k % 2 else None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    got = suffix_rows(df)
+    assert got == sorted(plain_suffix(data), key=str) and {r[0] for r in got if r[5] and not r[2]} >= {4, 5, 6}
+
+
+@pytest.mark.parametrize("most", [1 << 20, 4000])
+def test_suffix_hot_anchor(spark, monkeypatch, most):
+    """A passage in every text, with other words around it each time; also where its anchors' regions pass the bytes of
+    one array."""
+    monkeypatch.setattr(suffix, "ARRAY_BYTES", most)
+    passage = " ".join(f"common{i}" for i in range(60))
+    data = [(k, " ".join(f"own{k}x{i}" for i in range(k % 9)) + passage + "".join(f" tail{k}y{i}" for i in range(k % 13))) for k in range(60)]
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    assert suffix_rows(df) == sorted(plain_suffix(data), key=str)
 
 
 def test_suffix_documents(spark, sf, docs):
     got = rows(queries.op9_suffix_dedup(spark, sf))
-    assert sorted(got) == sorted((i, n, r, s, hashlib.sha256(k).hexdigest()) for i, n, r, s, k in brute_suffix(rows(docs.select("doc_id", "text"))))
+    assert sorted(got) == sorted((i, n, r, s, hashlib.sha256(k).hexdigest(), p) for i, n, r, s, k, p in plain_suffix(rows(docs.select("doc_id", "text"))))
 
 
 def test_suffix_array_and_prefixes():
@@ -100,9 +137,14 @@ def test_suffix_array_and_prefixes():
                 assert lcp[y] == n
         width = rng.randint(2, 8)
         regions = [bytes(rng.choice(b"ab") for _ in range(rng.randint(width, 30))) for _ in range(5)]
-        count = Counter(r[i : i + width] for r in regions for i in range(len(r) - width + 1))
-        want = [count[r[i : i + width]] > 1 for r in regions for i in range(len(r) - width + 1)]
-        assert suffix.repeated(regions, width).tolist() == want == suffix.repeated_by_hash(regions, width).tolist()
+        runs = np.array([len(r) - width + 1 for r in regions])
+        for wide, flags in zip((width, width + 2), suffix.repeated(regions, runs, (width, width + 2)), strict=True):
+            count = Counter(r[i : i + wide] for r in regions for i in range(len(r) - width + 1) if i + wide <= len(r))
+            assert flags.tolist() == [i + wide <= len(r) and count[r[i : i + wide]] > 1 for r in regions for i in range(len(r) - width + 1)]
+        leads = np.array([rng.randint(0, n - 1) for n in runs.tolist()])
+        for wide, flags in zip((width, width + 2), suffix.repeated_by_offset(regions, runs, leads, (width, width + 2)), strict=True):
+            keys = [(p - i, r[i : i + wide]) if i + wide <= len(r) and i <= p else None for r, p in zip(regions, leads.tolist(), strict=True) for i in range(len(r) - width + 1)]
+            assert flags.tolist() == [k is not None and Counter(keys)[k] > 1 for k in keys]
 
 
 def grams(text, n=5):
