@@ -8,7 +8,8 @@ of some offsets share are in another kind too.
 
 Judging. The regions of a bucket form a text, and its suffix array is built by induced sorting: suffixes are classified
 (S smaller than their successor, L larger), the leftmost S suffixes' substrings are sorted by induction and named, the
-names are sorted recursively, and the whole array is induced from them in linear time. The permuted common prefixes
+names are sorted by pairs, pairs of pairs and so on where they repeat, and the whole array is induced from them in
+linear time. The permuted common prefixes
 follow from each suffix's predecessor in the array: most are one less than their left neighbour's, the rest are
 compared. A window repeats if its suffix shares `width` bytes or more with a neighbour.
 """
@@ -29,7 +30,7 @@ GRAM_BASES = H.mix(np.arange(1, 1 + ANCHOR_BYTES // 8, dtype=np.uint64)) | np.ui
 #: Window starts whose anchors are found at once.
 PIECE = 1 << 16
 #: Bytes of one suffix array. Regions of one anchor beyond this are sorted offset by offset instead, exactly too.
-ARRAY_BYTES = 1 << 20
+ARRAY_BYTES = 2 << 20
 
 
 def classify(s: np.ndarray) -> np.ndarray:
@@ -88,47 +89,24 @@ def induce(s: np.ndarray, small: np.ndarray, lms: np.ndarray, k: int) -> np.ndar
     return np.concatenate(out)[::-1]
 
 
-def sort_names(s: list[int], k: int) -> list[int]:
-    """Suffix array of names from a large alphabet; the same induced sorting, an element at a time."""
-    n = len(s)
-    if n < 2:
-        return list(range(n))
-    a = np.array(s)
-    small_a = classify(a)
-    small, lms = small_a.tolist(), leftmost(small_a)
-    counts = np.bincount(a, minlength=k)
-    ends = np.cumsum(counts)
-    heads = (ends - counts).tolist()
-
-    def fill(stars) -> list[int]:
-        sa, tail, head = [-1] * n, ends.tolist(), heads[:]
-        for i in reversed(stars):
-            c = s[i]
-            tail[c] -= 1
-            sa[tail[c]] = i
-        c = s[n - 1]
-        sa[head[c]] = n - 1
-        head[c] += 1
-        for p in range(n):
-            j = sa[p] - 1
-            if j >= 0 and not small[j]:
-                c = s[j]
-                sa[head[c]] = j
-                head[c] += 1
-        tail = ends.tolist()
-        for p in range(n - 1, -1, -1):
-            j = sa[p] - 1
-            if j >= 0 and small[j]:
-                c = s[j]
-                tail[c] -= 1
-                sa[tail[c]] = j
-        return sa
-
-    if not len(lms):
-        return fill([])
-    sa = np.array(fill(lms.tolist()))
-    order = ordered_names(a.astype(np.uint64), lms, sa)
-    return fill(order.tolist())
+def sort_names(names: np.ndarray) -> np.ndarray:
+    """Order of the suffixes of names: those that begin alike are told apart by the names that follow, then by the names
+    of pairs, of fours, and so on, until each suffix has a name of its own."""
+    n = len(names)
+    counts = np.bincount(names)
+    name = (np.cumsum(counts) - counts)[names]  # how many suffixes begin with a smaller name
+    alike, ahead = np.flatnonzero(counts[names] > 1), 1
+    while len(alike):
+        after = np.where(alike + ahead < n, name[np.minimum(alike + ahead, n - 1)] + 1, 0)
+        pair = name[alike] * (n + 1) + after
+        order = np.argsort(pair, kind="stable")
+        alike, pair = alike[order], pair[order]
+        at, size = H.runs(pair)
+        group, _ = H.runs(name[alike])
+        own = at - group[np.searchsorted(group, at, side="right") - 1]
+        name[alike] += np.repeat(own, size)
+        alike, ahead = alike[np.repeat(size, size) > 1], 2 * ahead
+    return np.argsort(name)
 
 
 def ordered_names(codes: np.ndarray, lms: np.ndarray, sa: np.ndarray) -> np.ndarray:
@@ -148,7 +126,7 @@ def ordered_names(codes: np.ndarray, lms: np.ndarray, sa: np.ndarray) -> np.ndar
         order = np.empty(k, np.int64)
         order[names] = np.arange(k)
         return lms[order]
-    return lms[np.array(sort_names(names.tolist(), k))]
+    return lms[sort_names(names)]
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
