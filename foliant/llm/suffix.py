@@ -230,6 +230,16 @@ def grams_of(data: np.ndarray) -> np.ndarray:
     return H.mix(total)
 
 
+def grams_at(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """grams_of at some places."""
+    total = np.zeros(len(at), np.uint64)
+    if len(at):
+        eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+        for j, base in enumerate(GRAM_BASES):
+            total += eight[at + 8 * j] * base
+    return H.mix(total)
+
+
 def anchors_of(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """Anchors of texts: hash, place, first window, number of windows. Computed in pieces that stay in a CPU's cache."""
     steps = np.zeros(len(data) + 1, np.int8)
@@ -260,15 +270,18 @@ class Bytes:
         if width < 2 * ANCHOR_BYTES:
             raise ValueError(f"width is {width}; at least {2 * ANCHOR_BYTES} is needed")
         self.data, self.offsets = S.text_bytes(batch, text_col)
-        found = anchors_of(self.data, self.offsets, width) if known is None else known
-        self.anchors, (self.at, self.start, self.run) = found[0], (x.astype(np.int64) for x in found[1:])
+        if known is None:
+            self.anchors, self.at, self.start, self.run = anchors_of(self.data, self.offsets, width)
+        else:
+            self.at, lead, self.run = (x.astype(np.int64) for x in known)
+            self.anchors, self.start = H.mix(grams_at(self.data, self.at)), self.at - lead
         ends = self.offsets[np.searchsorted(self.offsets, self.start, side="right")] if len(self.start) else self.start
         self.stop = np.minimum(self.start + self.run - 1 + wide, ends)
         self.width, self.wide = width, wide
 
     def found(self) -> list[np.ndarray]:
-        """What __init__ takes as known."""
-        return [self.anchors, *(x.astype(np.uint32) for x in (self.at, self.start, self.run))]
+        """What __init__ takes as known: a few bytes an anchor."""
+        return [self.at.astype(np.uint32), (self.at - self.start).astype(np.uint16), self.run.astype(np.uint16)]
 
     def regions(self, bits: np.ndarray) -> tuple[np.ndarray, ...]:
         """Anchors (their places in self) that occur anywhere else, with two hashes of their regions."""
