@@ -1,73 +1,104 @@
-"""Text rules as Column expressions: personal data, licences, direction, quality, chunks, error rates."""
+"""Text rules as Column expressions: words, personal data, licences, direction, quality, chunks, error rates, documents."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What counts as personal data. ASCII boundaries, so that every regex engine agrees.
+#: The characters that part words (Unicode white space), for the regexes of any engine.
+SPACES = r"\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+WORD = f"[^{SPACES}]+"
+
+#: What counts as personal data. A whole match counts; SWIFT codes are upper case, for without that any
+#: word of eight letters would be one.
 PII = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
-    "pan": r"\b[A-Z]{5}[0-9]{4}[A-Z]\b",
-    "aadhaar": r"\b[0-9]{4} [0-9]{4} [0-9]{4}\b",
-    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}\b",
-    "swift": r"\b[A-Z]{6}[A-Z0-9]{2}\b",
-    "date_of_birth": r"\b[0-9]{1,2}[/-][0-9]{1,2}[/-][0-9]{4}\b",
-    "credit_card": r"\b(?:4[0-9]{15}|5[1-5][0-9]{14}|3[47][0-9]{13}|6011[0-9]{12})\b",
-    "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+    "email": r"(?i)\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Z|a-z]{2,}\b",
+    "phone": r"(\+?1[-.\s]?)?(\(?[0-9]{3}\)?[-.\s]?[0-9]{3}[-.\s]?[0-9]{4}|\+?[0-9]{1,4}[-.\s]?[0-9]{1,4}[-.\s]?[0-9]{1,4}[-.\s]?[0-9]{1,9})",
+    "pan": r"(?i)\b[A-Z]{5}[0-9]{4}[A-Z]{1}\b",
+    "aadhaar": r"\b[0-9]{4}[\s-]?[0-9]{4}[\s-]?[0-9]{4}\b",
+    "iban": r"(?i)\b[A-Z]{2}[0-9]{2}[A-Z0-9]{4}[0-9]{7}([A-Z0-9]?){0,16}\b",
+    "swift": r"\b[A-Z]{4}[A-Z]{2}[A-Z0-9]{2}([A-Z0-9]{3})?\b",
+    "dob": r"\b(0?[1-9]|1[0-2])[-/](0?[1-9]|[12][0-9]|3[01])[-/](19|20)\d{2}\b|\b(0?[1-9]|[12][0-9]|3[01])[-/](0?[1-9]|1[0-2])[-/](19|20)\d{2}\b|\b(19|20)\d{2}[-/](0?[1-9]|1[0-2])[-/](0?[1-9]|[12][0-9]|3[01])\b",
+    "credit_card": r"\b(?:4[0-9]{12}(?:[0-9]{3})?|5[1-5][0-9]{14}|3[47][0-9]{13}|3[0-9]{13}|6(?:011|5[0-9]{2})[0-9]{12})\b",
+    "ssn": r"\b\d{3}-?\d{2}-?\d{4}\b",
 }
 #: Licence families in order of precedence, and keyword lists.
 LICENSES = (
-    ("MIT", ("mit license",)), ("Apache", ("apache license", "apache-2.0")), ("GPL", ("general public license", "gpl")),
-    ("BSD", ("bsd license",)), ("CC", ("creative commons", "cc by")), ("Custom", ("custom license", "all rights reserved")), ("Public Domain", ("public domain",)),
-)
-NON_COMMERCIAL = ("non-commercial", "noncommercial", "by-nc", "personal use only")
-NO_DERIVATIVES = ("no derivatives", "by-nd", "no modification")
-ATTRIBUTION = ("attribution", "credit", "cite", "acknowledge", "copyright notice")
-RTL = r"[\x{0590}-\x{05FF}\x{0600}-\x{06FF}\x{0700}-\x{074F}\x{0750}-\x{077F}\x{0780}-\x{07BF}\x{07C0}-\x{07FF}\x{0800}-\x{083F}\x{08A0}-\x{08FF}\x{FB1D}-\x{FDFF}\x{FE70}-\x{FEFF}\x{10A00}-\x{10A5F}\x{1E800}-\x{1E8DF}]"
+    ("MIT", ("mit license", "mit copyright", "permission is hereby granted")),
+    ("Apache", ("apache license", "apache software foundation", "apache 2.0")),
+    ("GPL", ("gpl", "gnu general public license", "gpl-3.0")),
+    ("BSD", ("bsd license", "berkeley software distribution", "bsd-3-clause")),
+    ("CC", ("creative commons", "cc-by", "cc0", "creative commons attribution")),
+    ("Custom", ("custom license", "proprietary", "all rights reserved")),
+    ("Public Domain", ("public domain", "no copyright", "unrestricted use")),
+)
+ATTRIBUTION = ("attribution", "credit", "acknowledge", "cite", "reference", "author", "creator", "copyright", "license notice", "license text")
+NOT_COMMERCIAL = ("no commercial use", "non-commercial", "not for commercial", "prohibited commercial", "commercial use prohibited")
+NOT_MODIFIED = ("no modification", "no derivative", "no changes", "no alteration", "modification prohibited")
+REQUIREMENTS = (("ShareAlike", ("share alike", "copyleft")), ("SameLicense", ("same license",)), ("SourceCode", ("source code",)), ("LicenseNotice", ("license notice",)))
+#: Words after whose sentence the attribution text stands.
+CREDITS = ("attribution", "credit", "acknowledge", "cite", "reference")
+CREDIT_TEXT = r"[^.]*?\.(.*?)(?:\n\n|\n[A-Z]|$)"
+#: Right-to-left blocks.
+RTL = (
+    r"[\x{0590}-\x{05FF}\x{0600}-\x{06FF}\x{0750}-\x{077F}\x{08A0}-\x{08FF}\x{FB1D}-\x{FDFF}\x{FE70}-\x{FEFF}\x{10A00}-\x{10A5F}\x{10A60}-\x{10A7F}\x{10B00}-\x{10B3F}"
+    r"\x{10B40}-\x{10B5F}\x{10B60}-\x{10B7F}\x{10C00}-\x{10C4F}\x{10C80}-\x{10CFF}\x{10D00}-\x{10D3F}\x{10E80}-\x{10EBF}\x{10F00}-\x{10F2F}\x{10F30}-\x{10F6F}\x{10F70}-\x{10FAF}"
+    r"\x{10FB0}-\x{10FDF}\x{10FE0}-\x{10FFF}\x{1E800}-\x{1E8DF}\x{1E900}-\x{1E95F}\x{1EC70}-\x{1ECBF}\x{1ED00}-\x{1ED4F}\x{1EE00}-\x{1EEFF}]"
+)
+#: Description checks.
+ENGLISH = ("the", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by")
+GENERIC = ("this is a", "here is a", "the following", "as shown", "see below", "figure shows", "table contains", "image displays")
+PICTURED = ("Table", "Figure", "Chart", "Graph")
+NUMBER = r"\b\d+(?:\.\d+)?\b"
+RELEVANT = {"Table": ("data", "table", "row", "column", "value", "number"), "Figure": ("image", "figure", "chart", "graph", "diagram", "visual")}
+
+
+def blank(text: Column) -> Column:
+    return F.coalesce(text, F.lit(""))
 
 
 def words(text: Column) -> Column:
     """Words between runs of white space; none for null and blank texts."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
+    return F.regexp_extract_all(blank(text), F.lit(WORD), F.lit(0))
+
+
+def strip(text: Column) -> Column:
+    return F.regexp_replace(text, f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
 def has_any(text: Column, keys) -> Column:
-    lowered = F.lower(F.coalesce(text, F.lit("")))
+    lowered = F.lower(blank(text))
     found = F.lit(False)
     for k in keys:
         found = found | F.contains(lowered, F.lit(k))
     return found
 
 
-def pii_hits(text: Column) -> Column:
-    """array<struct<type, original>> of every hit, by type."""
-    def found(kind: str, pattern: str) -> Column:
-        hits = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(pattern), F.lit(0))
+def pii_hits(text: Column, types=tuple(PII)) -> Column:
+    """array<struct<type, original>> of every hit of the wanted types. Types may overlap: a card is a phone number too."""
+    def found(kind: str) -> Column:
+        hits = F.regexp_extract_all(blank(text), F.lit("(?U)" + PII[kind]), F.lit(0))
         return F.transform(hits, lambda o: F.struct(F.lit(kind).alias("type"), o.alias("original")))
 
-    each = [found(k, p) for k, p in PII.items()]
-    return F.concat(*each)
+    return F.concat(*(found(k) for k in types))
 
 
 def redact(original: Column, kind: Column) -> Column:
-    """Keeps one character at either end of an address's name, two elsewhere; all stars up to four characters; a date
-    of birth loses its year."""
+    """Keeps one character at either end of an address, two elsewhere; all stars where that leaves nothing hidden; a
+    date loses its year; anything else is all stars."""
     n = F.length(original)
-    keep = lambda k: F.concat(F.substring(original, F.lit(1), F.lit(k)), F.repeat(F.lit("*"), n - 2 * k), F.substring(original, n - k + 1, F.lit(k)))
-    return (
-        F.when(kind == "date_of_birth", F.regexp_replace(original, "[0-9]{4}$", "****"))
-        .when(n <= 4, F.repeat(F.lit("*"), n)).when(kind == "email", keep(1)).otherwise(keep(2))
-    )
+    stars = F.repeat(F.lit("*"), n)
+    keep = lambda k: F.when(n > 2 * k, F.concat(F.substring(original, F.lit(1), F.lit(k)), F.repeat(F.lit("*"), n - 2 * k), F.substring(original, n - k + 1, F.lit(k)))).otherwise(stars)
+    dated = F.when(original.rlike("[-/][0-9]{4}$"), F.regexp_replace(original, "[0-9]{4}$", "****")).when(original.rlike("^[0-9]{4}[-/]"), F.regexp_replace(original, "^[0-9]{4}", "****")).otherwise(stars)
+    return F.when(kind == "dob", dated).when(kind == "email", keep(1)).when(kind.isin(*PII), keep(2)).otherwise(stars)
 
 
 def context(text: Column, original: Column, width: int = 50) -> Column:
-    """The first place of a hit with `width` characters on either side; dots where text is left out."""
+    """The first place of a hit with `width` characters on either side; dots where text is left out; empty if absent."""
     at = F.call_function("locate", original, text)
     start, stop = F.greatest(F.lit(1), at - width), F.least(F.length(text), at + F.length(original) - 1 + width)
     body = F.substring(text, start, stop - start + 1)
-    return F.concat(F.when(start > 1, "...").otherwise(""), body, F.when(stop < F.length(text), "...").otherwise(""))
+    return F.when(at == 0, "").otherwise(F.concat(F.when(start > 1, "...").otherwise(""), body, F.when(stop < F.length(text), "...").otherwise("")))
 
 
 def license_type(text: Column) -> Column:
@@ -77,18 +108,49 @@ def license_type(text: Column) -> Column:
     return out
 
 
+def attribution_text(text: Column, preview: int = 500) -> Column:
+    """What follows the sentence of the first credit word that has one, in the first `preview` characters; else empty."""
+    head, out = F.substring(blank(text), 1, preview), F.lit("")
+    for word in reversed(CREDITS):
+        pattern = f"(?is){word}{CREDIT_TEXT}"
+        out = F.when(head.rlike(pattern), strip(F.regexp_extract(head, pattern, 1))).otherwise(out)
+    return out
+
+
+def license_terms(text: Column) -> dict[str, Column]:
+    """license_type, requires_attribution, attribution_text, commercial_use, modification_allowed, requirements; the
+    last four by the first 500 characters."""
+    head = F.substring(blank(text), 1, 500)
+    return {
+        "license_type": license_type(text), "requires_attribution": has_any(text, ATTRIBUTION), "attribution_text": attribution_text(text),
+        "commercial_use": ~has_any(head, NOT_COMMERCIAL), "modification_allowed": ~has_any(head, NOT_MODIFIED),
+        "requirements": F.array_compact(F.array(*(F.when(has_any(head, keys), F.lit(name)) for name, keys in REQUIREMENTS))),
+    }
+
+
+def rtl_chars(text: Column) -> Column:
+    return F.regexp_count(blank(text), F.lit(RTL))
+
+
+def direction_of(rtl: Column, total: Column) -> tuple[Column, Column, Column, Column]:
+    """Share of right-to-left characters (0 without any), whether it is right-to-left (over .6) and whether mixed (.3 to
+    .7; both may hold), and the larger share."""
+    ratio = F.coalesce(F.try_divide(rtl.cast("double"), total), F.lit(0.0))
+    return ratio, ratio > 0.6, (ratio > 0.3) & (ratio < 0.7), F.when(total == 0, 0.0).otherwise(F.greatest(ratio, 1 - ratio))
+
+
 def direction(text: Column) -> tuple[Column, Column, Column]:
-    """Right-to-left share of all characters; rtl over .6, mixed between .3 and .7; and the larger share."""
-    n = F.length(F.coalesce(text, F.lit("")))
-    ratio = F.coalesce(F.try_divide(F.regexp_count(F.coalesce(text, F.lit("")), F.lit(RTL)).cast("double"), n), F.lit(0.0))
-    return ratio, F.when(ratio > 0.6, "rtl").when((ratio > 0.3) & (ratio < 0.7), "mixed").otherwise("ltr"), F.greatest(ratio, 1 - ratio)
+    """Right-to-left share of all characters; rtl over .6, else mixed over .3, else ltr; and the larger share."""
+    ratio, rtl, mixed, sure = direction_of(rtl_chars(text), F.length(blank(text)))
+    return ratio, F.when(rtl, "rtl").when(mixed, "mixed").otherwise("ltr"), sure
 
 
-def chunks(word_list: Column, size: int = 220, stride: int = 190) -> Column:
-    """Overlapping windows of words; a text of up to `size` words is one chunk, and an empty one none."""
-    n = F.size(word_list)
-    starts = F.when(n == 0, F.array().cast("array<int>")).when(n <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1, F.lit(stride)))
-    return F.transform(starts, lambda i: F.array_join(F.slice(word_list, i + 1, size), " "))
+def chunks(text: Column, size: int = 220, overlap: int = 30) -> Column:
+    """Overlapping windows of words; a text of up to `size` words is one chunk, unchanged. None for null."""
+    ws = words(text)
+    starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0)), F.lit(size - overlap))
+    windows = F.transform(starts, lambda i: F.array_join(F.slice(ws, i + 1, size), " "))
+    return F.when(text.isNull(), F.array().cast("array<string>")).when(F.size(ws) <= size, F.array(text)).otherwise(windows)
 
 
 def char_error_rate(truth: Column, guess: Column) -> Column:
@@ -110,10 +172,12 @@ def bleu(truth: Column, guess: Column) -> Column:
     def grams(ws: Column, n: int) -> Column:
         return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - n + 1)), lambda i: F.array_join(F.slice(ws, i, n), " "))).otherwise(F.array().cast("array<string>"))
 
+    def numbered(gs: Column) -> Column:
+        """Each gram with its number among its equals, so that common ones can be counted as a set."""
+        return F.transform(F.array(F.array_sort(gs)), lambda s: F.transform(s, lambda g, i: F.concat(g, F.lit(" "), (i - F.array_position(s, g)).cast("string"))))[0]
+
     def hits(n: int) -> Column:
-        a, b = grams(truth, n), grams(guess, n)
-        times = lambda g, all_: F.size(F.filter(all_, lambda x: x == g))
-        return F.aggregate(F.array_distinct(b), F.lit(0), lambda s, g: s + F.least(times(g, a), times(g, b)))
+        return F.size(F.array_intersect(numbered(grams(truth, n)), numbered(grams(guess, n))))
 
     log_p = F.lit(0.0)
     for n in range(1, 5):
@@ -122,39 +186,82 @@ def bleu(truth: Column, guess: Column) -> Column:
     return F.when((F.size(truth) == 0) | (F.size(guess) == 0) | ~F.arrays_overlap(truth, guess), 0.0).otherwise(F.exp(log_p + short))
 
 
-def valid_document(payload: Column) -> Column:
-    """Whether a JSON text has document_id and a list of elements, each with its five fields and a box of four whole
-    numbers from 0; false for text that is no JSON object."""
+#: What every document and every element must have.
+DOCUMENT_FIELDS = ("document_id", "elements")
+ELEMENT_FIELDS = ("class", "bbox", "content", "language", "page")
+
+
+def document_error(payload: Column) -> Column:
+    """The first thing wrong with a JSON document, null if it is valid. Fields are asked for in their order, elements in
+    theirs; each element's error names its place from 0."""
     fields = lambda v: F.try_variant_get(v, "$", "map<string,variant>")
     kind = lambda v: F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
-    top = fields(F.try_parse_json(payload))
+    parsed = F.try_parse_json(payload)
+    top = fields(parsed)
+
+    def missing(m: Column, names, text) -> Column:
+        out = F.lit(None).cast("string")
+        for name in reversed(names):
+            out = F.when(~F.map_contains_key(m, F.lit(name)), text(name)).otherwise(out)
+        return out
 
-    def good(e: Column) -> Column:
+    def wrong(e: Column, i: Column) -> Column:
+        at = lambda what: F.concat(F.lit("Element "), i.cast("string"), F.lit(f" {what}"))
         m = fields(e)
         box = F.try_variant_get(m["bbox"], "$", "array<variant>")
-        whole = F.forall(box, lambda x: kind(x).isin("BIGINT", "BOOLEAN") & (F.try_variant_get(x, "$", "long") >= 0))
-        there = F.size(F.array_intersect(F.map_keys(m), F.array(*(F.lit(k) for k in ("class", "bbox", "content", "language", "page"))))) == 5
-        return F.coalesce(there & kind(m["bbox"]).startswith("ARRAY") & (F.size(box) == 4) & whole, F.lit(False))
+        whole = F.forall(box, lambda x: kind(x).isin("BIGINT", "BOOLEAN"))
+        return (
+            F.when(~kind(e).startswith("OBJECT") | m.isNull(), at("is not a dictionary")).when(missing(m, ELEMENT_FIELDS, F.lit).isNotNull(), missing(m, ELEMENT_FIELDS, lambda f: at(f"missing required field: {f}")))
+            .when(~kind(m["bbox"]).startswith("ARRAY") | (F.size(box) != 4), at("bbox must be a list of 4 integers")).when(~F.coalesce(whole, F.lit(False)), at("bbox must contain only integers"))
+            .when(F.exists(box, lambda x: F.try_variant_get(x, "$", "long") < 0), at("bbox contains negative values"))
+        )
 
     elements = F.try_variant_get(top["elements"], "$", "array<variant>")
-    return F.coalesce(F.map_contains_key(top, F.lit("document_id")) & kind(top["elements"]).startswith("ARRAY") & F.forall(elements, good), F.lit(False))
+    first = F.element_at(F.array_compact(F.transform(elements, wrong)), 1)
+    return (
+        F.when(parsed.isNull() | ~kind(parsed).startswith("OBJECT") | top.isNull(), "Not a JSON object")
+        .when(missing(top, DOCUMENT_FIELDS, F.lit).isNotNull(), missing(top, DOCUMENT_FIELDS, lambda f: F.lit(f"Missing required field: {f}")))
+        .when(~kind(top["elements"]).startswith("ARRAY"), "'elements' must be a list").when(F.size(F.array_compact(F.transform(elements, wrong))) > 0, first)
+    )
+
+
+def valid_document(payload: Column) -> Column:
+    """Whether a JSON text has document_id and a list of elements, each with its five fields and a box of four whole
+    numbers from 0; false for text that is no JSON object."""
+    return document_error(payload).isNull()
+
 
+def top_words(word_list: Column, n: int = 3) -> Column:
+    """array<struct<word, n>> of the n commonest words, by number and then by their first place."""
+    distinct = F.array_distinct(word_list)
+    counted = F.transform(distinct, lambda w, i: F.struct((-F.size(F.filter(word_list, lambda x: x == w))).alias("n"), i.alias("at"), w.alias("word")))
+    return F.transform(F.slice(F.array_sort(counted), 1, n), lambda e: F.struct(e["word"].alias("word"), (-e["n"]).alias("n")))
 
-def qa_flags(text: Column, kind: Column, word_list: Column, most_words: int = 80) -> Column:
-    """array<struct<issue, severity>> in the order of the checks: length, numbers, sentences, repetition, relevance."""
-    n = F.size(word_list)
+
+def sentences(text: Column) -> Column:
+    return F.filter(F.transform(F.split(blank(text), r"[.!?]+"), strip), lambda s: s != "")
+
+
+def qa_flags(text: Column, kind: Column, page_language: Column | None = None, most_words: int = 80) -> Column:
+    """array<struct<issue, severity>> in the order of the checks: length, language (where a page language is given),
+    numbers, sentences, repetition, relevance. Null and empty texts have none."""
+    ws = words(text)
+    n, lowered = F.size(ws), F.lower(blank(text))
     flag = lambda cond, issue, severity: F.when(cond, F.struct(F.lit(issue).alias("issue"), F.lit(severity).alias("severity")))
-    pictured = kind.isin("Table", "Figure", "Chart", "Graph")
-    sentences = F.filter(F.split(F.coalesce(text, F.lit("")), r"[.!?]+"), lambda s: F.trim(s) != "")
-    lengthy = F.exists(sentences, lambda s: F.size(F.filter(F.split(s, r"[ \t\n\x0B\f\r]+"), lambda w: w != "")) > 30)
-    keys = {"Table": ("table", "row", "column", "data"), "Figure": ("figure", "image", "chart", "diagram", "graph")}
+    english = has_any(text, ENGLISH) & ~blank(text).rlike(r"[^\x00-\x7F]")
+    ss = sentences(text)
+    lengthy = F.exists(ss, lambda s: F.size(words(s)) > 30)
+    generic = sum((F.contains(lowered, F.lit(p)).cast("int") for p in GENERIC), F.lit(0))
     missing = F.lit(False)
-    for k, names in keys.items():
+    for k, names in RELEVANT.items():
         missing = missing | ((kind == k) & ~has_any(text, names))
-    return F.array_compact(F.array(
-        flag(n > most_words, "too_long", "medium"), flag(n < 3, "too_short", "high"),
-        flag(pictured & ~F.coalesce(text, F.lit("")).rlike("[0-9]"), "no_numbers", "medium"),
-        flag(F.size(sentences) == 0, "no_sentences", "high"), flag(lengthy, "long_sentence", "low"),
-        flag((n >= 5) & (F.size(F.array_distinct(F.transform(word_list, lambda w: F.lower(w)))) * 2 < n), "repetitive", "medium"),
-        flag(missing, "irrelevant", "medium"),
-    ))
+    distinct = F.size(F.array_distinct(F.transform(ws, F.lower)))
+    flags = F.array(
+        flag(n > most_words, "length_excessive", "medium"), flag(n < 3, "length_insufficient", "high"),
+        *([flag((page_language == "en") & ~english, "language_mismatch", "medium")] if page_language is not None else []),
+        flag(kind.isin(*PICTURED) & (F.regexp_count(blank(text), F.lit("(?U)" + NUMBER)) == 0), "missing_numerics", "medium"),
+        flag(F.size(ss) == 0, "no_sentences", "high"), flag(lengthy, "long_sentences", "low"),
+        flag((n >= 5) & (distinct * 2 < n), "excessive_repetition", "medium"),
+        flag(generic > 2, "generic_content", "low"), flag((generic <= 2) & missing, "inappropriate_content", "medium"),
+    )
+    return F.when(blank(text) == "", F.array().cast("array<struct<issue:string,severity:string>>")).otherwise(F.array_compact(flags))

@@ -1,14 +1,18 @@
 """Greedy one-to-one matching of boxes, suppression and average precision.
 
 Pairs of boxes of an image come from an equi-join with the overlap as a Column; only the greedy choice, which depends
-on what was chosen before, runs in Python, image by image. An image's boxes are few.
+on what was chosen before, runs in Python, image by image over a sorted stream. An image's boxes are few.
 """
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.geometry import intersection
 
@@ -25,22 +29,63 @@ def candidates(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return out.withColumn("uni", (F.col("gw") * F.col("gh") + F.col("pw") * F.col("ph")).cast("long") - F.col("inter")).select("page_id", "gt_no", "pred_no", "gt_class", "pred_class", "score", "inter", "uni")
 
 
+def unmatched(gt: DataFrame, pred: DataFrame) -> DataFrame:
+    """Predictions (kind fp) that overlap no true box by more than one half, and true boxes (fn) that no prediction does,
+    of any class; true boxes have a null score. Overlaps are computed once for both."""
+    hits = candidates(gt, pred).where("2 * inter > uni")
+    hit = hits.select("page_id", F.explode(F.array(F.struct(F.lit("fn").alias("kind"), F.col("gt_no").alias("ann_no")), F.struct(F.lit("fp").alias("kind"), F.col("pred_no").alias("ann_no")))).alias("h")).select("page_id", "h.*")
+    cols = ["page_id", "ann_no", "class_id", *"xywh"]
+    both = gt.select(*cols, F.lit(None).cast("double").alias("score"), F.lit("fn").alias("kind")).unionByName(pred.select(*cols, F.col("score").cast("double"), F.lit("fp").alias("kind")))
+    return both.join(hit, ["page_id", "kind", "ann_no"], "left_anti")
+
+
+def by_group(rows: DataFrame, n_keys: int, order: list, work: Callable[[list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
+    """work(the rows of a group, in order) for each group of the first n_keys columns, whose results are rows of schema.
+    Groups are dealt to partitions, sorted there and streamed, so memory holds one group and a batch."""
+    keys = rows.columns[:n_keys]
+    fields = T.DataType.fromDDL(schema)
+    arrow = to_arrow_schema(fields)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        out: list[tuple] = []
+
+        def table() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), arrow, strict=True)], schema=arrow)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if held and held[0][:n_keys] != row[:n_keys]:
+                    out += work(held)
+                    held = []
+                held.append(row)
+            if len(out) > 10_000:
+                yield table()
+                out = []
+        out += work(held) if held else []
+        if out:
+            yield table()
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, fields)
+
+
 def greedy(pairs: DataFrame, driver: str, other: str, *also: str) -> DataFrame:
     """MATCHED: each driver box, in its order, takes the free box of largest overlap; the first of equals. Whole numbers
     in `also` part an image's pairs further."""
+    n = 1 + len(also)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        for d, rows in pdf.sort_values([driver, "overlap", other], ascending=[True, False, True]).groupby(driver, sort=True):
-            for o, v in zip(rows[other], rows["overlap"], strict=True):
-                if o not in taken:
-                    taken.add(o)
-                    out.append((pdf["page_id"].iloc[0], d, o, v, *(pdf[c].iloc[0] for c in also)))
-                    break
-        return pd.DataFrame(out, columns=["page_id", "driver_no", "other_no", "overlap", *also])
+    def choose(rows: list[tuple]) -> list[tuple]:
+        taken, done, out = set(), None, []
+        for row in rows:
+            d, o, v = row[n:]
+            if d != done and o not in taken:
+                taken.add(o)
+                done = d
+                out.append((row[0], d, o, v, *row[1:n]))
+        return out
 
-    slim = pairs.select("page_id", *also, driver, other, (F.col("inter") / F.col("uni")).alias("overlap"))
-    return slim.groupBy("page_id", *also).applyInPandas(run, ", ".join([MATCHED, *(f"{c} long" for c in also)]))
+    slim = pairs.select("page_id", *also, F.col(driver).alias("__d"), F.col(other).alias("__o"), (F.col("inter") / F.col("uni")).alias("__v"))
+    return by_group(slim, n, ["__d", F.desc("__v"), "__o"], choose, ", ".join([MATCHED, *(f"{c} long" for c in also)]))
 
 
 def match_confusion(gt: DataFrame, pred: DataFrame) -> DataFrame:
@@ -72,19 +117,20 @@ def mine_errors(gt: DataFrame, pred: DataFrame) -> DataFrame:
 def suppress(pred: DataFrame, overlap: float = 0.4, least: float = 0.0) -> DataFrame:
     """Non-maximum suppression: by descending score, a box that overlaps a kept one by more than `overlap` goes."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        kept: list = []
-        for r in pdf.sort_values(["score", "ann_no"], ascending=[False, True]).itertuples():
+    def keep(rows: list[tuple]) -> list[tuple]:
+        kept: list[tuple] = []
+        for r in rows:
+            x, y, w, h = r[2:6]
             for k in kept:
-                w, h = min(r.x + r.w, k.x + k.w) - max(r.x, k.x), min(r.y + r.h, k.y + k.h) - max(r.y, k.y)
-                if w > 0 and h > 0 and w * h > overlap * (r.w * r.h + k.w * k.h - w * h):
+                iw, ih = min(x + w, k[2] + k[4]) - max(x, k[2]), min(y + h, k[3] + k[5]) - max(y, k[3])
+                if iw > 0 and ih > 0 and iw * ih > overlap * (w * h + k[4] * k[5] - iw * ih):
                     break
             else:
                 kept.append(r)
-        return pdf.loc[[k.Index for k in kept]]
+        return kept
 
     some = pred.where(F.col("score") > least).select("page_id", "ann_no", "x", "y", "w", "h", "class_id", "score")
-    return some.groupBy("page_id").applyInPandas(run, some.schema)
+    return by_group(some, 1, [F.desc("score"), "ann_no"], keep, some._jdf.schema().toDDL())
 
 
 def precision_at(gt: DataFrame, pred: DataFrame, percents: tuple[int, ...]) -> DataFrame:

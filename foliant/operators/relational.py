@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliant.operators.ranks import ordered
+
 
 def order_hash(seed: int | str, *keys: str) -> Column:
     """Seeded order that any engine with MD5 reproduces."""
@@ -27,7 +29,7 @@ def class_balance(rows: DataFrame, class_col: str, declared: DataFrame, rare: fl
 
 def dense_ids(rows: DataFrame, id_col: str) -> DataFrame:
     """(id, new_id): distinct ids, from 0 in ascending order."""
-    return rows.select(F.col(id_col).alias("id")).distinct().withColumn("new_id", (F.dense_rank().over(Window.orderBy("id")) - 1).cast("long"))
+    return ordered(rows.select(F.col(id_col).alias("id")).distinct(), ["id"]).select("id", (F.col("rank") - 1).alias("new_id"))
 
 
 def majority(rows: DataFrame, key: str, value: str, position: str) -> DataFrame:
@@ -58,36 +60,36 @@ def ece(rows: DataFrame, confidence: str, correct: str, bins: int = 10) -> DataF
 
 
 def best_temperature(rows: DataFrame, confidence: str, correct: str, grid: int = 100) -> DataFrame:
-    """Temperature of least log loss on a logarithmic grid from .01 to 100; the grid is a constant-size array."""
+    """Temperature of least log loss on a logarithmic grid from .01 to 100. Equal rows are counted before each meets the
+    grid, a constant-size array."""
     eps = 1e-8
     c = F.greatest(F.lit(eps), F.least(F.col(confidence), F.lit(1 - eps)))
     logit = F.ln(c / (1 - c + eps))
-    each = rows.select(logit.alias("z"), F.col(correct).cast("int").alias("y"), F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.pow(F.lit(10.0), F.lit(-2.0) + i * (4.0 / (grid - 1))))).alias("k", "t"))
+    counted = rows.groupBy(logit.alias("z"), F.col(correct).cast("int").alias("y")).agg(F.count("*").alias("n"))
+    each = counted.select("z", "y", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda i: F.pow(F.lit(10.0), F.lit(-2.0) + i * (4.0 / (grid - 1))))).alias("k", "t"))
     p = F.greatest(F.lit(eps), F.least(1 / (1 + F.exp(-F.col("z") / F.col("t"))), F.lit(1 - eps)))
     loss = -(F.col("y") * F.ln(p) + (1 - F.col("y")) * F.ln(1 - p))
-    return each.groupBy("k", "t").agg(F.avg(loss).alias("nll")).orderBy("nll", "k").limit(1)
+    return each.groupBy("k", "t").agg((F.sum(F.col("n") * loss) / F.sum("n")).alias("nll")).orderBy("nll", "k").limit(1)
 
 
-def split_rows(rows: DataFrame, keys: list[str], strata: list[str], seed: int = 42, train: float = 0.8, val: float = 0.1) -> DataFrame:
-    """rows with split: train, val and test of exact sizes in each stratum; strata of fewer than 3 go to train."""
+def split_rows(rows: DataFrame, keys: list[str], strata: list[str] = [], seed: int = 42, train: float = 0.8, val: float = 0.1) -> DataFrame:  # noqa: B006
+    """rows with split: train, val and test of exact sizes in each stratum (without strata: in all), in seeded order of
+    keys; null strata are "unknown", and strata of fewer than 3 go to train. A rank is the offset of a bin of the order
+    and the rank in the bin, so no task sorts a whole stratum."""
     names = [f"__s{i}" for i in range(len(strata))]
-    rows = rows.select("*", *(F.coalesce(F.col(s).cast("string"), F.lit("unknown")).alias(n) for s, n in zip(strata, names, strict=True)))
-    w = Window.partitionBy(*names)
-    n, r = F.count("*").over(w), F.row_number().over(w.orderBy(order_hash(seed, *keys), *keys))
-    a, b = F.floor(n * train), F.floor(n * train) + F.floor(n * val)
-    return rows.withColumn("split", F.when((n < 3) | (r <= a), "train").when(r <= b, "val").otherwise("test")).drop(*names)
-
-
-def split_ranked(rows: DataFrame, keys: list[str], seed: int = 42, train: float = 0.8, val: float = 0.1, bins: int = 4096) -> DataFrame:
-    """split_rows without strata, without one task for all rows: ranks are a bin's offset and the rank in the bin."""
-    rows = rows.withColumn("__h", order_hash(seed, *keys)).withColumn("__b", F.substring("__h", 1, 3))
-    sizes = rows.groupBy("__b").agg(F.count("*").alias("__n"))
-    w = Window.orderBy("__b")
-    sizes = sizes.withColumn("__before", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).withColumn("__all", F.sum("__n").over(Window.partitionBy()))
-    rank = F.col("__before") + F.row_number().over(Window.partitionBy("__b").orderBy("__h", *keys))
-    out = rows.join(F.broadcast(sizes), "__b").withColumn("__r", rank)
+    rows = rows.select("*", *(F.coalesce(F.col(s).cast("string"), F.lit("unknown")).alias(n) for s, n in zip(strata, names, strict=True)), order_hash(seed, *keys).alias("__h")).withColumn("__b", F.substring("__h", 1, 3))
+    sizes = rows.groupBy(*names, "__b").agg(F.count("*").alias("__n"))
+    w = Window.partitionBy(*names)  # at most 4,096 rows a stratum
+    sizes = sizes.withColumn("__before", F.sum("__n").over(w.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).withColumn("__all", F.sum("__n").over(w))
+    out = rows.join(sizes, [*names, "__b"]).withColumn("__r", F.col("__before") + F.row_number().over(Window.partitionBy(*names, "__b").orderBy("__h", *keys)))
     a, b = F.floor(F.col("__all") * train), F.floor(F.col("__all") * train) + F.floor(F.col("__all") * val)
-    return out.withColumn("split", F.when((F.col("__all") < 3) | (F.col("__r") <= a), "train").when(F.col("__r") <= b, "val").otherwise("test")).drop("__h", "__b", "__n", "__before", "__all", "__r")
+    return out.withColumn("split", F.when((F.col("__r") <= a) | (F.lit(bool(strata)) & (F.col("__all") < 3)), "train").when(F.col("__r") <= b, "val").otherwise("test")).drop(*names, "__h", "__b", "__n", "__before", "__all", "__r")
+
+
+def split_proportions(train: float, val: float, test: float) -> None:
+    """Raises unless the three add up to one."""
+    if abs(train + val + test - 1.0) > 1e-6:
+        raise ValueError(f"split proportions add up to {train + val + test}, not 1")
 
 
 def first_per_group(rows: DataFrame, groups: list[str], keys: list[str], n: int, seed: int = 42) -> DataFrame:
@@ -96,33 +98,45 @@ def first_per_group(rows: DataFrame, groups: list[str], keys: list[str], n: int,
     return rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= n).drop("__r")
 
 
-def leakage(rows: DataFrame, key: str, split: str) -> DataFrame:
-    """(split_a, split_b, n): keys that two splits share; one aggregate, no self join."""
+def leakage(rows: DataFrame, key: str, split: str, examples: int = 10) -> DataFrame:
+    """(split_a, split_b, n, examples): keys that two splits share, and the smallest of them; one aggregate, no self join."""
     sets = rows.groupBy(key).agg(F.sort_array(F.collect_set(split)).alias("s")).where(F.size("s") > 1)
     pairs = F.flatten(F.transform("s", lambda a: F.transform(F.filter("s", lambda b: b > a), lambda b: F.struct(a.alias("split_a"), b.alias("split_b")))))
-    return sets.select(F.explode(pairs).alias("p")).groupBy("p.split_a", "p.split_b").agg(F.count("*").alias("n"))
+    each = sets.select(key, F.explode(pairs).alias("p")).select(key, "p.*")
+    first = each.withColumn("r", F.row_number().over(Window.partitionBy("split_a", "split_b").orderBy(key))).where(F.col("r") <= examples)
+    kept = first.groupBy("split_a", "split_b").agg(F.sort_array(F.collect_list(key)).alias("examples"))
+    return each.groupBy("split_a", "split_b").agg(F.count("*").alias("n")).join(kept, ["split_a", "split_b"])
+
+
+#: Bits of the three bands of a 64-bit hash.
+BANDS = ((0, 21), (21, 21), (42, 22))
 
 
-def near_hashes(rows: DataFrame, id_col: str, hash_col: str, distance: int = 8) -> DataFrame:
-    """(a, b, distance) of 64-bit hashes within a Hamming distance. Hashes that differ in at most 8 bits agree in one
-    of 9 bands; equal hashes are one class first, so copies don't multiply."""
-    reps = rows.groupBy(hash_col).agg(F.min(id_col).alias("id"))
-    widths = [7] * 8 + [8]
-    shifts = [sum(widths[:i]) for i in range(9)]
-    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.call_function("shiftrightunsigned", F.col(hash_col), F.lit(s)).bitwiseAND(F.lit((1 << n) - 1)).alias("v")) for i, (s, n) in enumerate(zip(shifts, widths, strict=True))))
-    b = reps.select("id", F.col(hash_col).alias("h"), F.explode(bands).alias("k")).select("id", "h", "k.*")
-    other = b.select(F.col("id").alias("id2"), F.col("h").alias("h2"), "band", "v")
-    pairs = b.join(other, ["band", "v"]).where("id < id2")
-    d = F.bit_count(F.col("h").bitwiseXOR(F.col("h2")))
-    return pairs.select(F.col("id").alias("a"), F.col("id2").alias("b"), d.alias("distance")).where(F.col("distance") <= distance).distinct()
+def near_hashes(rows: DataFrame, id_col: str, hash_col: str) -> DataFrame:
+    """(a, b, distance) of the smallest ids of different 64-bit hashes within a Hamming distance of 8.
+
+    Equal hashes are one class first, so copies don't multiply. Hashes that differ in at most 8 bits differ in at most
+    two bits of one of three bands: one side looks up its band with each choice of up to two bits flipped, a few hundred
+    keys a hash, and a pair counts in its first such band only. Null hashes pair with nothing."""
+    reps = rows.where(F.col(hash_col).isNotNull()).groupBy(F.col(hash_col).cast("long").alias("h")).agg(F.min(id_col).alias("id"))
+    part = lambda h, s, n: F.call_function("shiftrightunsigned", h, F.lit(s)).bitwiseAND(F.lit((1 << n) - 1))
+    flips = [F.array(*(F.lit(m).cast("long") for m in sorted({1 << i | 1 << j for i in range(n) for j in range(n)} | {0}))) for _, n in BANDS]
+    plain = F.array(*(F.struct(F.lit(k).alias("band"), part(F.col("h"), s, n).alias("v")) for k, (s, n) in enumerate(BANDS)))
+    flipped = lambda k, s, n: F.transform(flips[k], lambda m: F.struct(F.lit(k).alias("band"), part(F.col("h"), s, n).bitwiseXOR(m).alias("v")))
+    changed = F.concat(*(flipped(k, s, n) for k, (s, n) in enumerate(BANDS)))
+    asked = reps.select(F.col("id").alias("a"), F.col("h").alias("h1"), F.explode(changed).alias("k")).select("a", "h1", "k.*")
+    there = reps.select(F.col("id").alias("b"), F.col("h").alias("h2"), F.explode(plain).alias("k")).select("b", "h2", "k.*")
+    x = F.col("h1").bitwiseXOR(F.col("h2"))
+    first = F.when(F.bit_count(part(x, *BANDS[0])) <= 2, 0).when(F.bit_count(part(x, *BANDS[1])) <= 2, 1).otherwise(2)
+    pairs = asked.join(there, ["band", "v"]).where((F.col("a") < F.col("b")) & (F.col("band") == first))
+    return pairs.select("a", "b", F.bit_count(x).alias("distance")).where("distance <= 8")
 
 
 def evict(cache: DataFrame, most: float, keep: float = 0.8) -> DataFrame:
     """Rows that an LRU cache over its limit drops: oldest first, until what remains is at most keep * most."""
-    w = Window.orderBy("last_accessed", "access_count", "key")
-    before = F.coalesce(F.sum("size_bytes").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    total = F.sum("size_bytes").over(Window.partitionBy())
-    return cache.withColumn("__t", total).withColumn("__b", before).where((F.col("__t") > most) & (F.col("__t") - F.col("__b") > keep * most)).drop("__t", "__b")
+    total = cache.agg(F.sum("size_bytes").alias("__t"))
+    out = ordered(cache, ["last_accessed", "access_count", "key"], ("size_bytes",)).crossJoin(F.broadcast(total))  # one row
+    return out.where((F.col("__t") > most) & (F.col("__t") - F.col("before_size_bytes") > keep * most)).select(*cache.columns)
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
@@ -197,14 +211,18 @@ def top_similar(vectors: DataFrame, queries: DataFrame, k: int, dims: int | None
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def uncertainty(pred: DataFrame, image: str, score: str, threshold: float = 0.5) -> DataFrame:
-    """margin, entropy and low_conf of each image from its predictions' confidences, in closed form. The distribution of
-    a prediction spreads 1 - c over n - 1 others, n being the number of images with predictions."""
-    n = pred.agg(F.count_distinct(image).cast("double").alias("n"))
-    c, m = F.col(score), F.col("n")
-    r = F.try_divide(1 - c, m - 1)
-    margin = F.when(c >= r, c - r).when(m >= 3, 0.0).otherwise(r - c)
+def uncertainty_of(c: Column, n: Column) -> tuple[Column, Column]:
+    """(margin, entropy) of a prediction of confidence c, in closed form: 1 - c is spread evenly over n - 1 others, n
+    being the number of images with predictions. Null with one image."""
+    r = F.try_divide(1 - c, n - 1)
+    margin = F.when(c >= r, c - r).when(n >= 3, 0.0).otherwise(r - c)
     eps = F.lit(1e-8)
-    p0, p1 = (c + eps) / (1 + m * eps), (r + eps) / (1 + m * eps)
-    entropy = -(p0 * F.ln(p0) + (m - 1) * p1 * F.ln(p1))
-    return pred.crossJoin(F.broadcast(n)).groupBy(image).agg(F.min(margin).alias("margin"), F.max(entropy).alias("entropy"), F.greatest(F.lit(0.0), threshold - F.min(c)).alias("low_conf"))
+    p0, p1 = (c + eps) / (1 + n * eps), (r + eps) / (1 + n * eps)
+    return margin, -(p0 * F.ln(p0) + (n - 1) * p1 * F.ln(p1))
+
+
+def uncertainty(pred: DataFrame, image: str, score: str, threshold: float = 0.5) -> DataFrame:
+    """margin (least), entropy (largest) and low_conf of each image from its predictions' confidences."""
+    n = pred.agg(F.count_distinct(image).cast("double").alias("__n"))
+    margin, entropy = uncertainty_of(F.col(score), F.col("__n"))
+    return pred.crossJoin(F.broadcast(n)).groupBy(image).agg(F.min(margin).alias("margin"), F.max(entropy).alias("entropy"), F.greatest(F.lit(0.0), threshold - F.min(score)).alias("low_conf"))  # one row

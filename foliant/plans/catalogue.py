@@ -11,7 +11,9 @@ from foliant.functions import geometry as G
 from foliant.functions import text as X
 from foliant.operators import calibration as C
 from foliant.operators import matching as M
+from foliant.operators import quality as Q
 from foliant.operators import relational as R
+from foliant.operators.documents import reading_order
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,12 +74,6 @@ def q_clamp_variants(spark, sf_dir):
     return predictions(spark, sf_dir).groupBy("class_id").agg(F.count("*").alias("n"), F.sum(F.col("w") * F.col("h")).alias("area"), F.sum(x).alias("x"), F.sum(w).alias("w"), F.sum(h).alias("h"))
 
 
-@query(BOXES + """SELECT issue, count(*) n FROM (SELECT unnest(list_filter([CASE WHEN class_id > 3 THEN 'unknown_class' END, CASE WHEN y > 900 THEN 'invalid_coords' END, CASE WHEN x + w > 600 OR y + h > 900 THEN 'out_of_bounds' END], lambda i: i IS NOT NULL)) issue FROM pred) GROUP BY issue""")
-def q_label_audit(spark, sf_dir):
-    found = F.array_compact(F.array(F.when(F.col("class_id") > 3, "unknown_class"), F.when(F.col("y") > PAGE_H, "invalid_coords"), F.when((F.col("x") + F.col("w") > 600) | (F.col("y") + F.col("h") > PAGE_H), "out_of_bounds")))
-    return predictions(spark, sf_dir).select(F.explode(found).alias("issue")).groupBy("issue").agg(F.count("*").alias("n"))
-
-
 @query("SELECT o_orderpriority, p_brand, count(*) n, sum(CAST(l_quantity AS BIGINT)) quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey GROUP BY ALL")
 def q_annotation_image_category(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem").join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -103,35 +99,7 @@ def q_iou_candidates(spark, sf_dir):
 
 @query(BOXES + "SELECT 'fp' kind, class_id, count(*) n FROM pred p WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.page_id = p.page_id AND q.pred_no = p.ann_no AND 2 * inter > area - inter) GROUP BY class_id UNION ALL SELECT 'fn', class_id, count(*) FROM gt g WHERE NOT EXISTS (SELECT 1 FROM pairs q WHERE q.page_id = g.page_id AND q.gt_no = g.ann_no AND 2 * inter > area - inter) GROUP BY class_id")
 def q_fp_fn_overlay(spark, sf_dir):
-    gt, pred = boxes(spark, sf_dir), predictions(spark, sf_dir)
-    hits = M.candidates(gt, pred).where("2 * inter > uni")
-    miss = lambda t, no, kind: t.join(hits.select("page_id", F.col(no).alias("ann_no")), ["page_id", "ann_no"], "left_anti").groupBy(F.lit(kind).alias("kind"), "class_id").agg(F.count("*").alias("n"))
-    return miss(pred, "pred_no", "fp").unionByName(miss(gt, "gt_no", "fn"))
-
-
-@query()
-def q_match_confusion(spark, sf_dir):
-    return M.match_confusion(boxes(spark, sf_dir), predictions(spark, sf_dir))
-
-
-@query()
-def q_match_calibration(spark, sf_dir):
-    return R.ece(M.match_calibration(boxes(spark, sf_dir), predictions(spark, sf_dir)), "confidence", "correct")
-
-
-@query()
-def q_error_mining(spark, sf_dir):
-    return M.mine_errors(boxes(spark, sf_dir), predictions(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("n"))
-
-
-@query()
-def q_nms(spark, sf_dir):
-    return M.suppress(predictions(spark, sf_dir), 0.4, 0.1).groupBy("class_id").agg(F.count("*").alias("n"))
-
-
-@query()
-def q_map_metric(spark, sf_dir):
-    return M.average_precision(boxes(spark, sf_dir), predictions(spark, sf_dir))
+    return M.unmatched(boxes(spark, sf_dir), predictions(spark, sf_dir)).groupBy("kind", "class_id").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT c AS class, coalesce(n, 0) n, 100.0 * coalesce(n, 0) / (SELECT count(*) FROM events) pct, 100.0 * coalesce(n, 0) / (SELECT count(*) FROM events) < 5 rare FROM (SELECT unnest(['signup', 'error', 'click', 'view', 'purchase', 'refund']) c) LEFT JOIN (SELECT event_type, count(*) n FROM events GROUP BY 1) ON c = event_type""")
@@ -140,9 +108,11 @@ def q_class_imbalance(spark, sf_dir):
     return R.class_balance(read(spark, sf_dir, "events"), "event_type", declared)
 
 
-@query(BOXES + "SELECT class_id, count(*) n, min(w) min_w, max(w) max_w, round(avg(w), 6) avg_w, round(avg(w * h), 6) avg_area, count(DISTINCT page_id) pages FROM gt GROUP BY class_id")
+@query(BOXES + "SELECT class_id, count(*) n, min(w) min_w, max(w) max_w, round(avg(w), 6) avg_w, min(h) min_h, max(h) max_h, round(avg(h), 6) avg_h, min(w * h) min_area, max(w * h) max_area, round(avg(w * h), 6) avg_area, round(stddev_pop(w), 6) std_w, round(median(w), 6) median_w, count(DISTINCT page_id) pages FROM gt GROUP BY class_id")
 def q_dataset_stats(spark, sf_dir):
-    return boxes(spark, sf_dir).groupBy("class_id").agg(F.count("*").alias("n"), F.min("w").alias("min_w"), F.max("w").alias("max_w"), F.round(F.avg("w"), 6).alias("avg_w"), F.round(F.avg(F.col("w") * F.col("h")), 6).alias("avg_area"), F.count_distinct("page_id").alias("pages"))
+    sized = boxes(spark, sf_dir).withColumn("area", F.col("w") * F.col("h"))
+    sides = [f(c).alias(f"{n}_{c}") if n != "avg" else F.round(f(c), 6).alias(f"{n}_{c}") for c in ("w", "h", "area") for n, f in (("min", F.min), ("max", F.max), ("avg", F.avg))]
+    return sized.groupBy("class_id").agg(F.count("*").alias("n"), *sides, F.round(F.stddev_pop("w"), 6).alias("std_w"), F.round(F.median("w"), 6).alias("median_w"), F.count_distinct("page_id").alias("pages"))
 
 
 @query("""WITH r AS (SELECT CAST(quality AS VARCHAR) t, CASE WHEN n_chars > 1000 THEN '1' ELSE '0' END g FROM labels JOIN documents USING (doc_id)), l AS (SELECT t label FROM r UNION SELECT g FROM r),
@@ -172,80 +142,160 @@ def q_temperature(spark, sf_dir):
     return R.best_temperature(confident(spark, sf_dir), "c", "y").select("k", F.round("t", 6).alias("t"), F.round("nll", 6).alias("nll"))
 
 
-def _pii_sql() -> str:
-    parts = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS type, unnest(regexp_extract_all(text, '{p}')) AS original FROM documents" for k, p in X.PII.items())
-    return f"({parts})"
+def _ascii_sql(text: str, kind: str) -> str:
+    """A text in which letters and digits beyond ASCII are underscores, which are no part of any pattern but that of
+    addresses: the SQL engine knows word boundaries beside ASCII only."""
+    return text if kind == "email" else f"regexp_replace(regexp_replace({text}, '[^\\x00-\\x7F\\p{{L}}\\p{{M}}\\p{{N}}]', '#', 'g'), '[^\\x00-\\x7F]', '_', 'g')"
 
 
-def pii(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return docs.select("doc_id", "lang", "text", F.explode(X.pii_hits(F.col("text"))).alias("h")).select("doc_id", "lang", "text", "h.type", "h.original")
+def _pii_sql(types=tuple(X.PII)) -> str:
+    parts = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS type, unnest(regexp_extract_all({_ascii_sql('text', k)}, '{X.PII[k]}')) AS original FROM documents" for k in types)
+    return f"({parts})"
 
 
-ASCII_TYPES = "('email', 'phone', 'credit_card')"
-#: Where engines agree on boundaries, case and edits; the narrower queries q_..._ascii hold SQL against the whole ones' rows.
+#: Where engines agree on case and edits; the narrower queries q_..._ascii hold SQL against the whole ones' rows.
 NOT_ASCII = r"[^\x00-\x7F]"
 
 
-@query()
+@query(f"SELECT doc_id, type, original, count(*) n FROM {_pii_sql()} GROUP BY ALL")
 def q_pii_findings(spark, sf_dir):
-    """Every type in every document. No SQL: engines differ on word boundaries beside letters that are not ASCII."""
-    return pii(spark, sf_dir).groupBy("doc_id", "type", "original").agg(F.count("*").alias("n"))
+    """Every type in every document."""
+    hits = read(spark, sf_dir, "documents").select("doc_id", F.explode(X.pii_hits(F.col("text"))).alias("h"))
+    return hits.groupBy("doc_id", "h.type", "h.original").agg(F.count("*").alias("n"))
 
 
-@query(f"SELECT doc_id, type, original, count(*) n FROM {_pii_sql()} WHERE type IN {ASCII_TYPES} AND doc_id IN (SELECT doc_id FROM documents WHERE NOT regexp_matches(text, '[^\\x00-\\x7F]')) GROUP BY ALL")
-def q_pii_findings_ascii(spark, sf_dir):
-    """The rows of q_pii_findings that SQL gives too: three types in ASCII documents."""
-    ascii_docs = read(spark, sf_dir, "documents").where(~F.col("text").rlike(NOT_ASCII)).select("doc_id")
-    return q_pii_findings(spark, sf_dir).where(f"type IN {ASCII_TYPES}").join(ascii_docs, "doc_id", "left_semi")
+#: Documents with hits of the types that they lack.
+RARE = "(VALUES (1, 'PAN ABCDE1234F and aadhaar 1234-5678-9012'), (2, 'SSN 123-45-6789, born 01/02/1990 or 1990-02-01'), (3, 'IBAN DE89370400440532013000 by DEUTDEFF500'), (4, 'a@b.org, 4111111111111111 and +49 (123) 456-7890'), (5, 'ab'))"
 
 
-@query()
+def _redact_sql() -> str:
+    keep = lambda k: f"CASE WHEN length(o) > {2 * k} THEN o[1:{k}] || repeat('*', length(o) - {2 * k}) || o[length(o) - {k - 1}:] ELSE repeat('*', length(o)) END"
+    dated = "CASE WHEN regexp_matches(o, '[-/][0-9]{4}$') THEN regexp_replace(o, '[0-9]{4}$', '****') WHEN regexp_matches(o, '^[0-9]{4}[-/]') THEN regexp_replace(o, '^[0-9]{4}', '****') ELSE repeat('*', length(o)) END"
+    return f"CASE type WHEN 'dob' THEN {dated} WHEN 'email' THEN {keep(1)} ELSE {keep(2)} END"
+
+
+_CONTEXT_SQL = "CASE WHEN place > 51 THEN '...' ELSE '' END || t[greatest(1, place - 50):least(length(t), place + length(o) + 49)] || CASE WHEN place + length(o) + 49 < length(t) THEN '...' ELSE '' END"
+
+
+def _pii_rows_sql(table: str, types) -> str:
+    return " UNION ALL ".join(f"SELECT id, t, '{k}' AS type, unnest(regexp_extract_all({_ascii_sql('t', k)}, '{X.PII[k]}')) AS o FROM {table}" for k in types)
+
+
+REDACTED = ("email", "pan", "aadhaar", "iban", "swift", "dob", "credit_card", "ssn")
+
+
+@query(f"WITH d AS (SELECT doc_id id, text t FROM documents UNION ALL SELECT -col0, col1 FROM {RARE}), h AS ({_pii_rows_sql('d', REDACTED)}), p AS (SELECT *, instr(t, o) AS place FROM h) SELECT id, type, o original, {_redact_sql()} redacted, {_CONTEXT_SQL} AS context, count(*) n FROM p GROUP BY ALL")
 def q_pii_redacted(spark, sf_dir):
-    return pii(spark, sf_dir).select("doc_id", "type", "original", X.redact(F.col("original"), F.col("type")).alias("redacted"), X.context(F.col("text"), F.col("original")).alias("context"))
+    """All types but phone numbers, which any four digits are; with texts that hold the types the documents lack."""
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("t"))
+    rows = docs.unionByName(spark.sql(f"SELECT CAST(-col1 AS BIGINT) AS id, col2 AS t FROM VALUES {RARE[8:-1]}"))
+    return Q.scan_pii(rows, "id", "t", REDACTED).groupBy("id", "type", "original", "redacted", "context").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"WITH h AS {_pii_sql()} SELECT (SELECT count(*) FROM h) findings, (SELECT count(DISTINCT doc_id) FROM h) with_pii, (SELECT count(DISTINCT doc_id) FROM documents) scanned")
+def q_pii_summary(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return Q.pii_totals(docs.select("doc_id", F.explode(X.pii_hits(F.col("text")))), "doc_id", docs)
+
+
+RTL_SHARE = f"length(regexp_replace(text, '{X.RTL[:1] + '^' + X.RTL[1:]}', '', 'g'))"
+
+
+@query(f"""WITH d AS (SELECT doc_id, lang, CASE WHEN r > 0.6 THEN 'rtl' WHEN r > 0.3 THEN 'mixed' ELSE 'ltr' END direction FROM (SELECT doc_id, lang, CASE WHEN length(text) > 0 THEN {RTL_SHARE} / length(text) ELSE 0 END r FROM documents)),
+h AS {_pii_sql()} SELECT lang, direction, type, count(original) n, count(DISTINCT doc_id) documents FROM d LEFT JOIN h USING (doc_id) GROUP BY ALL""")
 def q_quality_summary(spark, sf_dir):
     """Personal data and direction by language and type; every language has a row."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    ratio, label, _ = X.direction(F.col("text"))
-    hits = docs.select("doc_id", "lang", ratio.alias("ratio"), label.alias("direction"), F.explode_outer(X.pii_hits(F.col("text"))).alias("h"))
-    return hits.groupBy("lang", "direction", F.col("h.type").alias("type")).agg(F.count("h.original").alias("n"), F.count_distinct("doc_id").alias("documents")).orderBy("lang", "direction", "type")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang", X.direction(F.col("text"))[1].alias("direction"), F.explode_outer(X.pii_hits(F.col("text"))).alias("h"))
+    return docs.groupBy("lang", "direction", F.col("h.type").alias("type")).agg(F.count("h.original").alias("n"), F.count_distinct("doc_id").alias("documents"))
 
 
 def _any_sql(keys, text="lower(text)") -> str:
     return "(" + " OR ".join(f"contains({text}, '{k}')" for k in keys) + ")"
 
 
-@query("SELECT source, count(*) total, count_if(t <> 'Unknown') licensed, count(DISTINCT CASE WHEN t <> 'Unknown' THEN t END) families, count_if(nc) non_commercial, count_if(nd) no_derivatives, count_if(att) attribution FROM (SELECT source, CASE " + " ".join(f"WHEN {_any_sql(keys)} THEN '{n}'" for n, keys in X.LICENSES) + f" ELSE 'Unknown' END t, {_any_sql(X.NON_COMMERCIAL)} nc, {_any_sql(X.NO_DERIVATIVES)} nd, {_any_sql(X.ATTRIBUTION)} att FROM documents) GROUP BY source")
+def _license_sql(text: str = "text") -> dict[str, str]:
+    """The terms of license_terms, in SQL."""
+    low, head = f"lower({text})", f"lower({text}[1:500])"
+    credit = "".join(f"WHEN regexp_matches({text}[1:500], '(?is){w}{X.CREDIT_TEXT}') THEN regexp_replace(regexp_extract({text}[1:500], '(?is){w}{X.CREDIT_TEXT}', 1), '^[{X.SPACES}]+|[{X.SPACES}]+$', '', 'g') " for w in X.CREDITS)
+    return {
+        "license_type": "CASE " + " ".join(f"WHEN {_any_sql(keys, low)} THEN '{n}'" for n, keys in X.LICENSES) + " ELSE 'Unknown' END", "requires_attribution": _any_sql(X.ATTRIBUTION, low), "attribution_text": f"CASE {credit}ELSE '' END",
+        "commercial_use": f"NOT {_any_sql(X.NOT_COMMERCIAL, head)}", "modification_allowed": f"NOT {_any_sql(X.NOT_MODIFIED, head)}",
+        "requirements": "array_to_string(list_filter([" + ", ".join(f"CASE WHEN {_any_sql(keys, head)} THEN '{n}' END" for n, keys in X.REQUIREMENTS) + "], lambda r: r IS NOT NULL), ',')",
+    }
+
+
+@query("SELECT doc_id, " + ", ".join(f"{v} AS {k}" for k, v in _license_sql().items()) + " FROM documents")
+def q_license_terms(spark, sf_dir):
+    terms = X.license_terms(F.col("text"))
+    terms["requirements"] = F.array_join(terms["requirements"], ",")
+    return read(spark, sf_dir, "documents").select("doc_id", *(c.alias(n) for n, c in terms.items()))
+
+
+@query(f"""WITH f AS (SELECT source folder, {_license_sql()['license_type']} t, {_license_sql()['requires_attribution']} a FROM documents WHERE {_any_sql(('license', 'copyright'), 'lower(text)')}),
+g AS (SELECT source folder, count(t) license_files, coalesce(array_to_string(list_sort(list_distinct(list(t) FILTER (t IS NOT NULL))), ','), '') license_types, coalesce(bool_or(a), false) has_attribution, count(DISTINCT t) > 1 multiple FROM (SELECT DISTINCT source FROM documents) LEFT JOIN f ON folder = source GROUP BY 1)
+SELECT *, CASE WHEN license_files = 0 THEN 1 ELSE 0 END + CASE WHEN license_files > 0 AND NOT has_attribution THEN 1 ELSE 0 END + CASE WHEN multiple THEN 1 ELSE 0 END n_warnings, CASE WHEN license_files = 0 THEN 2 ELSE 0 END + CASE WHEN license_files > 0 AND NOT has_attribution THEN 1 ELSE 0 END + CASE WHEN multiple THEN 1 ELSE 0 END n_recommendations FROM g""")
 def q_license_compliance(spark, sf_dir):
+    """Sources as folders; their licence files are the documents that speak of a licence or copyright."""
     t = F.col("text")
-    rows = read(spark, sf_dir, "documents").select("source", X.license_type(t).alias("t"), X.has_any(t, X.NON_COMMERCIAL).alias("nc"), X.has_any(t, X.NO_DERIVATIVES).alias("nd"), X.has_any(t, X.ATTRIBUTION).alias("att"))
-    known = F.col("t") != "Unknown"
-    return rows.groupBy("source").agg(F.count("*").alias("total"), F.count_if(known).alias("licensed"), F.count_distinct(F.when(known, F.col("t"))).alias("families"), F.count_if("nc").alias("non_commercial"), F.count_if("nd").alias("no_derivatives"), F.count_if("att").alias("attribution"))
+    docs = read(spark, sf_dir, "documents").select("source", F.when(X.has_any(t, ("license", "copyright")), t).alias("t"))
+    g = Q.folder_licenses(docs, "source", "t")
+    return g.select(F.col("source").alias("folder"), "license_files", F.array_join("license_types", ",").alias("license_types"), "has_attribution", "multiple", F.size("warnings").alias("n_warnings"), F.size("recommendations").alias("n_recommendations"))
 
 
-@query("SELECT doc_id, CASE WHEN n = 0 THEN 0 WHEN n <= 220 THEN 1 ELSE 1 + (n - 1) // 190 END n_chunks, n n_words FROM (SELECT doc_id, len(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')) n FROM documents)")
+WORDS_SQL = f"regexp_extract_all(coalesce(text, ''), '{X.WORD}')"
+
+
+@query(f"""WITH w AS (SELECT doc_id, text, {WORDS_SQL} w FROM documents WHERE text IS NOT NULL), s AS (SELECT doc_id, text, w, unnest(CASE WHEN len(w) <= 220 THEN [0] ELSE range(0, len(w), 190) END) i FROM w)
+SELECT doc_id, i // 190 chunk_no, md5(CASE WHEN len(w) <= 220 THEN text ELSE array_to_string(w[i + 1:i + 220], ' ') END) digest FROM s""")
 def q_chunk_documents(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents").select("doc_id", X.words(F.col("text")).alias("w"))
-    return docs.select("doc_id", F.size(X.chunks(F.col("w"))).cast("long").alias("n_chunks"), F.size("w").cast("long").alias("n_words"))
+    return read(spark, sf_dir, "documents").select("doc_id", F.posexplode(X.chunks(F.col("text"))).alias("chunk_no", "chunk")).select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), F.md5("chunk").alias("digest"))
+
+
+#: Turns as descriptions: their class and page language follow their place.
+KINDS = ("Table", "Figure", "Chart", "Text")
+
 
+def qa_rows(spark, sf_dir) -> DataFrame:
+    c = read(spark, sf_dir, "conversations")
+    kind = F.element_at(F.array(*(F.lit(k) for k in KINDS)), ((F.col("conv_id") + F.col("turn")) % 4 + 1).cast("int"))
+    return c.select("conv_id", "turn", kind.alias("class"), X.qa_flags(F.col("text"), kind, F.when(F.col("conv_id") % 2 == 0, "en")).alias("flags"))
 
-@query("""SELECT issue, count(*) n FROM (SELECT unnest(list_filter([CASE WHEN n > 80 THEN 'too_long' END, CASE WHEN n < 3 THEN 'too_short' END, CASE WHEN n >= 5 AND d * 2 < n THEN 'repetitive' END], lambda i: i IS NOT NULL)) issue FROM
- (SELECT len(w) n, len(list_distinct(w)) d FROM (SELECT list_transform(list_filter(regexp_split_to_array(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> ''), lambda w: lower(w)) w FROM conversations))) GROUP BY issue""")
+
+def _qa_sql() -> str:
+    """Flags of the same rows: (conv_id, turn, class, f), f being [issue, severity]."""
+    low, spaces = "lower(text)", X.SPACES
+    generic = " + ".join(f"CAST(contains({low}, '{p}') AS INT)" for p in X.GENERIC)
+    english = f"({_any_sql(X.ENGLISH, low)} AND NOT regexp_matches(text, '[^\x00-\x7F]'))"
+    missing = " OR ".join(f"(class = '{k}' AND NOT {_any_sql(v, low)})" for k, v in X.RELEVANT.items())
+    flags = (
+        ("n > 80", "length_excessive", "medium"), ("n < 3", "length_insufficient", "high"), (f"conv_id % 2 = 0 AND NOT {english}", "language_mismatch", "medium"),
+        (f"class <> 'Text' AND NOT regexp_matches(text, '{X.NUMBER}')", "missing_numerics", "medium"), ("len(s) = 0", "no_sentences", "high"), (f"len(list_filter(s, lambda x: len(regexp_extract_all(x, '{X.WORD}')) > 30)) > 0", "long_sentences", "low"),
+        ("n >= 5 AND 2 * len(list_distinct(list_transform(w, lambda x: lower(x)))) < n", "excessive_repetition", "medium"), (f"{generic} > 2", "generic_content", "low"), (f"{generic} <= 2 AND ({missing})", "inappropriate_content", "medium"),
+    )
+    picked = ", ".join(f"CASE WHEN {cond} THEN ['{issue}', '{severity}'] END" for cond, issue, severity in flags)
+    return f"""(SELECT conv_id, turn, class, unnest(list_filter([{picked}], lambda f: f IS NOT NULL)) f FROM (SELECT *, len(w) n FROM (SELECT conv_id, turn, text, ['{"', '".join(KINDS)}'][(conv_id + turn) % 4 + 1] AS class, {WORDS_SQL} w,
+ list_filter(list_transform(regexp_split_to_array(text, '[.!?]+'), lambda x: regexp_replace(x, '^[{spaces}]+|[{spaces}]+$', '', 'g')), lambda x: x <> '') s FROM conversations WHERE text <> '')))"""
+
+
+@query(f"SELECT conv_id, turn, class, f[1] issue, f[2] severity FROM {_qa_sql()}")
 def q_qa_flags(spark, sf_dir):
-    rows = read(spark, sf_dir, "conversations").select("text", X.words(F.col("text")).alias("w"))
-    flags = rows.select(F.explode(X.qa_flags(F.col("text"), F.lit("Text"), F.col("w"))).alias("f")).select("f.issue")
-    return flags.where("issue in ('too_long', 'too_short', 'repetitive')").groupBy("issue").agg(F.count("*").alias("n"))
+    """All checks of every turn."""
+    return qa_rows(spark, sf_dir).select("conv_id", "turn", "class", F.explode("flags").alias("f")).select("conv_id", "turn", "class", "f.issue", "f.severity")
 
 
-@query()
+@query(f"SELECT issue, severity, class, count(*) n FROM (SELECT class, f[1] issue, f[2] severity FROM {_qa_sql()}) GROUP BY GROUPING SETS ((issue), (severity), (class))")
 def q_qa_summary(spark, sf_dir):
-    """Counts by issue, by severity and by role in one pass (grouping sets)."""
-    rows = read(spark, sf_dir, "conversations").select("role", "text", X.words(F.col("text")).alias("w"))
-    rows.select("role", F.explode(X.qa_flags(F.col("text"), F.lit("Text"), F.col("w"))).alias("f")).select("role", "f.*").createOrReplaceTempView("qa_flagged")
-    return spark.sql("SELECT issue, severity, role, count(*) AS n FROM qa_flagged GROUP BY GROUPING SETS ((issue), (severity), (role))")
+    """Counts by issue, by severity and by class in one pass (grouping sets)."""
+    from foliant.operators.evaluation import qa_summary
+
+    return qa_summary(q_qa_flags(spark, sf_dir))
+
+
+@query(f"SELECT (SELECT count(*) FROM conversations) total, count(*) flagged, round(count(*) / (SELECT count(*) FROM conversations), 9) flag_rate FROM (SELECT DISTINCT conv_id, turn FROM {_qa_sql()})")
+def q_qa_rate(spark, sf_dir):
+    from foliant.operators.evaluation import flag_rate
+
+    return flag_rate(qa_rows(spark, sf_dir), "flags").withColumn("flag_rate", F.round("flag_rate", 9))
 
 
 def adjacent(spark, sf_dir):
@@ -279,11 +329,16 @@ def q_exact_dup(spark, sf_dir):
     return read(spark, sf_dir, "documents").groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")).where("n > 1").select("doc_id", "n", "digest")
 
 
-@query("SELECT a.vec_id a, b.vec_id b, bit_count(xor(a.h, b.h)) distance FROM (SELECT min(vec_id) vec_id, h FROM (SELECT vec_id, list_sum([CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END FOR i IN range(62)])::BIGINT h FROM embeddings) GROUP BY h) a JOIN (SELECT min(vec_id) vec_id, h FROM (SELECT vec_id, list_sum([CASE WHEN embedding[i + 1] > 0 THEN (1::BIGINT << i) ELSE 0 END FOR i IN range(62)])::BIGINT h FROM embeddings) GROUP BY h) b ON a.vec_id < b.vec_id AND bit_count(xor(a.h, b.h)) <= 8")
+#: Hashes of 60 bits that orders of a customer share but for a few bits, and those of some that differ in nine or more.
+NEAR_SQL = "xor(CAST('0x' || md5(CAST(o_custkey AS VARCHAR))[1:15] AS BIGINT), [0, 1, 2305843, 255, 511, 34359738368][o_orderkey % 6 + 1])"
+
+
+@query(f"WITH h AS (SELECT min(o_orderkey) id, o_custkey, {NEAR_SQL} h FROM orders GROUP BY ALL), c AS (SELECT min(id) id, h FROM h GROUP BY h) SELECT a.id a, b.id b, bit_count(xor(a.h, b.h)) distance FROM c a JOIN c b ON a.id < b.id AND bit_count(xor(a.h, b.h)) <= 8")
 def q_near_hashes(spark, sf_dir):
-    """Sign bits of the vectors as 64-bit hashes, near in Hamming distance."""
-    sign = F.aggregate(F.sequence(F.lit(0), F.lit(61)), F.lit(0).cast("long"), lambda s, i: s + F.when(F.element_at("embedding", i + 1) > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return R.near_hashes(read(spark, sf_dir, "embeddings").select("vec_id", sign.alias("h")), "vec_id", "h")
+    o = read(spark, sf_dir, "orders")
+    change = F.element_at(F.array(*(F.lit(x).cast("long") for x in (0, 1, 2305843, 255, 511, 34359738368))), (F.col("o_orderkey") % 6 + 1).cast("int"))
+    h = F.conv(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 15), 16, 10).cast("long").bitwiseXOR(change)
+    return R.near_hashes(o.select("o_orderkey", h.alias("h")), "o_orderkey", "h")
 
 
 SPLIT = "CASE WHEN n < 3 OR r <= floor(n * 0.8) THEN 'train' WHEN r <= floor(n * 0.8) + floor(n * 0.1) THEN 'val' ELSE 'test' END"
@@ -291,7 +346,7 @@ SPLIT = "CASE WHEN n < 3 OR r <= floor(n * 0.8) THEN 'train' WHEN r <= floor(n *
 
 @query(f"SELECT o_orderkey, {SPLIT} split FROM (SELECT o_orderkey, count(*) OVER () n, row_number() OVER (ORDER BY md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), o_orderkey) r FROM orders)")
 def q_split_uniform(spark, sf_dir):
-    return R.split_ranked(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
+    return R.split_rows(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"])
 
 
 @query(f"SELECT doc_id, {SPLIT} split FROM (SELECT doc_id, count(*) OVER (PARTITION BY lang, source) n, row_number() OVER (PARTITION BY lang, source ORDER BY md5(concat_ws('|', '42', CAST(doc_id AS VARCHAR))), doc_id) r FROM documents)")
@@ -303,13 +358,14 @@ def q_split_stratified(spark, sf_dir):
 def q_split_grouped(spark, sf_dir):
     """Whole conversations move together."""
     turns = read(spark, sf_dir, "conversations").select("conv_id")
-    groups = R.split_ranked(turns.distinct(), ["conv_id"])
+    groups = R.split_rows(turns.distinct(), ["conv_id"])
     return turns.join(groups, "conv_id").groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("conv_id").alias("conversations"))
 
 
-@query("WITH d AS (SELECT md5(text) k, lang || (doc_id % 3) s FROM documents), u AS (SELECT DISTINCT k, s FROM d) SELECT a.s split_a, b.s split_b, count(*) n FROM u a JOIN u b ON a.k = b.k AND a.s < b.s GROUP BY ALL")
+@query("WITH d AS (SELECT md5(text) k, lang || (doc_id % 3) s FROM documents), u AS (SELECT DISTINCT k, s FROM d) SELECT a.s split_a, b.s split_b, count(*) n, array_to_string(list_sort(list(a.k))[1:10], ',') examples FROM u a JOIN u b ON a.k = b.k AND a.s < b.s GROUP BY ALL")
 def q_split_leakage(spark, sf_dir):
-    return R.leakage(read(spark, sf_dir, "documents").select(F.md5("text").alias("k"), F.concat("lang", (F.col("doc_id") % 3).cast("string")).alias("s")), "k", "s")
+    rows = read(spark, sf_dir, "documents").select(F.md5("text").alias("k"), F.concat("lang", (F.col("doc_id") % 3).cast("string")).alias("s"))
+    return R.leakage(rows, "k", "s").withColumn("examples", F.array_join("examples", ","))
 
 
 @query(BOXES + "SELECT page_id, ann_no, class_id FROM (SELECT *, row_number() OVER (PARTITION BY class_id ORDER BY md5(concat_ws('|', '42', CAST(page_id AS VARCHAR), CAST(ann_no AS VARCHAR))), page_id, ann_no) r FROM gt) WHERE r <= 200")
@@ -340,8 +396,7 @@ def q_majority_name(spark, sf_dir):
 
 @query(BOXES + "SELECT page_id, array_to_string(list(CAST(ann_no AS VARCHAR) ORDER BY y, x, ann_no), ',') reading FROM gt GROUP BY page_id")
 def q_reading_order(spark, sf_dir):
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("y", "x", "ann_no"))), lambda e: e["ann_no"].cast("string"))
-    return boxes(spark, sf_dir).groupBy("page_id").agg(F.array_join(ordered, ",").alias("reading"))
+    return reading_order(boxes(spark, sf_dir), "page_id", ["y", "x", "ann_no"], "ann_no")
 
 
 #: The queries of a search: every row whose id is divisible by 100. The SQL holds the search for the first five rows.
@@ -378,16 +433,12 @@ def q_vector_topk_truncated_first(spark, sf_dir):
     return _similar(spark, sf_dir, 32, FIRST)
 
 
-@query(BOXES + ", n AS (SELECT count(DISTINCT page_id)::DOUBLE n FROM pred), c AS (SELECT page_id, score c, n, (1 - score) / (n - 1) r FROM pred, n), e AS (SELECT *, (c + 1e-8) / (1 + n * 1e-8) p0, (r + 1e-8) / (1 + n * 1e-8) p1 FROM c WHERE c + 1e-8 > 0) SELECT page_id, round(min(CASE WHEN c >= r THEN c - r WHEN n >= 3 THEN 0.0 ELSE r - c END), 6) margin, round(max(-(p0 * ln(p0) + (n - 1) * p1 * ln(p1))), 6) entropy, round(greatest(0.0, 0.5 - min(c)), 6) low_conf FROM e WHERE p0 > 0 AND p1 > 0 GROUP BY page_id")
+@query(BOXES + ", n AS (SELECT count(DISTINCT page_id)::DOUBLE n FROM pred), c AS (SELECT page_id, score c, n, (1 - score) / (n - 1) r FROM pred, n), e AS (SELECT *, (c + 1e-8) / (1 + n * 1e-8) p0, (r + 1e-8) / (1 + n * 1e-8) p1 FROM c) SELECT page_id, round(min(CASE WHEN c >= r THEN c - r WHEN n >= 3 THEN 0.0 ELSE r - c END), 6) margin, round(max(-(p0 * ln(p0) + (n - 1) * p1 * ln(p1))), 6) entropy, round(greatest(0.0, 0.5 - min(c)), 6) low_conf FROM e GROUP BY page_id")
 def q_uncertainty(spark, sf_dir):
-    pred = predictions(spark, sf_dir).where("score > 0 and score < 1")
-    every = R.uncertainty(pred, "page_id", "score")
+    every = R.uncertainty(predictions(spark, sf_dir), "page_id", "score")
     return every.select("page_id", *(F.round(c, 6).alias(c) for c in ("margin", "entropy", "low_conf")))
 
 
-ORACLES["q_uncertainty"] = ORACLES["q_uncertainty"].replace("FROM pred), c AS", "FROM pred WHERE score > 0 AND score < 1), c AS").replace("FROM pred, n)", "FROM pred, n WHERE score > 0 AND score < 1)")
-
-
 @query(BOXES + "SELECT class_id, count(*) n, round(min(score), 9) lo, round(max(score), 9) hi, round(avg(score), 6) mean FROM pred WHERE score >= 0.6 GROUP BY class_id")
 def q_pseudo_manifest(spark, sf_dir):
     return predictions(spark, sf_dir).where("score >= 0.6").groupBy("class_id").agg(F.count("*").alias("n"), F.round(F.min("score"), 9).alias("lo"), F.round(F.max("score"), 9).alias("hi"), F.round(F.avg("score"), 6).alias("mean"))
@@ -406,11 +457,6 @@ def cache(spark, sf_dir):
     return read(spark, sf_dir, "events").groupBy(F.concat("event_type", F.lit(":"), F.col("user_id").cast("string")).alias("key")).agg(F.sum(F.col("event_id") % 1000).alias("size_bytes"), F.max("event_id").alias("last_accessed"), F.count("*").alias("access_count"))
 
 
-@query(f"SELECT split_part(key, ':', 1) prefix, count(*) n, CAST(sum(size_bytes) AS BIGINT) size_bytes, max(access_count) most, round(avg(access_count), 6) mean FROM {CACHE} GROUP BY 1")
-def q_cache_stats(spark, sf_dir):
-    return cache(spark, sf_dir).groupBy(F.substring_index("key", ":", 1).alias("prefix")).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("size_bytes"), F.max("access_count").alias("most"), F.round(F.avg("access_count"), 6).alias("mean"))
-
-
 @query(f"SELECT key, size_bytes FROM (SELECT *, sum(size_bytes) OVER () t, coalesce(sum(size_bytes) OVER (ORDER BY last_accessed, access_count, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) b FROM {CACHE}) WHERE t > 1000000 AND t - b > 800000")
 def q_cache_evict(spark, sf_dir):
     return R.evict(cache(spark, sf_dir), 1_000_000).select("key", "size_bytes")
@@ -422,40 +468,20 @@ def q_cache_upsert(spark, sf_dir):
     return R.upsert(old, old.where("c_custkey % 10 = 0").withColumn("c_name", F.upper("c_name")), "c_custkey")
 
 
-@query("SELECT c_custkey, n new_name, c_name <> n renamed, count(*) OVER (PARTITION BY n) > 1 collides FROM (SELECT c_custkey, c_name, regexp_replace(replace(lower(c_name), ' ', '_'), '[^a-z0-9._-]', '', 'g') n FROM customer)")
-def q_filename_hygiene(spark, sf_dir):
-    new = F.regexp_replace(F.replace(F.lower("c_name"), F.lit(" "), F.lit("_")), "[^a-z0-9._-]", "")
-    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", new.alias("new_name"))
-    return c.select("c_custkey", "new_name", (F.col("c_name") != F.col("new_name")).alias("renamed"), (F.count("*").over(Window.partitionBy("new_name")) > 1).alias("collides"))
-
-
 @query("SELECT event_type, count(*) n, CAST(sum(CAST(json_extract(props, '$.k') AS BIGINT)) AS BIGINT) total FROM events GROUP BY 1")
 def q_json_props(spark, sf_dir):
     e = read(spark, sf_dir, "events").select("event_type", F.from_json("props", "k long")["k"].alias("k"))
     return e.groupBy("event_type").agg(F.count("*").alias("n"), F.sum("k").alias("total"))
 
 
-@query(f"SELECT source, n_pii, n_license, CASE WHEN n_pii > 0 OR n_license = 0 THEN 'NEEDS ATTENTION' ELSE 'READY' END status FROM (SELECT source, count_if(regexp_matches(text, '{X.PII['email']}')) n_pii, count_if({_any_sql(('license',))}) n_license FROM documents GROUP BY source)")
+@query(f"""WITH g AS (SELECT source, coalesce(sum(len(regexp_extract_all(text, '{X.PII['email']}'))), 0)::BIGINT n_pii, 100.0 * count_if({RTL_SHARE} / greatest(1, length(text)) > 0.6) / count(*) rtl, bool_or({_any_sql(('license',))}) licensed FROM documents GROUP BY source)
+SELECT source, n_pii, round(rtl, 6) rtl, licensed, CASE WHEN n_pii > 0 OR rtl > 20 OR NOT licensed THEN 'NEEDS ATTENTION' ELSE 'READY' END status FROM g""")
 def q_quality_status(spark, sf_dir):
-    g = read(spark, sf_dir, "documents").groupBy("source").agg(F.count_if(F.col("text").rlike(X.PII["email"])).alias("n_pii"), F.count_if(X.has_any(F.col("text"), ("license",))).alias("n_license"))
-    return g.withColumn("status", F.when((F.col("n_pii") > 0) | (F.col("n_license") == 0), "NEEDS ATTENTION").otherwise("READY"))
-
-
-@query()
-def q_platt(spark, sf_dir):
-    scale, bias = C.platt(confident(spark, sf_dir), "c", "y")
-    return C.apply_platt(confident(spark, sf_dir).select("c").distinct(), "c", scale, bias)
-
-
-@query()
-def q_isotonic(spark, sf_dir):
-    return C.isotonic(confident(spark, sf_dir), "c", "y")
-
-
-@query()
-def q_map_overlaps(spark, sf_dir):
-    """Average precision at overlaps from .5 to .95."""
-    return M.precision_at(boxes(spark, sf_dir), predictions(spark, sf_dir), tuple(range(50, 100, 5)))
+    """Sources as datasets: addresses are their critical issues."""
+    t = F.col("text")
+    docs = read(spark, sf_dir, "documents").select("source", F.size(X.pii_hits(t, ("email",))).alias("n"), (X.direction(t)[0] > 0.6).alias("rtl"), X.has_any(t, ("license",)).alias("licensed"))
+    g = docs.groupBy("source").agg(F.sum("n").alias("n_pii"), (100.0 * F.count_if("rtl") / F.count("*")).alias("rtl"), F.bool_or("licensed").alias("licensed"))
+    return g.select("source", "n_pii", F.round("rtl", 6).alias("rtl"), "licensed", Q.status(F.col("n_pii"), F.col("rtl"), F.lit(0.0), F.col("licensed")).alias("status"))
 
 
 def as_words(pairs):
@@ -473,37 +499,20 @@ def q_wer_pairs(spark, sf_dir):
 
 
 def _bleu_sql() -> str:
-    words = lambda t: f"list_filter(regexp_split_to_array(lower({t}), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '')"
+    words = lambda t: f"regexp_extract_all(lower(coalesce({t}, '')), '{X.WORD}')"
     grams = lambda t, n: f"list_transform(range(1, len({t}) - {n} + 2), lambda i: array_to_string({t}[i:i + {n} - 1], ' '))"
     g = ", ".join(f"{grams(t, n)} {t}{n}" for t in "ab" for n in range(1, 5))
     hits = lambda n: f"coalesce(list_sum(list_transform(list_distinct(b{n}), lambda g: least(len(list_filter(a{n}, lambda x: x = g)), len(list_filter(b{n}, lambda x: x = g))))), 0)"
     log_p = " + ".join(f"0.25 * ln(greatest({hits(n)}::DOUBLE, 0.1) / greatest(1, len(b) - {n - 1}))" for n in range(1, 5))
-    return f"WITH p AS (SELECT a.conv_id, a.turn, {words('a.text')} a, {words('b.text')} b FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 WHERE NOT regexp_matches(a.text || b.text, '[^\\x00-\\x7F]')), g AS (SELECT *, {g} FROM p) SELECT conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 OR NOT list_has_any(a, b) THEN 0.0 ELSE exp({log_p} + least(0.0, 1 - len(a) / len(b))) END, 6) bleu FROM g"
+    return f"WITH p AS (SELECT a.conv_id, a.turn, {words('a.text')} a, {words('b.text')} b FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1), g AS (SELECT *, {g} FROM p) SELECT conv_id, turn, round(CASE WHEN len(a) = 0 OR len(b) = 0 OR NOT list_has_any(a, b) THEN 0.0 ELSE exp({log_p} + least(0.0, 1 - len(a) / len(b))) END, 6) bleu FROM g"
 
 
-@query()
+@query(_bleu_sql())
 def q_bleu_pairs(spark, sf_dir):
-    """All adjacent turns. No SQL: engines differ on the lower case of letters that are not ASCII."""
+    """All adjacent turns."""
     return bleu(adjacent(spark, sf_dir))
 
 
-@query(_bleu_sql())
-def q_bleu_pairs_ascii(spark, sf_dir):
-    """The rows of q_bleu_pairs that SQL gives too: ASCII texts."""
-    return bleu(adjacent(spark, sf_dir).where(both_ascii()))
-
-
-@query(BOXES + "SELECT page_id, page_id % 7 >= 5 AS ok, count(*) n FROM gt GROUP BY page_id")
-def q_schema_validate(spark, sf_dir):
-    """A JSON document for each page; five of seven lack something or have a bad box."""
-    kind = F.col("page_id") % 7
-    box = F.when(kind == 2, F.concat_ws(",", "x", "y", "w")).when(kind == 3, F.concat_ws(",", -1 - F.col("x"), "y", "w", "h")).when(kind == 4, F.concat_ws(",", "x", F.lit("1.5"), "w", "h")).otherwise(F.concat_ws(",", "x", "y", "w", "h"))
-    element = F.concat(F.lit('{"class":"Text","bbox":['), box, F.lit('],"language":null,"page":0'), F.when(kind == 1, "").otherwise(',"content":null'), F.lit("}"))
-    pages = boxes(spark, sf_dir).groupBy("page_id").agg(F.array_join(F.collect_list(element), ",").alias("e"), F.count("*").alias("n"))
-    payload = F.concat(F.lit("{"), F.when(kind == 0, "").otherwise('"document_id":"d",'), F.lit('"elements":['), F.col("e"), F.lit("]}"))
-    return pages.select("page_id", X.valid_document(payload).alias("ok"), "n")
-
-
 @query(BOXES + "SELECT class_id, count(*) n, sum(abs(round((xc - w1 / 2) * 1000) - x1)) + sum(abs(round((yc - h1 / 2) * 900) - y1)) AS moved FROM (SELECT class_id, x1, y1, (x1 + w / 2) / 1000 xc, (y1 + h / 2) / 900 yc, w / 1000 w1, h / 900 h1 FROM (SELECT *, greatest(0, least(x, 1000 - w)) x1, greatest(0, least(y, 900 - h)) y1 FROM gt)) GROUP BY class_id")
 def q_yolo_roundtrip(spark, sf_dir):
     x, y, w, h = G.clip_keeping_size(box(), PAGE_W, PAGE_H)

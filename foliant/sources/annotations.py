@@ -6,10 +6,11 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import geometry as G
+from foliant.operators.ranks import ordered
 
 COCO = """
 images array<struct<id:bigint,file_name:string,width:int,height:int>>,
@@ -40,10 +41,11 @@ def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame,
 
 
 def read_yolo(spark: SparkSession, path: str) -> DataFrame:
-    """(file, stem, class_id, xc, yc, w, h) of label files; lines of other than five tokens, or not numbers, go."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.split(F.trim("value"), r"\s+").alias("t")).where("size(t) = 5")
+    """(file, stem, line_no, class_id, xc, yc, w, h) of label files; lines of other than five tokens, or not numbers, go."""
+    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("line_no", "value"))
+    lines = whole.select("file", (F.col("line_no") + 1).alias("line_no"), F.split(F.trim("value"), r"\s+").alias("t")).where("size(t) = 5")
     stem = F.regexp_extract("file", r"([^/]+?)(\.[^./]*)?$", 1)
-    out = lines.select("file", stem.alias("stem"), F.try_to_number(F.col("t")[0], F.lit("999999999")).cast("int").alias("class_id"), *(F.expr(f"try_cast(t[{i}] as double)").alias(c) for i, c in enumerate(("xc", "yc", "w", "h"), 1)))
+    out = lines.select("file", stem.alias("stem"), "line_no", F.try_to_number(F.col("t")[0], F.lit("999999999")).cast("int").alias("class_id"), *(F.expr(f"try_cast(t[{i}] as double)").alias(c) for i, c in enumerate(("xc", "yc", "w", "h"), 1)))
     return out.dropna()
 
 
@@ -61,11 +63,12 @@ def coco_to_boxes(tables: dict[str, DataFrame], labels: DataFrame) -> DataFrame:
 
 
 def yolo_to_coco(labels: DataFrame, images: DataFrame) -> dict[str, DataFrame]:
-    """Numbered images and annotations from YOLO labels; images without labels stay, boxes of no area go."""
-    numbered = images.withColumn("image_id", F.row_number().over(Window.orderBy("stem")).cast("long") - 1)
+    """Images and annotations numbered from 0, by stem and by image and line, from YOLO labels; images without labels
+    stay, boxes of no area go."""
+    numbered = ordered(images, ["stem"]).withColumn("image_id", F.col("rank") - 1).drop("rank")
     x, y, w, h = G.from_yolo(tuple(F.col(c) for c in ("xc", "yc", "w", "h")), F.col("width"), F.col("height"))
-    ann = labels.join(numbered, "stem").select("image_id", "class_id", x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h")).where("w > 0 and h > 0")
-    return {"images": numbered, "annotations": ann}
+    ann = labels.join(numbered, "stem").select("image_id", "line_no", "class_id", x.alias("x"), y.alias("y"), w.alias("w"), h.alias("h")).where("w > 0 and h > 0")
+    return {"images": numbered, "annotations": ordered(ann, ["image_id", "line_no"]).withColumn("ann_id", F.col("rank") - 1).drop("rank", "line_no")}
 
 
 def header_size(data: bytes) -> tuple[int, int] | None:

@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from foliant.plans.catalogue import ORACLES, QUERIES
+from foliant.plans.every import ORACLES, QUERIES
 
 
 def norm(v):
@@ -17,7 +17,7 @@ def norm(v):
 @pytest.fixture(scope="module")
 def duck(sf):
     con = duckdb.connect()
-    for t in "customer supplier part orders lineitem events documents embeddings pages labels conversations".split():
+    for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     return con
 

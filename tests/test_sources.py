@@ -1,3 +1,5 @@
+"""Annotation files, images, streams, and operators on a few rows."""
+
 import json
 import struct
 
@@ -12,30 +14,37 @@ from foliant.streaming.ingest import ingest_new_files
 
 
 def test_coco_and_yolo(spark, tmp_path):
-    doc = {"images": [{"id": 1, "file_name": "test.jpg", "width": 640, "height": 480}], "annotations": [{"id": 1, "image_id": 1, "category_id": 1, "bbox": [100, 200, 150, 100], "area": 15000, "iscrowd": 0}, {"id": 2, "image_id": 1, "category_id": 1, "bbox": [1, 2, 3]}], "categories": [{"id": 1, "name": "Text"}]}
+    doc = {
+        "images": [{"id": 7, "file_name": "leaf.one.png", "width": 400, "height": 250}],
+        "annotations": [{"id": 31, "image_id": 7, "category_id": 4, "bbox": [20, 50, 80, 25], "area": 2000, "iscrowd": 0}, {"id": 32, "image_id": 7, "category_id": 4, "bbox": [1, 2, 3]}, {"id": 33, "image_id": 8, "category_id": 4, "bbox": [1, 2, 3, 4]}],
+        "categories": [{"id": 4, "name": "Caption"}],
+    }
     (tmp_path / "c.json").write_text(json.dumps(doc))
     t = A.read_coco(spark, str(tmp_path / "c.json"))
-    boxes = A.coco_to_boxes(t, spark.createDataFrame([("Text", 0)], "name string, class_id int"))
+    boxes = A.coco_to_boxes(t, spark.createDataFrame([("Caption", 2)], "name string, class_id int"))
     assert boxes.count() == 1
     A.write_yolo(boxes, str(tmp_path / "y"), F.col("width"), F.col("height"))
     lines = [r.value for r in spark.read.text(str(tmp_path / "y")).collect()]
-    assert lines == ["0 0.273438 0.520833 0.234375 0.208333"]
+    assert lines == ["2 0.150000 0.250000 0.200000 0.100000"]
     (tmp_path / "l").mkdir()
-    (tmp_path / "l" / "test.txt").write_text(lines[0] + "\n1 2 3\nx 1 1 1 1\n")
+    (tmp_path / "l" / "leaf.one.txt").write_text("1 2 3\n" + lines[0] + "\nx 1 1 1 1\n0 0.5 0.5 0.1 0.2\n")
     labels = A.read_yolo(spark, str(tmp_path / "l"))
-    back = A.yolo_to_coco(labels, spark.createDataFrame([("test", 640, 480), ("none", 5, 5)], "stem string, width int, height int"))
-    (r,) = back["annotations"].collect()
-    assert back["images"].count() == 2 and all(abs(a - b) < 1e-3 for a, b in zip((r.x, r.y, r.w, r.h), (100, 200, 150, 100), strict=True))
+    assert sorted((r.stem, r.line_no, r.class_id) for r in labels.collect()) == [("leaf.one", 2, 2), ("leaf.one", 4, 0)]
+    back = A.yolo_to_coco(labels, spark.createDataFrame([("zero", 9, 9), ("leaf.one", 400, 250), ("none", 5, 5)], "stem string, width int, height int"))
+    assert {r.stem: r.image_id for r in back["images"].collect()} == {"leaf.one": 0, "none": 1, "zero": 2}
+    first, second = back["annotations"].orderBy("ann_id").collect()
+    assert (first.ann_id, first.image_id, second.ann_id, second.class_id) == (0, 0, 1, 0)
+    assert all(abs(a - b) < 1e-6 for a, b in zip((first.x, first.y, first.w, first.h), (20, 50, 80, 25), strict=True))
     A.write_coco(t["images"], t["annotations"], t["categories"], str(tmp_path / "out"))
-    assert spark.read.json(str(tmp_path / "out/annotations")).first().bbox == [100.0, 200.0, 150.0, 100.0]
+    assert sorted(r.bbox for r in spark.read.json(str(tmp_path / "out/annotations")).collect()) == [[1.0, 2.0, 3.0, 4.0], [20.0, 50.0, 80.0, 25.0]]
 
 
 def test_image_sizes(spark, tmp_path):
-    (tmp_path / "a.png").write_bytes(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 640, 480))
+    (tmp_path / "a.png").write_bytes(b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 320, 17))
     (tmp_path / "b.jpg").write_bytes(b"\xff\xd8\xff\xe0\0\4\0\0\xff\xc0\0\x11\x08" + struct.pack(">HH", 30, 40) + b"\0" * 9)
     (tmp_path / "c.png").write_bytes(b"junk")
     got = {r.path[-5:]: (r.width, r.height) for r in A.image_sizes(spark, str(tmp_path)).collect()}
-    assert got == {"a.png": (640, 480), "b.jpg": (40, 30), "c.png": (None, None)}
+    assert got == {"a.png": (320, 17), "b.jpg": (40, 30), "c.png": (None, None)}
 
 
 def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
@@ -50,20 +59,23 @@ def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
     assert sorted(r.a for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2]
 
 
-def test_clip_and_iou(spark):
-    df = spark.createDataFrame([(10, 20, 100, 50), (150, 250, 100, 100), (10, 20, -50, 30)], "x int, y int, w int, h int")
+def test_boxes_moved_into_the_page(spark):
+    rows = [(5, 6, 30, 20), (90, 70, 40, 30), (-12, 3, 10, 10), (3, 4, -7, 8), (0, 0, 500, 500)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, x int, y int, w int, h int").orderBy("i")
     box = tuple(F.col(c) for c in "xywh")
-    assert [tuple(r) for r in df.select(*G.clip_keeping_size(box, 200, 300)).collect()] == [(10, 20, 100, 50), (100, 200, 100, 100), (10, 20, 0, 30)]
-    assert [r[0] for r in df.select(G.iou(box, box)).collect()] == [1.0, 1.0, 0.0]
+    assert [tuple(r) for r in df.select(*G.clip_keeping_size(box, 100, 80)).collect()] == [(5, 6, 30, 20), (60, 50, 40, 30), (0, 3, 10, 10), (3, 4, 0, 8), (0, 0, 100, 80)]
+    assert [tuple(r) for r in df.select(*G.clamp_origin(box, 100, 80)).collect()] == [(5, 6, 30, 20), (90, 70, 10, 10), (0, 3, 10, 10), (3, 4, 1, 8), (0, 0, 100, 80)]
+    assert [r[0] for r in df.select(G.iou(box, box)).collect()] == [1.0, 1.0, 1.0, 0.0, 1.0]
 
 
 def test_direction_redaction_licence(spark):
     df = spark.createDataFrame([("شكرا",), ("שלום abcd",), ("plain",), ("",), (None,)], "t string")
     assert [r[0] for r in df.select(X.direction(F.col("t"))[1]).collect()] == ["rtl", "mixed", "ltr", "ltr", "ltr"]
-    hits = spark.createDataFrame([("anna@example.org", "email"), ("123-45-6789", "ssn"), ("1/2/1990", "date_of_birth"), ("abcd", "pan")], "o string, k string")
-    assert [r[0] for r in hits.select(X.redact(F.col("o"), F.col("k"))).collect()] == ["a**************g", "12*******89", "1/2/****", "****"]
-    lic = spark.createDataFrame([("MIT License and Apache License",), ("nothing",), (None,)], "t string")
-    assert [r[0] for r in lic.select(X.license_type(F.col("t"))).collect()] == ["MIT", "Unknown", "Unknown"]
+    hits = spark.createDataFrame([("anna@example.org", "email"), ("123-45-6789", "ssn"), ("1/2/1990", "dob"), ("1990-02-01", "dob"), ("abcd", "pan"), ("x@", "email"), ("secret", "other")], "o string, k string")
+    assert [r[0] for r in hits.select(X.redact(F.col("o"), F.col("k"))).collect()] == ["a**************g", "12*******89", "1/2/****", "****-02-01", "****", "**", "******"]
+    lic = spark.createDataFrame([("MIT License and Apache License",), ("nothing",), (None,), ("No copyright here. Credit is due. To Ann\n\nmore",)], "t string")
+    assert [r[0] for r in lic.select(X.license_type(F.col("t"))).collect()] == ["MIT", "Unknown", "Unknown", "Public Domain"]
+    assert [r[0] for r in lic.select(X.attribution_text(F.col("t"))).collect()] == ["", "", "", "To Ann"]
 
 
 def test_greedy_ties_and_thresholds(spark):
@@ -73,10 +85,14 @@ def test_greedy_ties_and_thresholds(spark):
     assert {(r.page_id, r.pred_no): r.correct for r in M.match_calibration(gt, pred).collect()} == {(1, 1): True, (1, 2): False, (1, 3): False}
     assert {tuple(r) for r in M.mine_errors(gt, pred).collect()} == {(1, "fn", 2), (2, "fn", 1), (1, "fp", 1), (1, "fp", 3)}
     assert {(r.page_id, r.ann_no) for r in M.suppress(pred).collect()} == {(1, 2), (1, 3), (3, 1)}
+    assert M.mine_errors(gt.limit(0), pred).count() == 0 and M.match_confusion(gt, pred.limit(0)).count() == 0
 
 
 def test_split_sizes_and_eviction(spark):
     rows = spark.range(1000).withColumnRenamed("id", "k")
-    assert {r.split: r["count"] for r in R.split_ranked(rows, ["k"]).groupBy("split").count().collect()} == {"train": 800, "val": 100, "test": 100}
+    assert {r.split: r["count"] for r in R.split_rows(rows, ["k"]).groupBy("split").count().collect()} == {"train": 800, "val": 100, "test": 100}
+    strata = rows.withColumn("s", F.when(F.col("k") < 2, "two").when(F.col("k") < 12, None).otherwise("rest"))
+    got = {(r.s, r.split): r["count"] for r in R.split_rows(strata, ["k"], ["s"]).groupBy("s", "split").count().collect()}
+    assert got == {("two", "train"): 2, (None, "train"): 8, (None, "val"): 1, (None, "test"): 1, ("rest", "train"): 790, ("rest", "val"): 98, ("rest", "test"): 100}
     cache = spark.createDataFrame([(f"a:{i}", 10, i, 1) for i in range(10)], "key string, size_bytes long, last_accessed long, access_count long")
     assert R.evict(cache, 100).count() == 0 and [r.key for r in R.evict(cache, 90).orderBy("key").collect()] == ["a:0", "a:1", "a:2"]
