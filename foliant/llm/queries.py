@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, packing, substring, suffix, toxicity, urls
 
-#: Labels of hosts whose pages make up the list of op2.
-SPAM_HOSTS = ("cheap-pills", "spam-farm", "adult-x", "free-bets", "casino-win", "ads-track")
+#: The list of op2: sites of unwanted pages, one a line.
+LISTED = Path(__file__).with_name("listed_urls.txt")
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -28,10 +29,14 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def listed_urls(path: Path = LISTED) -> list[str]:
+    return path.read_text(encoding="utf-8").split()
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.select("url").where(urls.host_of(F.col("url")).rlike(f"(^|\\.)({'|'.join(SPAM_HOSTS)})\\."))
-    return urls.filter_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict")
+    values = ", ".join(f"('{u}')" for u in listed_urls())
+    listed = spark.sql(f"SELECT col1 AS url FROM VALUES {values}")
+    return urls.filter_urls(read(spark, sf_dir, "pages").select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,14 +91,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 
 
 def _urls_sql() -> str:
-    """op2 without a filter: host, path and canonical key by the same rules, and the list by IN."""
+    """op2 without a filter: host, path and keys by the same rules, and the list as an array."""
     rules = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, what) for what, h, p in sorted(urls.RULES, key=lambda r: (len(r[1] + r[2]), r), reverse=True)]
     rule, verdict = ("CASE " + " ".join(f"WHEN {fits} THEN '{x}'" for fits, x in ((r[0], r[k]) for r in rules)) + " END" for k in (1, 2))
     host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}')"
+    listed = ", ".join(f"'{u}'" for u in listed_urls())
+    above = ", ".join(f"regexp_extract(host, '((?:[^.]+\\.){{{n - 1}}}[^.]+)$', 1) || '/'" for n in range(2, urls.MOST_LABELS + 1))
     return f"""WITH p AS (SELECT page_id, {host} host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) path FROM pages),
-k AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\\.', '') || regexp_replace(path, '(/|\\.html)$', '') END canonical FROM p),
-listed AS (SELECT DISTINCT canonical FROM k WHERE canonical IS NOT NULL AND regexp_matches(host, '(^|\\.)({'|'.join(SPAM_HOSTS)})\\.'))
-SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN canonical IN (SELECT canonical FROM listed) THEN 'block' ELSE 'allow' END) verdict FROM k"""
+k AS (SELECT *, CASE WHEN host <> '' THEN [regexp_replace(host, '^www\\.', '') || regexp_replace(path, '(/|\\.html)$', ''), regexp_replace(host, '^www\\.', '') || '/', {above}] ELSE [] END ks FROM p)
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN list_has_any(ks, [{listed}]) THEN 'block' ELSE 'allow' END) verdict FROM k"""
 
 
 ORACLES: dict[str, str] = {"op2_url_filter": _urls_sql()}

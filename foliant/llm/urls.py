@@ -1,7 +1,8 @@
 """URL filter: a blocked Bloom filter of listed canonical URLs, then an exact hash join of its hits; plus path rules.
 
-Everything is DataFrame functions. The filter is a table of blocks of four 64-bit words; a URL sets one bit in each
-word of its block. Its number of blocks follows from a bound on the list, which is checked before it is broadcast.
+Everything is DataFrame functions. A list holds pages (host and path) and sites (host and a slash: all pages of the host
+and its subdomains). A URL is looked up as its page and as the sites it may be in. The filter is a table of blocks of
+four 64-bit words; a key sets one bit in each word of its block. Keys that pass are joined with the list itself.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from foliant.llm.shards import free_names
 #: Rules: verdict, host, path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bits a listed URL has in the filter, and the largest filter (in blocks of 32 bytes) that is broadcast.
+#: Bits a listed URL has in the filter, and the bytes up to which filter and list are broadcast.
 BITS_PER_URL = 16
-BROADCAST_BLOCKS = 4 << 20
+BROADCAST_BYTES = 32 << 20
+#: A URL is looked up in the sites of the last two to so many labels of its host, and of the whole host.
+MOST_LABELS = 5
 
 
 def host_of(url: Column) -> Column:
@@ -36,6 +39,13 @@ def canonical(host: Column, path: Column) -> Column:
     return F.when(host != "", F.concat(F.regexp_replace(host, r"^www\.", ""), F.regexp_replace(path, r"(/|\.html)$", "")))
 
 
+def lookups(host: Column, path: Column) -> list[Column]:
+    """The keys under which a URL may be listed: its page, its host's site, and those above it."""
+    whole = F.when(host != "", F.concat(F.regexp_replace(host, r"^www\.", ""), F.lit("/")))
+    above = [F.nullif(F.regexp_extract(host, r"((?:[^.]+\.){%d}[^.]+)$" % (n - 1), 1), F.lit("")) for n in range(2, MOST_LABELS + 1)]
+    return [canonical(host, path), whole, *(F.concat(a, F.lit("/")) for a in above)]
+
+
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -> tuple[Column, Column]:
     """The longest rule that fits (host and all subdomains; the path's start) and its verdict; null if none does."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -60,28 +70,48 @@ def bloom_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
     return masked.groupBy("block").agg(*(F.bit_or(f"w{i}").alias(f"w{i}") for i in range(4)))
 
 
+def _passed(rows: DataFrame, key: str, bloom: DataFrame, blocks: int, name: str) -> DataFrame:
+    """rows with name: the key where the filter lets it pass, else null."""
+    probe = rows.withColumn("__b", _block(F.col(key), blocks)).join(bloom.withColumnRenamed("block", "__b"), "__b", "left")
+    hit = F.lit(True)
+    for i, m in enumerate(_masks(F.col(key))):
+        hit = hit & (F.col(f"w{i}").bitwiseAND(m) == m)
+    return probe.withColumn(name, F.when(F.coalesce(hit, F.lit(False)), F.col(key))).drop("__b", "w0", "w1", "w2", "w3")
+
+
 def filter_urls(pages: DataFrame, listed: DataFrame, url_col: str = "url", listed_col: str = "url", rules: Sequence[tuple[str, str, str]] = RULES) -> DataFrame:
     """Every column of pages, with host, path, canonical, listed (boolean), rule and verdict (allow or block).
 
-    The longest rule decides; without one a listed URL is blocked and any other allowed. A null or malformed url has
-    empty host and path, fits no rule and is never listed; so it is allowed. Repeated rows are judged alike; an empty
-    list blocks nothing. Input columns named as a result get the suffix _in. Up to BROADCAST_BLOCKS blocks the filter
-    is broadcast, beyond it is joined by block.
+    The longest rule decides; without one a listed URL is blocked and any other allowed. Entries of the list are pages or
+    sites as said above, with or without a scheme; null entries count for nothing. A null or malformed url has empty host
+    and path, fits no rule and is never listed; so it is allowed. Very long urls are whole. Repeated rows are judged
+    alike; an empty table gives no rows, an empty list blocks nothing. Input columns named as a result get the suffix
+    _in. Filter and list are broadcast up to BROADCAST_BYTES; a larger list is joined by key, pages that the filter holds
+    back being dealt at random.
     """
     names = ("host", "path", "canonical", "listed", "rule", "verdict")
     pages = free_names(pages, *names)
-    keys = listed.select(canonical(host_of(F.col(listed_col)), path_of(F.col(listed_col))).alias("__key")).where("__key is not null").distinct()
-    blocks = max(1, keys.count() * BITS_PER_URL // 256)
+    keys = listed.select(list_key(F.col(listed_col)).alias("__key")).where("__key is not null").distinct()
+    n, size = keys.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("__key")), F.lit(0))).first()
+    blocks, small = max(1, n * BITS_PER_URL // 256), 64 * n + size <= BROADCAST_BYTES
     bloom = bloom_filter(keys, "__key", blocks)
-    bloom = F.broadcast(bloom) if blocks <= BROADCAST_BLOCKS else bloom
+    bloom = F.broadcast(bloom) if blocks * 64 <= BROADCAST_BYTES else bloom
     rows = pages.withColumn("host", host_of(F.col(url_col))).withColumn("path", path_of(F.col(url_col)))
     rows = rows.withColumn("canonical", canonical(F.col("host"), F.col("path")))
-    probe = rows.withColumn("block", _block(F.col("canonical"), blocks))
-    passed = F.lit(True)
-    for i, m in enumerate(_masks(F.col("canonical"))):
-        passed = passed & (F.col(f"w{i}").bitwiseAND(m) == m)
-    probe = probe.join(bloom, "block", "left").withColumn("__maybe", F.coalesce(passed, F.lit(False))).drop("block", "w0", "w1", "w2", "w3")
-    exact = probe.where("__maybe").join(keys.withColumn("listed", F.lit(True)), F.col("canonical") == F.col("__key"), "left").drop("__key")
-    rows = exact.unionByName(probe.where("not __maybe").withColumn("listed", F.lit(False))).withColumn("listed", F.coalesce("listed", F.lit(False)))
+    wanted = lookups(F.col("host"), F.col("path"))
+    rows = rows.withColumns({f"__k{i}": k for i, k in enumerate(wanted)})
+    for i in range(len(wanted)):
+        rows = _passed(rows, f"__k{i}", bloom, blocks, f"__k{i}")
+        away = F.concat(F.lit("\0"), F.xxhash64(url_col, F.lit(i)).cast("string"))  # no key begins so
+        side = keys.select(F.col("__key").alias("__to"), F.lit(True).alias(f"__l{i}"))
+        rows = rows.withColumn("__to", F.col(f"__k{i}") if small else F.coalesce(f"__k{i}", away)).join(F.broadcast(side) if small else side, "__to", "left").drop("__to", f"__k{i}")
+    rows = rows.withColumn("listed", F.coalesce(*(F.col(f"__l{i}") for i in range(len(wanted))), F.lit(False)))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     return rows.withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, F.when(F.col("listed"), "block").otherwise("allow"))).select(*pages.columns, *names)
+
+
+def list_key(entry: Column) -> Column:
+    """An entry of a list as a key: a site ends in a slash right after its host, anything else is a page."""
+    url = F.when(F.contains(entry, F.lit("://")), entry).otherwise(F.concat(F.lit("x://"), entry))
+    host, path = host_of(url), path_of(url)
+    return F.when(host == "", None).when(path == "/", F.concat(F.regexp_replace(host, r"^www\.", ""), F.lit("/"))).otherwise(canonical(host, path))

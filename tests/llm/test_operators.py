@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -275,15 +276,43 @@ def test_overlapping_sources_flow(spark):
     assert len(got) == 200 and all(0 <= r.taken <= 2 * r.size for r in got)
 
 
-def test_urls(spark, sf):
-    odd = [(1, None), (2, "no scheme"), (3, "HTTP://Www.Example.NET/en/x?q#f"), (4, "http://net"), (5, "http://a.org/fr/1"), (6, "http://xnet/"), (7, "https://bad.host/page.html"), (8, "http://www.bad.host/page/"), (9, "a://b.example.com/de/?"), (10, ""), (11, "x://y?z"), (7, "https://bad.host/page.html")]
-    pages = spark.createDataFrame([(i, u, "mine") for i, u in odd], "page_id long, url string, host string")
-    got = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.filter_urls(pages, spark.createDataFrame([("http://bad.host/page",), (None,)], "url string")).collect()}
-    assert got[1] == got[2] == got[10] == ("", "", None, "allow")
-    assert got[3] == ("www.example.net", "/en/x", "example.net/en/", "allow") and got[4] == ("net", "", None, "allow") and got[5] == ("a.org", "/fr/1", "org/fr/", "allow")
-    assert got[6][2] is None and got[7][3] == got[8][3] == "block" and got[9] == ("b.example.com", "/de/", "example.com/de/", "block") and got[11] == ("y", "", None, "allow")
-    assert urls.filter_urls(pages.limit(0), pages).count() == 0 and urls.filter_urls(pages, pages.limit(0)).where("verdict = 'block'").count() == 1
-    assert urls.filter_urls(pages, pages).count() == len(odd)
+def plain_url(url, listed):
+    """(host, path, verdict without rules) by plain Python."""
+    if url is None or "://" not in url:
+        return "", "", "allow"
+    rest = url.split("://", 1)[1]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in re.match("[^/?#]*", rest, re.DOTALL)[0])
+    path = re.match("[^?#]*", rest[len(host) :], re.DOTALL)[0]
+    bare = host[4:] if host.startswith("www.") else host
+    page = bare + (path[:-5] if path.endswith(".html") else path[:-1] if path.endswith("/") else path)
+    labels = host.split(".")
+    keys = {page, bare + "/"} | {".".join(labels[-n:]) + "/" for n in range(2, 6) if len(labels) >= n and all(labels[-n:])} if host else set()
+    return host, path, "block" if keys & listed else "allow"
+
+
+def plain_rule(host, path):
+    fits = [(len(h + p), h + p, what) for what, h, p in urls.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[1:] if fits else (None, None)
+
+
+@pytest.mark.parametrize("most", [32 << 20, 0])
+def test_urls(spark, sf, monkeypatch, most):
+    """Broadcast, and joined by key."""
+    monkeypatch.setattr(urls, "BROADCAST_BYTES", most)
+    odd = [(1, None), (2, "no scheme"), (3, "HTTP://Www.Example.NET/en/x?q#f"), (4, "http://net"), (5, "http://a.org/fr/1"), (6, "http://xnet/"), (7, "https://bad.host/page.html"), (8, "http://www.bad.host/page/"), (9, "a://b.example.com/de/?"), (10, ""), (11, "x://y?z"), (7, "https://bad.host/page.html"), (12, "http://a.b.worse.com/x"), (13, "http://www.worse.com"), (14, "http://notworse.com/"), (15, "http://x.y?u=http://worse.com/" + "z" * 40_000), (16, "://worse.com/")]
+    data = odd + [(100 + r.page_id, r.url) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    pages = spark.createDataFrame([(i, u, "mine") for i, u in data], "page_id long, url string, host string")
+    entries = ["http://bad.host/page", None, "worse.com/", "www.worse.com/", *queries.listed_urls()]
+    listed = {"bad.host/page", "worse.com/", *queries.listed_urls()}
+    got = urls.filter_urls(pages, spark.createDataFrame([(u,) for u in entries], "url string"))
+    want = []
+    for i, u in data:
+        host, path, verdict = plain_url(u, listed)
+        rule, own = plain_rule(host, path)
+        want.append((i, host, path, rule, own or verdict))
+    assert "host_in" in got.columns and sorted(map(str, rows(got.select("page_id", "host", "path", "rule", "verdict")))) == sorted(map(str, want))
+    assert urls.filter_urls(pages.limit(0), pages).count() == 0 and urls.filter_urls(pages, pages.limit(0)).where("listed").count() == 0
+    assert {v for *_, v in rows(queries.op2_url_filter(spark, sf))} == {"allow", "block"}
 
 
 def brute_licenses(text):
