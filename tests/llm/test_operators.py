@@ -399,16 +399,27 @@ def test_fingerprints(spark, sf, docs):
     assert np.mean(errors) < 0.03 and max(errors) < 0.3
 
 
-def test_next_rows(hard, empty):
-    """Null ids come first, equal ids by text, and the first row follows the last."""
-    order = sorted(((i, t or "", s) for i, t, s in HARD), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
-    want = sorted((str(r[0]), r[1], order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
-    for size in (1, 3, 1000):
-        got = fingerprints.with_next(hard, "doc_id", "text", fingerprints.fingerprint_documents, ("sketch",), size).collect()
-        assert sorted((str(r.doc_id), r.text or "", r.next_text) for r in got) == want
-        sketches = {r.text or "": r.sketch for r in got}
-        assert all(r.next_sketch == sketches[r.next_text] for r in got)
+def test_next_rows(spark, hard, empty, monkeypatch):
+    """Null ids come first, equal ids by their text's hash, and the first row follows the last; ids that lie unevenly, and
+    ids and null ids that many rows have."""
+    rng = random.Random(6)
+    many = [(rng.choice([None, 7, 7, rng.randrange(20), 10**15 + rng.randrange(10**6), -(10**12)]), f"text {rng.randrange(400)}") for _ in range(3000)]
+    hash_of = {(r.t or ""): r.h for r in spark.createDataFrame([(t,) for t in {t for _, t in many} | {r[1] for r in HARD}], "t string").select("t", F.shiftrightunsigned(F.xxhash64(F.coalesce("t", F.lit(""))), 1).alias("h")).collect()}
+    for df, data in ((hard, [(r[0], r[1]) for r in HARD]), (spark.createDataFrame(many, "doc_id long, text string").repartition(4), many)):
+        order = sorted(((i, t or "") for i, t in data), key=lambda r: (r[0] is not None, r[0] or 0, hash_of[r[1]], r[1]))
+        want = sorted((str(r[0]), r[1], order[(k + 1) % len(order)][1]) for k, r in enumerate(order))
+        for size, cells in ((3, 8), (500, 2)):
+            monkeypatch.setattr(fingerprints, "CELLS", cells)
+            got = fingerprints.with_next(df, "doc_id", "text", fingerprints.fingerprint_documents if df is hard else lambda d: d, ("sketch",) if df is hard else (), size).collect()
+            assert sorted((str(r.doc_id), r.text or "", r.next_text) for r in got) == want
+            if df is hard:
+                sketches = {r.text or "": r.sketch for r in got}
+                assert all(r.next_sketch == sketches[r.next_text] for r in got)
     assert fingerprints.with_next(empty, "doc_id", "text").count() == 0
+    clash = fingerprints.with_next(hard.withColumn("next_text", F.lit(5)), "doc_id", "text")
+    assert clash.columns.count("next_text") == 1 and "next_text_in" in clash.columns
+    coded = fingerprints.range_codes(spark.createDataFrame([(i if i % 3 else None, i << 40) for i in range(3000)], "doc_id long, h long").withColumn("h", F.shiftrightunsigned(F.xxhash64("h"), 1)), "doc_id", "h", 50)
+    assert coded.groupBy("__range").count().agg(F.max("count")).first()[0] < 150
 
 
 def test_sketches_merge(spark):
