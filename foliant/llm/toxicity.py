@@ -1,13 +1,14 @@
 """Toxicity: a learnt lexicon met by Levenshtein automata in a trie, with scores of each hit's context.
 
 Terms (whole words, and stems that many words start with) come from the labelled rows: those that are far likelier in
-toxic documents. A word that is no term is matched with the automaton of its neighbourhood intersected with the
-trie of the terms and of the whole words under stems, so misspelled ones count too. Words around a hit, and quotation marks, tell quoting from abuse. Counts of
-hits, their density and their contexts go into a logistic model.
+toxic documents. Every other word of four letters or more goes through the Levenshtein automaton intersected with the
+trie of the terms and of the whole words under stems, so misspelled ones count too. Words around a hit, and quotation
+marks, tell quoting from abuse. Counts of hits, their density and their contexts go into a logistic model.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -15,7 +16,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,74 +25,119 @@ from foliant.llm.shards import free_names, lean
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
 MOST_TOXIC, MOST_OTHER = 3_000, 6_000
+#: Bytes of texts of either kind that are learnt from; a row that passes them is left out, but for the first.
+MOST_BYTES = 24 << 20
 #: A term is in at least so many toxic documents, and so many times likelier there.
 LEAST_DOCS, LEAST_RATIO = 8, 20.0
 MOST_TERMS = 2_000
 WINDOW = 6
 CACHE_WORDS = 100_000
+#: Letters from which a term may be misspelt twice; states of an automaton that are kept before it starts anew.
+LONG_TERM, MOST_STATES = 10, 50_000
 QUOTES = ('"', "'", "“", "”", "„", "«", "»", "‘", "’")
 NONE, EXACT, STEM, FUZZY = range(4)
 HIT = "array<struct<word:string,term:string,kind:string,start:long,quoted:boolean,context:double>>"
 
 
 class Trie:
-    """Terms as nested nodes; matches() walks it along the states of a word's Levenshtein automaton."""
+    """Terms in a trie, met by the Levenshtein automaton of whatever word is read.
+
+    A state of the two together is the set of trie nodes that the letters so far can lead to, with the fewest edits spent
+    on the way to each. States are made when a word first needs them and kept, so a word costs a look-up a letter, and
+    most words end in the empty state after a few. A node is left out where no term below it may have as many edits.
+    """
 
     def __init__(self, terms):
-        self.root: dict = {}
-        self.near: set[str] = set()
+        self.children: list[dict[str, int]] = [{}]
+        self.terms: list[str | None] = [None]
+        self.room = [0]
         for t in terms:
-            node = self.root
+            at, most = 0, edits_of(t)
+            self.room[0] = max(self.room[0], most)
             for c in t:
-                node = node.setdefault(c, {})
-            node[""] = t
-            self.near.update(shorter(t))
-            self.near.add(t)
-        self.sizes = {len(t) + d for t in self.near for d in (0, 1)}
-
-    def may_match(self, word: str) -> bool:
-        """With one edit, the word or it less a letter is a term or a term less a letter."""
-        return len(word) in self.sizes and (word in self.near or not self.near.isdisjoint(shorter(word)))
-
-    def matches(self, word: str, edits: int = 1) -> str | None:
-        """The first term, by edits and then alphabet, within `edits` insertions, deletions and substitutions."""
-        best: tuple[int, str] | None = None
-        # a state is the set of (place in word, edits spent), as the least edits for each place
-        stack = [(self.root, close({0: 0}, len(word), edits))]
+                if c not in self.children[at]:
+                    self.children[at][c] = len(self.children)
+                    self.children.append({})
+                    self.terms.append(None)
+                    self.room.append(0)
+                at = self.children[at][c]
+                self.room[at] = max(self.room[at], most)
+            self.terms[at] = t
+        sizes = [len(t) for t in terms] or [0]
+        self.least, self.most = min(sizes) - self.room[0], max(sizes) + self.room[0]
+        self.reset()
+
+    def reset(self) -> None:
+        self.states: dict[tuple, int] = {}
+        self.sets: list[tuple] = []
+        self.next: list[dict[str, int]] = []
+        self.found: list[tuple[int, str] | None] = []
+        self.dead, self.start = self._state({}), self._state({0: 0})
+
+    def _state(self, reached: dict[int, int]) -> int:
+        """The number of the state that holds these nodes, and those that skipped letters of terms lead to."""
+        stack = list(reached.items())
         while stack:
-            node, state = stack.pop()
-            for c, child in node.items():
-                if c == "":
-                    if (e := state.get(len(word))) is not None and (best is None or (e, child) < best):
-                        best = (e, child)
-                    continue
-                nxt: dict[int, int] = {}
-                for p, e in state.items():
-                    if p < len(word) and word[p] == c:
-                        nxt[p + 1] = min(nxt.get(p + 1, 9), e)
-                    if e < edits:
-                        nxt[p] = min(nxt.get(p, 9), e + 1)
-                        if p < len(word):
-                            nxt[p + 1] = min(nxt.get(p + 1, 9), e + 1)
-                if nxt:
-                    stack.append((child, close(nxt, len(word), edits)))
+            node, e = stack.pop()
+            if reached[node] == e:
+                for child in self.children[node].values():
+                    if e < self.room[child] and reached.get(child, 9) > e + 1:
+                        reached[child] = e + 1
+                        stack.append((child, e + 1))
+        key = tuple(sorted(reached.items()))
+        if key not in self.states:
+            self.states[key] = len(self.sets)
+            self.sets.append(key)
+            self.next.append({})
+            ends = [(e, t) for node, e in key if (t := self.terms[node]) is not None and e <= edits_of(t)]
+            self.found.append(min(ends, default=None))
+        return self.states[key]
+
+    def _step(self, state: int, letter: str) -> int:
+        reached: dict[int, int] = {}
+
+        def reach(node: int, e: int) -> None:
+            if e <= self.room[node] and reached.get(node, 9) > e:
+                reached[node] = e
+
+        for node, e in self.sets[state]:
+            reach(node, e + 1)  # a letter too many
+            for c, child in self.children[node].items():
+                reach(child, e + (c != letter))
+        self.next[state][letter] = to = self._state(reached)
+        return to
+
+    def matches(self, word: str) -> str | None:
+        """The term with fewest edits, the first of equals, of those that the word is within edits_of(term) of."""
+        if not self.least <= len(word) <= self.most:
+            return None
+        if len(self.sets) > MOST_STATES:
+            self.reset()
+        state, dead, following = self.start, self.dead, self.next
+        for c in word:
+            to = following[state].get(c)
+            state = self._step(state, c) if to is None else to
+            if state == dead:
+                return None
+        best = self.found[state]
         return best[1] if best else None
 
 
-def shorter(word: str) -> list[str]:
-    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+def edits_of(term: str) -> int:
+    """Insertions, deletions and substitutions that a misspelling of a term may have."""
+    return 2 if len(term) >= LONG_TERM else 1
+
+
+@functools.lru_cache(4)
+def tries(terms: frozenset[str]) -> tuple[Trie, Trie]:
+    """Short terms and long ones apart: what long ones allow makes no states for short ones. Kept from task to task."""
+    return Trie(sorted(t for t in terms if edits_of(t) == 1)), Trie(sorted(t for t in terms if edits_of(t) == 2))
 
 
-def close(state: dict[int, int], n: int, edits: int) -> dict[int, int]:
-    """Adds the places reached by skipping letters of the word."""
-    for p in sorted(state):
-        e = state[p]
-        while p < n and e < edits:
-            p, e = p + 1, e + 1
-            if state.get(p, 9) <= e:
-                break
-            state[p] = e
-    return state
+@functools.lru_cache(4)
+def seen_words(*parts: frozenset[str]) -> dict[bytes, tuple[int, str]]:
+    """What a worker remembers of words under the same lexicon, from task to task."""
+    return {}
 
 
 @dataclass
@@ -112,12 +158,12 @@ class Model:
         self.reset()
 
     def reset(self) -> None:
-        self.trie = Trie(t for t in self.terms | self.stemmed if len(t) >= 4)
+        self.short, self.long = tries(frozenset(t for t in self.terms | self.stemmed if len(t) >= 4))
         self.stem_sizes = sorted({len(s) for s in self.stems})
-        self.known: dict[bytes, tuple[int, str]] = {}
+        self.known = seen_words(self.terms, self.stems, self.clean, self.stemmed)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("trie", "stem_sizes", "known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("short", "long", "stem_sizes", "known")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -136,7 +182,7 @@ class Model:
         for n in self.stem_sizes:
             if w[:n] in self.stems:
                 return STEM, w[:n]
-        if len(w) >= 4 and w not in self.clean and self.trie.may_match(w) and (t := self.trie.matches(w)):
+        if len(w) >= 4 and w not in self.clean and (t := self.short.matches(w) or self.long.matches(w)):
             return FUZZY, t
         return NONE, ""
 
@@ -245,20 +291,24 @@ def held_out(id_col: str) -> Column:
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
-    """Fit on at most MOST_TOXIC and MOST_OTHER labelled rows; null labels and ids don't count. Their ids, at most
-    9,000, are broadcast."""
+    """Fit on at most MOST_TOXIC and MOST_OTHER labelled rows, and MOST_BYTES of texts of each; null labels and ids don't
+    count. Their ids, at most 9,000, are broadcast. Without toxic or without other rows the model is blank."""
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)").where(~held_out("__id"))
     pick = [rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(k) for y, k in ((1, MOST_TOXIC), (0, MOST_OTHER))]
     wanted = pick[0].unionByName(pick[1])
-    got = docs.select(id_col, text_col).join(F.broadcast(wanted), F.col(id_col) == F.col("__id")).select("__id", "__y", text_col).toArrow()
+    texts = docs.select(id_col, text_col).join(F.broadcast(wanted), F.col(id_col) == F.col("__id")).select("__id", "__y", text_col)
+    so_far = Window.partitionBy("__y").orderBy(F.xxhash64("__id"), "__id", text_col)  # of at most 9,000 rows
+    got = texts.withColumn("__n", F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).over(so_far.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__k", F.row_number().over(so_far)).where((F.col("__n") <= MOST_BYTES) | (F.col("__k") == 1)).select("__id", "__y", text_col).toArrow()
     order = sorted(range(got.num_rows), key=lambda i: got.column(0)[i].as_py())
     texts, ys = got.column(2).to_pylist(), got.column(1).to_pylist()
     return fit([texts[i] for i in order], [ys[i] for i in order])
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """Every column of docs, with score (0 to 1), predicted (score >= threshold) and hits. Only the text counts. Null
-    and empty texts have no hits and the model's score for that. Input columns named as a result get the suffix _in."""
+    """Every column of docs, with score (0 to 1), predicted (score >= threshold) and hits. Only the text counts, all of
+    it however long. Null and empty texts have no hits and the model's score for that; equal texts score alike, and of
+    terms as near to a word the first by alphabet is named. Rows are scored one by one, repeated or not; an empty table
+    gives no rows. Input columns named as a result get the suffix _in."""
     docs = free_names(docs, "score", "predicted", "hits")
     hit_type = pa.list_(pa.struct([("word", pa.string()), ("term", pa.string()), ("kind", pa.string()), ("start", pa.int64()), ("quoted", pa.bool_()), ("context", pa.float64())]))
     names = [f.name for f in hit_type.value_type]

@@ -443,22 +443,32 @@ def test_levenshtein():
         return row[-1]
 
     rng = random.Random(4)
-    terms = ["".join(rng.choice("abc") for _ in range(rng.randint(4, 7))) for _ in range(30)]
-    trie = toxicity.Trie(terms)
-    for _ in range(1500):
-        w = "".join(rng.choice("abcd") for _ in range(rng.randint(3, 8)))
-        near = [t for t in terms if edit(w, t) <= 1]
-        got = trie.matches(w)
-        assert (got in near) if near else got is None
-        assert trie.may_match(w) or not near
+    terms = ["".join(rng.choice("abc") for _ in range(rng.choice([4, 5, 6, 7, 10, 11, 13]))) for _ in range(40)]
+    trie, pair = toxicity.Trie(terms), toxicity.tries(frozenset(terms))
+    for k in range(3000):
+        w = "".join(rng.choice("abcd") for _ in range(rng.randint(0, 14)))
+        if k % 2:
+            w = rng.choice(terms)
+            for _ in range(rng.randint(0, 3)):
+                p = rng.randrange(len(w) + 1)
+                w = w[:p] + rng.choice(["", "a", "d"]) + w[p + rng.randint(0, 1) :]
+        near = sorted((e, t) for t in terms if (e := edit(w, t)) <= (2 if len(t) >= 10 else 1))
+        assert trie.matches(w) == (near[0][1] if near else None), w
+        got = pair[0].matches(w) or pair[1].matches(w)
+        assert (got in [t for _, t in near]) if near else got is None
+    assert toxicity.Trie([]).matches("word") is None
 
 
 def test_toxicity(spark, sf, docs, hard, empty):
-    got = {r.doc_id: r for r in queries.op7_toxicity(spark, "/root/testdata/sf0.01").collect()}
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()
-    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, r in got.items())
-    held = [(got[r.doc_id].predicted, r.toxic) for r in labels if got[r.doc_id].held_out]
-    assert sum(p == y for p, y in held) / len(held) > 0.9
+    got = {r.doc_id: r for r in queries.op7_toxicity(spark, "/root/testdata/sf0.1").collect()}
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and r.predicted == (r.score >= 0.5) for i, r in got.items())
+    held = [(got[r.doc_id].score, r.toxic) for r in labels if got[r.doc_id].held_out]
+    bad, fine = ([s for s, y in held if y == k] for k in (1, 0))
+    auc = np.mean([(a > b) + (a == b) / 2 for a in bad for b in fine])
+    caught, left = np.mean([s >= 0.5 for s in bad]), np.mean([s < 0.5 for s in fine])
+    print("held out", len(bad), len(fine), "AUC", auc, "caught", caught, "left alone", left)
+    assert len(bad) > 30 and auc > 0.95 and caught > 0.8 and left > 0.97
     model = toxicity.fit(["you utter fool " * 3, "a fine day", None] * 20, [1, 0, 0] * 20)
     out = {r.doc_id: r for r in toxicity.score_toxicity(hard.unionByName(hard.limit(1).withColumn("text", F.lit("you uter fol")).withColumn("doc_id", F.lit(99).cast("long"))), model).collect()}
     assert {h.kind for h in out[99].hits} >= {"misspelt"} and 0 <= out[1].score < 0.5
