@@ -222,6 +222,7 @@ def test_embeddings(spark, sf):
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1060)]
+    pairs += [(2000, 2000 + i) for i in range(1, 700)] + [(5000 + i, 4999) for i in range(400)] + [(5001, 2001)]  # stars
     near = {}
     for a, b in pairs:
         near.setdefault(a, set()).add(b)
