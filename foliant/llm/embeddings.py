@@ -73,7 +73,7 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     usable = F.col(label_col).isNotNull() if label_col else F.lit(True)
     slim = vectors.select(F.when(usable, F.col(vector_col)).alias("__v"), F.col(id_col).cast("long").alias("__id"), label.alias("__label"))
     fields = [T.StructField("__id", T.LongType()), T.StructField("__label", T.LongType()), T.StructField("__h1", T.LongType()), T.StructField("__h2", T.LongType()), T.StructField("__keys", T.BinaryType()), T.StructField("__unit", T.BinaryType())]
-    hashed = slim.mapInArrow(keys, T.StructType(fields)).where("__h1 is not null and __id is not null")
+    hashed = checkpoint(slim.mapInArrow(keys, T.StructType(fields)).where("__h1 is not null and __id is not null"))
     one = hashed.groupBy("__label", "__h1", "__h2").agg(F.min(F.struct("__id", "__keys", "__unit")).alias("r"), F.count("*").alias("__w"))
     reps = checkpoint(one.select("__label", "__h1", "__h2", F.col("r.__id").alias("__rep"), F.col("r.__keys").alias("__keys"), F.col("r.__unit").alias("__unit"), "__w"))
 

@@ -119,7 +119,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", templates: dict[str,
     n_base counts all places of the phrases, first_word and last_word are their smallest and largest start (null:
     none). base_labels has the phrases' labels, labels also those of templates of which some block holds at least
     `threshold` of the distinct tokens. score is the largest containment, 1 where a phrase stands. Null and empty
-    texts have no words and no labels. Input columns named as a result get the suffix _in.
+    texts have no words and no labels; texts shorter than a template are one block, long ones are searched whole. Of
+    overlapping blocks the best counts, the first of equals. Rows are judged one by one, repeated or not; an empty table
+    gives no rows. Input columns named as a result get the suffix _in.
     """
     from foliant.llm.shards import free_names
 

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from foliant.llm.shards import checkpoint, free_names, own_columns
 
-#: Bins of the seeded order for cumulative sizes: only documents of one bin of a pattern are ever ordered one by one.
-BINS = 4096
+#: Least bins of the seeded order for cumulative sizes, and rows of a bin beyond which there are more: only documents of
+#: one bin of a pattern are ever ordered one by one.
+BINS, ROWS_A_BIN = 4096, 4096
 #: Most membership patterns that the flow takes.
 MOST_PATTERNS = 20_000
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -107,7 +108,9 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = rows.withColumn("__h", F.conv(F.substring(digest, 1, 12), 16, 10).cast("long"))
     if text_col not in (id_col, source_col) and not extra:
         rows = checkpoint(rows.drop(text_col))  # words are counted once
-    by_pattern = {tuple(r["__p"]): r.n for r in rows.groupBy("__p").agg(F.sum("size").alias("n")).limit(MOST_PATTERNS + 1).collect()}
+    counted = rows.groupBy("__p").agg(F.sum("size").alias("n"), F.count("*").alias("k")).limit(MOST_PATTERNS + 1).collect()
+    by_pattern = {tuple(r["__p"]): r.n for r in counted}
+    bins_in_all = max(BINS, 1 << (sum(r.k for r in counted) // ROWS_A_BIN).bit_length())
     if len(by_pattern) > MOST_PATTERNS:
         raise ValueError(f"more than {MOST_PATTERNS} membership patterns")
     patterns = sorted(by_pattern, key=lambda p: [(x is None, x or "") for x in p])
@@ -122,7 +125,7 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # bounded by MOST_PATTERNS rows
     rows = rows.withColumn("__k", F.coalesce(F.array_join("__p", "\x1f", "\x1e"), F.lit("")))
     table = table.select(F.array_join("__p", "\x1f", "\x1e").alias("__k"), "source_size", "target", "__cap", "__flow")
-    span = (1 << 48) // BINS
+    span = (1 << 48) // bins_in_all
     rows = rows.join(F.broadcast(table), "__k").withColumn("__bin", F.floor(F.col("__h") / span))
     bins = rows.groupBy("__k", "__bin").agg(F.sum("size").alias("__n"), F.max(F.when(F.col("__cap") > 0, F.col("__flow") % F.col("__cap")).otherwise(0)).alias("__rest"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy("__k").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, packing, substring, suffix, toxicity, urls
+from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, oracles, packing, substring, suffix, toxicity, urls
 
 #: The list of op2: sites of unwanted pages, one a line.
 LISTED = Path(__file__).with_name("listed_urls.txt")
@@ -26,7 +26,7 @@ def tokenizer_path() -> str:
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix_sources(docs).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 def listed_urls(path: Path = LISTED) -> list[str]:
@@ -90,16 +90,7 @@ _ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 
-def _urls_sql() -> str:
-    """op2 without a filter: host, path and keys by the same rules, and the list as an array."""
-    rules = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, what) for what, h, p in sorted(urls.RULES, key=lambda r: (len(r[1] + r[2]), r), reverse=True)]
-    rule, verdict = ("CASE " + " ".join(f"WHEN {fits} THEN '{x}'" for fits, x in ((r[0], r[k]) for r in rules)) + " END" for k in (1, 2))
-    host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}')"
-    listed = ", ".join(f"'{u}'" for u in listed_urls())
-    above = ", ".join(f"regexp_extract(host, '((?:[^.]+\\.){{{n - 1}}}[^.]+)$', 1) || '/'" for n in range(2, urls.MOST_LABELS + 1))
-    return f"""WITH p AS (SELECT page_id, {host} host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) path FROM pages),
-k AS (SELECT *, CASE WHEN host <> '' THEN [regexp_replace(host, '^www\\.', '') || regexp_replace(path, '(/|\\.html)$', ''), regexp_replace(host, '^www\\.', '') || '/', {above}] ELSE [] END ks FROM p)
-SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN list_has_any(ks, [{listed}]) THEN 'block' ELSE 'allow' END) verdict FROM k"""
-
-
-ORACLES: dict[str, str] = {"op2_url_filter": _urls_sql()}
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": oracles.mix_sql(), "op2_url_filter": oracles.urls_sql(LISTED), "op3_embedding_dedup": oracles.embeddings_sql(), "op4_license_scan": oracles.licenses_sql(),
+    "op5_substring_dedup": oracles.substring_sql(), "op6_ngram_join": oracles.ngram_sql(), "op9_suffix_dedup": oracles.suffix_sql(),
+}

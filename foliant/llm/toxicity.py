@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -31,20 +32,23 @@ MOST_BYTES = 24 << 20
 LEAST_DOCS, LEAST_RATIO = 8, 20.0
 MOST_TERMS = 2_000
 WINDOW = 6
-CACHE_WORDS = 100_000
+CACHE_WORDS = 200_000
 #: Letters from which a term may be misspelt twice; states of an automaton that are kept before it starts anew.
 LONG_TERM, MOST_STATES = 10, 50_000
-QUOTES = ('"', "'", "“", "”", "„", "«", "»", "‘", "’")
+#: Double quotation marks, and runs without blanks that hold one.
+DOUBLE = '"“”„«»'
+MARKED = re.compile(rf"\S*[{DOUBLE}]\S*")
 NONE, EXACT, STEM, FUZZY = range(4)
 HIT = "array<struct<word:string,term:string,kind:string,start:long,quoted:boolean,context:double>>"
 
 
 class Trie:
-    """Terms in a trie, met by the Levenshtein automaton of whatever word is read.
+    """Terms in a trie, met by the Levenshtein automaton of whatever words are read.
 
     A state of the two together is the set of trie nodes that the letters so far can lead to, with the fewest edits spent
-    on the way to each. States are made when a word first needs them and kept, so a word costs a look-up a letter, and
-    most words end in the empty state after a few. A node is left out where no term below it may have as many edits.
+    on the way to each. States are made when a word first needs them and kept in a table, so that many words are read at
+    once, a letter at a time, and most end in the empty state after a few. A node is left out where no term below it may
+    have as many edits.
     """
 
     def __init__(self, terms):
@@ -64,14 +68,17 @@ class Trie:
                 self.room[at] = max(self.room[at], most)
             self.terms[at] = t
         sizes = [len(t) for t in terms] or [0]
-        self.least, self.most = min(sizes) - self.room[0], max(sizes) + self.room[0]
+        self.least, self.most = max(1, min(sizes) - self.room[0]), max(sizes) + self.room[0] if terms else 0
+        self.letters = ["", *sorted({c for t in terms for c in t})]  # the first stands for any other
+        self.code = np.zeros(max((ord(c) for c in self.letters[1:]), default=0) + 2, np.int64)
+        self.code[[ord(c) for c in self.letters[1:]]] = np.arange(1, len(self.letters))
         self.reset()
 
     def reset(self) -> None:
         self.states: dict[tuple, int] = {}
         self.sets: list[tuple] = []
-        self.next: list[dict[str, int]] = []
-        self.found: list[tuple[int, str] | None] = []
+        self.next = np.full((1024, len(self.letters)), -1, np.int32)
+        self.found: list[str | None] = []
         self.dead, self.start = self._state({}), self._state({0: 0})
 
     def _state(self, reached: dict[int, int]) -> int:
@@ -88,13 +95,15 @@ class Trie:
         if key not in self.states:
             self.states[key] = len(self.sets)
             self.sets.append(key)
-            self.next.append({})
+            if len(self.sets) > len(self.next):
+                self.next = np.concatenate((self.next, np.full_like(self.next, -1)))
             ends = [(e, t) for node, e in key if (t := self.terms[node]) is not None and e <= edits_of(t)]
-            self.found.append(min(ends, default=None))
+            self.found.append(min(ends)[1] if ends else None)
         return self.states[key]
 
-    def _step(self, state: int, letter: str) -> int:
+    def _step(self, state: int, code: int) -> int:
         reached: dict[int, int] = {}
+        letter = self.letters[code]
 
         def reach(node: int, e: int) -> None:
             if e <= self.room[node] and reached.get(node, 9) > e:
@@ -104,23 +113,42 @@ class Trie:
             reach(node, e + 1)  # a letter too many
             for c, child in self.children[node].items():
                 reach(child, e + (c != letter))
-        self.next[state][letter] = to = self._state(reached)
+        to = self._state(reached)
+        self.next[state, code] = to
         return to
 
-    def matches(self, word: str) -> str | None:
-        """The term with fewest edits, the first of equals, of those that the word is within edits_of(term) of."""
-        if not self.least <= len(word) <= self.most:
-            return None
+    def match_all(self, words: list[str]) -> dict[str, str]:
+        """Word -> the term with fewest edits, the first of equals, of those that the word is within edits_of(term) of;
+        words without one are left out."""
+        words = [w for w in words if self.least <= len(w) <= self.most]
+        if not words:
+            return {}
         if len(self.sets) > MOST_STATES:
             self.reset()
-        state, dead, following = self.start, self.dead, self.next
-        for c in word:
-            to = following[state].get(c)
-            state = self._step(state, c) if to is None else to
-            if state == dead:
-                return None
-        best = self.found[state]
-        return best[1] if best else None
+        sizes = np.array([len(w) for w in words])
+        points = np.array(words, f"U{self.most}").view(np.uint32).reshape(len(words), self.most)
+        codes = self.code[np.minimum(points, len(self.code) - 1)]
+        state, live = np.full(len(words), self.start), np.arange(len(words))
+        for at in range(self.most):
+            live = live[sizes[live] > at]
+            if not len(live):
+                break
+            now, code = state[live], codes[live, at]
+            to = self.next[now, code]
+            if (to < 0).any():
+                for pair in np.unique(now[to < 0] * len(self.letters) + code[to < 0]).tolist():
+                    self._step(*divmod(pair, len(self.letters)))
+                to = self.next[now, code]
+            state[live] = to
+            live = live[to != self.dead]
+        out = {}
+        for i in np.flatnonzero(state != self.dead).tolist():
+            if (t := self.found[state[i]]) is not None:
+                out[words[i]] = t
+        return out
+
+    def matches(self, word: str) -> str | None:
+        return self.match_all([word]).get(word)
 
 
 def edits_of(term: str) -> int:
@@ -135,9 +163,9 @@ def tries(terms: frozenset[str]) -> tuple[Trie, Trie]:
 
 
 @functools.lru_cache(4)
-def seen_words(*parts: frozenset[str]) -> dict[bytes, tuple[int, str]]:
-    """What a worker remembers of words under the same lexicon, from task to task."""
-    return {}
+def seen_words(*parts: frozenset[str]) -> tuple[dict[bytes, tuple[int, str]], set[bytes]]:
+    """What a worker remembers under the same lexicon, from task to task: words that hit, and words that don't."""
+    return {}, set()
 
 
 @dataclass
@@ -160,43 +188,52 @@ class Model:
     def reset(self) -> None:
         self.short, self.long = tries(frozenset(t for t in self.terms | self.stemmed if len(t) >= 4))
         self.stem_sizes = sorted({len(s) for s in self.stems})
-        self.known = seen_words(self.terms, self.stems, self.clean, self.stemmed)
+        self.hot, self.plain = seen_words(self.terms, self.stems, self.clean, self.stemmed)
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("short", "long", "stem_sizes", "known")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("short", "long", "stem_sizes", "hot", "plain")}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
         self.reset()
 
-    def kind_of(self, raw: bytes) -> tuple[int, str]:
-        if (got := self.known.get(raw)) is None:
-            if len(self.known) >= CACHE_WORDS:
-                self.known.clear()
-            got = self.known[raw] = self._look(raw.decode())
-        return got
-
-    def _look(self, w: str) -> tuple[int, str]:
-        if w in self.terms:
-            return EXACT, w
-        for n in self.stem_sizes:
-            if w[:n] in self.stems:
-                return STEM, w[:n]
-        if len(w) >= 4 and w not in self.clean and (t := self.short.matches(w) or self.long.matches(w)):
-            return FUZZY, t
-        return NONE, ""
-
-    def hits(self, text: str | None) -> tuple[list[tuple], int]:
-        """((word, term, kind, start, quoted, context) of every hit, number of words)."""
-        words = words_of(text)
-        found = {w for w in set(words) if self.kind_of(w)[0]}
+    def learn(self, words: set[bytes]) -> None:
+        """Sorts new words into those that hit, with their kind and term, and plain ones; many at a time."""
+        new = words.difference(self.plain, self.hot)
+        if not new:
+            return
+        if len(self.plain) > CACHE_WORDS:
+            self.plain.clear()
+        unknown = []
+        for raw in new:
+            w = raw.decode()
+            if w in self.terms:
+                self.hot[raw] = (EXACT, w)
+            elif (n := next((n for n in self.stem_sizes if w[:n] in self.stems), 0)) > 0:
+                self.hot[raw] = (STEM, w[:n])
+            elif len(w) >= 4 and w not in self.clean:
+                unknown.append(w)
+        near = self.long.match_all(unknown) | self.short.match_all(unknown)
+        self.hot.update((w.encode(), (FUZZY, t)) for w, t in near.items())
+        self.plain.update(new.difference(self.hot))
+
+    def found(self, words: list[bytes]) -> set[bytes]:
+        """The distinct words that hit."""
+        distinct = set(words)
+        self.learn(distinct)
+        return distinct & self.hot.keys()
+
+    def hits(self, text: str | None, words: list[bytes] | None = None) -> tuple[list[tuple], int]:
+        """((word, term, kind, start, quoted, context) of every hit, number of words). words: words_of(text)."""
+        words = words_of(text) if words is None else words
+        found = self.found(words)
         if not found:
             return [], len(words)
         quoted = quoted_words(text or "", found)
         out = []
         for i, w in enumerate(words):
             if w in found:
-                kind, term = self.kind_of(w)
+                kind, term = self.hot[w]
                 near = [*words[max(0, i - WINDOW) : i], *words[i + 1 : i + 1 + WINDOW]]
                 context = sum(self.cues.get(x.decode(), 0.0) for x in near) / (len(near) or 1)
                 out.append((w.decode(), term, ("", "exact", "stem", "misspelt")[kind], i, i in quoted, context))
@@ -216,15 +253,21 @@ class Model:
 
 
 def quoted_words(text: str, found: set[bytes]) -> set[int]:
-    """Places (in words_of) of found words inside an open pair of double quotation marks."""
-    out, at, inside = set(), 0, False
-    for token in text.split():
-        marks = sum(token.count(q) for q in QUOTES if q not in ("'", "’"))
-        words = words_of(token)
-        if inside or marks:
-            out.update(at + k for k, w in enumerate(words) if w in found)
-        inside ^= marks % 2 == 1
-        at += len(words)
+    """Places (in words_of) of found words inside an open pair of double quotation marks, or in a run of letters that
+    holds one. Only the runs with marks are looked at one by one."""
+    out: set[int] = set()
+    at, last, inside = 0, 0, False
+    for m in MARKED.finditer(text):
+        between = words_of(text[last : m.start()])
+        if inside:
+            out.update(at + k for k, w in enumerate(between) if w in found)
+        at += len(between)
+        words = words_of(m[0])
+        out.update(at + k for k, w in enumerate(words) if w in found)
+        at, last = at + len(words), m.end()
+        inside ^= sum(map(m[0].count, DOUBLE)) % 2 == 1
+    if inside:
+        out.update(at + k for k, w in enumerate(words_of(text[last:])) if w in found)
     return out
 
 
@@ -234,23 +277,47 @@ def far_likelier(toxic: Counter, other: Counter, n: int, m: int) -> list[str]:
     return sorted((f for f, c in toxic.items() if c >= LEAST_DOCS and ratio(f) >= LEAST_RATIO), key=lambda f: (-toxic[f], f))[:MOST_TERMS]
 
 
+def decoded(text: str | None) -> list[str]:
+    return [w.decode() for w in words_of(text)]
+
+
+def in_parts(texts: list[str | None], labels: list[int], model: Model) -> Iterator[tuple[str | None, int, list[bytes]]]:
+    """Texts with their labels and words, of which the model learns many texts' at once."""
+    for at in range(0, len(texts), 500):
+        words = [words_of(t) for t in texts[at : at + 500]]
+        model.learn(set().union(*words))
+        yield from zip(texts[at : at + 500], labels[at : at + 500], words, strict=True)
+
+
+def beginnings(words: set[str]) -> set[str]:
+    return {w[:k] for w in words for k in range(4, min(8, len(w)))}
+
+
 def fit(texts: list[str | None], labels: list[int]) -> Model:
-    """Lexicon, context cues and weights from labelled texts; without toxic or without other texts a blank model."""
+    """Lexicon, context cues and weights from labelled texts; without toxic or without other texts a blank model. Texts
+    are read anew for each count, and only what enough toxic ones hold is counted in the others: memory stays small."""
     n, m = sum(labels), len(labels) - sum(labels)
     if not n or not m:
         return Model()
-    words = [[w.decode() for w in words_of(t)] for t in texts]
     whole, starts, under = (Counter(), Counter()), (Counter(), Counter()), {}
-    for ws, y in zip(words, labels, strict=True):
-        distinct = set(ws)
-        whole[1 - y].update(distinct)
-        heads = set()
-        for w in distinct:
-            for k in range(4, min(8, len(w))):
-                heads.add(w[:k])
-                if y:
-                    under.setdefault(w[:k], set()).add(w)
-        starts[1 - y].update(heads)
+    for t, y in zip(texts, labels, strict=True):
+        if y:
+            distinct = set(decoded(t))
+            whole[0].update(distinct)
+            starts[0].update(beginnings(distinct))
+    for some in (whole[0], starts[0]):
+        for f in [f for f, c in some.items() if c < LEAST_DOCS]:
+            del some[f]
+    for t, y in zip(texts, labels, strict=True):
+        distinct = set(decoded(t))
+        if y:
+            for w in distinct:
+                for k in range(4, min(8, len(w))):
+                    if w[:k] in starts[0]:
+                        under.setdefault(w[:k], set()).add(w)
+        else:
+            whole[1].update(whole[0].keys() & distinct)
+            starts[1].update(starts[0].keys() & beginnings(distinct))
     stems: set[str] = set()
     for s in sorted(far_likelier(*starts, n, m), key=lambda s: (len(s), s)):
         if len(under[s]) >= LEAST_DOCS and not any(s[:k] in stems for k in range(4, len(s))):
@@ -259,17 +326,21 @@ def fit(texts: list[str | None], labels: list[int]) -> Model:
     stemmed = frozenset(t for t in likelier if any(t[:k] in stems for k in range(4, len(t) + 1)))
     terms = set(likelier) - stemmed
     model = Model(frozenset(terms), frozenset(stems), frozenset(), stemmed=stemmed)
-    clean = {w for w, c in whole[1].items() if c >= 2 and w not in terms and c * n >= whole[0][w] * m and model._look(w)[0] == FUZZY}
+    taken = (Counter(), Counter())
+    for _, y, ws in in_parts(texts, labels, model):
+        taken[1 - y].update(w.decode() for w in model.found(ws) if model.hot[w][0] == FUZZY)
+    clean = {w for w, c in taken[1].items() if c >= 2 and c * n >= taken[0][w] * m}
     model = Model(frozenset(terms), frozenset(stems), frozenset(clean), stemmed=stemmed)
     near = (Counter(), Counter())
-    for ws, y in zip(words, labels, strict=True):
-        for i, w in enumerate(ws):
-            if model.kind_of(w.encode())[0]:
-                near[1 - y].update({*ws[max(0, i - WINDOW) : i], *ws[i + 1 : i + 1 + WINDOW]})
+    for _, y, ws in in_parts(texts, labels, model):
+        found = model.found(ws)
+        for i, w in enumerate(ws if found else []):
+            if w in found:
+                near[1 - y].update({x.decode() for x in (*ws[max(0, i - WINDOW) : i], *ws[i + 1 : i + 1 + WINDOW])})
     a, b = sum(near[0].values()) + 1, sum(near[1].values()) + 1
     cues = {w: math.log((near[0][w] + 1) / a) - math.log((near[1][w] + 1) / b) for w in {*near[0], *near[1]} if near[0][w] + near[1][w] >= 20}
     model = Model(model.terms, model.stems, model.clean, dict(sorted(cues.items(), key=lambda c: (-abs(c[1]), c[0]))[:MOST_TERMS]) if near[1] else {}, stemmed=stemmed)
-    x = np.array([model.features(*model.hits(t)) for t in texts])
+    x = np.array([model.features(*model.hits(t, ws)) for t, _, ws in in_parts(texts, labels, model)])
     mean, scale = x.mean(axis=0), x.std(axis=0)
     mean[0], scale[scale == 0] = 0.0, 1.0
     x, y, w = (x - mean) / scale, np.array(labels, float), np.zeros(x.shape[1])
@@ -315,11 +386,14 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
                 scores, hits = [], []
-                for text in part.column(part.schema.get_field_index(text_col)).to_pylist():
-                    h, n = model.hits(text)
+                texts = part.column(part.schema.get_field_index(text_col)).to_pylist()
+                words = [words_of(t) for t in texts]
+                model.learn(set().union(*words))
+                for text, ws in zip(texts, words, strict=True):
+                    h, n = model.hits(text, ws)
                     scores.append(model.score(model.features(h, n)))
                     hits.append([dict(zip(names, x, strict=True)) for x in h])
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(hits, hit_type)], names=[*part.schema.names, "score", "predicted", "hits"])

@@ -458,6 +458,8 @@ def test_levenshtein():
         got = pair[0].matches(w) or pair[1].matches(w)
         assert (got in [t for _, t in near]) if near else got is None
     assert toxicity.Trie([]).matches("word") is None
+    many = list({"".join(rng.choice("abcd\u00e9\u6f22") for _ in range(rng.randint(0, 16))) for _ in range(2000)})
+    assert trie.match_all(many) == {w: t for w in many if (t := trie.matches(w))}
 
 
 def test_toxicity(spark, sf, docs, hard, empty):
