@@ -9,14 +9,16 @@ from foliant.llm import mixing, ngramjoin, packing, queries, shards, substring,
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model rejects go."""
+    """Documents that the toxicity model rejects go; null and empty texts are scored as any others, repeated rows alike.
+    Without toxic or without other labels the model is blank and all stay."""
     model = toxicity.learn(docs, queries.read(spark, sf_dir, "labels"))
     return toxicity.score_toxicity(docs, model).where("predicted = 0").select(*shards.own_columns(docs, "score", "predicted", "hits").values())
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates one row stays: that of smallest id, null ids last. Rows have a written number,
-    so rows of null and repeated ids are told apart."""
+    """Of each class of near duplicates one row stays: that of smallest id, null ids last, then the first written. Rows
+    have a written number, so rows of null and repeated ids are told apart. Rows without words link with nothing and
+    stay."""
     path = f"{shards.shared_dir(spark)}/numbered"
     docs.withColumn("__row", F.monotonically_increasing_id()).write.parquet(path)
     rows = spark.read.parquet(path)
@@ -27,7 +29,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 20 words or more that stand earlier go from the texts."""
+    """Passages of 20 words or more that stand earlier go from the texts; every row stays, an emptied text as an empty
+    one, a null text too. n_chars, where there is one, follows the text."""
     out = substring.dedup_substrings(docs)
     texts = {"text": F.col("kept_text").alias("text")}
     if "n_chars" in docs.columns:
@@ -37,12 +40,13 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: documents as often as the mix takes them."""
+    """Sources at their target weights: documents as often as the mix takes them. Rows without words go, for nothing can
+    be taken of them; null sources are a source of their own."""
     return mixing.mixed_documents(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of 2,048 ids."""
+    """Sequences of 2,048 ids; every row is packed, repeated ones as often as they are there."""
     return packing.pack_documents(docs, queries.tokenizer_path()).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")
 
 
