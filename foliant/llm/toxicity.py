@@ -17,12 +17,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.licenses import words_of
-from foliant.llm.shards import free_names, lean
+from foliant.llm.shards import checkpoint, free_names, lean
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
 MOST_TOXIC, MOST_OTHER = 3_000, 6_000
@@ -363,13 +363,21 @@ def held_out(id_col: str) -> Column:
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most MOST_TOXIC and MOST_OTHER labelled rows, and MOST_BYTES of texts of each; null labels and ids don't
-    count. Their ids, at most 9,000, are broadcast. Without toxic or without other rows the model is blank."""
+    count. Their ids, at most 9,000, are broadcast; of documents of equal ids the smallest text counts. Without toxic or
+    without other rows the model is blank."""
     rows = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).where("__id is not null and __y in (0, 1)").where(~held_out("__id"))
     pick = [rows.where(F.col("__y") == y).orderBy(F.xxhash64("__id"), "__id").limit(k) for y, k in ((1, MOST_TOXIC), (0, MOST_OTHER))]
     wanted = pick[0].unionByName(pick[1])
-    texts = docs.select(id_col, text_col).join(F.broadcast(wanted), F.col(id_col) == F.col("__id")).select("__id", "__y", text_col)
-    so_far = Window.partitionBy("__y").orderBy(F.xxhash64("__id"), "__id", text_col)  # of at most 9,000 rows
-    got = texts.withColumn("__n", F.sum(F.coalesce(F.octet_length(text_col), F.lit(0))).over(so_far.rowsBetween(Window.unboundedPreceding, 0))).withColumn("__k", F.row_number().over(so_far)).where((F.col("__n") <= MOST_BYTES) | (F.col("__k") == 1)).select("__id", "__y", text_col).toArrow()
+    joined = docs.select(id_col, F.col(text_col).alias("__t")).join(F.broadcast(wanted), F.col(id_col) == F.col("__id"))
+    labelled = checkpoint(joined.groupBy("__id", "__y").agg(F.min("__t").alias("__t")))  # one row an id and label, at most 9,000
+    sizes = labelled.select("__id", "__y", F.coalesce(F.octet_length("__t"), F.lit(0)).alias("n"), F.xxhash64("__id").alias("h")).collect()
+    some, spent = [], {0: 0, 1: 0}
+    for r in sorted(sizes, key=lambda r: (r.h, r["__id"], r["__y"])):
+        if not spent[r["__y"]] or spent[r["__y"]] + r.n <= MOST_BYTES:
+            spent[r["__y"]] += r.n or 1
+            some.append((r["__id"], r["__y"]))
+    taken = docs.sparkSession.createDataFrame(some, "__id long, __y int")
+    got = labelled.withColumn("__id", F.col("__id").cast("long")).join(F.broadcast(taken), ["__id", "__y"]).select("__id", "__y", "__t").toArrow()
     order = sorted(range(got.num_rows), key=lambda i: got.column(0)[i].as_py())
     texts, ys = got.column(2).to_pylist(), got.column(1).to_pylist()
     return fit([texts[i] for i in order], [ys[i] for i in order])
