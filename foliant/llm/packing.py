@@ -7,7 +7,6 @@ the next. Each group of documents is packed as it streams by, so nothing is shuf
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
 import zlib
@@ -19,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from foliant.llm.shards import lean
+from foliant.llm.shards import kept, lean
 
 #: Tokens of a group, after which its sequences are closed, and bytes of texts that are tokenised at once.
-GROUP_TOKENS = 4 << 20
-TEXT_BYTES = 8 << 20
+GROUP_TOKENS = 2 << 20
+TEXT_BYTES = 4 << 20
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 PIECES = "sequence_id long, offset long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_cost double"
 _TAILS = ".,;:!?"
 #: Letters that every library lower-cases alike, one to one.
@@ -155,7 +154,7 @@ class WordIds:
         return ids, np.concatenate(([0], np.cumsum(run[codes])))[bounds + np.arange(len(bounds))]
 
 
-@functools.cache
+@kept
 def word_ids(path: str) -> WordIds:
     """One table for all tasks of a worker."""
     return WordIds(path)
@@ -257,4 +256,4 @@ def pack_documents(
         if held:
             yield from close()
 
-    return docs.select(id_col, text_col).mapInArrow(lean(run), schema)
+    return docs.select(id_col, text_col).mapInArrow(lean(run, word_ids), schema)

@@ -51,18 +51,38 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """run, after which the worker gives the memory it has freed back: workers outlive their tasks."""
+_KEPT: list = []
+
+
+def kept(make: Callable) -> Callable:
+    """make, whose results a worker keeps from task to task, until a task of another operator begins."""
+    cached = functools.lru_cache(4)(make)
+    _KEPT.append(cached)
+    return cached
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *keep: Callable) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, before which the worker forgets what other operators kept (all but `keep`), and after which it gives the
+    memory it has freed back: workers outlive their tasks."""
 
     @functools.wraps(run)
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        others = [c for c in _KEPT if c not in keep and c.cache_info().currsize]
+        for c in others:
+            c.cache_clear()
+        if others:
+            give_back()
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-            if trim:
-                trim(0)
+            give_back()
 
     return whole
 

@@ -8,7 +8,6 @@ marks, tell quoting from abuse. Counts of hits, their density and their contexts
 
 from __future__ import annotations
 
-import functools
 import math
 import re
 from collections import Counter
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.licenses import words_of
-from foliant.llm.shards import checkpoint, free_names, lean
+from foliant.llm.shards import checkpoint, free_names, kept, lean
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
 MOST_TOXIC, MOST_OTHER = 3_000, 6_000
@@ -156,13 +155,13 @@ def edits_of(term: str) -> int:
     return 2 if len(term) >= LONG_TERM else 1
 
 
-@functools.lru_cache(4)
+@kept
 def tries(terms: frozenset[str]) -> tuple[Trie, Trie]:
     """Short terms and long ones apart: what long ones allow makes no states for short ones. Kept from task to task."""
     return Trie(sorted(t for t in terms if edits_of(t) == 1)), Trie(sorted(t for t in terms if edits_of(t) == 2))
 
 
-@functools.lru_cache(4)
+@kept
 def seen_words(*parts: frozenset[str]) -> tuple[dict[bytes, tuple[int, str]], set[bytes]]:
     """What a worker remembers under the same lexicon, from task to task: words that hit, and words that don't."""
     return {}, set()
@@ -407,4 +406,4 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", thresh
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(scores, pa.float64()), pa.array([int(s >= threshold) for s in scores], pa.int32()), pa.array(hits, hit_type)], names=[*part.schema.names, "score", "predicted", "hits"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("hits", T.DataType.fromDDL(HIT))])
-    return docs.mapInArrow(lean(run), schema)
+    return docs.mapInArrow(lean(run, tries, seen_words), schema)
