@@ -66,6 +66,24 @@ def strip(text: Column) -> Column:
     return F.regexp_replace(text, f"^[{SPACES}]+|[{SPACES}]+$", "")
 
 
+def title(name: Column) -> Column:
+    """A type's name in words, each with a capital."""
+    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+
+
+def stamp(time: Column) -> Column:
+    return F.date_format(time, "yyyy-MM-dd HH:mm:ss")
+
+
+def iso_stamp(time: Column) -> Column:
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+
+
+def elapsed(start: Column, stop: Column) -> Column:
+    """Seconds from start to stop."""
+    return (F.unix_micros(stop) - F.unix_micros(start)) / 1e6
+
+
 def has_any(text: Column, keys) -> Column:
     lowered = F.lower(blank(text))
     found = F.lit(False)

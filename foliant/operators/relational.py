@@ -72,18 +72,35 @@ def best_temperature(rows: DataFrame, confidence: str, correct: str, grid: int =
     return each.groupBy("k", "t").agg((F.sum(F.col("n") * loss) / F.sum("n")).alias("nll")).orderBy("nll", "k").limit(1)
 
 
-def split_rows(rows: DataFrame, keys: list[str], strata: list[str] = [], seed: int = 42, train: float = 0.8, val: float = 0.1) -> DataFrame:  # noqa: B006
-    """rows with split: train, val and test of exact sizes in each stratum (without strata: in all), in seeded order of
-    keys; null strata are "unknown", and strata of fewer than 3 go to train. A rank is the offset of a bin of the order
-    and the rank in the bin, so no task sorts a whole stratum."""
+def seeded_ranks(rows: DataFrame, keys: list[str], strata: list[str], seed: int = 42) -> DataFrame:
+    """rows with __r, the rank from 1 in seeded order of keys in their stratum (without strata: in all), and __all, the
+    stratum's rows; null strata are "unknown". A rank is the offset of a bin of the order and the rank in the bin, so no
+    task sorts a whole stratum."""
     names = [f"__s{i}" for i in range(len(strata))]
     rows = rows.select("*", *(F.coalesce(F.col(s).cast("string"), F.lit("unknown")).alias(n) for s, n in zip(strata, names, strict=True)), order_hash(seed, *keys).alias("__h")).withColumn("__b", F.substring("__h", 1, 3))
     sizes = rows.groupBy(*names, "__b").agg(F.count("*").alias("__n"))
     w = Window.partitionBy(*names)  # at most 4,096 rows a stratum
     sizes = sizes.withColumn("__before", F.sum("__n").over(w.orderBy("__b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")).withColumn("__all", F.sum("__n").over(w))
     out = rows.join(sizes, [*names, "__b"]).withColumn("__r", F.col("__before") + F.row_number().over(Window.partitionBy(*names, "__b").orderBy("__h", *keys)))
+    return out.drop(*names, "__h", "__b", "__n", "__before")
+
+
+def split_rows(rows: DataFrame, keys: list[str], strata: list[str] = [], seed: int = 42, train: float = 0.8, val: float = 0.1) -> DataFrame:  # noqa: B006
+    """rows with split: train, val and test of exact sizes in each stratum (without strata: in all), in seeded order of
+    keys; null strata are "unknown", and strata of fewer than 3 go to train."""
+    out = seeded_ranks(rows, keys, strata, seed)
     a, b = F.floor(F.col("__all") * train), F.floor(F.col("__all") * train) + F.floor(F.col("__all") * val)
-    return out.withColumn("split", F.when((F.col("__r") <= a) | (F.lit(bool(strata)) & (F.col("__all") < 3)), "train").when(F.col("__r") <= b, "val").otherwise("test")).drop(*names, "__h", "__b", "__n", "__before", "__all", "__r")
+    return out.withColumn("split", F.when((F.col("__r") <= a) | (F.lit(bool(strata)) & (F.col("__all") < 3)), "train").when(F.col("__r") <= b, "val").otherwise("test")).drop("__all", "__r")
+
+
+def fraction_sample(rows: DataFrame, keys: list[str], rate: float, seed: int = 42) -> DataFrame:
+    """The first rows in seeded order: as many as the rate says, fractions cut off, but one at least."""
+    return seeded_ranks(rows, keys, [], seed).where(F.col("__r") <= F.greatest(F.lit(1), F.floor(F.col("__all") * rate))).drop("__r", "__all")
+
+
+def chance_sample(rows: DataFrame, keys: list[str], rate: float, seed: int = 42) -> DataFrame:
+    """Each row by chance, at the rate; the same rows in every run. Nothing is shuffled."""
+    return rows.where(F.conv(F.substring(order_hash(seed, *keys), 1, 8), 16, 10).cast("long") < round(rate * (1 << 32)))
 
 
 def split_proportions(train: float, val: float, test: float) -> None:

@@ -384,6 +384,41 @@ def q_random_subset(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").join(picked, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi").groupBy("l_returnflag").agg(F.count("*").alias("n"))
 
 
+@query("SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY md5('42|' || o_orderkey), o_orderkey) r, count(*) OVER () n FROM orders) WHERE r <= greatest(1, floor(n * 0.03))")
+def q_fraction_sample(spark, sf_dir):
+    return R.fraction_sample(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.03)
+
+
+@query("SELECT o_orderkey FROM (SELECT *, row_number() OVER (ORDER BY md5('7|' || o_orderkey), o_orderkey) r FROM orders WHERE CAST('0x' || md5('7|' || o_orderkey)[1:8] AS BIGINT) < 429496730) WHERE r <= 20")
+def q_previews(spark, sf_dir):
+    """One row in ten by chance, and the first twenty of them."""
+    some = R.chance_sample(read(spark, sf_dir, "orders").select("o_orderkey"), ["o_orderkey"], 0.1, 7)
+    return some.orderBy(R.order_hash(7, "o_orderkey"), "o_orderkey").limit(20)
+
+
+@query("SELECT p_partkey, CASE WHEN r <= floor(n * 0.9) THEN 'train' WHEN r <= floor(n * 0.9) + floor(n * 0.1) THEN 'val' ELSE 'test' END split FROM (SELECT p_partkey, count(*) OVER () n, row_number() OVER (ORDER BY md5('42|' || p_partkey), p_partkey) r FROM part WHERE p_size % 3 = 0)")
+def q_split_png(spark, sf_dir):
+    """Only images named .png are split, nine tenths and one."""
+    from foliant.sources.files import suffix
+
+    files = read(spark, sf_dir, "part").select("p_partkey", F.concat("p_name", F.when(F.col("p_size") % 3 == 0, ".png").otherwise(".jpg")).alias("name"))
+    return R.split_rows(files.where(suffix(F.col("name")) == ".png"), ["p_partkey"], [], 42, 0.9, 0.1).select("p_partkey", "split")
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') stamp, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') iso, round((epoch_us(ts) - epoch_us((SELECT min(ts) FROM events))) / 1e6, 6) elapsed FROM events")
+def q_stamps(spark, sf_dir):
+    """Stamps of times, and seconds since the first."""
+    e = read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    first = e.agg(F.min("ts").alias("first"))
+    return e.crossJoin(F.broadcast(first)).select("event_id", X.stamp(F.col("ts")).alias("stamp"), X.iso_stamp(F.col("ts")).alias("iso"), F.round(X.elapsed(F.col("first"), F.col("ts")), 6).alias("elapsed"))
+
+
+@query("SELECT type, title, count(*) n FROM (SELECT event_type || '_per_user' AS type, upper(event_type[1]) || event_type[2:] || ' Per User' title FROM events) GROUP BY ALL")
+def q_titles(spark, sf_dir):
+    kind = F.concat("event_type", F.lit("_per_user"))
+    return read(spark, sf_dir, "events").groupBy(kind.alias("type"), X.title(kind).alias("title")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT p_size id, dense_rank() OVER (ORDER BY p_size) - 1 new_id FROM (SELECT DISTINCT p_size FROM part)")
 def q_id_remap(spark, sf_dir):
     return R.dense_ids(read(spark, sf_dir, "part"), "p_size")

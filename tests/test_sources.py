@@ -59,6 +59,20 @@ def test_streaming_ingest_takes_each_file_once(spark, tmp_path):
     assert sorted(r.a for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [1, 2]
 
 
+def test_windowed_counts_of_a_stream(spark, sf, tmp_path):
+    """Counts by hour of a stream of files, as of the whole table."""
+    from foliant.streaming.ingest import windowed_counts
+
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    run = windowed_counts(stream, "ts", "event_type", "1 hour", "60 days").writeStream.format("memory").queryName("hours").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    run.awaitTermination()
+    got = {(r.window.start, r.event_type): r.n for r in spark.table("hours").collect()}
+    want = {(r.h, r.event_type): r["count"] for r in events.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("h"), "event_type").count().collect()}
+    assert got == want
+
+
 def test_boxes_moved_into_the_page(spark):
     rows = [(5, 6, 30, 20), (90, 70, 40, 30), (-12, 3, 10, 10), (3, 4, -7, 8), (0, 0, 500, 500)]
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, x int, y int, w int, h int").orderBy("i")
