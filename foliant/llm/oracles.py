@@ -61,7 +61,7 @@ def licenses_sql(threshold: float = 0.8) -> str:
         tokens, n = lists(sorted(set(ws))), len(ws)
         need = math.ceil(threshold * len(set(ws)) - 1e-9)
         best = f"list_max(list_transform(range(1, greatest(1, len(w) - {n - 1}) + 1), lambda i: len(list_intersect({tokens}, w[i:i + {n - 1}]))))"
-        found.append(f"CASE WHEN len(list_intersect({tokens}, w)) >= {need} THEN (SELECT CASE WHEN b >= {need} THEN {{'label': '{label}', 'c': b::DOUBLE / {len(set(ws))}}} END FROM (SELECT {best} b)) END")
+        found.append(f"CASE WHEN len(list_intersect({tokens}, w)) >= {need} THEN list_transform([{best}], lambda b: CASE WHEN b >= {need} THEN {{'label': '{label}', 'c': b::DOUBLE / {len(set(ws))}}} END)[1] END")
     return f"""WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') w FROM documents),
 p AS (SELECT doc_id, len(w) n, [{', '.join(places)}] ps, list_filter([{', '.join(found)}], lambda f: f IS NOT NULL) fs FROM w),
 q AS (SELECT *, flatten(ps) places, list_filter(list_transform(range(1, {len(labels)} + 1), lambda i: CASE WHEN len(ps[i]) > 0 THEN {lists(x.encode() for x in labels)}[i] END), lambda x: x IS NOT NULL) base FROM p)

@@ -91,3 +91,26 @@ def test_stages_against_plain_python(spark, tmp_path):
     pieces = corpus_pipeline.packed(spark, spark.createDataFrame(mixed, docs.schema), str(tmp_path)).collect()
     assert sum(r.length for r in pieces) == sum(len(tokens.encode(r.text, add_special_tokens=False).ids) + 1 for r in mixed)
     assert sum(r["length"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) > 0
+
+
+def test_stages_on_an_empty_table(spark, tmp_path):
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.createDataFrame([], "doc_id long, text string, source string, n_chars long, size string, score string")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == docs.columns
+
+
+def test_very_long_texts_through_the_stages(spark, tmp_path):
+    long = " ".join(f"w{i % 5003}x{i % 17}" for i in range(40_000))
+    rows = [(1, long, "a"), (2, long + " end", "a"), (3, " ".join(reversed(long.split())), None), (4, "y" * 30_000, "b"), (5, "é " * 9_000, "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.clean(spark, docs, str(tmp_path))
+    assert kept.count() == 5
+    one = corpus_pipeline.distinct(spark, kept, "")
+    assert sorted(r.doc_id for r in one.collect()) == [1, 3, 4, 5]
+    rest = {r.doc_id: len((r.text or "").split()) for r in corpus_pipeline.unrepeated(spark, one, "").collect()}
+    assert rest[1] == 40_000 and rest[4] == 1 and rest[5] == 20
