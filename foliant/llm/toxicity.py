@@ -9,6 +9,7 @@ marks, tell quoting from abuse. Counts of hits, their density and their contexts
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliant.llm.licenses import words_of
-from foliant.llm.shards import checkpoint, free_names, kept, lean
+from foliant.llm.shards import checkpoint, free_names, give_back, kept, lean
 
 #: Labelled rows that are learnt from: at most so many toxic and so many others, taken by a hash of their id.
 MOST_TOXIC, MOST_OTHER = 3_000, 6_000
@@ -377,9 +378,13 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             some.append((r["__id"], r["__y"]))
     taken = docs.sparkSession.createDataFrame(some, "__id long, __y int")
     got = labelled.withColumn("__id", F.col("__id").cast("long")).join(F.broadcast(taken), ["__id", "__y"]).select("__id", "__y", "__t").toArrow()
-    order = sorted(range(got.num_rows), key=lambda i: got.column(0)[i].as_py())
-    texts, ys = got.column(2).to_pylist(), got.column(1).to_pylist()
-    return fit([texts[i] for i in order], [ys[i] for i in order])
+    got = got.sort_by([("__id", "ascending"), ("__y", "ascending")])
+    fitted = pickle.dumps(fit(got.column(2).to_pylist(), got.column(1).to_pylist()))
+    del got
+    for made in (tries, seen_words):
+        made.cache_clear()
+    give_back()  # the driver goes on with the model alone
+    return pickle.loads(fitted)
 
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
