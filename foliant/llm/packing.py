@@ -18,13 +18,13 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from foliant.llm.shards import kept, lean
+from foliant.llm.shards import give_back, kept, lean
 
 #: Tokens of a group, after which its sequences are closed, and bytes of texts that are tokenised at once.
-GROUP_TOKENS = 2 << 20
-TEXT_BYTES = 4 << 20
+GROUP_TOKENS = 1 << 20
+TEXT_BYTES = 2 << 20
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 PIECES = "sequence_id long, offset long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_cost double"
 _TAILS = ".,;:!?"
 #: Letters that every library lower-cases alike, one to one.
@@ -241,6 +241,7 @@ def pack_documents(
                 yield pa.RecordBatch.from_arrays([v if isinstance(v, pa.Array) else pa.array(v) for c, v in out.items() if with_ids or c != "ids"], names=schema.names)
             sequence += int(seq[-1]) + 1
             held, total = [], 0
+            give_back()
 
         for batch in batches:
             names, texts = batch.column(0), batch.column(1)
