@@ -24,7 +24,7 @@ from foliant.llm.shards import give_back, kept, lean
 GROUP_TOKENS = 1 << 20
 TEXT_BYTES = 2 << 20
 #: Words whose ids a worker remembers before it starts anew.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 PIECES = "sequence_id long, offset long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_cost double"
 _TAILS = ".,;:!?"
 #: Letters that every library lower-cases alike, one to one.
@@ -126,11 +126,9 @@ class WordIds:
         offsets = np.frombuffer(words.buffers()[1], np.int32, len(words), words.offset * 4)
         data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[spread(offsets + kept, whole - kept)]
         tails = pa.StringArray.from_buffers(len(words), pa.py_buffer(np.concatenate(([0], np.cumsum(whole - kept))).astype(np.int32)), pa.py_buffer(data))
-        both = []
-        for part in (keys, tails):
-            part = part.dictionary_encode()
-            both.append(self._rows(part.dictionary)[part.indices.to_numpy()])
-        return both[0], both[1]
+        both = pa.concat_arrays([keys, tails]).dictionary_encode()
+        rows = self._rows(both.dictionary)[both.indices.to_numpy()]
+        return rows[: len(words)], rows[len(words) :]
 
     def __call__(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each followed by the id end, and the n + 1 offsets of the texts."""
