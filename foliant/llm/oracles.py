@@ -6,6 +6,7 @@ op7 learns, op8 tokenises and op10 hashes as Spark does: no SQL gives their rows
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from pathlib import Path
 
 from foliant.llm import licenses, urls
@@ -93,3 +94,28 @@ t AS (SELECT doc_id, p, {twice('a')} wide, {twice('c')} narrow FROM k), g AS (SE
 s AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY p), false) begins FROM g), r AS (SELECT doc_id, count_if(gone) n_removed, count_if(begins) n_spans, count_if(shared) n_passage FROM s GROUP BY doc_id),
 kept AS (SELECT doc_id, string_agg(x[2 * p + 1:2 * p + 2], '' ORDER BY p) k FROM g JOIN b USING (doc_id) WHERE doc_id IN (SELECT doc_id FROM r WHERE n_removed > 0) AND NOT gone GROUP BY doc_id)
 SELECT doc_id, n n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(CASE WHEN coalesce(n_removed, 0) = 0 THEN x ELSE coalesce(k, '') END)) kept_sha256, coalesce(n_passage, 0) n_passage FROM b LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, half a byte at a time."""
+    table = [n for n in range(16)]
+    for _ in range(4):
+        table = [x >> 1 ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    step = lambda acc, nibble: f"xor({acc} >> 4, list_extract({table}::BIGINT[], (xor({acc}, {nibble}) & 15) + 1))"
+    nibbles = f"flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c) & 15, ascii(c) >> 4]::BIGINT[]))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {nibbles}), lambda acc, x: {step('acc', 'x')}), 4294967295)"
+
+
+def point_in_time_sql(windows: Sequence[int] = (2, 14), horizon: int = 7, delay: int = 240, spread: int = 259_200) -> str:
+    """Every question against every row of its client."""
+    cents = lambda x: f"coalesce(floor(100 * {x} + 0.5), 0)::BIGINT"
+    inside = lambda e: f"{e} > t - d * INTERVAL 1 DAY AND {e} <= t"
+    known = f"arrived_at + INTERVAL {delay} MINUTE <= t"
+    return f"""WITH s AS (SELECT row_number() OVER () r, *, sold_at + to_seconds({crc32_sql('CAST(sale_id AS VARCHAR)')} % {spread}) t FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+q AS (SELECT r, sale_id, client_id, t, d FROM s, (SELECT unnest({list(windows)}) d)),
+c AS (SELECT r, d, count(*) n_clicks, count(*) FILTER (kind = 'purchase') n_purchases, sum({cents('value')}) click_cents, max_by(click_id, (ts, click_id)) last_click_id FROM q JOIN (SELECT DISTINCT * FROM clicks) USING (client_id) WHERE {inside('ts')} AND {known} GROUP BY ALL),
+b AS (SELECT q.r, q.d, q.t, s.sale_id, total FROM q JOIN s ON q.client_id = s.client_id WHERE {inside('sold_at').replace('t - d', 'q.t - d').replace('<= t', '<= q.t')} AND {known.replace('<= t', '<= q.t')}),
+n AS (SELECT r, d, count(*) n_sales, sum({cents('total')}) sale_cents FROM b GROUP BY ALL),
+l AS (SELECT r, d, count(*) n_lines, count(DISTINCT item_id) n_items, sum({cents('amount')}) line_cents FROM b JOIN sale_lines USING (sale_id) WHERE shipped_at <= t GROUP BY ALL)
+SELECT sale_id, q.d::INTEGER d, epoch_us(t) t_us, EXISTS (SELECT 1 FROM s f WHERE f.client_id = q.client_id AND f.sold_at > q.t AND f.sold_at <= q.t + INTERVAL {horizon} DAY) AS label, coalesce(n_clicks, 0) n_clicks, coalesce(n_purchases, 0) n_purchases, coalesce(click_cents, 0)::BIGINT click_cents, last_click_id,
+coalesce(n_sales, 0) n_sales, coalesce(sale_cents, 0)::BIGINT sale_cents, coalesce(n_lines, 0) n_lines, coalesce(n_items, 0) n_items, coalesce(line_cents, 0)::BIGINT line_cents FROM q LEFT JOIN c USING (r, d) LEFT JOIN n USING (r, d) LEFT JOIN l USING (r, d)"""

@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, oracles, packing, substring, suffix, toxicity, urls
+from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, oracles, packing, pointintime, substring, suffix, toxicity, urls
 
 #: The list of op2: sites of unwanted pages, one a line.
 LISTED = Path(__file__).with_name("listed_urls.txt")
@@ -86,11 +86,15 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints)
+def op13_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pointintime.point_in_time(read(spark, sf_dir, "sales"), read(spark, sf_dir, "clicks"), read(spark, sf_dir, "sale_lines"))
+
+
+_ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints, op13_point_in_time)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracles.mix_sql(), "op2_url_filter": oracles.urls_sql(LISTED), "op3_embedding_dedup": oracles.embeddings_sql(), "op4_license_scan": oracles.licenses_sql(),
-    "op5_substring_dedup": oracles.substring_sql(), "op6_ngram_join": oracles.ngram_sql(), "op9_suffix_dedup": oracles.suffix_sql(),
+    "op5_substring_dedup": oracles.substring_sql(), "op6_ngram_join": oracles.ngram_sql(), "op9_suffix_dedup": oracles.suffix_sql(), "op13_point_in_time": oracles.point_in_time_sql(),
 }
