@@ -96,6 +96,16 @@ kept AS (SELECT doc_id, string_agg(x[2 * p + 1:2 * p + 2], '' ORDER BY p) k FROM
 SELECT doc_id, n n_bytes, coalesce(n_removed, 0) n_removed, coalesce(n_spans, 0) n_spans, sha256(unhex(CASE WHEN coalesce(n_removed, 0) = 0 THEN x ELSE coalesce(k, '') END)) kept_sha256, coalesce(n_passage, 0) n_passage FROM b LEFT JOIN r USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+def hard_negatives_sql() -> str:
+    """All anchors against all rows."""
+    return """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) e FROM embeddings
+WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id a, b.vec_id b, a.label = b.label same, list_inner_product(a.e, b.e)::BIGINT score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a anchor_id, p.b positive_id, (row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b))::INTEGER AS rank, s.b negative_id, p.score positive_score, s.score negative_score
+FROM p JOIN s ON s.a = p.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score QUALIFY rank <= 10"""
+
+
 def crc32_sql(text: str) -> str:
     """CRC-32 of an ASCII text, half a byte at a time."""
     table = [n for n in range(16)]

@@ -13,23 +13,28 @@ of a client are trimmed until they are disjoint, and each is a point again.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.llm.shards import lean, n_parts, shared_dir
 
 #: Elements of a leaf or a cell.
 LEAF = 32_768
+#: Rows of a partition that are looked at to find ranges of keys.
+SAMPLES = 20
 DAY = 86_400_000_000
 #: Cells of time in which an item's intervals are trimmed before they meet across cells.
 TRIM = DAY // 24
 CLICK, PURCHASE, SALE, LINES, FUTURE, LABEL, WINDOW = range(7)
+#: The id of clicks without one. Questions of sales without an id have a count below 0.
+NO_ID = -(1 << 63)
 #: What is summed over points, besides the items of each window.
 SUMS = ("n_clicks", "n_purchases", "click_cents", "n_sales", "sale_cents", "n_lines", "line_cents", "future")
 
@@ -166,7 +171,7 @@ def elements(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows: Seq
     known = sales.where("client_id is not null and sold_at is not null")
     shift = F.pmod(F.crc32(F.coalesce(F.col("sale_id").cast("string"), F.lit("")).cast("binary")), F.lit(spread)) * 1_000_000
     sold = known.select(F.col("client_id").alias("client"), F.col("sale_id").alias("id"), at(sales, "sold_at").alias("e"), at(sales, "arrived_at").alias("arrived"), cents(F.col("total")).alias("cents"), (at(sales, "sold_at") + shift).alias("t"))
-    asked = sold.groupBy("client", "id", "t").agg(F.count("*").alias("n"))
+    asked = sold.groupBy("client", "id", "t").agg(F.count("*").alias("n")).withColumn("n", F.when(F.col("id").isNull(), -F.col("n")).otherwise(F.col("n")))
     day = lambda d: F.lit(d * DAY)
     spans = [F.struct(F.lit(WINDOW + i).alias("kind"), (F.col("t") - day(d)).alias("e"), F.col("t").alias("a")) for i, d in enumerate(windows)]
     spans.append(F.struct(F.lit(LABEL).alias("kind"), F.col("t").alias("e"), (F.col("t") + day(horizon)).alias("a")))
@@ -177,7 +182,7 @@ def elements(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows: Seq
     props = [F.md5(F.col("props").cast("binary")).alias("props")] if "props" in clicks.columns else []
     seen = clicks.where("client_id is not null and ts is not null and arrived_at is not null").select(*own, *props).distinct()
     purchase = F.when(F.col("kind") == "purchase", PURCHASE).otherwise(CLICK)
-    clicked = seen.select(F.col("client_id").alias("client"), at(clicks, "ts").alias("e"), F.greatest(at(clicks, "ts"), at(clicks, "arrived_at") + late).alias("a"), purchase.alias("kind"), F.col("click_id").alias("id"), F.lit(1).cast("long").alias("n"), cents(F.col("value")).alias("cents"), *none)
+    clicked = seen.select(F.col("client_id").alias("client"), at(clicks, "ts").alias("e"), F.greatest(at(clicks, "ts"), at(clicks, "arrived_at") + late).alias("a"), purchase.alias("kind"), F.coalesce("click_id", F.lit(NO_ID)).alias("id"), F.lit(1).cast("long").alias("n"), cents(F.col("value")).alias("cents"), *none)
     few = lines.where("shipped_at is not null").groupBy("sale_id", F.col("item_id").alias("item"), at(lines, "shipped_at").alias("shipped")).agg(F.count("*").alias("n"), F.sum(cents(F.col("amount"))).alias("cents"))
     bought = sold.where("arrived is not null and id is not null").select(F.col("id").alias("sale_id"), "client", "e", F.greatest("e", F.col("arrived") + late).alias("from"))
     shipped = few.join(bought, "sale_id").select("client", "item", "e", F.greatest("from", "shipped").alias("a"), "n", "cents")
@@ -217,6 +222,23 @@ def record(columns: dict[str, np.ndarray], names: Sequence[str], n: int) -> pa.R
     return pa.RecordBatch.from_arrays([of(c) for c in names], names=list(names))
 
 
+def sorted_by(df: DataFrame, n: int, *keys: Column | str) -> DataFrame:
+    """df in n ranges of the keys, each sorted; the last key deals ties over several."""
+    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+
+
+@contextlib.contextmanager
+def small_samples(spark: SparkSession) -> Iterator[None]:
+    """Ranges are found from SAMPLES rows a partition, which go to the driver."""
+    name = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(SAMPLES))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def longs(names: Sequence[str]) -> str:
     return ", ".join(f"`{c}` long" for c in names)
 
@@ -240,9 +262,8 @@ def in_leaves(found: DataFrame, windows: int, n: int, leaf: int) -> DataFrame:
             if len(rest):
                 yield record({c: x[rest] for c, x in t.items()} | {"asks": np.zeros(len(rest), np.int64), "crossing": crossing[rest], "leaf": np.full(len(rest), number)}, names, len(rest))
 
-    keys = [F.col("client"), -F.col("e"), -F.col("kind"), F.col("a"), F.col("id")]  # at equal e a question comes first
-    dealt = found.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(lean(run), longs(names))
+    late_first = (F.col("kind") < LABEL).cast("long") - 2 * F.col("e")  # at equal e a question comes first
+    return sorted_by(found, n, "client", late_first, F.xxhash64("a", "id")).mapInArrow(lean(run), longs(names))
 
 
 def in_cells(crossing: DataFrame, windows: int, n: int, leaf: int) -> DataFrame:
@@ -276,9 +297,8 @@ def in_cells(crossing: DataFrame, windows: int, n: int, leaf: int) -> DataFrame:
                 out |= {x: np.full(len(starts), v) for x, v in (("asks", 0), ("crossing", 1), ("cell", number))}
                 yield record(out, names, len(starts))
 
-    keys = ["client", "a", "kind", "leaf", "id"]  # at equal a points come first
-    dealt = crossing.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(lean(run), longs(names))
+    early_first = (F.col("kind") >= LABEL).cast("long") + 2 * F.col("a")  # at equal a points come first
+    return sorted_by(crossing, n, "client", early_first, F.xxhash64("leaf", "id")).mapInArrow(lean(run), longs(names))
 
 
 def between(cells: DataFrame, windows: int) -> DataFrame:
@@ -316,16 +336,18 @@ def point_in_time(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows
     Counted are the client's clicks (fully equal rows once; props are compared by MD5), sales and their lines that
     happened in (t - d days, t] and had arrived `delay` minutes before t, lines shipped by t; what has a null time or
     client counts nowhere. label: a sale in (t, t + horizon days]. Sums are of cents; null or not finite amounts are 0, and
-    so are those from 1e15 on. Repeated rows of sales count each and get rows each. Lines of null or unknown sales count
+    so are those from 1e15 on. Of equal latest clicks the largest id counts, null being
+    the smallest. Repeated rows of sales count each and get rows each. Lines of null or unknown sales count
     nowhere, null items are no items. An empty table gives zeros, no sales no rows. Other columns play no part but in
     the equality of clicks. Work folders are in the shared folder.
     """
     spark, n, k = sales.sparkSession, n_parts(sales), len(windows)
     path = shared_dir(spark)
     elements(sales, clicks, lines, windows, horizon, delay, spread).write.parquet(f"{path}/elements")
-    in_leaves(spark.read.parquet(f"{path}/elements"), k, n, leaf).write.parquet(f"{path}/leaves")
-    leaves = spark.read.parquet(f"{path}/leaves")
-    in_cells(leaves.where("crossing = 1"), k, n, leaf).write.parquet(f"{path}/cells")
+    with small_samples(spark):
+        in_leaves(spark.read.parquet(f"{path}/elements"), k, n, leaf).write.parquet(f"{path}/leaves")
+        leaves = spark.read.parquet(f"{path}/leaves")
+        in_cells(leaves.where("crossing = 1"), k, n, leaf).write.parquet(f"{path}/cells")
     cells = spark.read.parquet(f"{path}/cells")
     sums, who = answer_columns(k), ["client", "kind", "id", "n", "t"]
     far = cells.where("asks = 1 and crossing = 1").select(*who, "leaf", "cell").join(between(cells, k), ["client", "leaf", "cell"]).select(*who, *sums)
@@ -333,7 +355,8 @@ def point_in_time(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows
     of = lambda c, kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(c))), F.lit(0))
     names = [c for c in SUMS if c != "future"]
     window = [F.struct(F.lit(d).alias("d"), *(of(c, WINDOW + i).alias(c) for c in names), of(f"items{i}", WINDOW + i).alias("n_items"), F.max(F.when((F.col("kind") == WINDOW + i) & F.col("last_ts").isNotNull(), F.struct("last_ts", "last_id")))["last_id"].alias("last_click_id")) for i, d in enumerate(windows)]
-    whole = parts.groupBy("client", "id", "t").agg(F.max("n").alias("n"), (of("future", LABEL) > 0).alias("label"), F.array(*window).alias("w"))
-    rows = whole.select("id", "t", "label", F.explode("w").alias("w"), F.sequence(F.lit(1).cast("long"), "n").alias("copies")).select("id", "t", "label", "w", F.explode("copies"))
+    whole = parts.groupBy("client", "id", "t", "n").agg((of("future", LABEL) > 0).alias("label"), F.array(*window).alias("w"))
+    copies = F.sequence(F.lit(1).cast("long"), F.abs("n"))
+    rows = whole.select(F.when(F.col("n") > 0, F.col("id")).alias("id"), "t", "label", "w", F.explode(copies)).select("id", "t", "label", F.explode("w").alias("w"))
     out = ["n_clicks", "n_purchases", "click_cents", "last_click_id", "n_sales", "sale_cents", "n_lines", "n_items", "line_cents"]
-    return rows.select(F.col("id").alias("sale_id"), F.col("w.d").cast("int").alias("d"), F.col("t").alias("t_us"), "label", *(F.col(f"w.{c}").alias(c) for c in out))
+    return rows.select(F.col("id").alias("sale_id"), F.col("w.d").cast("int").alias("d"), F.col("t").alias("t_us"), "label", *((F.nullif(F.col("w.last_click_id"), F.lit(NO_ID)) if c == "last_click_id" else F.col(f"w.{c}")).alias(c) for c in out))

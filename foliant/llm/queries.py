@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import embeddings, fingerprints, licenses, mixing, ngramjoin, oracles, packing, pointintime, substring, suffix, toxicity, urls
+from foliant.llm import embeddings, fingerprints, langid, licenses, mixing, ngramjoin, oracles, packing, pointintime, substring, suffix, toxicity, urls, vptree
 
 #: The list of op2: sites of unwanted pages, one a line.
 LISTED = Path(__file__).with_name("listed_urls.txt")
@@ -86,15 +86,27 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.learn(docs.where(~langid.held_out("doc_id")))
+    return langid.predict(docs.select("doc_id", "text"), model).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return vptree.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op13_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pointintime.point_in_time(read(spark, sf_dir, "sales"), read(spark, sf_dir, "clicks"), read(spark, sf_dir, "sale_lines"))
 
 
-_ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints, op13_point_in_time)
+_ALL = (op1_mix_sources, op2_url_filter, op3_embedding_dedup, op4_license_scan, op5_substring_dedup, op6_ngram_join, op7_toxicity, op8_packing, op9_suffix_dedup, op10_fingerprints, op11_language_id, op12_hard_negatives, op13_point_in_time)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 
 ORACLES: dict[str, str] = {
     "op1_mix_sources": oracles.mix_sql(), "op2_url_filter": oracles.urls_sql(LISTED), "op3_embedding_dedup": oracles.embeddings_sql(), "op4_license_scan": oracles.licenses_sql(),
-    "op5_substring_dedup": oracles.substring_sql(), "op6_ngram_join": oracles.ngram_sql(), "op9_suffix_dedup": oracles.suffix_sql(), "op13_point_in_time": oracles.point_in_time_sql(),
+    "op5_substring_dedup": oracles.substring_sql(), "op6_ngram_join": oracles.ngram_sql(), "op9_suffix_dedup": oracles.suffix_sql(), "op12_hard_negatives": oracles.hard_negatives_sql(), "op13_point_in_time": oracles.point_in_time_sql(),
 }
