@@ -42,7 +42,9 @@ def dedup_embeddings(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     vectors are judged once and counted as often as they occur. Rows of equal ids are one node of the components. Null
     ids get a null component. Input columns named as a result get the suffix _in.
     """
+    named = dict(zip(vectors.columns, free_names(vectors, "n_links", "component_id", "kept").columns, strict=True))
     vectors = free_names(vectors, "n_links", "component_id", "kept")
+    id_col, vector_col, label_col = named[id_col], named[vector_col], label_col and named[label_col]
     n = n_parts(vectors)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -120,13 +120,11 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     scale = sum(by_pattern.values()) / (sum(sizes) or 1)
     target = quotas(sizes, total_weights, share * scale, most) if names else []
     flow = min_cost_flow([by_pattern[p] for p in patterns], [[names.index(x) for x in p] for p in patterns], [round(t) for t in target], most)
-    plan = [(list(p), int(sizes[names.index(p[0])]), float(target[names.index(p[0])]), by_pattern[p], sum(flow[i].values())) for i, p in enumerate(patterns)]
-    table = spark.createDataFrame(plan, "__p array<string>, source_size long, target double, __cap long, __flow long")
-    # bounded by MOST_PATTERNS rows
-    rows = rows.withColumn("__k", F.coalesce(F.array_join("__p", "\x1f", "\x1e"), F.lit("")))
-    table = table.select(F.array_join("__p", "\x1f", "\x1e").alias("__k"), "source_size", "target", "__cap", "__flow")
+    plan = [(list(p), k, int(sizes[names.index(p[0])]), float(target[names.index(p[0])]), by_pattern[p], sum(flow[k].values())) for k, p in enumerate(patterns)]
+    table = spark.createDataFrame(plan, "__p array<string>, __k int, source_size long, target double, __cap long, __flow long")
+    # bounded by MOST_PATTERNS rows; null sources are equal within arrays
     span = (1 << 48) // bins_in_all
-    rows = rows.join(F.broadcast(table), "__k").withColumn("__bin", F.floor(F.col("__h") / span))
+    rows = rows.join(F.broadcast(table), "__p").withColumn("__bin", F.floor(F.col("__h") / span))
     bins = rows.groupBy("__k", "__bin").agg(F.sum("size").alias("__n"), F.max(F.when(F.col("__cap") > 0, F.col("__flow") % F.col("__cap")).otherwise(0)).alias("__rest"))
     before = F.coalesce(F.sum("__n").over(Window.partitionBy("__k").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     edges = bins.select("__k", "__bin", "__n", "__rest", before.alias("__before")).where("__rest > __before and __rest < __before + __n").select("__k", F.col("__bin").alias("__edge"), (F.col("__rest") - F.col("__before")).alias("__room"))

@@ -104,7 +104,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Two rows link if the Jaccard similarity of their sets of 5-grams of words (runs of anything but ASCII white space)
     is at least the threshold; a text of fewer words is one gram. n_links counts the other rows that a row links to,
     class_id is the smallest id that links reach, itself included. Null and empty texts link with nothing. Rows that
-    repeat an id are one node; rows of null id get a null class. A pair at 0.8 is missed with probability 4e-6 in the
+    repeat an id are one node; rows of null id get a null class. A key that is called as a result gets the suffix _in. A pair at 0.8 is missed with probability 4e-6 in the
     bands, and about the tolerance for each step of the comparison.
     """
     n = S.n_parts(docs)
@@ -112,13 +112,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in pieces(batch, text_col):
-                s = Shingles(part, text_col)
+            for part in pieces(batch, "__text"):
+                s = Shingles(part, "__text")
                 which, values = s.signatures()
-                ids = part.column(part.schema.get_field_index(id_col)).cast(pa.int64()).take(pa.array(which))
+                ids = part.column(part.schema.get_field_index("__key")).cast(pa.int64()).take(pa.array(which))
                 yield pa.RecordBatch.from_arrays([ids, *(pa.array(w[which].view(np.int64)) for w in s.whole), pa.array([v.tobytes() for v in values], pa.binary())], names=["id", "f1", "f2", "sig"])
 
-    slim = docs.select(id_col, text_col)
+    slim = docs.select(F.col(id_col).alias("__key"), F.col(text_col).alias("__text"))
     signed = slim.mapInArrow(S.lean(sign), "id long, f1 long, f2 long, sig binary").where("id is not null")
     one = signed.groupBy("f1", "f2").agg(F.min(F.struct("id", "sig")).alias("r"), F.count("*").alias("w"))
     classes = S.checkpoint(one.select("f1", "f2", F.col("r.id").alias("rep"), F.col("r.sig").alias("sig"), "w"))
@@ -142,13 +142,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["rep", "root", "size", "w", "sig"]
         for batch in batches:
-            for part in pieces(batch, text_col):
-                s = Shingles(part, text_col)
+            for part in pieces(batch, "__text"):
+                s = Shingles(part, "__text")
                 same = [part.column(part.schema.get_field_index(c)).to_numpy() == w.view(np.int64) for c, w in zip(("f1", "f2"), s.whole, strict=True)]
                 out = pa.RecordBatch.from_arrays([*(part.column(part.schema.get_field_index(c)) for c in names), pa.array(s.sets(), pa.binary())], names=[*names, "grams"])
                 yield out.filter(pa.array(same[0] & same[1]))
 
-    rows = slim.join(seen, slim[id_col].cast("long") == F.col("rep")).select("rep", "root", "size", "w", "sig", "f1", "f2", text_col).mapInArrow(S.lean(to_sets), "rep long, root long, size long, w long, sig binary, grams binary")
+    rows = slim.join(seen, F.col("__key").cast("long") == F.col("rep")).select("rep", "root", "size", "w", "sig", "f1", "f2", "__text").mapInArrow(S.lean(to_sets), "rep long, root long, size long, w long, sig binary, grams binary")
 
     def compare(t: pa.Table, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), np.uint32).reshape(t.num_rows, BANDS * ROWS)
@@ -178,9 +178,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = found.groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
     known = classes.select("f1", "f2", "rep", "w").join(links, "rep", "left").join(roots, "rep", "left")
     members = signed.select("id", "f1", "f2").join(known, ["f1", "f2"]).groupBy("id").agg(F.max(F.col("w") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.min(F.coalesce("root", "rep")).alias("class_id"))
-    out = docs.select(id_col).join(members, F.col(id_col).cast("long") == F.col("id"), "left")
-    own = F.coalesce("class_id", F.col(id_col).cast("long"))
-    return out.select(id_col, own.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(own == F.col(id_col), F.lit(True)).alias("kept"))
+    out = slim.select("__key").join(members, F.col("__key").cast("long") == F.col("id"), "left")
+    own = F.coalesce("class_id", F.col("__key").cast("long"))
+    name = S.free_names(docs.select(id_col), "class_id", "n_links", "kept").columns[0]
+    return out.select(F.col("__key").alias(name), own.alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce(own == F.col("__key"), F.lit(True)).alias("kept"))
 
 
 def pieces(batch: pa.RecordBatch, text_col: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:

@@ -30,11 +30,12 @@ def urls_sql(listed: Path) -> str:
     rules = [(f"(host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}')", h + p, what) for what, h, p in sorted(urls.RULES, key=lambda r: (len(r[1] + r[2]), r), reverse=True)]
     rule, verdict = ("CASE " + " ".join(f"WHEN {fits} THEN '{x}'" for fits, x in ((r[0], r[k]) for r in rules)) + " END" for k in (1, 2))
     host = f"translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{urls.UPPER}', '{urls.LOWER}')"
-    entries = ", ".join(f"'{u}'" for u in listed.read_text(encoding="utf-8").split())
-    above = ", ".join(f"regexp_extract(host, '((?:[^.]+\\.){{{n - 1}}}[^.]+)$', 1) || '/'" for n in range(2, urls.MOST_LABELS + 1))
+    quoted = lambda u: "'" + u.replace("'", "''") + "'"
+    entries = ", ".join(quoted(u) for u in listed.read_text(encoding="utf-8").split())
     return f"""WITH p AS (SELECT page_id, {host} host, regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) path FROM pages),
-k AS (SELECT *, CASE WHEN host <> '' THEN [regexp_replace(host, '^www\\.', '') || regexp_replace(path, '(/|\\.html)$', ''), regexp_replace(host, '^www\\.', '') || '/', {above}] ELSE [] END ks FROM p)
-SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN list_has_any(ks, [{entries}]) THEN 'block' ELSE 'allow' END) verdict FROM k"""
+s AS (SELECT *, regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '^www\\.', '') site FROM p),
+k AS (SELECT *, string_split(site, '.') ls FROM s), l AS (SELECT *, CASE WHEN host <> '' THEN list_prepend(site || regexp_replace(path, '(/|\\.html)$', ''), list_transform(range(1, len(ls) + 1), lambda i: array_to_string(ls[i:], '.') || '/')) ELSE [] END ks FROM k)
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, CASE WHEN list_has_any(ks, [{entries}]) THEN 'block' ELSE 'allow' END) verdict FROM l"""
 
 
 #: Classes of a table link (a, b), both ways, over nodes (id): the smallest id that links reach.

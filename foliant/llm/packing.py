@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from foliant.llm.shards import give_back, kept, lean
+from foliant.llm.shards import free_names, give_back, kept, lean
 
 #: Tokens of a group, after which its sequences are closed, and bytes of texts that are tokenised at once.
 GROUP_TOKENS = 1 << 20
@@ -193,14 +193,16 @@ def pack_documents(
     A document's ids are its text's (null: none), then end_id. It is cut freely; every id is in one piece. Sequences
     hold `size` ids, but for a few of each group whose lengths are powers of two. start counts the document's ids
     before a piece, offset the sequence's. Ties in cost go to the sequence opened first, ties in length to the document
-    read first. Rows with equal ids are packed separately; long texts are whole, in as many pieces as they need; an
+    read first. A key that is called as a result gets the suffix
+    _in. Rows with equal ids are packed separately; long texts are whole, in as many pieces as they need; an
     empty table gives no rows. Sequence ids are unique; they depend on how the input is partitioned. The tokenizer's
     file must be on every node.
     """
-    from pyspark.sql.types import DataType, StructType
+    from pyspark.sql.types import DataType, StructField, StructType
 
     fields = [f for f in DataType.fromDDL(PIECES).fields if with_ids or f.name != "ids"]
-    schema = StructType([docs.schema[id_col], *fields])
+    key = StructField(free_names(docs.select(id_col), *(f.name for f in fields)).columns[0], docs.schema[id_col].dataType)
+    schema = StructType([key, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -232,7 +234,7 @@ def pack_documents(
                 view, e = memoryview(raw), ends.tolist()
                 crc = [zlib.crc32(view[a:b]) for a, b in zip(e[:-1], e[1:], strict=True)]
                 out = {
-                    id_col: names.take(pa.array(doc[part])), "sequence_id": sequence + seq[part], "offset": offset[part], "start": at[part], "length": n[part],
+                    key.name: names.take(pa.array(doc[part])), "sequence_id": sequence + seq[part], "offset": offset[part], "start": at[part], "length": n[part],
                     "ids": pa.Array.from_buffers(pa.binary(), len(crc), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(raw)]), "ids_crc32": pa.array(crc, pa.int64()),
                     "doc_tokens": lengths[doc[part]], "sequence_cost": costs[part],
                 }

@@ -34,8 +34,7 @@ def listed_urls(path: Path = LISTED) -> list[str]:
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = ", ".join(f"('{u}')" for u in listed_urls())
-    listed = spark.sql(f"SELECT col1 AS url FROM VALUES {values}")
+    listed = spark.range(1).select(F.explode(F.array(*map(F.lit, listed_urls()))).alias("url"))
     return urls.filter_urls(read(spark, sf_dir, "pages").select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -277,6 +277,16 @@ def test_overlapping_sources_flow(spark):
     assert len(got) == 200 and all(0 <= r.taken <= 2 * r.size for r in got)
 
 
+def test_mix_keeps_sources_apart(spark):
+    """A source may be any text, separators too; patterns of several sources are told apart by their members."""
+    odd = [None, "\x1e", "\x1f", "", "a\x1fb", "a"]
+    got = mixing.mix_sources(spark.createDataFrame([(i, "one two", s) for i, s in enumerate(odd)], "doc_id long, text string, source string")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(6)) and {r.source_size for r in got} == {2}
+    many = [["a\x1fb"], ["a", "b"], ["b", "a"], None, [], [None], ["\x1e"]]
+    got = mixing.mix_sources(spark.createDataFrame([(i, "one two three", s) for i, s in enumerate(many)], "doc_id long, text string, source array<string>")).collect()
+    assert sorted((r.doc_id, r.source_size) for r in got) == [(0, 3), (1, 6), (2, 6), (3, 9), (4, 9), (5, 9), (6, 3)]
+
+
 def plain_url(url, listed):
     """(host, path, verdict without rules) by plain Python."""
     if url is None or "://" not in url:
@@ -284,10 +294,10 @@ def plain_url(url, listed):
     rest = url.split("://", 1)[1]
     host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in re.match("[^/?#]*", rest, re.DOTALL)[0])
     path = re.match("[^?#]*", rest[len(host) :], re.DOTALL)[0]
-    bare = host[4:] if host.startswith("www.") else host
+    bare = re.sub(":[0-9]*$", "", host.rsplit("@", 1)[-1]).removeprefix("www.")
     page = bare + (path[:-5] if path.endswith(".html") else path[:-1] if path.endswith("/") else path)
-    labels = host.split(".")
-    keys = {page, bare + "/"} | {".".join(labels[-n:]) + "/" for n in range(2, 6) if len(labels) >= n and all(labels[-n:])} if host else set()
+    labels = bare.split(".")
+    keys = {page} | {".".join(labels[-n:]) + "/" for n in range(1, len(labels) + 1)} if host else set()
     return host, path, "block" if keys & listed else "allow"
 
 
@@ -301,10 +311,11 @@ def test_urls(spark, sf, monkeypatch, most):
     """Broadcast, and joined by key."""
     monkeypatch.setattr(urls, "BROADCAST_BYTES", most)
     odd = [(1, None), (2, "no scheme"), (3, "HTTP://Www.Example.NET/en/x?q#f"), (4, "http://net"), (5, "http://a.org/fr/1"), (6, "http://xnet/"), (7, "https://bad.host/page.html"), (8, "http://www.bad.host/page/"), (9, "a://b.example.com/de/?"), (10, ""), (11, "x://y?z"), (7, "https://bad.host/page.html"), (12, "http://a.b.worse.com/x"), (13, "http://www.worse.com"), (14, "http://notworse.com/"), (15, "http://x.y?u=http://worse.com/" + "z" * 40_000), (16, "://worse.com/")]
+    odd += [(20 + i, f"http://{u}/p") for i, u in enumerate(["a.b.c.d.e.deep.com", "x.a.b.c.d.e.deep.com", "b.c.d.e.deep.com", "localhost", "x.localhost", "mylocalhost", "worse.com:8080", "u:p@worse.com", "u@www.worse.com:1", "worse.com:80@fine.org", ".".join("abcdefgh" * 9) + ".worse.com", "it's.com"])]
     data = odd + [(100 + r.page_id, r.url) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
     pages = spark.createDataFrame([(i, u, "mine") for i, u in data], "page_id long, url string, host string")
-    entries = ["http://bad.host/page", None, "worse.com/", "www.worse.com/", *queries.listed_urls()]
-    listed = {"bad.host/page", "worse.com/", *queries.listed_urls()}
+    entries = ["http://bad.host/page", None, "worse.com/", "www.worse.com/", "a.b.c.d.e.deep.com/", "localhost/", "http://it's.com:80/", *queries.listed_urls()]
+    listed = {"bad.host/page", "worse.com/", "a.b.c.d.e.deep.com/", "localhost/", "it's.com/", *queries.listed_urls()}
     got = urls.filter_urls(pages, spark.createDataFrame([(u,) for u in entries], "url string"))
     want = []
     for i, u in data:
@@ -487,3 +498,33 @@ def test_pipeline(spark, sf, docs):
         assert new.columns == df.columns
         df = spark.createDataFrame(new.collect(), df.schema)
     assert df.count() > 50 and corpus_pipeline.run(spark, sf).agg(F.sum("length")).first()[0] > 1000
+
+
+KEYS = ["id", "rep", "class_id", "n_links", "kept", "f1", "sig", "root", "key", "w", "node"]
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_near_duplicates_with_any_key(spark, key):
+    df = spark.createDataFrame([(3, "a b c d e f"), (1, "a b c d e f"), (2, "x y")], f"{key} long, text string")
+    name = key + "_in" if key in ("class_id", "n_links", "kept") else key
+    got = ngramjoin.near_duplicates(df, key)
+    assert got.columns == [name, "class_id", "n_links", "kept"]
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1, True), (2, 2, 0, True), (3, 1, 1, False)]
+
+
+@pytest.mark.parametrize("key", ["n_links", "component_id", "kept", "node", "id"])
+def test_dedup_embeddings_with_any_key(spark, key):
+    df = spark.createDataFrame([(3, [1.0, 2.0], 1), (1, [1.0, 2.0], 1), (2, [2.0, -1.0], 1)], f"{key} long, embedding array<double>, label int")
+    got = embeddings.dedup_embeddings(df, key).drop("embedding", "label")
+    name = key + "_in" if key in ("class_id", "n_links", "component_id", "kept") else key
+    assert got.columns == [name, "n_links", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect())) == [(1, 1, 1, True), (2, 0, 2, True), (3, 1, 1, False)]
+
+
+@pytest.mark.parametrize("key", ["start", "length", "ids", "sequence_id", "doc"])
+def test_pack_with_any_key(spark, key):
+    df = spark.createDataFrame([(7, "some words"), (8, None)], f"{key} long, text string")
+    got = packing.pack_documents(df, queries.tokenizer_path(), key)
+    name = key + "_in" if key != "doc" else key
+    assert got.columns[0] == name and len(set(got.columns)) == len(got.columns)
+    assert {(r[name], r["doc_tokens"]) for r in got.collect()} == {(7, 3), (8, 1)}
