@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from foliant.functions.edits import gram_hits, word_edits
+
 #: The characters that part words (Unicode white space), for the regexes of any engine.
 SPACES = r"\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 WORD = f"[^{SPACES}]+"
@@ -163,12 +167,18 @@ def direction(text: Column) -> tuple[Column, Column, Column]:
     return ratio, F.when(rtl, "rtl").when(mixed, "mixed").otherwise("ltr"), sure
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value), value being evaluated once a row, whatever lambdas in body refer to it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def chunks(text: Column, size: int = 220, overlap: int = 30) -> Column:
     """Overlapping windows of words; a text of up to `size` words is one chunk, unchanged. None for null."""
-    ws = words(text)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0)), F.lit(size - overlap))
-    windows = F.transform(starts, lambda i: F.array_join(F.slice(ws, i + 1, size), " "))
-    return F.when(text.isNull(), F.array().cast("array<string>")).when(F.size(ws) <= size, F.array(text)).otherwise(windows)
+    def windows(ws: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0)), F.lit(size - overlap))
+        return F.when(F.size(ws) <= size, F.array(text)).otherwise(F.transform(starts, lambda i: F.array_join(F.slice(ws, i + 1, size), " ")))
+
+    return F.when(text.isNull(), F.array().cast("array<string>")).otherwise(let(words(text), windows))
 
 
 def char_error_rate(truth: Column, guess: Column) -> Column:
@@ -177,31 +187,19 @@ def char_error_rate(truth: Column, guess: Column) -> Column:
 
 
 def word_error_rate(truth: Column, guess: Column) -> Column:
-    """Word edits per true word, of word lists; 0 for two empty lists, 1 if only the truth is empty. Each distinct word
-    of a pair (a million at most) becomes one character, so that levenshtein counts words."""
-    distinct = F.array_distinct(F.concat(truth, guess))
-    codes = lambda ws: F.array_join(F.transform(ws, lambda w: F.lpad(F.hex(F.array_position(distinct, w) + 65535), 8, "0")), "")
-    text = lambda ws: F.decode(F.unhex(codes(ws)), "UTF-32")
-    return F.when(F.size(truth) == 0, F.when(F.size(guess) == 0, 0.0).otherwise(1.0)).otherwise(F.levenshtein(text(truth), text(guess)) / F.size(truth))
+    """Word edits per true word, of word lists; 0 for two empty lists, 1 if only the truth is empty."""
+    return F.when(F.size(truth) == 0, F.when(F.size(guess) == 0, 0.0).otherwise(1.0)).otherwise(word_edits(truth, guess) / F.size(truth))
 
 
 def bleu(truth: Column, guess: Column) -> Column:
     """BLEU of word lists over 1- to 4-grams, with .1 in place of no hits and the brevity penalty; 0 without a common word."""
-    def grams(ws: Column, n: int) -> Column:
-        return F.when(F.size(ws) >= n, F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(ws) - n + 1)), lambda i: F.array_join(F.slice(ws, i, n), " "))).otherwise(F.array().cast("array<string>"))
-
-    def numbered(gs: Column) -> Column:
-        """Each gram with its number among its equals, so that common ones can be counted as a set."""
-        return F.transform(F.array(F.array_sort(gs)), lambda s: F.transform(s, lambda g, i: F.concat(g, F.lit(" "), (i - F.array_position(s, g)).cast("string"))))[0]
-
-    def hits(n: int) -> Column:
-        return F.size(F.array_intersect(numbered(grams(truth, n)), numbered(grams(guess, n))))
+    def score(hits: Column) -> Column:
+        log_p = F.lit(0.0)
+        for n in range(1, 5):
+            log_p = log_p + 0.25 * F.ln(F.greatest(hits[n - 1].cast("double"), F.lit(0.1)) / F.greatest(F.lit(1), F.size(guess) - n + 1))
+        return F.when(hits[0] == 0, 0.0).otherwise(F.exp(log_p + F.least(F.lit(0.0), 1 - F.size(truth) / F.size(guess))))
 
-    log_p = F.lit(0.0)
-    for n in range(1, 5):
-        log_p = log_p + 0.25 * F.ln(F.greatest(hits(n).cast("double"), F.lit(0.1)) / F.greatest(F.lit(1), F.size(guess) - n + 1))
-    short = F.least(F.lit(0.0), 1 - F.size(truth) / F.size(guess))
-    return F.when((F.size(truth) == 0) | (F.size(guess) == 0) | ~F.arrays_overlap(truth, guess), 0.0).otherwise(F.exp(log_p + short))
+    return F.when((F.size(truth) == 0) | (F.size(guess) == 0), 0.0).otherwise(let(gram_hits(truth, guess), score))
 
 
 #: What every document and every element must have.
@@ -251,9 +249,14 @@ def valid_document(payload: Column) -> Column:
 
 def top_words(word_list: Column, n: int = 3) -> Column:
     """array<struct<word, n>> of the n commonest words, by number and then by their first place."""
-    distinct = F.array_distinct(word_list)
-    counted = F.transform(distinct, lambda w, i: F.struct((-F.size(F.filter(word_list, lambda x: x == w))).alias("n"), i.alias("at"), w.alias("word")))
-    return F.transform(F.slice(F.array_sort(counted), 1, n), lambda e: F.struct(e["word"].alias("word"), (-e["n"]).alias("n")))
+    placed = F.array_sort(F.transform(word_list, lambda w, i: F.struct(w.alias("word"), i.alias("at"))))
+
+    def counted(ws: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(ws), F.lit(1))), lambda i: (i == 1) | (F.get(ws, i - 1)["word"] != F.get(ws, i - 2)["word"]))
+        return let(firsts, lambda at: F.transform(at, lambda a, k: F.struct((a - F.coalesce(F.get(at, k + 1), F.size(ws) + 1)).alias("n"), F.get(ws, a - 1)["at"].alias("at"), F.get(ws, a - 1)["word"].alias("word"))))
+
+    best = F.when(F.size(word_list) > 0, F.slice(F.array_sort(let(placed, counted)), 1, n)).otherwise(F.array())
+    return F.transform(best, lambda e: F.struct(e["word"].alias("word"), (-e["n"]).alias("n")))
 
 
 def sentences(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as X
 from foliant.operators import matching as M
+from foliant.operators.alignment import Encoder, bert_scores, letters
 from foliant.operators.documents import DESCRIBED, TEXTUAL
 
 #: Least areas of medium and large boxes, detections an image may have, recalls, and overlaps in percent.
@@ -76,10 +77,11 @@ def description_pairs(pred: DataFrame, ref: DataFrame) -> DataFrame:
     return rows.select("key", "class", F.col("text").alias("prediction"), "reference").where("prediction <> '' and reference <> ''")
 
 
-def description_scores(pairs: DataFrame) -> DataFrame:
-    """Pairs with bleu of lower-case words, and bertscore, which is 0: no model is at hand."""
+def description_scores(pairs: DataFrame, encode: Encoder = letters) -> DataFrame:
+    """Pairs with bleu of lower-case words, and bertscore: F1 of their alignment by the encoder's vectors."""
     rows = pairs.select("*", X.words(F.lower("reference")).alias("__a"), X.words(F.lower("prediction")).alias("__b"))
-    return rows.select(*pairs.columns, X.bleu(F.col("__a"), F.col("__b")).alias("bleu"), F.lit(0.0).alias("bertscore"))
+    scored = rows.select(*pairs.columns, X.bleu(F.col("__a"), F.col("__b")).alias("bleu"))
+    return bert_scores(scored, "reference", "prediction", encode).withColumnRenamed("f1", "bertscore").drop("precision", "recall")
 
 
 def description_summary(scores: DataFrame) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as X
 from foliant.operators import active as A
+from foliant.operators import alignment
 from foliant.operators import calibration as C
 from foliant.operators import evaluation as E
+from foliant.operators import lookup
 from foliant.operators import matching as M
 from foliant.operators import relational as R
 from foliant.plans.catalogue import BOXES, CONFIDENT, boxes, confident, predictions, query, read
@@ -174,12 +176,40 @@ def q_description_scores(spark, sf_dir):
     return s.select("key", "class", F.round("bleu", 6).alias("bleu"))
 
 
-@query(_description_sql() + """ SELECT class, count(*) "count", round(avg(bleu), 4) bleu_mean, round(stddev_pop(bleu), 4) bleu_std, round(min(bleu), 4) bleu_min, round(max(bleu), 4) bleu_max, 0.0 bertscore_mean FROM s GROUP BY GROUPING SETS ((), (class))""")
+def _align_sql() -> str:
+    """Every word of a pair against every other, after _description_sql()."""
+    count = f"list_transform({list(alignment.LETTERS)}, lambda c: len(t) - len(replace(t, c, '')))"
+    side = lambda x, best: f"SELECT r, sum(c * i * m) / sum(c * i) {best} FROM (SELECT r, any_value(c{x}) c, any_value(i{x}) i, max(cos) m FROM met GROUP BY r, t{x}) GROUP BY r"
+    return f""", pn AS (SELECT row_number() OVER () r, * FROM p), words AS (SELECT DISTINCT t FROM (SELECT unnest(list_concat(a, b)) t FROM p)), held AS (SELECT t, count(*) d FROM (SELECT unnest(list_distinct(a)) t FROM p) GROUP BY t),
+v AS (SELECT t, 1 + ln(((SELECT count(*) FROM p) + 1) / (coalesce(d, 0) + 1)) i, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) l FROM (SELECT t, list_append(cs, len(t) - list_sum(cs))::DOUBLE[] e FROM (SELECT t, {count} cs FROM words)) LEFT JOIN held USING (t)),
+oa AS (SELECT r, t, count(*) c FROM (SELECT r, unnest(a) t FROM pn) GROUP BY ALL), ob AS (SELECT r, t, count(*) c FROM (SELECT r, unnest(b) t FROM pn) GROUP BY ALL),
+met AS (SELECT r, oa.t ta, oa.c ca, va.i ia, ob.t tb, ob.c cb, vb.i ib, list_dot_product(va.e, vb.e) / (va.l * vb.l) cos FROM oa JOIN ob USING (r) JOIN v va ON va.t = oa.t JOIN v vb ON vb.t = ob.t),
+al AS (SELECT key, class, coalesce(pre, 0) pre, coalesce(rec, 0) rec, coalesce(2 * pre * rec / nullif(pre + rec, 0), 0) f1 FROM pn LEFT JOIN ({side('a', 'rec')}) USING (r) LEFT JOIN ({side('b', 'pre')}) USING (r))"""
+
+
+@query(_description_sql() + _align_sql() + ' SELECT key, class, round(pre, 6) "precision", round(rec, 6) recall, round(f1, 6) f1 FROM al')
+def q_bertscore(spark, sf_dir):
+    """Descriptions aligned with their references word by word."""
+    s = alignment.bert_scores(E.description_pairs(*description_rows(spark, sf_dir)), "reference", "prediction")
+    return s.select("key", "class", *(F.round(c, 6).alias(c) for c in ("precision", "recall", "f1")))
+
+
+@query(_description_sql() + _align_sql() + """, b AS (SELECT class, count(*) "count", round(avg(bleu), 4) bleu_mean, round(stddev_pop(bleu), 4) bleu_std, round(min(bleu), 4) bleu_min, round(max(bleu), 4) bleu_max FROM s GROUP BY GROUPING SETS ((), (class))), f AS (SELECT class, round(avg(f1), 4) bertscore_mean FROM al GROUP BY GROUPING SETS ((), (class)))
+SELECT b.*, bertscore_mean FROM b JOIN f ON b.class IS NOT DISTINCT FROM f.class""")
 def q_description_summary(spark, sf_dir):
     s = E.description_summary(E.description_scores(E.description_pairs(*description_rows(spark, sf_dir))))
     return s.select("class", "count", *(F.round(c, 4).alias(c) for c in ("bleu_mean", "bleu_std", "bleu_min", "bleu_max", "bertscore_mean")))
 
 
+@query("SELECT part, min(url) AS name FROM (SELECT DISTINCT CAST(doc_id AS VARCHAR) part FROM documents WHERE doc_id IS NOT NULL UNION SELECT DISTINCT source FROM documents WHERE source IS NOT NULL UNION SELECT DISTINCT regexp_extract(html, '<title>([^<]{1,40})', 1) FROM pages WHERE html IS NOT NULL UNION SELECT DISTINCT substr(url, 9, 14) FROM pages WHERE url IS NOT NULL) LEFT JOIN (SELECT DISTINCT url FROM pages WHERE url IS NOT NULL) ON contains(url, part) GROUP BY part")
+def q_file_lookup(spark, sf_dir):
+    """Ids, sources, titles and middles of addresses as parts of file names; the addresses of pages are the names."""
+    docs, pages = read(spark, sf_dir, "documents"), read(spark, sf_dir, "pages")
+    parts = docs.select(F.col("doc_id").cast("string").alias("part")).unionByName(docs.select(F.col("source").alias("part")))
+    parts = parts.unionByName(pages.select(F.regexp_extract("html", "<title>([^<]{1,40})", 1).alias("part"))).unionByName(pages.select(F.substring("url", 9, 14).alias("part")))
+    return lookup.holders(parts, pages.select("url"))
+
+
 @query(LANGUAGES + ", r AS (SELECT lang, coalesce(guess, 'none') guess, sure FROM g) SELECT round(avg((lang = guess)::INT), 9) accuracy, count(*) total, count_if(lang = guess) correct, round(avg(sure), 6) conf_mean, round(stddev_pop(sure), 6) conf_std, round(min(sure), 6) conf_min, round(max(sure), 6) conf_max FROM r")
 def q_langid_summary(spark, sf_dir):
     rows = language_rows(spark, sf_dir).withColumn("guess", F.coalesce("guess", F.lit("none")))
