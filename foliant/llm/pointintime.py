@@ -163,8 +163,9 @@ def disjoint_items(lines: DataFrame, windows: Sequence[int]) -> DataFrame:
     return both.select("client", "e", *starts, F.explode(some).alias("a")).select("client", "e", "a", *(F.coalesce(F.col(f"s{i}") == F.col("a"), F.lit(False)).cast("long").alias(f"i{i}") for i in range(len(span))))
 
 
-def elements(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows: Sequence[int], horizon: int, delay: int, spread: int) -> DataFrame:
-    """Points and questions of all clients: the columns element_columns()."""
+def write_elements(path: str, sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows: Sequence[int], horizon: int, delay: int, spread: int) -> DataFrame:
+    """Points and questions of all clients, written below path: the columns element_columns(). Each table is written by
+    itself, so that no stage holds all their plans: a task sends the driver a number for each step of its stage."""
     late, zero = delay * 60_000_000, F.lit(0).cast("long")
     none = [zero.alias(f"i{i}") for i in range(len(windows))]
     at = lambda df, c: micros(F.col(c), dict(df.dtypes)[c])
@@ -185,13 +186,16 @@ def elements(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows: Seq
     clicked = seen.select(F.col("client_id").alias("client"), at(clicks, "ts").alias("e"), F.greatest(at(clicks, "ts"), at(clicks, "arrived_at") + late).alias("a"), purchase.alias("kind"), F.coalesce("click_id", F.lit(NO_ID)).alias("id"), F.lit(1).cast("long").alias("n"), cents(F.col("value")).alias("cents"), *none)
     few = lines.where("shipped_at is not null").groupBy("sale_id", F.col("item_id").alias("item"), at(lines, "shipped_at").alias("shipped")).agg(F.count("*").alias("n"), F.sum(cents(F.col("amount"))).alias("cents"))
     bought = sold.where("arrived is not null and id is not null").select(F.col("id").alias("sale_id"), "client", "e", F.greatest("e", F.col("arrived") + late).alias("from"))
-    shipped = few.join(bought, "sale_id").select("client", "item", "e", F.greatest("from", "shipped").alias("a"), "n", "cents")
+    few.join(bought, "sale_id").select("client", "item", "e", F.greatest("from", "shipped").alias("a"), "n", "cents").write.parquet(f"{path}/shipped")
+    shipped = sales.sparkSession.read.parquet(f"{path}/shipped")
     items = disjoint_items(shipped, windows).select("client", "e", "a", zero.alias("n"), zero.alias("cents"), *(f"i{i}" for i in range(len(windows))))
     joint = shipped.select("client", "e", "a", "n", "cents", *none).unionByName(items)
     joint = joint.groupBy("client", "e", "a").agg(*(F.sum(c).alias(c) for c in ("n", "cents", *(f"i{i}" for i in range(len(windows))))))
     joint = joint.select("client", "e", "a", F.lit(LINES).alias("kind"), zero.alias("id"), "n", "cents", *(f"i{i}" for i in range(len(windows))))
-    out = questions.unionByName(points).unionByName(clicked).unionByName(joint)
-    return out.select(*(F.col(c).cast("long" if c != "kind" else "int").alias(c) for c in element_columns(len(windows))))
+    names = element_columns(len(windows))
+    for name, found in (("questions", questions), ("sales", points), ("clicks", clicked), ("lines", joint)):
+        found.select(*(F.col(c).cast("long" if c != "kind" else "int").alias(c) for c in names)).write.parquet(f"{path}/elements/of={name}")
+    return sales.sparkSession.read.parquet(f"{path}/elements").select(*names)
 
 
 def arrays(t: pa.Table, names: Sequence[str]) -> dict[str, np.ndarray]:
@@ -343,9 +347,9 @@ def point_in_time(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows
     """
     spark, n, k = sales.sparkSession, n_parts(sales), len(windows)
     path = shared_dir(spark)
-    elements(sales, clicks, lines, windows, horizon, delay, spread).write.parquet(f"{path}/elements")
+    found = write_elements(path, sales, clicks, lines, windows, horizon, delay, spread)
     with small_samples(spark):
-        in_leaves(spark.read.parquet(f"{path}/elements"), k, n, leaf).write.parquet(f"{path}/leaves")
+        in_leaves(found, k, n, leaf).write.parquet(f"{path}/leaves")
         leaves = spark.read.parquet(f"{path}/leaves")
         in_cells(leaves.where("crossing = 1"), k, n, leaf).write.parquet(f"{path}/cells")
     cells = spark.read.parquet(f"{path}/cells")
