@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import json
 import re
-import zlib
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliant.sources import pdf
 from foliant.sources.annotations import header_size
 
 #: Suffixes of images, those that an image for a JSON file is looked up with (in that order), and names of
@@ -88,41 +88,21 @@ def single_page(files: DataFrame) -> DataFrame:
     return files.select(base(F.col("path")).alias("document_id"), F.lit(0).alias("page"), "path")
 
 
-def page_sizes(data: bytes) -> list[tuple[float, float]]:
-    """Width and height in points of each page of a PDF whose page objects are plain or in deflated object streams; a
-    page without a box of its own has the last box before it, or A4."""
-    parts = [data]
-    for m in re.finditer(rb"/Type\s*/ObjStm.*?stream\r?\n", data, re.DOTALL):
-        try:
-            parts.append(zlib.decompressobj().decompress(data[m.end() :]))
-        except zlib.error:
-            continue
-    out, last = [], (595.0, 842.0)
-    for part in parts:
-        for m in re.finditer(rb"/MediaBox\s*\[\s*([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s+([-\d.]+)\s*\]|/Type\s*/Page(?![s\w])", part):
-            if m[1] is not None:
-                a, b, c, d = (float(x) for x in m.groups())
-                last = (c - a, d - b)
-                if out and out[-1] is None:
-                    out[-1] = last
-            else:
-                if out and out[-1] is None:
-                    out[-1] = last
-                out.append(None)
-    return [p or last for p in out]
-
-
 def pdf_pages(spark: SparkSession, path: str, dpi: int = 220, start: int = 0, stop: int | None = None) -> DataFrame:
     """(path, page, width, height, error) of the pages of PDFs: their size in pixels at dpi, from page `start` up to, not
-    including, `stop`. A file without pages is one row with the error and null page."""
+    including, `stop`, and turned as they are shown. A file without pages, or broken beyond repair, is one row with the
+    error and null page. A file is one row, read by Spark from any store; only its pages' sizes go on."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.{pdf,PDF}").load(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
             for p, content in zip(b["path"], b["content"], strict=True):
-                sizes = page_sizes(bytes(content))
-                out += [(p, i, int(w * dpi / 72), int(h * dpi / 72), None) for i, (w, h) in enumerate(sizes)] or [(p, None, None, None, "no pages")]
+                try:
+                    sizes, error = pdf.page_sizes(bytes(content)), "no pages"
+                except pdf.Broken as e:
+                    sizes, error = [], str(e)
+                out += [(p, i, int(w * dpi / 72), int(h * dpi / 72), None) for i, (w, h) in enumerate(sizes)] or [(p, None, None, None, error)]
             yield pd.DataFrame(out, columns=["path", "page", "width", "height", "error"]).astype({"page": "Int32", "width": "Int32", "height": "Int32"})
 
     rows = files.select("path", "content").mapInPandas(run, "path string, page int, width int, height int, error string")

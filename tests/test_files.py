@@ -17,11 +17,17 @@ def png(width: int, height: int) -> bytes:
 
 
 def pdf(sizes, packed=False) -> bytes:
-    pages = [b"<< /Type /Page /MediaBox [0 0 %d %d] >>" % s if s else b"<< /Type /Page >>" for s in sizes]
-    head = b"%PDF-1.5\n1 0 obj << /Type /Pages /Kids [] >> endobj\n"
+    """Without references, so they have to be found; pages without a box have the tree's."""
+    kids = b" ".join(b"%d 0 R" % i for i in range(3, 3 + len(sizes)))
+    objects = [b"<< /Type /Catalog /Pages 2 0 R >>", b"<< /Type /Pages /MediaBox [0 0 612 792] /Kids [%s] >>" % kids, *(b"<< /Type /Page /MediaBox [0 0 %d %d] >>" % s if s else b"<< /Type /Page >>" for s in sizes)]
     if packed:
-        return head + b"2 0 obj << /Type /ObjStm /Filter /FlateDecode >>\nstream\n" + zlib.compress(b" ".join(pages)) + b"\nendstream endobj"
-    return head + b"\n".join(b"%d 0 obj %s endobj" % (i, p) for i, p in enumerate(pages, 2))
+        ends = [0]
+        for o in objects:
+            ends.append(ends[-1] + len(o) + 1)
+        first = b" ".join(b"%d %d" % (i + 1, e) for i, e in enumerate(ends[:-1])) + b" "
+        data = zlib.compress(first + b" ".join(objects))
+        return b"%%PDF-1.5\n9 0 obj << /Type /ObjStm /N %d /First %d /Filter /FlateDecode >>\nstream\n" % (len(objects), len(first)) + data + b"\nendstream endobj trailer << /Root 1 0 R >>"
+    return b"%PDF-1.5\n" + b"\n".join(b"%d 0 obj %s endobj" % (i, p) for i, p in enumerate(objects, 1))
 
 
 @pytest.fixture(scope="module")
@@ -60,7 +66,7 @@ def test_listings_and_pairs(spark, folder):
 
 def test_pdf_pages(spark, folder):
     got = sorted(((r.path.rsplit("/", 1)[1], r.page, r.width, r.height, r.error) for r in S.pdf_pages(spark, str(folder), 144).collect()), key=str)
-    assert got == sorted([("one.pdf", 0, 1224, 1584, None), ("one.pdf", 1, 1224, 1584, None), ("one.pdf", 2, 200, 400, None), ("two.pdf", 0, 144, 288, None), ("bad.pdf", None, None, None, "no pages")], key=str)
+    assert got == sorted([("one.pdf", 0, 1224, 1584, None), ("one.pdf", 1, 1224, 1584, None), ("one.pdf", 2, 200, 400, None), ("two.pdf", 0, 144, 288, None), ("bad.pdf", None, None, None, "not a PDF")], key=str)
     assert S.pdf_pages(spark, str(folder), 72, 1, 2).where("page is not null").count() == 1
 
 
