@@ -125,30 +125,6 @@ def leakage(rows: DataFrame, key: str, split: str, examples: int = 10) -> DataFr
     return each.groupBy("split_a", "split_b").agg(F.count("*").alias("n")).join(kept, ["split_a", "split_b"])
 
 
-#: Bits of the three bands of a 64-bit hash.
-BANDS = ((0, 21), (21, 21), (42, 22))
-
-
-def near_hashes(rows: DataFrame, id_col: str, hash_col: str) -> DataFrame:
-    """(a, b, distance) of the smallest ids of different 64-bit hashes within a Hamming distance of 8.
-
-    Equal hashes are one class first, so copies don't multiply. Hashes that differ in at most 8 bits differ in at most
-    two bits of one of three bands: one side looks up its band with each choice of up to two bits flipped, a few hundred
-    keys a hash, and a pair counts in its first such band only. Null hashes pair with nothing."""
-    reps = rows.where(F.col(hash_col).isNotNull()).groupBy(F.col(hash_col).cast("long").alias("h")).agg(F.min(id_col).alias("id"))
-    part = lambda h, s, n: F.call_function("shiftrightunsigned", h, F.lit(s)).bitwiseAND(F.lit((1 << n) - 1))
-    flips = [F.array(*(F.lit(m).cast("long") for m in sorted({1 << i | 1 << j for i in range(n) for j in range(n)} | {0}))) for _, n in BANDS]
-    plain = F.array(*(F.struct(F.lit(k).alias("band"), part(F.col("h"), s, n).alias("v")) for k, (s, n) in enumerate(BANDS)))
-    flipped = lambda k, s, n: F.transform(flips[k], lambda m: F.struct(F.lit(k).alias("band"), part(F.col("h"), s, n).bitwiseXOR(m).alias("v")))
-    changed = F.concat(*(flipped(k, s, n) for k, (s, n) in enumerate(BANDS)))
-    asked = reps.select(F.col("id").alias("a"), F.col("h").alias("h1"), F.explode(changed).alias("k")).select("a", "h1", "k.*")
-    there = reps.select(F.col("id").alias("b"), F.col("h").alias("h2"), F.explode(plain).alias("k")).select("b", "h2", "k.*")
-    x = F.col("h1").bitwiseXOR(F.col("h2"))
-    first = F.when(F.bit_count(part(x, *BANDS[0])) <= 2, 0).when(F.bit_count(part(x, *BANDS[1])) <= 2, 1).otherwise(2)
-    pairs = asked.join(there, ["band", "v"]).where((F.col("a") < F.col("b")) & (F.col("band") == first))
-    return pairs.select("a", "b", F.bit_count(x).alias("distance")).where("distance <= 8")
-
-
 def evict(cache: DataFrame, most: float, keep: float = 0.8) -> DataFrame:
     """Rows that an LRU cache over its limit drops: oldest first, until what remains is at most keep * most."""
     total = cache.agg(F.sum("size_bytes").alias("__t"))

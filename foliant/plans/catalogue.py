@@ -14,6 +14,7 @@ from foliant.operators import matching as M
 from foliant.operators import quality as Q
 from foliant.operators import relational as R
 from foliant.operators.documents import reading_order
+from foliant.operators.hashes import near_hashes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -338,7 +339,7 @@ def q_near_hashes(spark, sf_dir):
     o = read(spark, sf_dir, "orders")
     change = F.element_at(F.array(*(F.lit(x).cast("long") for x in (0, 1, 2305843, 255, 511, 34359738368))), (F.col("o_orderkey") % 6 + 1).cast("int"))
     h = F.conv(F.substring(F.md5(F.col("o_custkey").cast("string")), 1, 15), 16, 10).cast("long").bitwiseXOR(change)
-    return R.near_hashes(o.select("o_orderkey", h.alias("h")), "o_orderkey", "h")
+    return near_hashes(o.select("o_orderkey", h.alias("h")), "o_orderkey", "h")
 
 
 SPLIT = "CASE WHEN n < 3 OR r <= floor(n * 0.8) THEN 'train' WHEN r <= floor(n * 0.8) + floor(n * 0.1) THEN 'val' ELSE 'test' END"

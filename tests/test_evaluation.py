@@ -10,6 +10,7 @@ from foliant.operators import active as A
 from foliant.operators import evaluation as E
 from foliant.operators import matching as M
 from foliant.operators import models
+from foliant.operators import hashes
 from foliant.operators import relational as R
 from foliant.operators import vectors as V
 from foliant.operators.ranks import ordered
@@ -112,7 +113,13 @@ def test_text_errors(spark, sf):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want) and want
 
 
-def test_near_hashes(spark):
+@pytest.mark.parametrize(("k", "block"), [(1, 2048), (2, 16), (3, 70), (None, 2048)])
+def test_near_hashes(spark, monkeypatch, k, block):
+    """With keys of few and of more bands, small groups, and groups dealt into chunks."""
+    monkeypatch.setattr(hashes, "BLOCK", block)
+    monkeypatch.setattr(hashes, "HELD", 500)
+    if k:
+        monkeypatch.setattr(hashes, "bands_for", lambda n, most: k)
     rng = random.Random(1)
     base = [rng.getrandbits(64) - (1 << 63) for _ in range(40)]
     signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
@@ -122,6 +129,7 @@ def test_near_hashes(spark):
         for b in rng.sample(range(64), rng.randint(0, 11)):
             h ^= 1 << b
         rows.append((100 + i, signed(h)))
+    rows += [(1000 + i, base[0] ^ i << 40) for i in range(150)]
     rows += [(900, None), (901, 0), (902, -1), (903, 255), (904, 511)]
     least = {}
     for i, h in rows:
@@ -129,7 +137,7 @@ def test_near_hashes(spark):
             least[h] = min(least.get(h, i), i)
     ids = sorted((i, h) for h, i in least.items())
     want = {(a, b, d) for a, x in ids for b, y in ids if a < b and (d := ((x ^ y) & ((1 << 64) - 1)).bit_count()) <= 8}
-    got = [tuple(r) for r in R.near_hashes(spark.createDataFrame(rows, "id long, h long"), "id", "h").collect()]
+    got = [tuple(r) for r in hashes.near_hashes(spark.createDataFrame(rows, "id long, h long"), "id", "h").collect()]
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
