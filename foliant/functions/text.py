@@ -96,10 +96,11 @@ def has_any(text: Column, keys) -> Column:
     return found
 
 
-def pii_hits(text: Column, types=tuple(PII)) -> Column:
-    """array<struct<type, original>> of every hit of the wanted types. Types may overlap: a card is a phone number too."""
+def pii_hits(text: Column, types=tuple(PII), swift_any_case: bool = False) -> Column:
+    """array<struct<type, original>> of every hit of the wanted types. Types may overlap: a card is a phone number too.
+    With swift_any_case any word of eight or eleven letters is a SWIFT code."""
     def found(kind: str) -> Column:
-        hits = F.regexp_extract_all(blank(text), F.lit("(?U)" + PII[kind]), F.lit(0))
+        hits = F.regexp_extract_all(blank(text), F.lit(("(?iU)" if swift_any_case and kind == "swift" else "(?U)") + PII[kind]), F.lit(0))
         return F.transform(hits, lambda o: F.struct(F.lit(kind).alias("type"), o.alias("original")))
 
     return F.concat(*(found(k) for k in types))

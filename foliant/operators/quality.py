@@ -175,11 +175,11 @@ def status(critical: Column, rtl: Column, skewed: Column, licensed: Column) -> C
     return F.when((critical > 0) | (rtl > MOST_RTL) | (skewed > MOST_SKEWED) | ~licensed, "NEEDS ATTENTION").otherwise("READY")
 
 
-def scan_pii(rows: DataFrame, id_col: str, text_col: str, types: tuple[str, ...] = tuple(X.PII), width: int = 50) -> DataFrame:
+def scan_pii(rows: DataFrame, id_col: str, text_col: str, types: tuple[str, ...] = tuple(X.PII), width: int = 50, swift_any_case: bool = False) -> DataFrame:
     """(id, type, original, redacted, context) of every hit of the wanted types in a text column, or in one of file
     names. The context is cut before hits part into rows, so that no row carries a text."""
     t = F.col(text_col)
-    hit = F.transform(X.pii_hits(t, types), lambda h: F.struct(h["type"].alias("type"), h["original"].alias("original"), X.redact(h["original"], h["type"]).alias("redacted"), X.context(t, h["original"], width).alias("context")))
+    hit = F.transform(X.pii_hits(t, types, swift_any_case), lambda h: F.struct(h["type"].alias("type"), h["original"].alias("original"), X.redact(h["original"], h["type"]).alias("redacted"), X.context(t, h["original"], width).alias("context")))
     return rows.select(id_col, F.explode(hit).alias("h")).select(id_col, "h.*")
 
 

@@ -79,11 +79,11 @@ def q_resize(spark, sf_dir):
 
 
 #: Conversations as pages of OCR lines, some blank, with confidences.
-LINES = "WITH l AS (SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN '  ' ELSE ' ' || text[1:30] || ' ' END t, ((conv_id + turn) % 10) / 10::DOUBLE c FROM conversations)"
+LINES = "WITH l AS (SELECT conv_id, turn, CASE WHEN turn % 5 = 4 THEN '  ' ELSE ' ' || text || ' ' END t, ((conv_id + turn) % 10) / 10::DOUBLE c FROM conversations)"
 
 
 def ocr_lines(spark, sf_dir) -> DataFrame:
-    t = F.when(F.col("turn") % 5 == 4, F.lit("  ")).otherwise(F.concat(F.lit(" "), F.substring("text", 1, 30), F.lit(" ")))
+    t = F.when(F.col("turn") % 5 == 4, F.lit("  ")).otherwise(F.concat(F.lit(" "), F.col("text"), F.lit(" ")))
     return read(spark, sf_dir, "conversations").select("conv_id", F.col("turn").alias("line_no"), t.alias("text"), (((F.col("conv_id") + F.col("turn")) % 10) / 10.0).cast("double").alias("confidence"))
 
 

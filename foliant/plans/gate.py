@@ -172,13 +172,13 @@ def q_changelog(spark, sf_dir):
 
 
 #: Texts in both directions, a page's share of Arabic words following its number.
-PAGES = """WITH t AS (SELECT doc_id % 40 page, CASE WHEN doc_id % 40 < 8 THEN repeat('سلام עולם ', CAST(doc_id % 40 AS INT) * 3) || text[1:60] ELSE text END text FROM documents)"""
+PAGES = """WITH t AS (SELECT doc_id % 40 page, CASE WHEN doc_id % 40 < 8 THEN repeat('سلام עולם ', CAST(doc_id % 40 AS INT) * 300) || text ELSE text END text FROM documents)"""
 RTL_COUNT = f"(length(text) - length(regexp_replace(text, '{X.RTL}', '', 'g')))"
 
 
 def page_texts(spark, sf_dir) -> DataFrame:
     page = F.col("doc_id") % 40
-    text = F.when(page < 8, F.concat(F.repeat(F.lit("سلام עולם "), (page * 3).cast("int")), F.substring("text", 1, 60))).otherwise(F.col("text"))
+    text = F.when(page < 8, F.concat(F.repeat(F.lit("سلام עולם "), (page * 300).cast("int")), F.col("text"))).otherwise(F.col("text"))
     return read(spark, sf_dir, "documents").select(page.alias("page"), text.alias("text"))
 
 
@@ -221,12 +221,12 @@ def q_upright_lines(spark, sf_dir):
     return rounded(Q.upright_lines(segments(spark, sf_dir), "page"), "vertical_ratio")
 
 
-@query(ANGLES + f""", t AS (SELECT doc_id page, CASE WHEN doc_id % 9 = 0 THEN repeat('سلام ', 30) ELSE text END text FROM documents), d AS (SELECT page, CASE WHEN length(text) > 0 THEN {RTL_COUNT} / length(text) ELSE 0 END > 0.6 is_rtl FROM t),
+@query(ANGLES + f""", t AS (SELECT doc_id page, CASE WHEN doc_id % 9 = 0 THEN repeat('سلام ', len(text)) || text ELSE text END text FROM documents), d AS (SELECT page, CASE WHEN length(text) > 0 THEN {RTL_COUNT} / length(text) ELSE 0 END > 0.6 is_rtl FROM t),
 s AS (SELECT count(*) pages, 100.0 * count_if(is_rtl) / count(is_rtl) rtl_percentage, 100.0 * count_if(abs(angle) > 1.5) / count(*) skewed_percentage, avg(angle) mean_angle FROM d LEFT JOIN p USING (page))
 SELECT pages, round(rtl_percentage, 6) rtl_percentage, round(skewed_percentage, 6) skewed_percentage, round(mean_angle, 6) mean_angle, rtl_percentage > 20 OR skewed_percentage > 10 needs_preprocessing, CASE WHEN skewed_percentage > 0 THEN 1 ELSE 0 END + CASE WHEN skewed_percentage > 0 AND abs(mean_angle) > 5 THEN 1 ELSE 0 END + CASE WHEN rtl_percentage > 5 THEN 1 ELSE 0 END + CASE WHEN skewed_percentage = 0 AND rtl_percentage <= 5 THEN 1 ELSE 0 END n_recommendations FROM s""")
 def q_skew_summary(spark, sf_dir):
     """Documents as pages; one in nine is Arabic."""
-    text = F.when(F.col("doc_id") % 9 == 0, F.repeat(F.lit("سلام "), 30)).otherwise(F.col("text"))
+    text = F.when(F.col("doc_id") % 9 == 0, F.concat(F.repeat(F.lit("سلام "), F.length("text")), F.col("text"))).otherwise(F.col("text"))
     directions = Q.page_directions(read(spark, sf_dir, "documents").select(F.col("doc_id").alias("page"), text.alias("text")), "page", "text")
     s = Q.skew_summary(directions.join(Q.page_angles(angles(spark, sf_dir), "page", "angle"), "page", "left"))
     return rounded(s.select("pages", "rtl_percentage", "skewed_percentage", "mean_angle", "needs_preprocessing", F.size("recommendations").alias("n_recommendations")), "rtl_percentage", "skewed_percentage", "mean_angle", places=6)

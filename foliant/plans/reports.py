@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MOST_ROWS = 500
 
@@ -32,6 +33,10 @@ def table(rows: Iterable[Mapping[str, Any]]) -> str:
     return "\n".join([*lines, *("| " + " | ".join(shown(v).replace("|", "\\|").replace("\n", " ") for v in r.values()) + " |" for r in rows)])
 
 
+def left_out(all_: int, shown_: int) -> str:
+    return f"\n\n{all_ - shown_} more are not shown." if all_ > shown_ else ""
+
+
 def section(title: str, body: str | Iterable[str]) -> str:
     return f"## {title}\n\n{body if isinstance(body, str) else chr(10).join(f'- {x}' for x in body) or 'None.'}\n"
 
@@ -54,9 +59,18 @@ def pii_report(hits: DataFrame, totals: DataFrame, examples: int = 5) -> str:
 
 
 def license_report(folders: DataFrame) -> str:
-    rows = rows_of(folders)
-    facts = {"Total folders": len(rows), "Licensed folders": sum(r["license_files"] > 0 for r in rows), "Unknown license folders": sum(r["license_files"] == 0 for r in rows)}
-    return report("License and Attribution Report", facts, {"Folders": table([{k: r[k] for k in r if k not in ("warnings", "recommendations")} for r in rows]), "Warnings": sorted({w for r in rows for w in r["warnings"]}), "Recommendations": sorted({w for r in rows for w in r["recommendations"]})})
+    """Totals are of all folders; of folders, and of different warnings, the first MOST_ROWS are shown, and how many are not."""
+    licensed = F.count_if(F.col("license_files") > 0)
+    facts = rows_of(folders.agg(F.count("*").alias("Total folders"), licensed.alias("Licensed folders"), (F.count("*") - licensed).alias("Unknown license folders")))[0]
+    name = folders.columns[0]
+    shown_rows = rows_of(folders.drop("warnings", "recommendations").orderBy(name))
+    sections: dict[str, str | list[str]] = {"Folders": table(shown_rows) + left_out(facts["Total folders"], len(shown_rows))}
+    for title, column in (("Warnings", "warnings"), ("Recommendations", "recommendations")):
+        different = folders.select(F.explode(column).alias("said")).distinct()
+        said = [r["said"] for r in rows_of(different.orderBy("said"))]
+        more = left_out(different.count(), len(said)) if len(said) == MOST_ROWS else ""
+        sections[title] = [*said, more.strip()] if more else said
+    return report("License and Attribution Report", facts, sections)
 
 
 def skew_report(skew: DataFrame) -> str:

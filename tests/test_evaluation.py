@@ -6,10 +6,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from foliant.functions import text as X
 from foliant.operators import active as A
 from foliant.operators import evaluation as E
 from foliant.operators import matching as M
 from foliant.operators import models
+from foliant.operators import quality as Q
 from foliant.operators import hashes
 from foliant.operators import relational as R
 from foliant.operators import vectors as V
@@ -260,3 +262,18 @@ def test_autopilot(spark):
     rounds = A.autopilot(gt, images, classes, predict, 2)
     rows = [r["summary"].first() for r in rounds]
     assert [(r.cycle, r.false_positives, r.false_negatives, r.selected_samples, r.total_labels) for r in rows] == [(1, 1, 1, 2, 2), (2, 0, 0, 2, 2)] and seen == [True, 2]
+
+
+def test_license_report_counts_all_folders(spark, monkeypatch):
+    monkeypatch.setattr(reports, "MOST_ROWS", 5)
+    monkeypatch.setattr(reports.rows_of, "__defaults__", (5,))
+    texts = [(f"f{i:02}", "MIT License, give credit" if i % 3 else None) for i in range(17)]
+    out = reports.license_report(Q.folder_licenses(spark.createDataFrame(texts, "folder string, t string"), "folder", "t"))
+    assert "**Total folders:** 17" in out and "**Licensed folders:** 11" in out and "**Unknown license folders:** 6" in out
+    assert out.count("| f0") == 5 and "12 more are not shown." in out and "- No license files found in dataset" in out
+
+
+def test_swift_codes_in_any_case(spark):
+    df = spark.createDataFrame([("by deutdeff500 or DEUTDEFF",)], "t string")
+    hits = lambda **how: [r.original for r in df.select(F.explode(X.pii_hits(F.col("t"), ("swift",), **how))).select("col.*").collect()]
+    assert hits() == ["DEUTDEFF"] and hits(swift_any_case=True) == ["deutdeff500", "DEUTDEFF"]
