@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -31,6 +32,33 @@ def read_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     }
 
 
+def read_large_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """What read_coco gives, of documents of any size: they are read in byte ranges and never held whole. ann_pos grows
+    along the file, with gaps."""
+    from foliant.sources.largejson import elements
+
+    kinds = dict(re.findall(r"(\w+) array<(struct<.*>)>", COCO))
+    found = elements(spark, path)
+    of = lambda section: found.where(F.col("section") == section).select("place", F.from_json("text", kinds[section]).alias("a"))
+    ann = of("annotations").where("size(a.bbox) = 4 and a.category_id is not null")
+    box = [F.col("a.bbox")[i].alias(c) for i, c in enumerate("xywh")]
+    return {
+        "images": of("images").select(F.col("a.id").alias("image_id"), "a.file_name", "a.width", "a.height"),
+        "annotations": ann.select(F.col("place").alias("ann_pos"), F.col("a.id").alias("ann_id"), "a.image_id", "a.category_id", *box, "a.area", "a.iscrowd", "a.score"),
+        "categories": of("categories").select(F.col("a.id").alias("category_id"), "a.name"),
+    }
+
+
+def write_large_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:
+    """One COCO document in one file below path, annotations in the order of ann_id; no row holds more than one of them."""
+    from foliant.sources.largejson import write_document
+
+    ann = annotations.select(F.col("ann_id").alias("id"), "image_id", "category_id", F.array(*"xywh").alias("bbox"), (F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
+    pictures = images.select(F.col("image_id").alias("id"), "file_name", "width", "height")
+    names = categories.select(F.col("category_id").alias("id"), "name")
+    write_document({"images": (pictures, F.col("id")), "annotations": (ann, F.col("id")), "categories": (names, F.col("id"))}, path)
+
+
 def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:
     """Annotations as JSON lines (image by image), images and categories beside them: three tables below path. One
     nested document would hold the whole set in one row."""
