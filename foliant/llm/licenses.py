@@ -1,9 +1,10 @@
-"""License scan: exact containment join of license templates with text blocks.
+"""License scan: exact set-similarity join of license templates with text blocks by containment.
 
-Tokens are ordered by their frequency over all documents, rarest first. A block (a run of as many words as the
-template has) that contains at least `threshold` of a template's distinct tokens must hold one of its first few in
-that order (prefix filter), and the whole text must hold as many template tokens as the threshold asks for. There is no
-positional filter, and the length filter follows from that count. Survivors are counted exactly.
+Tokens of the templates are ordered by their frequency over all documents, rarest first; others match nothing and are
+left out. A block is a run of as many words as the template has, or a whole shorter text, as a set in that order. It
+holds at least `threshold` of a template's tokens only if it holds one of the template's first few (prefix filter), has
+as many tokens as are asked for (length filter), and if from their first common token on both have as many left
+(positional filter). What passes is counted exactly.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ TEMPLATES = {
     "public-domain": "this work is released into the public domain",
 }
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+#: Texts of licenses by label, each after a line of two equals signs and the label.
+TEXTS = Path(__file__).with_name("license_texts.txt")
 #: ASCII that isn't a digit or a letter separates words.
 TABLE = bytes(c if c > 0x7F or chr(c).isalnum() else 32 for c in range(256))
 RESULT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, blocks array<struct<label:string,start:long,words:long,containment:double>>"
@@ -55,51 +59,83 @@ def token_frequencies(docs: DataFrame, text_col: str, vocabulary: list[str]) ->
     return {r.token: r.n for r in rows}
 
 
+def read_templates(path: Path = TEXTS) -> dict[str, str]:
+    """TEMPLATES and the texts of a file."""
+    parts = path.read_text(encoding="utf-8").split("\n== ")
+    texts = [p.removeprefix("== ").partition("\n") for p in parts if p.strip()]
+    return TEMPLATES | {label.strip(): text for label, _, text in texts}
+
+
 class Matcher:
     def __init__(self, templates: dict[str, str], threshold: float, frequency: dict[str, int]):
-        self.templates = []
-        self.index: dict[bytes, list[tuple[int, int]]] = {}
+        vocabulary = {w for text in templates.values() for w in words_of(text)}
+        self.rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w.decode(), 0), w)))}
+        #: label, ranks in order, how many are asked for, words of a block.
+        self.templates: list[tuple[str, list[int], int, int]] = []
+        self.index: dict[int, list[int]] = {}
         for label, text in sorted(templates.items()):
             words = words_of(text)
-            order = sorted(set(words), key=lambda w: (frequency.get(w.decode(), 0), w))
-            need = math.ceil(threshold * len(order) - 1e-9)
-            self.templates.append((label, frozenset(order), need, len(words)))
-            for p, w in enumerate(order[: len(order) - need + 1]):
-                self.index.setdefault(w, []).append((len(self.templates) - 1, len(order) - p))
-        self.keys = frozenset(self.index)
+            tokens = sorted({self.rank[w] for w in words})
+            need = math.ceil(threshold * len(tokens) - 1e-9)
+            for r in tokens[: len(tokens) - need + 1]:
+                self.index.setdefault(r, []).append(len(self.templates))
+            self.templates.append((label, tokens, need, len(words)))
+        self.keys = frozenset(w for w, r in self.rank.items() if r in self.index)
+        self.rejected: Counter = Counter()
 
     def __call__(self, words: list[bytes], present: frozenset | set) -> list[tuple[str, int, int, float]]:
         """(label, first word, words, containment) of the best block of each overlapping run of blocks that match."""
         hits = self.keys & present
         if not hits:
             return []
-        live: dict[int, set[bytes]] = {}
+        live: dict[int, set[int]] = {}
         for w in hits:
-            for t, most in self.index[w]:
-                _, tokens, need, n = self.templates[t]
-                # only what the whole text holds of the template decides: the length follows from it, and indexed places always leave enough
-                if len(words) >= need and most >= need and len(tokens & present) >= need:
-                    live.setdefault(t, set()).add(w)
+            for t in self.index[self.rank[w]]:
+                live.setdefault(t, set()).add(self.rank[w])
+        known = {self.rank[w] for w in present if w in self.rank}
+        ranks: list[int] = []
         found = []
-        for t, keys in live.items():
+        for t, prefix in live.items():
             label, tokens, need, n = self.templates[t]
-            places = [i for i, w in enumerate(words) if w in keys]
+            if len(known.intersection(tokens)) < need:
+                self.rejected["text"] += 1  # as one block it holds too few of the template
+                continue
+            ranks = ranks or [self.rank.get(w, -1) for w in words]
             best: list[tuple[int, float]] = []
             done = -1
-            for i in places:
+            for i in (i for i, r in enumerate(ranks) if r in prefix):
                 for s in range(max(0, i - n + 1, done + 1), min(i, max(0, len(words) - n)) + 1):
                     done = s
-                    have = len(tokens.intersection(words[s : s + n]))
-                    if have >= need:
-                        c = have / len(tokens)
-                        if best and s < best[-1][0] + n:
-                            if c > best[-1][1]:
-                                best[-1] = (s, c)
-                        else:
-                            best.append((s, c))
+                    c = self.contained(t, ranks[s : s + n])
+                    if not c:
+                        continue
+                    if best and s < best[-1][0] + n:
+                        if c > best[-1][1]:
+                            best[-1] = (s, c)
+                    else:
+                        best.append((s, c))
             found += [(label, s, min(n, len(words) - s), c) for s, c in best]
         return sorted(found, key=lambda f: (f[1], f[0]))
 
+    def contained(self, t: int, ranks: list[int]) -> float:
+        """The share of a template's tokens that a block holds; 0 where a filter, or the count, rejects it."""
+        _, tokens, need, _ = self.templates[t]
+        held = set(ranks)
+        held.discard(-1)
+        if len(held) < need:
+            self.rejected["length"] += 1
+            return 0.0
+        first = next(i for i, r in enumerate(tokens) if r in held)  # in the prefix, for blocks are found by it
+        left = sum(r >= tokens[first] for r in held)
+        if min(len(tokens) - first, left) < need:
+            self.rejected["position"] += 1
+            return 0.0
+        have = len(held.intersection(tokens))
+        if have < need:
+            self.rejected["count"] += 1
+            return 0.0
+        return have / len(tokens)
+
 
 def phrase_places(words: list[bytes], joined: bytes, phrase: list[bytes]) -> list[int]:
     """Every start of the phrase, overlaps included."""
@@ -125,7 +161,7 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", templates: dict[str,
     """
     from foliant.llm.shards import free_names
 
-    templates, phrases = templates or TEMPLATES, phrases or PHRASES
+    templates, phrases = templates or read_templates(), phrases or PHRASES
     result = T.DataType.fromDDL(RESULT)
     docs = free_names(docs, *result.names)
     frequency = token_frequencies(docs, text_col, sorted({w.decode() for t in templates.values() for w in words_of(t)}))

@@ -58,7 +58,7 @@ def licenses_sql(threshold: float = 0.8) -> str:
         places.append(f"CASE WHEN list_has_all(w, {lists(ws)}) THEN {at} ELSE [] END")
         labels.append(label)
     found = []
-    for label, text in sorted(licenses.TEMPLATES.items()):
+    for label, text in sorted(licenses.read_templates().items()):
         ws = licenses.words_of(text)
         tokens, n = lists(sorted(set(ws))), len(ws)
         need = math.ceil(threshold * len(set(ws)) - 1e-9)

@@ -336,7 +336,7 @@ def brute_licenses(text):
         places += at
         labels |= {label} if at else set()
     best = {}
-    for label, t in licenses.TEMPLATES.items():
+    for label, t in licenses.read_templates().items():
         tokens, n = set(licenses.words_of(t)), len(licenses.words_of(t))
         for i in range(max(1, len(words) - n + 1)):
             best[label] = max(best.get(label, 0), len(tokens & set(words[i : i + n])) / len(tokens))
@@ -346,6 +346,9 @@ def brute_licenses(text):
 
 def test_licenses(spark, docs, hard):
     extra = [(90_000, "CC BY cc-by, cc by"), (90_001, "All rights  reserved. the MIT license released under"), (90_002, "general public"), (90_003, "Redistribution and use in source or binary forms, with modification are permitted")]
+    for k, t in enumerate(licenses.read_templates().values()):
+        changed = " ".join(w for i, w in enumerate(t.split()) if i % 9)
+        extra += [(91_000 + k, f"before it {t} and after"), (92_000 + k, f"{'some words ' * 90}{changed}"), (93_000 + k, t[: len(t) // 2]), (94_000 + k, " ".join(sorted(t.split())))]
     for df in (docs.select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id long, text string")), hard.where("doc_id not in (10, 11)")):
         got = licenses.scan_licenses(df).collect()
         assert len(got) == df.count()
@@ -353,6 +356,28 @@ def test_licenses(spark, docs, hard):
             assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score) == brute_licenses(r.text), r.text
 
 
+def test_license_filters():
+    """Each filter rejects blocks, and what they leave is what counting every block finds."""
+    rng = random.Random(3)
+    templates = {f"t{k}": " ".join(rng.sample([f"w{i}" for i in range(60)], 12)) for k in range(6)}
+    match = licenses.Matcher(templates, 0.8, {f"w{i}": i // 3 for i in range(60)})
+    for _ in range(400):
+        words = [f"w{rng.randrange(60)}".encode() for _ in range(rng.randrange(0, 60))]
+        if rng.random() < 0.5:
+            near = licenses.words_of(rng.choice(list(templates.values())))
+            near[rng.randrange(12)] = b"other"
+            words[5:5] = near
+        got = {b[0]: b[3] for b in match(words, set(words))}
+        want = {}
+        for label, t in templates.items():
+            tokens = set(licenses.words_of(t))
+            best = max(len(tokens & set(words[i : i + 12])) / 12 for i in range(max(1, len(words) - 11)))
+            if best >= 0.8:
+                want[label] = best
+        assert got.keys() == want.keys() and all(got[k] <= want[k] for k in got)
+    assert min(match.rejected[k] for k in ("text", "length", "position", "count")) > 50
+
+
 def test_packing(spark, docs, hard, empty):
     from tokenizers import Tokenizer
 
