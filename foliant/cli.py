@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import json
 import sys
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,11 @@ def parser() -> argparse.ArgumentParser:
     may = lambda name, default=None, **how: (name, {"default": default, **how})
     several = {"nargs": "+"}
     add("process", process, "input", need("--out"), may("--pages"), may("--config"))
+    add("layout", layout, "input", need("--out"), may("--pages"), may("--config"))
+    add("ocr", ocr, "input", need("--out"), may("--pages"), may("--config"))
+    add("describe", describe, "input", need("--out"), need("--model"), may("--pages"), may("--config"))
+    add("json", compile_json, "input", need("--out"), may("--pages"), may("--config"))
+    add("bench", bench, "input", may("--out"), may("--model"), may("--pages"), may("--config"))
     add("coco-to-yolo", coco_to_yolo, need("--coco"), need("--out"), may("--classes", CLASSES, **several))
     add("yolo-to-coco", yolo_to_coco, need("--images"), need("--labels"), need("--out"), may("--classes", CLASSES, **several))
     add("split", split, need("--coco"), need("--out"), may("--how", "uniform", choices=["uniform", "stratified", "page"]), may("--train", 0.8, type=float), may("--val", 0.1, type=float), may("--test", 0.1, type=float), may("--seed", 42, type=int))
@@ -54,11 +60,77 @@ def parser() -> argparse.ArgumentParser:
     return top
 
 
+def pages_and_blocks(spark: SparkSession, a: argparse.Namespace) -> tuple[DataFrame, DataFrame]:
+    """Pages of markup (Parquet: page_id, html), and their blocks."""
+    pages, (start, stop) = spark.read.parquet(a.input), config.page_range(a.pages)
+    return pages, pipelines.layout(pages, threshold=config.load(a.config)["layout"]["conf_threshold"], start=start, stop=stop)
+
+
+def elements_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    pages, blocks = pages_and_blocks(spark, a)
+    return pipelines.recognised(blocks, pages, F.lit(files_name(a.input)))
+
+
+def model_of(name: str) -> Callable:
+    """A function by its name, module:function."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
+def said(rows: DataFrame, what: str) -> None:
+    by = rows.groupBy("class").agg(F.count("*").alias("n")).orderBy("class").collect()  # classes are few
+    print(json.dumps({what: sum(r.n for r in by), "by_class": {r["class"]: r.n for r in by}}))
+
+
+def layout(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Blocks of pages of markup, without their texts"""
+    _, blocks = pages_and_blocks(spark, a)
+    files.write_json(blocks.select("page_id", "elem_pos", "class", *"xywh", "score"), a.out)
+    said(spark.read.schema("class string").json(a.out), "blocks")
+    return 0
+
+
+def ocr(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Texts and languages of pages' blocks"""
+    files.write_json(elements_of(spark, a), a.out)
+    said(spark.read.schema("class string").json(a.out), "elements")
+    return 0
+
+
+def describe(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Elements of pages, tables and figures described by a model (module:function)"""
+    files.write_json(pipelines.described(elements_of(spark, a), model_of(a.model)), a.out)
+    said(spark.read.schema("class string, content string").json(a.out).where("class in ('Table', 'Figure') and content is not null"), "described")
+    return 0
+
+
+def compile_json(spark: SparkSession, a: argparse.Namespace) -> int:
+    """JSON documents of elements compiled anew; pages of markup are processed first"""
+    if not a.input.endswith(".json"):
+        return process(spark, a)
+    elements = files.read_elements(spark, a.input).withColumn("document_id", F.coalesce("document_id", files.stem(F.col("file"))))
+    to_documents(elements).select(F.col("payload").alias("value")).write.mode("overwrite").text(a.out)
+    return 0
+
+
+def bench(spark: SparkSession, a: argparse.Namespace) -> int:
+    """Seconds and rows of each stage of processing"""
+    pages, blocks = pages_and_blocks(spark, a)
+    elements = pipelines.recognised(blocks, pages, F.lit(files_name(a.input)))
+    stages = {"pages": pages, "layout": blocks, "ocr": elements}
+    if a.model:
+        stages["describe"] = pipelines.described(elements, model_of(a.model))
+    stages["json"] = to_documents(elements)
+    took = pipelines.timed(stages)
+    print(json.dumps(took, indent=2))
+    if a.out:
+        files.write_text(spark, json.dumps(took), a.out)
+    return 0
+
+
 def process(spark: SparkSession, a: argparse.Namespace) -> int:
     """Pages of markup (Parquet: page_id, html) to JSON documents"""
-    settings = config.load(a.config)
-    start, stop = config.page_range(a.pages)
-    elements = pipelines.process(spark.read.parquet(a.input), F.lit(files_name(a.input)), threshold=settings["layout"]["conf_threshold"], start=start, stop=stop)
+    elements = elements_of(spark, a)
     to_documents(elements).select(F.col("payload").alias("value")).write.mode("overwrite").text(a.out)
     return 0
 
