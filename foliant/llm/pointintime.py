@@ -354,7 +354,9 @@ def point_in_time(sales: DataFrame, clicks: DataFrame, lines: DataFrame, windows
         in_cells(leaves.where("crossing = 1"), k, n, leaf).write.parquet(f"{path}/cells")
     cells = spark.read.parquet(f"{path}/cells")
     sums, who = answer_columns(k), ["client", "kind", "id", "n", "t"]
-    far = cells.where("asks = 1 and crossing = 1").select(*who, "leaf", "cell").join(between(cells, k), ["client", "leaf", "cell"]).select(*who, *sums)
+    asking = cells.where("asks = 1 and crossing = 1").select(*who, "leaf", "cell").unionByName(between(cells, k), allowMissingColumns=True)
+    alike = Window.partitionBy("client", "leaf", "cell")  # one row with answers, and questions, of which a leaf's bounds the number
+    far = asking.select(*who, *(F.max(c).over(alike).alias(c) for c in sums)).where("kind is not null")
     parts = leaves.where("asks = 1").select(*who, *sums).unionByName(cells.where("asks = 1").select(*who, *sums)).unionByName(far)
     of = lambda c, kind: F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(c))), F.lit(0))
     names = [c for c in SUMS if c != "future"]
