@@ -1,7 +1,8 @@
 """Greedy one-to-one matching of boxes, suppression and average precision.
 
-Pairs of boxes of an image come from an equi-join with the overlap as a Column; only the greedy choice, which depends
-on what was chosen before, runs in Python, image by image over a sorted stream. An image's boxes are few.
+Pairs of boxes of an image come from an equi-join with the overlap as a Column. Greedy choices, which depend on what was
+chosen before, are made in rounds of windows; suppression and the matches at all overlaps run in Python, image by image
+over a sorted stream. An image's boxes are few.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.geometry import intersection
+from foliant.session import checkpoint
 
-MATCHED = "page_id long, driver_no long, other_no long, overlap double"
+#: Rounds between two looks at what is left.
+ROUNDS = 2
 
 
 def candidates(gt: DataFrame, pred: DataFrame) -> DataFrame:
@@ -70,22 +73,27 @@ def by_group(rows: DataFrame, n_keys: int, order: list, work: Callable[[list[tup
 
 
 def greedy(pairs: DataFrame, driver: str, other: str, *also: str) -> DataFrame:
-    """MATCHED: each driver box, in its order, takes the free box of largest overlap; the first of equals. Whole numbers
-    in `also` part an image's pairs further."""
-    n = 1 + len(also)
-
-    def choose(rows: list[tuple]) -> list[tuple]:
-        taken, done, out = set(), None, []
-        for row in rows:
-            d, o, v = row[n:]
-            if d != done and o not in taken:
-                taken.add(o)
-                done = d
-                out.append((row[0], d, o, v, *row[1:n]))
-        return out
-
-    slim = pairs.select("page_id", *also, F.col(driver).alias("__d"), F.col(other).alias("__o"), (F.col("inter") / F.col("uni")).alias("__v"))
-    return by_group(slim, n, ["__d", F.desc("__v"), "__o"], choose, ", ".join([MATCHED, *(f"{c} long" for c in also)]))
+    """(page_id, driver_no, other_no, overlap, then `also`): each driver box, in its order, takes the free
+    box of largest overlap; the first of equals. Whole numbers in `also` part an image's pairs further.
+
+    In rounds: a driver's best box that no earlier driver still asks for is its own, whatever the others choose; then
+    what either is part of goes. An image's first driver is served in every round, so rounds end; boxes that overlap by
+    half are few, and two or three rounds serve nearly all. A round is windows over pairs that stay where they are.
+    """
+    key = ["page_id", *also]
+    slim = pairs.select(*key, F.col(driver).cast("long").alias("driver_no"), F.col(other).cast("long").alias("other_no"), (F.col("inter") / F.col("uni")).alias("overlap"), F.lit(False).alias("matched"))
+    state = slim.repartition("page_id")
+    by = {c: Window.partitionBy(*key, "matched", c) for c in ("driver_no", "other_no")}
+    while True:
+        for _ in range(ROUNDS):
+            best = F.row_number().over(by["driver_no"].orderBy(F.desc("overlap"), "other_no")) == 1
+            free = F.col("driver_no") == F.min("driver_no").over(by["other_no"])
+            state = state.withColumn("best", best).withColumn("now", ~F.col("matched") & F.col("best") & free)
+            gone = F.bool_or("now").over(by["driver_no"]) | F.bool_or("now").over(by["other_no"])
+            state = state.withColumn("gone", gone).where("matched or now or not gone").select(*key, "driver_no", "other_no", "overlap", (F.col("matched") | F.col("now")).alias("matched"))
+        state = checkpoint(state)
+        if state.where("not matched").isEmpty():
+            return state.select("page_id", "driver_no", "other_no", "overlap", *(F.col(c).cast("long").alias(c) for c in also))
 
 
 def match_confusion(gt: DataFrame, pred: DataFrame) -> DataFrame:
