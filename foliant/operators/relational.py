@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliant.operators.ranks import ordered
 
@@ -137,73 +131,6 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def _blocks(rows: DataFrame, most: int) -> DataFrame:
-    """Rows (id, vector) as lists of at most `most` of them; nothing is shuffled."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, most):
-                part = batch.slice(at, most)
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array([0, part.num_rows], pa.int32()), c) for c in part.columns], names=part.schema.names)
-
-    return rows.mapInArrow(run, T.StructType([T.StructField(f.name, T.ArrayType(f.dataType)) for f in rows.schema]))
-
-
-def _matrices(vectors: pa.ListArray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Length -> (places, matrix) of the vectors that are not empty and hold no null."""
-    lengths = vectors.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    flat = vectors.flatten()
-    values, gone = flat.cast(pa.float64()).to_numpy(zero_copy_only=False), flat.is_null().to_numpy(zero_copy_only=False)
-    starts, out = np.cumsum(lengths) - lengths, {}
-    for n in np.unique(lengths[lengths > 0]).tolist():
-        rows = np.flatnonzero(lengths == n)
-        at = starts[rows][:, None] + np.arange(n)
-        good = ~gone[at].any(axis=1)
-        out[n] = rows[good], values[at[good]]
-    return out
-
-
-def _scores(queries: pa.ListArray, vectors: pa.ListArray) -> np.ndarray:
-    """Cosines, added up in the order of the dimensions so that equal vectors score alike; 0 where there is none."""
-    out, q, v = np.zeros((len(queries), len(vectors))), _matrices(queries), _matrices(vectors)
-    with np.errstate(all="ignore"):
-        for n in q.keys() & v.keys():
-            (qi, a), (vi, b) = q[n], v[n]
-            dot, na, nb = np.zeros((len(qi), len(vi))), np.zeros(len(qi)), np.zeros(len(vi))
-            for d in range(n):
-                dot += a[:, d, None] * b[:, d]
-                na += a[:, d] * a[:, d]
-                nb += b[:, d] * b[:, d]
-            norms = np.sqrt(na)[:, None] * np.sqrt(nb)
-            out[np.ix_(qi, vi)] = np.where(norms == 0, 0.0, dot / norms)
-    return out
-
-
-def top_similar(vectors: DataFrame, queries: DataFrame, k: int, dims: int | None = None, block: int = 256) -> DataFrame:
-    """(query_id, vec_id, score, rank): inner products of unit vectors, cut to the first dims. Blocks of vectors meet
-    blocks of queries, and of each such pair k rows a query are kept before any are shuffled."""
-    cut = lambda c: F.slice(c, 1, dims) if dims else F.col(c)
-    q, v = (t.select(F.col(t.columns[0]).alias(n), cut(t.columns[1]).alias(f"{n}_e")) for t, n in ((queries, "query_id"), (vectors, "vec_id")))
-    schema = T.StructType([q.schema["query_id"], v.schema["vec_id"], T.StructField("score", T.DoubleType())])
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                vec, vec_e, query, query_e = (c[r].values for c in batch.columns)
-                scores = _scores(query_e, vec_e)
-                nan, most = np.isnan(scores), min(k, len(vec))
-                keys, place = np.where(nan, np.inf, scores), np.empty(len(vec), np.int64)
-                place[pc.sort_indices(vec, null_placement="at_start").to_numpy()] = np.arange(len(vec))
-                least = np.partition(keys, len(vec) - most, axis=1)[:, len(vec) - most]
-                for j in range(len(query)):
-                    some = np.flatnonzero(keys[j] >= least[j])
-                    some = some[np.lexsort((place[some], -keys[j, some], ~nan[j, some]))][:most]
-                    yield pa.RecordBatch.from_arrays([query.take(pa.array(np.full(len(some), j))), vec.take(pa.array(some)), pa.array(scores[j, some])], names=schema.names)
-
-    scored = _blocks(v, 2048).crossJoin(_blocks(q, block)).mapInArrow(best, schema)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def uncertainty_of(c: Column, n: Column) -> tuple[Column, Column]:
     """(margin, entropy) of a prediction of confidence c, in closed form: 1 - c is spread evenly over n - 1 others, n
     being the number of images with predictions. Null with one image."""

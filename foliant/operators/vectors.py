@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.operators.documents import chunked
-from foliant.operators.relational import top_similar
+from foliant.operators.nearest import top_similar
 
 #: Lengths that a vector may be cut to.
 DIMENSIONS = (128, 256, 512, 768)

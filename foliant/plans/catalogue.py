@@ -15,6 +15,7 @@ from foliant.operators import quality as Q
 from foliant.operators import relational as R
 from foliant.operators.documents import reading_order
 from foliant.operators.hashes import near_hashes
+from foliant.operators.nearest import top_similar
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -441,7 +442,7 @@ SEARCHED, FIRST = "vec_id % 100 = 0", "vec_id < 5"
 
 def _similar(spark, sf_dir, dims, which=SEARCHED):
     v = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return R.top_similar(v, v.where(which).select(F.col("vec_id").alias("query_id"), "embedding"), 5, dims).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
+    return top_similar(v, v.where(which).select(F.col("vec_id").alias("query_id"), "embedding"), 5, dims).select("query_id", "vec_id", F.round("score", 6).alias("score"), F.col("rank").cast("long").alias("rank"))
 
 
 def _similar_sql(dims: int) -> str:

@@ -8,7 +8,8 @@ import numpy as np
 import pytest
 
 from foliant.functions import text as X
-from foliant.operators import relational as R
+from foliant.operators import nearest
+from foliant.operators.nearest import top_similar
 from foliant.plans.every import QUERIES
 
 PERSONAL = [
@@ -105,6 +106,24 @@ def test_search_in_blocks(spark):
     data += [(300 + i, data[i][1]) for i in range(20)] + [(400, None), (401, []), (402, [0.0] * 8), (403, [None] + [1.0] * 7), (404, [1.0, 2.0]), (405, [2.0, 4.0])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
     for k in (1, 5, 1000):
-        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in R.top_similar(df, df, k, None, 7).collect()}
+        got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in top_similar(df, df, k, None, 7).collect()}
         want = brute_similar(data, data, k, None)
         assert got.keys() == want.keys() and all(got[x][0] == i and abs(got[x][1] - s) < 1e-6 for x, (i, s) in want.items())
+
+
+def test_search_leaves_blocks_out(spark, monkeypatch):
+    """Clustered vectors: the same rows as from all pairs, from few of the pairs of blocks."""
+    monkeypatch.setattr(nearest, "BLOCK", 40)
+    monkeypatch.setattr(nearest, "A_PIVOT", 40)
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((16, 12))
+    data = [(i, [float(x) for x in centres[i % 16] + 0.1 * rng.standard_normal(12)]) for i in range(800)] + [(900 + i, [0.0] * 12) for i in range(3)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(3)
+    told = []
+    queries = df.where("vec_id % 10 = 0").withColumnRenamed("vec_id", "query_id")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in nearest.top_similar(df, queries, 4, block=8, report=lambda *x: told.append(x)).collect()}
+    want = brute_similar(data, [d for d in data if d[0] % 10 == 0], 4, None)
+    assert got.keys() == want.keys() and all(got[x][0] == i and abs(got[x][1] - s) < 1e-6 for x, (i, s) in want.items())
+    met, all_ = told[0]
+    assert met < 0.5 * all_
+    assert nearest.top_similar(df.limit(0), queries, 3).count() == 0 and nearest.top_similar(df, queries.limit(0), 3).count() == 0
