@@ -16,7 +16,7 @@ DEFAULTS: dict[str, Any] = {
     "vlm": {"model": "Qwen/Qwen2-VL-7B-Instruct"}, "describe": {"batch_size": 2}, "io": {"cache_dir": ".cache", "debug_dir": "./debug"}, "runtime": {"num_workers": 4},
     "paths": {"weights_dir": "./weights", "runs_dir": "./runs", "debug_dir": "./debug", "cache_dir": "./.cache"},
 }
-#: Settings that the environment may change, as FOLIANT_ and the path in capitals; and the types of those that are not text.
+#: Settings that the environment may change, as FOLIANT_ and the path in capitals; and the types of those that are not text.
 FROM_ENVIRONMENT = ("device", "dpi", "layout.model", "layout.conf_threshold", "ocr.lang", "langid.model_path", "vlm.model", "describe.batch_size", "io.cache_dir", "io.debug_dir", "runtime.num_workers")
 TYPES = {"dpi": int, "layout.conf_threshold": float, "describe.batch_size": int, "runtime.num_workers": int}
 #: What a lock file holds beside settings, by section.

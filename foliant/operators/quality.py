@@ -248,6 +248,18 @@ def upright_lines(lines: DataFrame, page: str) -> DataFrame:
     return g.withColumn("vertical_ratio", ratio).withColumn("is_rtl", F.col("vertical_ratio") > 0.3)
 
 
+#: What reports advise.
+SKEW_ADVICE = {
+    "many skewed": "High percentage of skewed pages detected. Consider implementing automatic deskewing.",
+    "some skewed": "Moderate percentage of skewed pages detected. Manual review recommended.",
+    "few skewed": "Low percentage of skewed pages detected. Current preprocessing may be sufficient.",
+    "rotation": "Average rotation angle: %.1f°. Consider applying global rotation correction.",
+    "many rtl": "High percentage of RTL pages detected. Consider RTL-specific preprocessing.",
+    "some rtl": "Some RTL pages detected. Mixed script handling may be needed.",
+    "none": "No significant rotation or RTL issues detected.",
+}
+
+
 def skew_summary(pages: DataFrame) -> DataFrame:
     """One row over pages (is_rtl, skewed, angle; a page without lines has null angle and skewed): percentages, mean
     angle, whether preprocessing is needed, and recommendations."""
@@ -256,12 +268,11 @@ def skew_summary(pages: DataFrame) -> DataFrame:
     g = g.select("pages", percent(F.col("__rtl"), F.col("__known")).alias("rtl_percentage"), percent(F.col("__skewed"), F.col("pages")).alias("skewed_percentage"), "mean_angle")
     s, r, a = F.col("skewed_percentage"), F.col("rtl_percentage"), F.col("mean_angle")
     advice = F.array_compact(F.array(
-        F.when(s > 20, "High percentage of skewed pages detected. Consider implementing automatic deskewing.").when(s > 10, "Moderate percentage of skewed pages detected. Manual review recommended.")
-        .when(s > 0, "Low percentage of skewed pages detected. Current preprocessing may be sufficient."),
-        F.when((s > 0) & (F.abs(a) > 5), F.concat(F.lit("Average rotation angle: "), F.format_string("%.1f", a), F.lit("°. Consider applying global rotation correction."))),
-        F.when(r > 20, "High percentage of RTL pages detected. Consider RTL-specific preprocessing.").when(r > 5, "Some RTL pages detected. Mixed script handling may be needed."),
+        F.when(s > 20, SKEW_ADVICE["many skewed"]).when(s > 10, SKEW_ADVICE["some skewed"]).when(s > 0, SKEW_ADVICE["few skewed"]),
+        F.when((s > 0) & (F.abs(a) > 5), F.format_string(SKEW_ADVICE["rotation"], a)),
+        F.when(r > 20, SKEW_ADVICE["many rtl"]).when(r > 5, SKEW_ADVICE["some rtl"]),
     ))
-    advice = F.when(F.size(advice) == 0, F.array(F.lit("No significant rotation or RTL issues detected."))).otherwise(advice)
+    advice = F.when(F.size(advice) == 0, F.array(F.lit(SKEW_ADVICE["none"]))).otherwise(advice)
     return g.select("*", ((r > MOST_RTL) | (s > MOST_SKEWED)).alias("needs_preprocessing"), advice.alias("recommendations"))
 
 
