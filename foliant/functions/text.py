@@ -101,7 +101,9 @@ def pii_hits(text: Column, types=tuple(PII), swift_any_case: bool = False) -> Co
     With swift_any_case any word of eight or eleven letters is a SWIFT code."""
     def found(kind: str) -> Column:
         hits = F.regexp_extract_all(blank(text), F.lit(("(?iU)" if swift_any_case and kind == "swift" else "(?U)") + PII[kind]), F.lit(0))
-        return F.transform(hits, lambda o: F.struct(F.lit(kind).alias("type"), o.alias("original")))
+        may = {"email": F.contains(text, F.lit("@")), "swift": F.lit(True)}.get(kind, text.rlike(r"(?U)\d"))  # every other kind has a digit
+        none = F.array().cast("array<struct<type:string,original:string>>")
+        return F.when(may, F.transform(hits, lambda o: F.struct(F.lit(kind).alias("type"), o.alias("original")))).otherwise(none)
 
     return F.concat(*(found(k) for k in types))
 
