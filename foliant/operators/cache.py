@@ -20,10 +20,20 @@ def empty(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], SCHEMA)
 
 
-def json_key(**fields: Column) -> Column:
-    """JSON of the fields in the order of their names, blanks as Python writes them; whole numbers and texts only."""
+def seconds_text(micros: Column) -> Column:
+    """Seconds since 1970 as Python writes such a number: no zeros at the end but the first place."""
+    digits = F.lpad(F.pmod(micros, F.lit(1_000_000)).cast("string"), 6, "0")
+    return F.concat(F.floor(micros / 1_000_000).cast("string"), F.lit("."), F.regexp_replace(digits, "(?<=.)0+$", ""))
+
+
+def json_key(written: dict[str, Column] | None = None, **fields: Column) -> Column:
+    """JSON of the fields in the order of their names, blanks as Python writes them; whole numbers and texts, and in
+    `written` values that are JSON already."""
     pairs = []
-    for k in sorted(fields):
+    for k in sorted({*fields, *(written or {})}):
+        if written and k in written:
+            pairs.append(F.concat(F.lit(f'"{k}": '), written[k]))
+            continue
         whole = F.to_json(F.array(fields[k]), {"ignoreNullFields": "false"})
         pairs.append(F.concat(F.lit(f'"{k}": '), F.substring(whole, F.lit(2), F.length(whole) - 2)))
     return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
@@ -42,6 +52,19 @@ def vlm_key(path: Column, prompt: Column, model: Column, modified: Column) -> Co
     return key_of("vlm", json_key(image_path=path, prompt=prompt, model=model, image_mtime=F.coalesce(modified, F.lit(0))))
 
 
+def file_keys(files: DataFrame, prefix: str, **fields: Column) -> DataFrame:
+    """files (path, modified: a timestamp) with key: that of a result made of each file as it is, and of the fields. A file
+    that has changed since has another key. A null time is 0."""
+    time = F.coalesce(seconds_text(F.unix_micros(F.col("modified").cast("timestamp"))), F.lit("0"))
+    return files.withColumn("key", key_of(prefix, json_key({"image_mtime": time}, image_path=F.col("path"), **fields)))
+
+
+def keys_of_folder(spark: SparkSession, folder: str, prefix: str, pattern: str = "*", **fields: Column) -> DataFrame:
+    """file_keys of the files below a folder; Spark tells their times, contents are not read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+    return file_keys(found.select("path", F.col("modificationTime").alias("modified")), prefix, **fields)
+
+
 def get(cache: DataFrame, wanted: DataFrame, now: Column) -> tuple[DataFrame, DataFrame]:
     """(hits, cache): wanted (key, any columns) with their values, and the cache, in which each key that was asked for is
     one access richer and last accessed now."""

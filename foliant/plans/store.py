@@ -76,6 +76,15 @@ def q_cache_keys(spark, sf_dir):
     return read(spark, sf_dir, "documents").select("doc_id", ocr.alias("ocr"), vlm.alias("vlm"), K.key_of("text", F.coalesce("text", F.lit(""))).alias("plain"))
 
 
+@query("""WITH f AS (SELECT event_id, '/img/' || event_id || '.png' p, CASE WHEN event_id % 7 > 0 THEN epoch_us(ts) END u FROM events), s AS (SELECT *, coalesce((u // 1000000) || '.' || regexp_replace(lpad(CAST(u % 1000000 AS VARCHAR), 6, '0'), '(.)0+$', '\\1'), '0') t FROM f)
+SELECT event_id, 'ocr:' || md5('{"image_mtime": ' || t || ', "image_path": "' || p || '", "lang": "en"}') AS key FROM s""")
+def q_cache_file_keys(spark, sf_dir):
+    """Events as files with the time they were last changed; some are gone."""
+    e = read(spark, sf_dir, "events")
+    files = e.select("event_id", F.concat(F.lit("/img/"), F.col("event_id").cast("string"), F.lit(".png")).alias("path"), F.when(F.col("event_id") % 7 > 0, F.col("ts")).alias("modified"))
+    return K.file_keys(files, "ocr", lang=F.lit("en")).select("event_id", "key")
+
+
 @query(f"SELECT key, CASE WHEN key LIKE 'view:%' THEN 'computed' ELSE key END AS value FROM {ENTRIES}")
 def q_cache_misses(spark, sf_dir):
     """Only what is missing is computed."""
