@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.functions.geometry import intersection
-from foliant.session import checkpoint
+from foliant.session import shared_dir
 
 #: Rounds between two looks at what is left.
 ROUNDS = 2
@@ -76,24 +76,35 @@ def greedy(pairs: DataFrame, driver: str, other: str, *also: str) -> DataFrame:
     """(page_id, driver_no, other_no, overlap, then `also`): each driver box, in its order, takes the free
     box of largest overlap; the first of equals. Whole numbers in `also` part an image's pairs further.
 
-    In rounds: a driver's best box that no earlier driver still asks for is its own, whatever the others choose; then
-    what either is part of goes. An image's first driver is served in every round, so rounds end; boxes that overlap by
-    half are few, and two or three rounds serve nearly all. A round is windows over pairs that stay where they are.
+    A driver's best box that no earlier driver still asks for is its own, whatever the others choose; then what either is
+    part of goes. Pairs whose boxes are in no other pair are told at once, and the others in rounds; an image's first
+    driver is served in every round, so rounds end. Boxes that overlap by half are few, and two or three rounds serve
+    nearly all. A round is windows over pairs that stay where they are; what is left of them is written.
     """
-    key = ["page_id", *also]
-    slim = pairs.select(*key, F.col(driver).cast("long").alias("driver_no"), F.col(other).cast("long").alias("other_no"), (F.col("inter") / F.col("uni")).alias("overlap"), F.lit(False).alias("matched"))
-    state = slim.repartition("page_id")
-    by = {c: Window.partitionBy(*key, "matched", c) for c in ("driver_no", "other_no")}
+    spark, path, key = pairs.sparkSession, shared_dir(pairs.sparkSession), ["page_id", *also]
+    slim = pairs.select(*key, F.col(driver).cast("long").alias("driver_no"), F.col(other).cast("long").alias("other_no"), (F.col("inter") / F.col("uni")).alias("overlap"))
+    by = {c: Window.partitionBy(*key, c) for c in ("driver_no", "other_no")}
+    alone = (F.count("*").over(by["driver_no"]) == 1) & (F.count("*").over(by["other_no"]) == 1)
+    slim.repartition("page_id").select("*", alone.alias("matched")).write.parquet(f"{path}/0")
+    step, done = 0, []
     while True:
+        state = spark.read.parquet(f"{path}/{step}")
+        done.append(state.where("matched").drop("matched"))
+        left = state.where("not matched").repartition("page_id").withColumn("matched", F.lit(False))
+        if left.isEmpty():
+            break
         for _ in range(ROUNDS):
-            best = F.row_number().over(by["driver_no"].orderBy(F.desc("overlap"), "other_no")) == 1
+            best = F.row_number().over(by["driver_no"].orderBy("matched", F.desc("overlap"), "other_no")) == 1
             free = F.col("driver_no") == F.min("driver_no").over(by["other_no"])
-            state = state.withColumn("best", best).withColumn("now", ~F.col("matched") & F.col("best") & free)
+            left = left.withColumn("best", best).withColumn("now", ~F.col("matched") & F.col("best") & free)
             gone = F.bool_or("now").over(by["driver_no"]) | F.bool_or("now").over(by["other_no"])
-            state = state.withColumn("gone", gone).where("matched or now or not gone").select(*key, "driver_no", "other_no", "overlap", (F.col("matched") | F.col("now")).alias("matched"))
-        state = checkpoint(state)
-        if state.where("not matched").isEmpty():
-            return state.select("page_id", "driver_no", "other_no", "overlap", *(F.col(c).cast("long").alias(c) for c in also))
+            left = left.withColumn("gone", gone).where("matched or now or not gone").select(*key, "driver_no", "other_no", "overlap", (F.col("matched") | F.col("now")).alias("matched"))
+        step += 1
+        left.write.parquet(f"{path}/{step}")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.select("page_id", "driver_no", "other_no", "overlap", *(F.col(c).cast("long").alias(c) for c in also))
 
 
 def match_confusion(gt: DataFrame, pred: DataFrame) -> DataFrame:
