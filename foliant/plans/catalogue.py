@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from foliant.functions import geometry as G
 from foliant.functions import text as X
-from foliant.operators import calibration as C
 from foliant.operators import matching as M
 from foliant.operators import quality as Q
 from foliant.operators import relational as R

@@ -13,7 +13,6 @@ from foliant.operators import matching as M
 from foliant.operators import models
 from foliant.operators import quality as Q
 from foliant.operators import hashes
-from foliant.operators import relational as R
 from foliant.operators import vectors as V
 from foliant.operators.ranks import ordered
 from foliant.plans import reports
