@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -37,26 +37,49 @@ def read_large_coco(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     along the file, with gaps."""
     from foliant.sources.largejson import elements
 
-    kinds = dict(re.findall(r"(\w+) array<(struct<.*>)>", COCO))
     found = elements(spark, path)
-    of = lambda section: found.where(F.col("section") == section).select("place", F.from_json("text", kinds[section]).alias("a"))
-    ann = of("annotations").where("size(a.bbox) = 4 and a.category_id is not null")
+    return _coco_of(lambda section, kind: found.where(F.col("section") == section).select("place", F.from_json("text", kind).alias("a")))
+
+
+def read_coco_parts(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """What read_coco gives, of the document that write_coco_parts wrote below path: ann_pos is the id, by which it is
+    ordered."""
+    from foliant.sources.largejson import read_part
+
+    return _coco_of(lambda section, kind: read_part(spark, path, section, kind).withColumn("place", F.col("a.id")))
+
+
+def _coco_of(of: Callable[[str, str], DataFrame]) -> dict[str, DataFrame]:
+    """The tables of a COCO document's elements, of(section, kind) being its (place, a)."""
+    kinds = dict(re.findall(r"(\w+) array<(struct<.*>)>", COCO))
+    ann = of("annotations", kinds["annotations"]).where("size(a.bbox) = 4 and a.category_id is not null")
     box = [F.col("a.bbox")[i].alias(c) for i, c in enumerate("xywh")]
     return {
-        "images": of("images").select(F.col("a.id").alias("image_id"), "a.file_name", "a.width", "a.height"),
+        "images": of("images", kinds["images"]).select(F.col("a.id").alias("image_id"), "a.file_name", "a.width", "a.height"),
         "annotations": ann.select(F.col("place").alias("ann_pos"), F.col("a.id").alias("ann_id"), "a.image_id", "a.category_id", *box, "a.area", "a.iscrowd", "a.score"),
-        "categories": of("categories").select(F.col("a.id").alias("category_id"), "a.name"),
+        "categories": of("categories", kinds["categories"]).select(F.col("a.id").alias("category_id"), "a.name"),
     }
 
 
+def _coco_sections(images: DataFrame, annotations: DataFrame, categories: DataFrame) -> dict:
+    ann = annotations.select(F.col("ann_id").alias("id"), "image_id", "category_id", F.array(*"xywh").alias("bbox"), (F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
+    pictures = images.select(F.col("image_id").alias("id"), "file_name", "width", "height")
+    names = categories.select(F.col("category_id").alias("id"), "name")
+    return {"images": (pictures, F.col("id")), "annotations": (ann, F.col("id")), "categories": (names, F.col("id"))}
+
+
 def write_large_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:
     """One COCO document in one file below path, annotations in the order of ann_id; no row holds more than one of them."""
     from foliant.sources.largejson import write_document
 
-    ann = annotations.select(F.col("ann_id").alias("id"), "image_id", "category_id", F.array(*"xywh").alias("bbox"), (F.col("w") * F.col("h")).alias("area"), F.lit(0).alias("iscrowd"))
-    pictures = images.select(F.col("image_id").alias("id"), "file_name", "width", "height")
-    names = categories.select(F.col("category_id").alias("id"), "name")
-    write_document({"images": (pictures, F.col("id")), "annotations": (ann, F.col("id")), "categories": (names, F.col("id"))}, path)
+    write_document(_coco_sections(images, annotations, categories), path)
+
+
+def write_coco_parts(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:
+    """write_large_coco in many files, which put one after another by name are the document; every task writes its own."""
+    from foliant.sources.largejson import write_parts
+
+    write_parts(_coco_sections(images, annotations, categories), path)
 
 
 def write_coco(images: DataFrame, annotations: DataFrame, categories: DataFrame, path: str) -> None:

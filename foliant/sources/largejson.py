@@ -10,7 +10,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,3 +176,79 @@ def write_document(sections: dict[str, tuple[DataFrame, Column]], path: str) ->
         lines = lines.unionByName(line(f'{"," if no > 1 else ""}"{name}": [', no, 0)).unionByName(told).unionByName(line("]", no, 2))
     lines = lines.unionByName(line("}", len(sections) + 1, 0))
     lines.orderBy("s", "k", "o", "value").select("value").coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_parts(sections: dict[str, tuple[DataFrame, Column]], path: str) -> None:
+    """write_document in many files: put one after another in the order of their paths, the files below path are the
+    document. A section has a folder, and every task writes its own part of it; rows are sorted before they are text."""
+    spark = next(iter(sections.values()))[0].sparkSession
+    for no, (name, (rows, order)) in enumerate(sections.items(), 1):
+        told = rows.select(F.lit(1).alias("k"), F.struct(order.alias("o"), *rows.columns).alias("r"), F.struct(*rows.columns).alias("e"), F.lit(None).cast("string").alias("t"))
+        line = lambda text, k: spark.range(1).select(F.lit(k).alias("k"), F.lit(None).cast(told.schema["r"].dataType).alias("r"), F.lit(None).cast(told.schema["e"].dataType).alias("e"), F.lit(text).alias("t"))  # noqa: B023, E731
+        lines = told.unionByName(line(f'{"{" if no == 1 else ","}"{name}": [', 0)).unionByName(line("]}" if no == len(sections) else "]", 2))
+        first = F.broadcast(told.agg(F.min("r").alias("f")))  # one row
+        text = F.coalesce("t", F.concat(F.when(F.col("r") == F.col("f"), "").otherwise(","), F.to_json("e")))
+        lines.crossJoin(first).orderBy("k", "r").select(text.alias("value")).write.text(f"{path}/{no:03d}-{name}")
+
+
+def read_part(spark: SparkSession, path: str, section: str, kind: str) -> DataFrame:
+    """(a): the elements, of type kind, of a section that write_parts wrote below path."""
+    lines = spark.read.text(f"{path}/*-{section}").select(F.ltrim("value", F.lit(",")).alias("value"))
+    return lines.where(F.col("value").startswith("{") & F.col("value").endswith("}")).select(F.explode(F.array(F.from_json("value", kind))).alias("a"))  # parsed once, whatever is asked of it
+
+
+def _by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], pa.Array, np.ndarray, np.ndarray]]:
+    """(range, lines without a leading comma, places of lines that open an array, whether a line is an element), batch by
+    batch; a range may come in several."""
+    for batch in batches:
+        files, begins, lines = batch.columns
+        code = files.dictionary_encode().indices.to_numpy()
+        begins = begins.to_numpy()
+        cuts = np.flatnonzero((code[1:] != code[:-1]) | (begins[1:] != begins[:-1])) + 1
+        lines = pc.utf8_ltrim(lines, ",")
+        opens = pc.ends_with(lines, "[").to_numpy(zero_copy_only=False)
+        objects = pc.and_(pc.starts_with(lines, "{"), pc.ends_with(lines, "}")).to_numpy(zero_copy_only=False)
+        for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), len(lines)], strict=True):
+            if hi > lo:
+                yield (files[lo].as_py(), int(begins[lo])), lines.slice(lo, hi - lo), np.flatnonzero(opens[lo:hi]), objects[lo:hi]
+
+
+def lined_elements(spark: SparkSession, path: str) -> DataFrame:
+    """(head, number, text) of documents in parts, an element a line: each object in an array, the line that opens the
+    array, and the object's place in it from 0. The files of a folder, by name, are one document. Files are read in
+    ranges; one row a range tells the driver, and by it each range, which array goes on and how far it has come."""
+    text = spark.read.option("recursiveFileLookup", True).text(path)
+    pieces = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("begin"), "value")
+
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: dict[tuple[str, int], tuple[str | None, int]] = {}
+        for at, lines, opens, objects in _by_part(batches):
+            if len(opens):
+                told[at] = (lines[int(opens[-1])].as_py(), int(objects[opens[-1] :].sum()))
+            else:
+                head, n = told.get(at, (None, 0))
+                told[at] = (head, n + int(objects.sum()))
+        if told:
+            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in told]), pa.array([k[1] for k in told], pa.int64()), pa.array([v[0] for v in told.values()], pa.string()), pa.array([v[1] for v in told.values()], pa.int64())], names=["file", "begin", "head", "n"])
+
+    start, folder, state = {}, None, ("", 0)
+    for r in sorted(pieces.mapInArrow(ends, "file string, begin long, head string, n long").collect(), key=lambda r: (*r.file.rpartition("/")[::2], r.begin)):
+        if r.file.rpartition("/")[0] != folder:
+            folder, state = r.file.rpartition("/")[0], ("", 0)
+        start[(r.file, r.begin)] = state
+        state = (state[0], state[1] + r.n) if r.head is None else (r.head, r.n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, head, n = None, "", 0
+        for at, lines, opens, objects in _by_part(batches):
+            if at != last:
+                last, (head, n) = at, start[at]
+            for lo, hi in zip([0, *opens.tolist()], [*opens.tolist(), len(lines)], strict=True):
+                if lo < hi and lo in opens:
+                    head, n = lines[lo].as_py(), 0
+                some = np.flatnonzero(objects[lo:hi]) + lo
+                if len(some):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), head, object), pa.string()), pa.array(np.arange(n, n + len(some))), lines.take(pa.array(some))], names=["head", "number", "text"])
+                    n += len(some)
+
+    return pieces.mapInArrow(run, "head string, number long, text string")

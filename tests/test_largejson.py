@@ -66,3 +66,20 @@ def test_written_documents_read_back(spark, tmp_path):
     assert len(files) == 1 and [a["id"] for a in doc["annotations"]] == list(range(500)) and doc["categories"] == []
     assert doc["images"][3] == {"id": 3, "file_name": 'a"}3', "width": 5, "height": 6} and doc["annotations"][0]["area"] == 12.0
     assert annotations.read_large_coco(spark, str(tmp_path / "out"))["annotations"].count() == 500
+
+
+def test_documents_in_parts_read_back(spark, tmp_path, small_ranges):
+    """Every task writes and reads a part; no row and no task holds the document."""
+    rows = spark.range(3000).select(F.col("id").alias("ann_id"), (F.col("id") % 7).alias("image_id"), F.lit(1).alias("category_id"), *(F.lit(float(i + 1)).alias(c) for i, c in enumerate("xywh")))
+    images = spark.range(7).select(F.col("id").alias("image_id"), F.concat(F.lit('a"}[\n": ['), F.col("id").cast("string")).alias("file_name"), F.lit(5).alias("width"), F.lit(6).alias("height"))
+    names = spark.createDataFrame([(1, ',"x": [')], "category_id int, name string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    annotations.write_coco_parts(images, rows.repartition(5), names, str(tmp_path / "out"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted((tmp_path / "out").glob("*/part-*"))
+    doc = json.loads("".join(p.read_text() for p in files))
+    assert len(files) > 3 and [a["id"] for a in doc["annotations"]] == list(range(3000)) and doc["images"][3]["file_name"] == 'a"}[\n": [3'
+    small_ranges(4000)
+    back = annotations.read_coco_parts(spark, str(tmp_path / "out"))
+    assert [(r.ann_pos, r.ann_id) for r in back["annotations"].orderBy("ann_pos").collect()] == [(i, i) for i in range(3000)]
+    assert [r.name for r in back["categories"].collect()] == [',"x": ['] and back["images"].count() == 7
