@@ -15,8 +15,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliant.operators.documents import element_json, text_of_json
 from foliant.sources import pdf
 from foliant.sources.annotations import header_size
+from foliant.sources.largejson import lined_elements
 
 #: Suffixes of images, those that an image for a JSON file is looked up with (in that order), and names of
 #: licence files.
@@ -133,6 +135,25 @@ def read_elements(spark: SparkSession, path: str) -> DataFrame:
     return _elements(whole_texts(spark, path)).select("file", "document_id", "elem_pos", "e.page", "e.class", *box, "e.content", "e.language", "e.meta")
 
 
+def write_documents(elements: DataFrame, path: str, missing: str = "merged_document") -> None:
+    """The JSON documents of to_documents, a folder document_id=... each, in parts: its files, put one after another by
+    name, are the document. Elements are sorted all over Spark, a line each; no row and no task holds a document."""
+    keys = ["page", "y", "x", "elem_pos"]
+    rows = elements.select(F.coalesce("document_id", F.lit(missing)).alias("document_id"), *keys, element_json("meta" in elements.columns).alias("value")).withColumn("k", F.struct(*keys, "value"))
+    first = rows.groupBy("document_id").agg(F.min("k").alias("f"))
+    body = rows.join(first, "document_id").select("document_id", F.lit(1).alias("s"), "k", F.concat(F.when(F.col("k") == F.col("f"), "").otherwise(","), "value").alias("value"))
+    none = F.lit(None).cast(rows.schema["k"].dataType)
+    head = F.concat(F.lit('{"document_id":'), text_of_json(F.col("document_id")), F.lit(',"elements":['))
+    lines = body.unionByName(first.select("document_id", F.lit(0).alias("s"), none.alias("k"), head.alias("value"))).unionByName(first.select("document_id", F.lit(2).alias("s"), none.alias("k"), F.lit("]}").alias("value")))
+    lines.orderBy("document_id", "s", "k").select("document_id", "value").write.partitionBy("document_id").text(path)
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """(document_id, elem_pos, e) of what write_documents wrote below path, read in ranges."""
+    found = lined_elements(spark, path)
+    return found.select(F.from_json(F.concat("head", F.lit("]}")), "document_id string")["document_id"].alias("document_id"), F.col("number").alias("elem_pos"), F.from_json("text", ELEMENT).alias("e"))
+
+
 def read_references(spark: SparkSession, path: str) -> DataFrame:
     """(key, text, pos) of description references of either shape: a list keyed by image_name or else id, and elements
     (tables and figures) keyed by page and box."""

@@ -110,3 +110,26 @@ def test_split_sizes_and_eviction(spark):
     assert got == {("two", "train"): 2, (None, "train"): 8, (None, "val"): 1, (None, "test"): 1, ("rest", "train"): 790, ("rest", "val"): 98, ("rest", "test"): 100}
     cache = spark.createDataFrame([(f"a:{i}", 10, i, 1) for i in range(10)], "key string, size_bytes long, last_accessed long, access_count long")
     assert R.evict(cache, 100).count() == 0 and [r.key for r in R.evict(cache, 90).orderBy("key").collect()] == ["a:0", "a:1", "a:2"]
+
+
+def test_documents_in_parts_equal_whole_documents(spark, tmp_path):
+    import json
+
+    from foliant.operators.documents import to_documents
+    from foliant.sources import files
+
+    k = F.col("id")
+    e = spark.range(4000).select(
+        F.when(k % 3 > 0, F.concat(F.lit('d "'), (k % 3).cast("string"))).alias("document_id"), (k % 5).cast("int").alias("page"), F.when(k % 4 > 0, "Text").otherwise("Figure").alias("class"), (k % 11).alias("x"), (k % 13).alias("y"),
+        F.lit(4).alias("w"), F.lit(5).alias("h"), F.when(k % 4 > 0, F.concat(F.lit('"a": [\n,{é'), k.cast("string"))).alias("content"), F.lit(None).cast("string").alias("language"), F.create_map(F.lit("k"), k.cast("string")).alias("meta"), k.alias("elem_pos"),
+    ).repartition(6)
+    want = {r.document_id: json.loads(r.payload) for r in to_documents(e).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    files.write_documents(e, str(tmp_path / "out"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [sorted(d.glob("part-*")) for d in (tmp_path / "out").iterdir() if d.is_dir()]
+    assert max(map(len, parts)) > 1
+    whole = [json.loads("".join(p.read_text() for p in ps)) for ps in parts]
+    assert {d["document_id"]: d for d in whole} == want
+    got = sorted((r.document_id, r.elem_pos, r.e.content, r.e.meta["k"]) for r in files.read_documents(spark, str(tmp_path / "out")).collect())
+    assert got == sorted((d, i, x["content"], x["meta"]["k"]) for d, t in want.items() for i, x in enumerate(t["elements"]))
