@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as X
+from foliant.functions.geometry import intersection
 from foliant.operators import matching as M
 from foliant.operators.alignment import Encoder, bert_scores, letters
 from foliant.operators.documents import DESCRIBED, TEXTUAL
+from foliant.session import shared_dir
 
 #: Least areas of medium and large boxes, detections an image may have, recalls, and overlaps in percent.
 SMALL, LARGE, MOST_DETECTIONS, RECALLS = 32 * 32, 96 * 96, (1, 10, 100), 101
@@ -99,18 +101,24 @@ def match_totals(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return row.select("*", (F.col("total_pred") - F.col("matched")).alias("false_positives"), (F.col("total_gt") - F.col("matched")).alias("false_negatives"))
 
 
+#: Least overlaps as shares, and size ranges 0 to 3 as least and largest area; a mask has bit 4 * overlap + size.
+SHARES = tuple(p / 100 - 1e-10 for p in OVERLAPS)
+SIZES = ((0, 1e20), (0, SMALL), (SMALL, LARGE), (LARGE, 1e20))
+
+
 def _decided(rows: list[tuple]) -> list[tuple]:
     """Greedy choices of one image and class at every overlap and size range, from (page_id, class_id, place, gt_no, inter,
-    uni, gt_area) in the order of place and gt_no: (page_id, class_id, place, percent, size, inside)."""
+    uni, gt_area) in the order of place and gt_no: (page_id, class_id, place, masks of what it took inside and outside the
+    range)."""
     by_place: dict[int, list[tuple]] = {}
     for _, _, place, g, inter, uni, area in rows:
         by_place.setdefault(place, []).append((g, inter, uni, area))
-    out = []
-    for percent in OVERLAPS:
-        for size, low, high in ((0, 0, 1e20), (1, 0, SMALL), (2, SMALL, LARGE), (3, LARGE, 1e20)):
+    masks = {place: [0, 0] for place in by_place}
+    for i, share in enumerate(SHARES):
+        for size, (low, high) in enumerate(SIZES):
             taken: set = set()
             for place, pairs in by_place.items():
-                best, mine, inside = percent / 100 - 1e-10, None, False
+                best, mine, inside = share, None, False
                 for own in (True, False):  # boxes out of the range are taken only where none within it is
                     for g, inter, uni, area in pairs:
                         if (low <= area <= high) is own and g not in taken and inter >= best * uni:
@@ -119,8 +127,8 @@ def _decided(rows: list[tuple]) -> list[tuple]:
                         break
                 if mine is not None:
                     taken.add(mine)
-                    out.append((*rows[0][:2], place, percent, size, inside))
-    return out
+                    masks[place][0 if inside else 1] |= 1 << 4 * i + size
+    return [(*rows[0][:2], place, *both) for place, both in masks.items() if any(both)]
 
 
 def detection_table(gt: DataFrame, pred: DataFrame) -> DataFrame:
@@ -131,20 +139,38 @@ def detection_table(gt: DataFrame, pred: DataFrame) -> DataFrame:
     range neither counts nor costs; nor does an unmatched prediction outside it. Classes and ranges without a true box
     have no row. Predictions of equal score count together.
     """
+    spark, path, keys = gt.sparkSession, f"{shared_dir(gt.sparkSession)}/near", ["page_id", "class_id", "place"]
     places = Window.partitionBy("page_id", "class_id").orderBy(F.desc("score"), "ann_no")
-    dt = pred.withColumn("place", F.row_number().over(places)).where(F.col("place") <= MOST_DETECTIONS[-1]).withColumn("area", F.col("w") * F.col("h"))
-    pairs = M.candidates(gt, dt.drop("area")).where("gt_class = pred_class").select("page_id", F.col("gt_class").alias("class_id"), "gt_no", "pred_no", "inter", "uni")
-    pairs = pairs.join(dt.select("page_id", "class_id", F.col("ann_no").alias("pred_no"), "place"), ["page_id", "class_id", "pred_no"])
-    pairs = pairs.join(gt.select("page_id", "class_id", F.col("ann_no").alias("gt_no"), (F.col("w") * F.col("h")).cast("double").alias("gt_area")), ["page_id", "class_id", "gt_no"])
-    near = pairs.where("2 * inter >= uni").select("page_id", "class_id", "place", "gt_no", "inter", "uni", "gt_area")
-    hits = M.by_group(near, 2, ["place", "gt_no"], _decided, "page_id long, class_id int, place long, percent int, size int, inside boolean")
+    dt = pred.withColumn("place", F.row_number().over(places).cast("long")).where(F.col("place") <= MOST_DETECTIONS[-1])
+    a = gt.select("page_id", "class_id", F.col("ann_no").alias("gt_no"), *(F.col(c).alias(f"g{c}") for c in "xywh"))
+    b = dt.select(*keys, *(F.col(c).alias(f"p{c}") for c in "xywh"))
+    inter = intersection(*(tuple(F.col(f"{k}{c}") for c in "xywh") for k in "gp")).cast("long")
+    pairs = a.join(b, ["page_id", "class_id"]).withColumn("inter", inter).where("inter > 0").withColumn("uni", (F.col("gw") * F.col("gh") + F.col("pw") * F.col("ph")).cast("long") - F.col("inter"))
+    near = pairs.where("2 * inter >= uni").select(*keys, "gt_no", "inter", "uni", (F.col("gw") * F.col("gh")).cast("double").alias("gt_area"))
+    # a pair whose boxes are in no other pair is told at once; the others, which are few, are chosen among in Python
+    alone = (F.count("*").over(Window.partitionBy("page_id", "class_id", "place")) == 1) & (F.count("*").over(Window.partitionBy("page_id", "class_id", "gt_no")) == 1)
+    near.select("*", alone.alias("alone")).write.parquet(path)
+    near = spark.read.parquet(path)
+    bits = lambda conds, step: sum((F.when(c, F.lit(1 << step * i).cast("long")).otherwise(F.lit(0).cast("long")) for i, c in enumerate(conds)), F.lit(0).cast("long"))
+    enough = bits([F.col("inter") >= F.lit(share) * F.col("uni") for share in SHARES], 4)
+    inside = bits([F.col("gt_area").between(float(low), float(high)) for low, high in SIZES], 1)
+    single = near.where("alone").select(*keys, (enough * inside).alias("own"), (enough * (15 - inside)).alias("other"))
+    rest = M.by_group(near.where("not alone").drop("alone"), 2, ["place", "gt_no"], _decided, f"page_id long, class_id {near.schema['class_id'].dataType.simpleString()}, place long, own long, other long")
+    hits = single.unionByName(rest)
     within = lambda area, size: F.when(size == 1, area <= SMALL).when(size == 2, (area >= SMALL) & (area <= LARGE)).when(size == 3, area >= LARGE).otherwise(F.lit(True))
-    grid = F.explode(F.array(*(F.struct(F.lit(p).alias("percent"), F.lit(s).alias("size")) for p in OVERLAPS for s in range(4))))
-    each = dt.select("page_id", "class_id", F.col("place").cast("long").alias("place"), "score", "area", grid.alias("g")).select("*", "g.*").join(hits, ["page_id", "class_id", "place", "percent", "size"], "left")
-    state = F.when(F.col("inside"), 1).when(F.col("inside").isNull() & within(F.col("area"), F.col("size")), 0)  # true, false, or neither
-    counted = each.withColumn("tp", state).where("tp is not null").select("class_id", "percent", "size", "score", "place", "tp", F.explode(F.array(*(F.lit(m) for m in MOST_DETECTIONS))).alias("most")).where("place <= most")
+    # predictions of a class, score, masks and least number that counts them are counted before they meet the overlaps
+    least = sum(((F.col("place") > m).cast("int") for m in MOST_DETECTIONS), F.lit(0))
+    sizes = bits([within(F.col("w") * F.col("h"), F.lit(s)) for s in range(4)], 1)
+    mask = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
+    each = dt.select(*keys, "score", sizes.alias("sizes"), least.alias("least")).join(hits, keys, "left")
+    alike = each.groupBy("class_id", "score", "sizes", "least", mask("own"), mask("other")).agg(F.count("*").alias("n"))
+    grid = F.explode(F.array(*(F.struct(F.lit(p).alias("percent"), F.lit(s).alias("size"), F.lit(1 << 4 * i + s).cast("long").alias("bit")) for i, p in enumerate(OVERLAPS) for s in range(4))))
+    has = lambda c: F.col(c).bitwiseAND(F.col("g.bit")) != 0
+    state = F.when(has("own"), 1).when(~has("other") & (F.col("sizes").bitwiseAND(F.element_at(F.array(*(F.lit(1 << s).cast("long") for s in range(4))), F.col("g.size") + 1)) != 0), 0)  # true, false, or neither
+    counted = alike.select("*", grid.alias("g")).withColumn("tp", state).where("tp is not null")
+    counted = counted.select("class_id", "g.percent", "g.size", "score", "least", "tp", "n", F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(m).alias("most")) for i, m in enumerate(MOST_DETECTIONS)))).alias("m")).where("least <= m.i")
     keys = ["class_id", "percent", "size", "most"]
-    by = counted.groupBy(*keys, "score").agg(F.sum("tp").alias("tp"), F.count("*").alias("n"))
+    by = counted.select("*", "m.most").groupBy(*keys, "score").agg(F.sum(F.col("tp") * F.col("n")).alias("tp"), F.sum("n").alias("n"))
     area = F.col("w") * F.col("h")
     sized = gt.select("class_id", F.explode(F.array(*(F.when(within(area, F.lit(s)), F.lit(s)) for s in range(4)))).alias("size")).where("size is not null")
     totals = sized.groupBy("class_id", "size").agg(F.count("*").alias("total"))
