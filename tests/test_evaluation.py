@@ -95,6 +95,20 @@ def test_detection_table(spark):
     assert overlaps == pytest.approx({(c, p): want[c, p, 0, 100][0] for c in (0, 1) for p in (50, 75)})
 
 
+@pytest.mark.parametrize("step", ["by_group", "greedy"])
+def test_lone_pairs_are_told_at_once(spark, monkeypatch, step):
+    """Pairs whose boxes are in no other pair meet neither the overlaps nor Python one by one."""
+    met, real = [], getattr(M, step)
+    monkeypatch.setattr(M, step, lambda rows, *how: (met.append(rows.count()), real(rows, *how))[1])
+    gt = spark.createDataFrame([(p, 0, 1, 10, 10, 20, 20) for p in range(9)], "page_id long, class_id int, ann_no long, x long, y long, w long, h long")
+    pred = gt.withColumn("w", F.lit(18).cast("long")).withColumn("score", F.lit(0.5))
+    if step == "by_group":
+        assert {(r.percent, r.ap) for r in E.detection_table(gt, pred).where("size = 1 and most = 1").collect()} == {(p, 1.0 if p <= 90 else 0.0) for p in E.OVERLAPS}
+    else:
+        assert {(r.percent, r.ap) for r in M.precision_at(gt, pred, E.OVERLAPS).collect()} == {(p, 1.0 if p <= 90 else 0.0) for p in E.OVERLAPS}
+    assert met == [0]
+
+
 def test_text_errors(spark, sf):
     gt, pred = (t.where("page_id < 60") for t in text_boxes(spark, sf))
     names = ("Text", "Title", "List")
