@@ -156,6 +156,19 @@ def test_near_hashes(spark, monkeypatch, k, block):
     assert len(got) == len(set(got)) and set(got) == want and len(want) > 100
 
 
+def test_near_within_and_copies():
+    """All pairs of hashes that keep some bits; and a hash is copied few times, however many there are."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 50, 600, dtype=np.uint64) << np.uint64(7)
+    flips = [sum(1 << int(b) for b in rng.choice(50, rng.integers(0, 10), replace=False)) << 7 for _ in range(900)]
+    h = np.concatenate([base, np.array([int(base[i % 600]) ^ f for i, f in enumerate(flips)], np.uint64)])
+    h = np.unique(h)
+    got = [(min(a, b), max(a, b)) for i, j, _ in hashes.near_within(h, tuple(range(7, 57)), 8) for a, b in zip(i.tolist(), j.tolist(), strict=True)]
+    i, j = np.nonzero(np.triu(np.bitwise_count(h[:, None] ^ h) <= 8, 1))
+    assert len(got) == len(set(got)) and set(got) == set(zip(i.tolist(), j.tolist(), strict=True)) and len(got) > 300
+    assert all(len(hashes.Bands(8, hashes.bands_for(n, 8)).keys) <= 9 for n in (10**5, 10**6, 10**7, 3 * 10**7))
+
+
 def test_ordered(spark):
     rng = random.Random(2)
     rows = [(i, rng.choice(["x", "y", None, "page_00001", "page_00002"]), rng.choice([None, 1, 5])) for i in range(300)]
