@@ -10,7 +10,7 @@ from foliant.functions.geometry import intersection
 from foliant.operators import matching as M
 from foliant.operators.alignment import Encoder, bert_scores, letters
 from foliant.operators.documents import DESCRIBED, TEXTUAL
-from foliant.session import shared_dir
+from foliant.session import checkpoint, shared_dir
 
 #: Least areas of medium and large boxes, detections an image may have, recalls, and overlaps in percent.
 SMALL, LARGE, MOST_DETECTIONS, RECALLS = 32 * 32, 96 * 96, (1, 10, 100), 101
@@ -25,8 +25,9 @@ def zero(c: Column) -> Column:
 
 def square_confusion(rows: DataFrame, truth: str, guess: str) -> DataFrame:
     """(truth, guess, n) for every pair of labels seen on either side, in sorted order; 0 for pairs that don't occur.
-    Labels are as few as classes or languages; their pairs are made from one array of them."""
-    counted = rows.groupBy(F.col(truth).alias("truth"), F.col(guess).alias("guess")).agg(F.count("*").alias("n"))
+    Labels are as few as classes or languages; their pairs are made from one array of them. Rows are counted once, the
+    counts written and read twice."""
+    counted = checkpoint(rows.groupBy(F.col(truth).alias("truth"), F.col(guess).alias("guess")).agg(F.count("*").alias("n")))
     labels = counted.select(F.explode(F.array("truth", "guess")).alias("l")).agg(F.sort_array(F.collect_set("l")).alias("ls"))
     every = labels.select(F.explode("ls").alias("truth"), "ls").select("truth", F.explode("ls").alias("guess"))
     return every.join(counted, ["truth", "guess"], "left").select("truth", "guess", F.coalesce("n", F.lit(0)).alias("n"))

@@ -73,3 +73,31 @@ def test_precision_at(spark):
     pred = spark.createDataFrame([(1, 1, 0, 0, 100, 80, 0, 0.9), (1, 2, 0, 500, 9, 9, 0, 0.8), (1, 3, 300, 0, 100, 100, 0, 0.7)], cols + ", score double")
     got = {r.percent: r.ap for r in M.precision_at(gt, pred, (50, 85)).collect()}
     assert got == pytest.approx({50: (51 + 50 * 2 / 3) / 101, 85: 51 / 3 / 101})
+
+
+def test_languages_are_told_and_counted_once(spark):
+    from foliant.operators import evaluation as E
+    from foliant.operators.models import COMMON, language_of
+
+    texts = [None, "", "of", "The. end, of: the?! story", "the.x la. la  de de, y", "le la les;des", "der the", "a" * 9, "the\nthe\tof", "und die, nicht ein.", "…the (the) the…"]
+    want = []
+    for t in texts:
+        ws = [w.rstrip(".,;:!?") for w in (t or "").lower().split()]
+        n = {k: sum(w in v for w in ws) for k, v in sorted(COMMON.items())}
+        best = max(n, key=lambda k: (n[k], [-ord(c) for c in k]))
+        sure = n[best] / sum(n.values()) if any(n.values()) else 0.0
+        want.append((None if len((t or "").strip()) < 3 else "unknown" if sure < 0.55 else best, sure))
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(1)
+    guess, sure = language_of(F.col("text"))
+    told = rows.select("id", guess.alias("guess"), sure.alias("sure"))
+    assert [(r.guess, r.sure) for r in told.orderBy("id").collect()] == want
+    assert told.select("guess")._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def marked(x):
+        seen.add(1)
+        return x
+
+    square = E.square_confusion(spark.range(40).select((F.col("id") % 2).cast("string").alias("t"), marked((F.col("id") % 3).cast("string")).alias("g")), "t", "g")
+    assert sorted(map(tuple, square.collect()))[:3] == [("0", "0", 7), ("0", "1", 6), ("0", "2", 7)] and seen.value == 40
