@@ -101,3 +101,11 @@ def test_languages_are_told_and_counted_once(spark):
 
     square = E.square_confusion(spark.range(40).select((F.col("id") % 2).cast("string").alias("t"), marked((F.col("id") % 3).cast("string")).alias("g")), "t", "g")
     assert sorted(map(tuple, square.collect()))[:3] == [("0", "0", 7), ("0", "1", 6), ("0", "2", 7)] and seen.value == 40
+
+
+def test_a_document_is_parsed_once(spark):
+    """Text, its fields and each element's are read once, whatever is asked of them."""
+    docs = ['{"document_id":"d","elements":[{"class":"T","bbox":[1,2,3,4],"content":null,"language":null,"page":0}]}', '{"document_id":"d","elements":[]}', "[1]", "nul", None, '{"elements":null}', '{"document_id":1,"elements":{"a":1}}', '{"document_id":1,"elements":[3]}', '{"document_id":1,"elements":[{"class":1,"bbox":null,"content":1,"language":1,"page":1}]}']
+    rows = spark.createDataFrame(list(enumerate(docs)), "id int, p string").select("id", X.document_error(F.col("p")).alias("e"))
+    assert [r.e for r in rows.orderBy("id").collect()] == [None, None, *["Not a JSON object"] * 3, "Missing required field: document_id", "'elements' must be a list", "Element 0 is not a dictionary", "Element 0 bbox must be a list of 4 integers"]
+    assert str(X.document_error(F.col("p"))).count("parse_json(") == 1
