@@ -10,12 +10,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from foliant.session import shared_dir
 
 #: Rows of a block of vectors and of queries, rows a pivot has, and most pivots.
 BLOCK, ASKED, A_PIVOT, MOST_PIVOTS = 2048, 256, 512, 64
-#: Angles are rounded by less.
+#: Blocks of vectors and of queries that meet in one group.
+HELD_TOGETHER, ASKED_TOGETHER = 32, 128
+#: Angles and products of vectors of length one are rounded by less.
 SLACK = 1e-6
 
 
@@ -85,24 +88,97 @@ def _in_blocks(near: DataFrame, most: int, name: str) -> DataFrame:
     return g.select(F.struct("pivot", "chunk").alias(name), "pivot", "lo", "hi", F.col(f"rows.{i}").alias(f"{name}_ids"), F.col(f"rows.{e}").alias(f"{name}_es"))
 
 
-def _best(pairs: DataFrame, k: int, schema: T.StructType) -> DataFrame:
-    """The k best vectors of each block pair's queries: pairs has v_ids, v_es, q_ids, q_es."""
+class _Block:
+    """Vectors by length, at length one and as they are, with norms added up in the order of the dimensions. `plain` says
+    that every product and sum of them is far from overflow and underflow."""
+
+    def __init__(self, vectors: pa.ListArray) -> None:
+        self.vectors, self.n, self.plain, self.of = vectors, len(vectors), True, {}
+        with np.errstate(all="ignore"):
+            for n, (rows, m) in _matrices(vectors).items():
+                square = np.zeros(len(m))
+                for d in range(n):
+                    square += m[:, d] * m[:, d]
+                some = (square > 1e-200) & (square < 1e200)
+                self.plain = self.plain and bool((some | ~m.any(axis=1)).all())
+                at = np.full(self.n, -1)
+                at[rows] = np.arange(len(rows))
+                self.of[n] = rows, at, m, np.sqrt(square), m / np.where(some, np.sqrt(square), 1)[:, None]
+
+
+def _about(q: _Block, v: _Block) -> np.ndarray:
+    """Cosines of plain blocks, give or take SLACK: one product of matrices."""
+    out = np.zeros((q.n, v.n))
+    for n in q.of.keys() & v.of.keys():
+        (qi, *_, a), (vi, *_, b) = q.of[n], v.of[n]
+        out[np.ix_(qi, vi)] = a @ b.T
+    return out
+
+
+def _exact(q: _Block, v: _Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The cosines of _scores for the pairs i, j alone."""
+    out = np.zeros(len(i))
+    for n in q.of.keys() & v.of.keys():
+        (_, qa, a, na, _), (_, va, b, nb, _) = q.of[n], v.of[n]
+        both = np.flatnonzero((qa[i] >= 0) & (va[j] >= 0))
+        for lo in range(0, len(both), 1 << 14):
+            some = both[lo : lo + (1 << 14)]
+            x, y = qa[i[some]], va[j[some]]
+            left, right, dot, norms = a[x].T.copy(), b[y].T.copy(), np.zeros(len(some)), na[x] * nb[y]
+            for d in range(n):
+                dot += left[d] * right[d]
+            out[some] = np.where(norms == 0, 0.0, dot / np.where(norms == 0, 1, norms))
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in range(batch.num_rows):
-                vec, vec_e, query, query_e = (c[r].values for c in batch.columns)
-                scores = _scores(query_e, vec_e)
-                nan, most = np.isnan(scores), min(k, len(vec))
-                keys, place = np.where(nan, np.inf, scores), np.empty(len(vec), np.int64)
-                place[pc.sort_indices(vec, null_placement="at_start").to_numpy()] = np.arange(len(vec))
-                least = np.partition(keys, len(vec) - most, axis=1)[:, len(vec) - most]
-                for j in range(len(query)):
-                    some = np.flatnonzero(keys[j] >= least[j])
-                    some = some[np.lexsort((place[some], -keys[j, some], ~nan[j, some]))][:most]
-                    yield pa.RecordBatch.from_arrays([query.take(pa.array(np.full(len(some), j))), vec.take(pa.array(some)), pa.array(scores[j, some])], names=schema.names)
 
-    return pairs.select("v_ids", "v_es", "q_ids", "q_es").mapInArrow(run, schema)
+def _top(q: _Block, v: _Block, place: np.ndarray, floors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, vector, score) of each query's k best of a block, none of them below its floor (nan: none known). Those that
+    can be among them by the product of matrices are scored in the order of the dimensions."""
+    most = min(k, v.n)
+    kth = lambda s: np.partition(s, v.n - most, axis=1)[:, v.n - most]
+    if q.plain and v.plain:
+        about, least = _about(q, v), np.where(np.isnan(floors), -np.inf, floors) - SLACK
+        may = about >= least[:, None]
+        if np.count_nonzero(may) > 2 * most * q.n:
+            may = about >= np.maximum(least, kth(about) - SLACK)[:, None]
+        i, j = np.nonzero(may)
+        score = _exact(q, v, i, j)
+    else:
+        all_ = _scores(q.vectors, v.vectors)
+        keys = np.where(np.isnan(all_), np.inf, all_)
+        i, j = np.nonzero(keys >= kth(keys)[:, None])
+        score = all_[i, j]
+    nan = np.isnan(score)
+    order = np.lexsort((place[j], -np.where(nan, np.inf, score), ~nan, i))
+    i, j, score = i[order], j[order], score[order]
+    good = (np.arange(len(i)) - np.searchsorted(i, i) < most) & ~(score < floors[i])
+    return i[good], j[good], score[good]
+
+
+def _best(pairs: DataFrame, asked: DataFrame, held: DataFrame, k: int, schema: T.StructType) -> DataFrame:
+    """The k best vectors of each block pair's queries. pairs: (q, v); asked: (q, q_ids, q_es, floors); held: (v, v_ids,
+    v_es). Blocks meet by groups of both, so that a block travels once to a group and not to each of its pairs."""
+    grid = [F.pmod(F.xxhash64(c, F.lit(7)), F.lit(max(1, -(-t.count() // most)))).alias(g) for c, t, most, g in (("v", held, HELD_TOGETHER, "gv"), ("q", asked, ASKED_TOGETHER, "gq"))]
+    placed = pairs.select(*grid, "q", "v")
+    wanted = placed.groupBy("gv", "gq", "q").agg(F.collect_list("v").alias("vs")).join(asked.select("q", "q_ids", "q_es", "floors"), "q").select("gv", "gq", "q_ids", "q_es", "floors", "vs")
+    there = placed.select("gv", "gq", "v").distinct().join(held.select("v", "v_ids", "v_es"), "v").select(F.col("gv").alias("hv"), F.col("gq").alias("hq"), "v", "v_ids", "v_es")
+
+    def run(want: pa.Table, have: pa.Table) -> pa.Table:
+        key, out = lambda v: (v["pivot"], v["chunk"]), [schema_arrow.empty_table()]
+        flat = lambda c: c.as_py() if not isinstance(c, pa.ListScalar) else c.values
+        queries = [(ids, _Block(es), pc.fill_null(floors, np.nan).to_numpy(zero_copy_only=False), {key(v) for v in vs.to_pylist()}) for ids, es, floors, vs in (tuple(flat(c[r]) for c in want.columns[2:]) for r in range(want.num_rows))]
+        for r in range(have.num_rows):
+            v, ids = key(have.column(2)[r].as_py()), have.column(3)[r].values
+            block, place = _Block(have.column(4)[r].values), np.empty(len(ids), np.int64)
+            place[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(len(ids))
+            for query, asking, floors, vs in queries:
+                if v in vs:
+                    i, j, score = _top(asking, block, place, floors, k)
+                    out.append(pa.Table.from_arrays([query.take(pa.array(i)), ids.take(pa.array(j)), pa.array(score)], schema=schema_arrow))
+        return pa.concat_tables(out)
+
+    schema_arrow = to_arrow_schema(schema)
+    return wanted.groupBy("gv", "gq").cogroup(there.groupBy("hv", "hq")).applyInArrow(run, schema)
 
 
 def _reach(asked: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -147,14 +223,15 @@ def top_similar(vectors: DataFrame, queries: DataFrame, k: int, dims: int | None
         _near(rows, pivots).write.parquet(f"{path}/{name}_near")
         _in_blocks(spark.read.parquet(f"{path}/{name}_near"), most, name).write.parquet(f"{path}/{name}")
     held, asked = (spark.read.parquet(f"{path}/{name}") for name in "vq")
-    home = asked.join(held.where("v.chunk = 0 and pivot >= 0"), "pivot")
-    floors = _best(home, k, schema).groupBy("query_id").agg(F.when(F.count_if(~F.isnan("score")) >= k, F.min(F.when(~F.isnan("score"), F.col("score")))).alias("floor"))
+    home = asked.join(held.where("v.chunk = 0 and pivot >= 0").select("pivot", "v"), "pivot").select("q", "v")
+    floors = _best(home, asked.withColumn("floors", F.transform("q_ids", lambda _: F.lit(None).cast("double"))), held, k, schema).groupBy("query_id").agg(F.when(F.count_if(~F.isnan("score")) >= k, F.min(F.when(~F.isnan("score"), F.col("score")))).alias("floor"))
     each = asked.select("q", F.explode(F.arrays_zip("q_ids", "q_es")).alias("x")).select("q", F.col("x.q_ids").alias("query_id"), F.col("x.q_es").alias("e"))
-    known = each.join(floors, "query_id", "left").groupBy("q").agg(F.collect_list(F.struct("e", F.coalesce("floor", F.lit(-1.0)).alias("floor"))).alias("r")).select("q", "r.e", "r.floor")
+    known = each.join(floors, "query_id", "left").groupBy("q").agg(F.collect_list(F.struct("query_id", "e", "floor")).alias("r"))
+    known.select("q", F.col("r.query_id").alias("q_ids"), F.col("r.e").alias("q_es"), F.col("r.floor").alias("floors")).write.parquet(f"{path}/known")
+    known = spark.read.parquet(f"{path}/known")
     ranges = held.select("v", "pivot", "lo", "hi")
-    pairs = _reach(known, pivots).join(ranges, "pivot").where("hi >= a and lo <= b").select("q", "v")
+    pairs = _reach(known.select("q", "q_es", "floors"), pivots).join(ranges, "pivot").where("hi >= a and lo <= b").select("q", "v")
     if report:
         report(pairs.count(), held.count() * asked.count())
-    met = pairs.join(asked.select("q", "q_ids", "q_es"), "q").join(held.select("v", "v_ids", "v_es"), "v")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return _best(met, k, schema).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return _best(pairs, known, held, k, schema).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

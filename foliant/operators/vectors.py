@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliant.functions import text as X
 from foliant.operators.documents import chunked
 from foliant.operators.nearest import top_similar
 
@@ -17,9 +18,9 @@ DIMENSIONS = (128, 256, 512, 768)
 
 
 def unit(vector: Column) -> Column:
-    """The vector at length one; one of no length stays as it is."""
+    """The vector at length one; one of no length stays as it is. The norm is made once a vector, not once a number."""
     norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda s, x: s + x * x))
-    return F.when(norm > 0, F.transform(vector, lambda x: x / norm)).otherwise(F.transform(vector, lambda x: x.cast("double")))
+    return X.let(norm, lambda n: F.when(n > 0, F.transform(vector, lambda x: x / n)).otherwise(F.transform(vector, lambda x: x.cast("double"))))
 
 
 def truncated(vector: Column, dims: int) -> Column:
@@ -31,14 +32,23 @@ def hashed_vectors(dims: int) -> Callable[[pd.Series], pd.Series]:
     """Stand-in for an embedding model: each lower-case word adds a sign to one of dims places, both by its CRC."""
     import zlib
 
+    class Places(dict):
+        """Word -> twice its place, and one more for a positive sign; held for up to a million words."""
+
+        def __missing__(self, w: str) -> int:
+            h = zlib.crc32(w.encode())
+            if len(self) >= 1_000_000:
+                self.clear()
+            self[w] = 2 * (h % dims) + (h >> 31)
+            return self[w]
+
+    places = Places()
+
     def encode(texts: pd.Series) -> pd.Series:
         out = []
         for t in texts:
-            v = np.zeros(dims)
-            for w in (t or "").lower().split():
-                h = zlib.crc32(w.encode())
-                v[h % dims] += 1.0 if h >> 31 else -1.0
-            out.append(v.tolist())
+            n = np.bincount(np.array([places[w] for w in (t or "").lower().split()], np.int64), minlength=2 * dims)
+            out.append((n[1::2] - n[::2]).astype(float))
         return pd.Series(out)
 
     return encode

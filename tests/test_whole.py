@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from foliant.functions import text as X
@@ -127,3 +128,24 @@ def test_search_leaves_blocks_out(spark, monkeypatch):
     met, all_ = told[0]
     assert met < 0.5 * all_
     assert nearest.top_similar(df.limit(0), queries, 3).count() == 0 and nearest.top_similar(df, queries.limit(0), 3).count() == 0
+
+
+def test_search_scores_few_pairs_one_by_one(spark, monkeypatch):
+    """Only what can be among the best is scored pair by pair, and only what is not below a query's floor goes on."""
+    rng = np.random.default_rng(5)
+    block = lambda rows: nearest._Block(pa.array(rows, pa.list_(pa.float64())))
+    a, b = rng.standard_normal((20, 16)), rng.standard_normal((500, 16))
+    rows = [*map(list, b), [0.0] * 16, None, [1.0], list(b[3])]
+    q, v, scored = block([*map(list, a), list(b[3])]), block(rows), []
+    real = nearest._exact
+    monkeypatch.setattr(nearest, "_exact", lambda *x: (scored.append(len(x[2])), real(*x))[1])
+    want = nearest._scores(q.vectors, v.vectors)
+    for floors in (np.full(21, np.nan), np.sort(want, axis=1)[:, -3]):
+        i, j, score = nearest._top(q, v, np.arange(len(rows)), floors, 5)
+        for x in range(21):
+            best = sorted(range(len(rows)), key=lambda y: (-want[x, y], y))[:5]
+            assert j[i == x].tolist() == [y for y in best if not want[x, y] < floors[x]] and score[i == x].tolist() == want[x, j[i == x]].tolist()
+    assert max(scored) < 21 * 10 and q.plain and not block([[1e200] * 16]).plain and not block([[float("inf")]]).plain
+    odd = block([[float("nan")] * 16, [1e200] * 16, list(b[0])])
+    i, j, score = nearest._top(q, odd, np.arange(3), np.full(21, np.nan), 2)
+    assert len(i) == 42 and all(np.isnan(score[(j == 0)])) and (j[::2] == 0).all()
