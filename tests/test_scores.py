@@ -109,3 +109,18 @@ def test_a_document_is_parsed_once(spark):
     rows = spark.createDataFrame(list(enumerate(docs)), "id int, p string").select("id", X.document_error(F.col("p")).alias("e"))
     assert [r.e for r in rows.orderBy("id").collect()] == [None, None, *["Not a JSON object"] * 3, "Missing required field: document_id", "'elements' must be a list", "Element 0 is not a dictionary", "Element 0 bbox must be a list of 4 integers"]
     assert str(X.document_error(F.col("p"))).count("parse_json(") == 1
+
+
+def test_a_norm_is_made_once_a_vector(spark):
+    """Not once for each of its numbers; and flags look at a text's words once."""
+    from foliant.operators import vectors as V
+
+    rows = spark.createDataFrame([(0, [3.0, 4.0]), (1, [0.0, 0.0]), (2, None), (3, [])], "i int, e array<double>")
+    assert [r.u for r in rows.select("i", V.unit(F.col("e")).alias("u")).orderBy("i").collect()] == [[0.6, 0.8], [0.0, 0.0], None, []]
+    plan = rows.select(V.unit(F.col("e")).alias("u"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1
+    turns = spark.createDataFrame([(0, "One two. ... 　. three"), (1, " .!? "), (2, "a " * 31 + "."), (3, ""), (4, None)], "i int, t string")
+    flags = X.qa_flags(F.col("t"), F.lit("Text"), F.lit("fr"))
+    got = {r.i: {f.issue for f in r.f} for r in turns.select("i", flags.alias("f")).collect()}
+    assert got == {0: set(), 1: {"length_insufficient", "no_sentences"}, 2: {"long_sentences", "excessive_repetition"}, 3: set(), 4: set()}
+    assert turns.select(flags.alias("f"))._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all(") == 1
