@@ -48,11 +48,12 @@ def overlay_errors(gt: DataFrame, pred: DataFrame) -> DataFrame:
     return both.select("kind", "page_id", "ann_no", "class_id", "x", "y", "w", "h", "score")
 
 
-def error_cases(errors: DataFrame, boxes: DataFrame, images: DataFrame, names: DataFrame) -> DataFrame:
+def error_cases(errors: DataFrame, boxes: DataFrame | None, images: DataFrame | None, names: DataFrame) -> DataFrame:
     """The audit index: one row an error with its classes, score, boxes, image and the part of the image to cut out.
     errors: page_id, kind, ann_no; boxes: page_id, kind, ann_no, class_id, x, y, w, h, score of either side; images:
-    page_id, file_name, width, height; names: class_id, name."""
-    rows = errors.join(boxes, ["page_id", "kind", "ann_no"]).join(images, "page_id").join(F.broadcast(names), "class_id")
+    page_id, file_name, width, height; names: class_id, name. boxes or images are None where errors have their columns."""
+    rows = errors if boxes is None else errors.join(boxes, ["page_id", "kind", "ann_no"])
+    rows = (rows if images is None else rows.join(images, "page_id")).join(F.broadcast(names), "class_id")
     missed = F.col("kind") == "fn"
     none, own = F.array(*(F.lit(0).cast("long") for _ in range(4))), F.array(*(F.col(c).cast("long") for c in "xywh"))
     cut = crop(tuple(F.col(c) for c in "xywh"), F.col("width"), F.col("height"))
