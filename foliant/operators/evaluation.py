@@ -55,10 +55,15 @@ def text_matches(gt: DataFrame, pred: DataFrame) -> DataFrame:
 
 def text_errors(gt: DataFrame, pred: DataFrame) -> DataFrame:
     """(page_id, gt_no, class, cer, wer) of matched boxes whose texts are both not empty."""
+    # only textual boxes match; they are written once, for their places are asked for first and their texts after
+    spark, path = gt.sparkSession, shared_dir(gt.sparkSession)
+    for t, name, also in ((gt, "gt", []), (pred, "pred", ["score"] if "score" in pred.columns else [])):
+        t.where(F.col("class").isin(*TEXTUAL)).select("page_id", "ann_no", "class", *"xywh", "text", *also).write.parquet(f"{path}/{name}")
+    gt, pred = (spark.read.parquet(f"{path}/{name}") for name in ("gt", "pred"))
     m = text_matches(gt, pred)
-    a = gt.select("page_id", F.col("ann_no").alias("gt_no"), "class", F.col("text").alias("a"))
-    b = pred.select("page_id", F.col("ann_no").alias("pred_no"), F.col("text").alias("b"))
-    rows = m.join(a, ["page_id", "gt_no"]).join(b, ["page_id", "pred_no"]).where("a <> '' and b <> ''")
+    a = gt.select("page_id", F.col("ann_no").cast("long").alias("gt_no"), "class", F.col("text").alias("a")).where("a <> ''")
+    b = pred.select("page_id", F.col("ann_no").cast("long").alias("pred_no"), F.col("text").alias("b")).where("b <> ''")
+    rows = m.join(a, ["page_id", "gt_no"]).join(b, ["page_id", "pred_no"])
     rows = rows.select("page_id", "gt_no", "class", "a", "b", X.words(F.col("a")).alias("wa"), X.words(F.col("b")).alias("wb"))
     return rows.select("page_id", "gt_no", "class", X.char_error_rate(F.col("a"), F.col("b")).alias("cer"), X.word_error_rate(F.col("wa"), F.col("wb")).alias("wer"))
 
@@ -66,10 +71,12 @@ def text_errors(gt: DataFrame, pred: DataFrame) -> DataFrame:
 def error_summary(errors: DataFrame, classes: tuple[str, ...] = TEXTUAL) -> DataFrame:
     """(class, count, mean_cer, mean_wer, std_cer, std_wer) of all (class null) and of each class; 0 without any."""
     stats = [F.count("cer").alias("count"), *(zero(f(c)).alias(f"{n}_{c}") for n, f in (("mean", F.avg), ("std", F.stddev_pop)) for c in ("cer", "wer"))]
-    whole = errors.agg(*stats).select(F.lit(None).cast("string").alias("class"), "*")
     names = errors.sparkSession.createDataFrame([(c,) for c in classes], "class string")
-    by = names.join(errors, "class", "left").groupBy("class").agg(*stats)
-    return whole.unionByName(by).select("class", "count", "mean_cer", "mean_wer", "std_cer", "std_wer")
+    # classes are few: all and each are told in one pass, in which a class without errors counts by a row of nulls
+    rows = errors.select("class", "cer", "wer").unionByName(names.select("class", F.lit(None).cast("double").alias("cer"), F.lit(None).cast("double").alias("wer")))
+    both = rows.select("cer", "wer", F.explode(F.array(F.struct(F.lit(True).alias("all"), F.lit(None).cast("string").alias("class")), F.struct(F.lit(False).alias("all"), F.col("class")))).alias("k"))
+    g = both.groupBy("k.all", "k.class").agg(*stats)
+    return g.where(F.col("all") | F.col("class").isin(*classes)).select("class", "count", "mean_cer", "mean_wer", "std_cer", "std_wer")
 
 
 def description_pairs(pred: DataFrame, ref: DataFrame) -> DataFrame:

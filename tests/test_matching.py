@@ -31,3 +31,38 @@ def test_parts_of_an_image_choose_apart(spark):
     rows = [(1, 0, 0, 5, 9, 50), (1, 1, 0, 8, 9, 50), (1, 1, 0, 8, 9, 75), (1, 1, 2, 8, 9, 75)]
     got = matching.greedy(spark.createDataFrame(rows, "page_id long, a long, b long, inter long, uni long, percent int"), "a", "b", "percent")
     assert sorted((r.percent, r.driver_no, r.other_no) for r in got.collect()) == [(50, 0, 0), (75, 1, 0)]
+
+
+def test_errors_keep_columns_and_predictions_carry_others(spark, sf):
+    from foliant.operators import active
+    from foliant.plans.catalogue import boxes, predicted, predictions
+
+    cols = "page_id long, ann_no long, class_id int, x long, y long, w long, h long"
+    gt = spark.createDataFrame([(1, 1, 0, 0, 0, 10, 10), (1, 2, 0, 50, 0, 10, 10), (2, 1, 1, 0, 0, 10, 10)], cols)
+    pred = spark.createDataFrame([(1, 1, 0, 0, 0, 10, 10, 0.9), (1, 2, 1, 50, 0, 10, 10, 0.4), (3, 1, 0, 0, 0, 9, 9, 0.8)], cols + ", score double")
+    errors = matching.mine_errors(gt, pred, "class_id", *"xywh", "score")
+    assert {(r.page_id, r.kind, r.ann_no, r.class_id, r.x, r.score) for r in errors.collect()} == {(1, "fn", 2, 0, 50, 0.0), (2, "fn", 1, 1, 0, 0.0), (1, "fp", 2, 1, 50, 0.4)}
+    names = spark.createDataFrame([(0, "Text"), (1, "Title")], "class_id int, name string")
+    cases = active.error_cases(errors.selectExpr("*", "'p' file_name", "600 width", "700 height"), None, None, names)
+    assert {(r.type, r.page, r.class_gt, r.class_pred) for r in cases.collect()} == {("FN", 1, "Text", "N/A"), ("FN", 2, "Title", "N/A"), ("FP", 1, "N/A", "Title")}
+    one = predicted(boxes(spark, sf), "l_suppkey")
+    assert sorted(map(tuple, one.drop("l_suppkey").collect())) == sorted(map(tuple, predictions(spark, sf).collect())) and one.columns[-1] == "l_suppkey"
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("Window [") == 1
+
+
+def test_text_boxes_of_long_and_short_images_agree(spark, sf, tmp_path):
+    """A prediction's text is that of the box its number names, also where an image has a hundred boxes and more."""
+    from pyspark.sql import functions as F
+
+    from foliant.plans.scores import text_boxes
+
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_orderkey < 100")
+    for t in ("supplier", "nation"):
+        spark.read.parquet(f"{sf}/{t}.parquet").write.parquet(f"{tmp_path}/{t}.parquet")
+    long_ = spark.range(1, 130).select(F.lit(10**9).cast("long").alias("l_orderkey"), F.col("id").alias("l_partkey"), (F.col("id") % 10 + 1).alias("l_suppkey"), F.col("id").cast("int").alias("l_linenumber"), F.lit(3.0).alias("l_quantity"), F.lit(0.1).alias("l_discount"))
+    got = []
+    for more in (rows.limit(0), long_):
+        rows.select(*long_.columns).unionByName(more.select(*long_.columns)).write.mode("overwrite").parquet(f"{tmp_path}/lineitem.parquet")
+        pred = text_boxes(spark, str(tmp_path))[1]
+        got.append(sorted(tuple(r[c] for c in sorted(pred.columns)) for r in pred.where("page_id < 100").collect()))
+    assert got[0] == got[1] and got[0]
