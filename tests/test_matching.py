@@ -66,3 +66,21 @@ def test_text_boxes_of_long_and_short_images_agree(spark, sf, tmp_path):
         pred = text_boxes(spark, str(tmp_path))[1]
         got.append(sorted(tuple(r[c] for c in sorted(pred.columns)) for r in pred.where("page_id < 100").collect()))
     assert got[0] == got[1] and got[0]
+
+
+def test_blocks_are_detected_once(spark):
+    from pyspark.sql import functions as F
+
+    from foliant.operators.models import markup_blocks
+    from foliant.plans import pipelines
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def marked(x):
+        seen.add(1)
+        return x
+
+    pages = spark.createDataFrame([(i, f"<h1>t{i}</h1><p>the cat</p>") for i in range(6)], "page_id long, html string")
+    found = pipelines.layout(pages, lambda p: markup_blocks(p.withColumn("html", marked("html"))))
+    assert found.count() == 12 and seen.value == 6
