@@ -108,8 +108,10 @@ def write_yolo(boxes: DataFrame, path: str, width, height) -> None:
 
 
 def coco_to_boxes(tables: dict[str, DataFrame], labels: DataFrame) -> DataFrame:
-    """Annotations with their image and the id of their class in labels (name, class_id); what misses either goes."""
-    ann = tables["annotations"].join(tables["images"], "image_id").join(tables["categories"], "category_id").join(labels, "name")
+    """Annotations with their image and the id of their class in labels (name, class_id); what misses either goes.
+    Categories and labels are as few as classes and are broadcast: dealt by class, all boxes of one would be one task's."""
+    named = tables["categories"].join(F.broadcast(labels), "name")
+    ann = tables["annotations"].join(tables["images"], "image_id").join(F.broadcast(named), "category_id")
     return ann.where("w > 0 and h > 0").withColumn("stem", F.regexp_replace("file_name", r"\.[^.]*$", ""))
 
 

@@ -133,3 +133,15 @@ def test_documents_in_parts_equal_whole_documents(spark, tmp_path):
     assert {d["document_id"]: d for d in whole} == want
     got = sorted((r.document_id, r.elem_pos, r.e.content, r.e.meta["k"]) for r in files.read_documents(spark, str(tmp_path / "out")).collect())
     assert got == sorted((d, i, x["content"], x["meta"]["k"]) for d, t in want.items() for i, x in enumerate(t["elements"]))
+
+
+def test_boxes_are_not_dealt_by_class(spark):
+    """Classes meet boxes without a shuffle by class, whose few keys would be as few tasks; what misses a label goes."""
+    ann = spark.range(20).selectExpr("id ann_id", "id % 3 image_id", "cast(id % 4 as int) category_id", "1.0 x", "1.0 y", "2.0 w", "2.0 h")
+    images = spark.range(2).selectExpr("id image_id", "concat('a.', id, '.png') file_name")
+    names = spark.createDataFrame([(0, "Text"), (1, "Title"), (2, "Other"), (2, "Text")], "category_id int, name string")
+    boxes = A.coco_to_boxes({"annotations": ann, "images": images, "categories": names}, spark.createDataFrame([("Title", 0), ("Text", 7), ("None", 8)], "name string, class_id int"))
+    plan = boxes._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(name" not in plan and "hashpartitioning(category_id" not in plan
+    want = [(i, f"a.{i % 3}", k) for i in range(20) if i % 3 < 2 for k in {0: [7], 1: [0], 2: [7], 3: []}[i % 4]]
+    assert sorted((r.ann_id, r.stem, r.class_id) for r in boxes.collect()) == want
