@@ -84,3 +84,41 @@ def test_blocks_are_detected_once(spark):
     pages = spark.createDataFrame([(i, f"<h1>t{i}</h1><p>the cat</p>") for i in range(6)], "page_id long, html string")
     found = pipelines.layout(pages, lambda p: markup_blocks(p.withColumn("html", marked("html"))))
     assert found.count() == 12 and seen.value == 6
+
+
+def test_boxes_are_dealt_once_before_they_are_matched(spark, sf):
+    """True boxes and predictions of an image meet, and its pairs are counted by box, where both were numbered; the same
+    rows as a join by class."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from foliant.plans.catalogue import boxes, predictions
+
+    gt, pred = boxes(spark, sf), predictions(spark, sf)
+    pairs = matching.candidates(gt, pred).where(matching.ONE_CLASS)
+    lone = pairs.withColumns({c: F.count("*").over(Window.partitionBy("page_id", f"{c}_no")) for c in ("gt", "pred")})
+    for threshold in ("-1", "1m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        plan = lone.where("true")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(") == 2
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_class = gt.alias("g").join(pred.alias("p"), ["page_id", "class_id"]).where("least(g.x + g.w, p.x + p.w) > greatest(g.x, p.x) and least(g.y + g.h, p.y + p.h) > greatest(g.y, p.y)")
+    got = sorted((r.page_id, r.gt_no, r.pred_no) for r in pairs.collect())
+    assert got and got == sorted(map(tuple, by_class.select("page_id", "g.ann_no", "p.ann_no").collect()))
+
+
+def test_predictions_are_those_of_two_looks(spark, sf):
+    """Near and far predictions told in one look equal both parts read apart, also where numbers are null; sums by class
+    need no numbered boxes."""
+    from foliant.plans.catalogue import boxes, predicted, predictions
+
+    cols = ["page_id", "ann_no", *"xywh", "class_id", "l_suppkey", "l_discount"]
+    some = boxes(spark, sf).where("page_id < 300").select(cols)
+    gt = spark.createDataFrame(some.collect() + [(-1, 1, 5, 5, 5, 5, 0, None, 0.1)], some.schema)
+    near = gt.where("l_suppkey % 13 <> 0").selectExpr("page_id", "ann_no", "x + l_suppkey % 60 x", "y", "w", "h", "if(l_suppkey % 11 = 0, (class_id + 1) % 5, class_id) class_id", "1 - l_discount * 5 score")
+    far = gt.where("l_suppkey % 17 = 0").selectExpr("page_id", "ann_no + 100", "x", "y + 450", "w", "h", "class_id", "double('0.3') + l_discount * 5")
+    got = predicted(gt)
+    assert got.dtypes == near.dtypes and far.count()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, near.unionByName(far.toDF(*near.columns)).collect()))
+    counted = predictions(spark, sf).groupBy("class_id", "score").count()
+    assert "Window" not in counted._jdf.queryExecution().optimizedPlan().toString()
